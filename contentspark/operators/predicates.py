@@ -357,15 +357,15 @@ def date_query(q, default_column: str = "post_date") -> Column | None:
     if q is None:
         return None
     if isinstance(q, dict):
-        nested = [v for k, v in q.items() if isinstance(v, (dict, list))]
+        own_keys = set(PART_ALIASES) | {"before", "after", "column", "compare", "inclusive", "relation"}
+        nested = [v for k, v in q.items() if k not in own_keys and isinstance(v, (dict, list))]
         col = q.get("column", default_column)
-        own = {k: v for k, v in q.items() if not isinstance(v, (dict, list)) or k in PART_ALIASES}
+        own = {k: v for k, v in q.items() if k in own_keys}
         relation = str(q.get("relation", "AND")).upper()
         parts = []
         if any(k in own for k in list(PART_ALIASES) + ["before", "after"]):
             parts.append(date_clause(own, col))
-        parts += [date_query(n, col) for n in nested if not (isinstance(n, list) and all(
-            isinstance(x, int) for x in n))]
+        parts += [date_query(n, col) for n in nested]
     else:
         relation, col = "AND", default_column
         parts = [date_query(n, col) for n in q]
