@@ -89,8 +89,8 @@ v_terms AS (
 
 V_COMMENTS = """
 v_comments AS (
-  SELECT (conv_id * 1000 + turn)::BIGINT AS comment_ID, (conv_id + 1000000)::BIGINT AS comment_post_ID,
-         CASE WHEN turn = 0 THEN 0 ELSE conv_id * 1000 + turn - 1 END::BIGINT AS comment_parent,
+  SELECT (conv_id * 1000 + turn + 1)::BIGINT AS comment_ID, (conv_id + 1000000)::BIGINT AS comment_post_ID,
+         CASE WHEN turn = 0 THEN 0 ELSE conv_id * 1000 + turn END::BIGINT AS comment_parent,
          role AS comment_author, role || '@example.com' AS comment_author_email,
          'https://' || role || '.example.com' AS comment_author_url, role AS comment_type,
          text AS comment_content,

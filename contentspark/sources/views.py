@@ -218,7 +218,7 @@ def v_term_relationships(spark: SparkSession, sf_dir: str) -> DataFrame:
 def v_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversation turns as comments; each turn replies to the previous one."""
     c = Tables(spark, sf_dir).conversations
-    cid = F.col("conv_id") * 1000 + F.col("turn")
+    cid = F.col("conv_id") * 1000 + F.col("turn") + 1  # ids start at 1: 0 means "no parent"
     return c.select(
         cid.cast("bigint").alias("comment_ID"),
         (F.col("conv_id") + DOC_ID_OFFSET).cast("bigint").alias("comment_post_ID"),
