@@ -408,7 +408,7 @@ def milli(score: Column) -> Column:
 HIGHLIGHT_TAGS = ["mark", "span", "strong", "em", "i"]
 
 
-def highlight(text: Column, terms: list[str], tag: str = "mark", css_class: str = "ep-highlight") -> Column:
+def highlight(text: Column, terms: list[str], tag: str = "mark", css_class: str = "search-highlight") -> Column:
     """TXT-16: wrap whole-token, case-insensitive matches of ``terms`` in ``<tag class>``."""
     import re
 
@@ -421,6 +421,19 @@ def highlight(text: Column, terms: list[str], tag: str = "mark", css_class: str
     return F.regexp_replace(text, pattern, f'<{tag} class="{css_class}">$1</{tag}>')
 
 
+def highlight_terms(text: Column, terms: Column, tag: str = "mark", css_class: str = "search-highlight") -> Column:
+    """TXT-16 over hit rows: ``terms`` is a per-row array of analyzed query tokens.
+
+    Tokens are letter/digit runs, so they need no regex escaping.
+    """
+    if tag not in HIGHLIGHT_TAGS:
+        tag = "mark"
+    pattern = F.concat(F.lit(r"(?iu)(?<![\p{L}\p{N}])("), F.array_join(terms, "|"),
+                       F.lit(r")(?![\p{L}\p{N}])"))
+    return F.when(F.size(terms) > 0, F.regexp_replace(text, pattern, F.lit(f'<{tag} class="{css_class}">$1</{tag}>'))) \
+        .otherwise(text)
+
+
 def excerpt(text: Column, words: int = 55, more: str = " […]") -> Column:
     """TXT-17: the first ``words`` space-separated words, plus a marker when cut."""
     parts = F.split(F.trim(F.regexp_replace(text, r"\s+", " ")), " ")

@@ -128,7 +128,7 @@ def test_english_analyzer_drops_stop_words_keeps_positions(spark):
 def test_highlight_and_excerpt(spark):
     df = spark.createDataFrame([("Quick brown fox; quickly!",)], "t string")
     r = df.select(S.highlight(F.col("t"), ["quick", "fox"], "em").alias("h")).first().h
-    assert r == '<em class="ep-highlight">Quick</em> brown <em class="ep-highlight">fox</em>; quickly!'
+    assert r == '<em class="search-highlight">Quick</em> brown <em class="search-highlight">fox</em>; quickly!'
     long = " ".join(f"w{i}" for i in range(60))
     e = spark.createDataFrame([(long,)], "t string").select(S.excerpt(F.col("t")).alias("e")).first().e
     assert e.startswith("w0 w1") and e.endswith(" […]") and len(e.split(" ")) == 56
