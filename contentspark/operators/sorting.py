@@ -132,3 +132,27 @@ def project(df: DataFrame, fields: str = "all", id_col: str = "id", parent_col:
     if fields == "id=>parent":
         return df.select(id_col, parent_col)
     return df
+
+
+def resolve_meta_orderby(orderby: str, meta_query) -> str:
+    """SRT-4: an orderby naming a meta_query clause (or its key) -> 'meta.<key>.<typed field>'."""
+    from contentspark.operators.predicates import META_TYPE_FIELD
+
+    def clauses(q):
+        if isinstance(q, dict):
+            if "key" in q:
+                yield None, q
+            for k, v in q.items():
+                if isinstance(v, dict) and "key" in v:
+                    yield k, v
+                elif isinstance(v, (dict, list)):
+                    yield from clauses(v)
+        elif isinstance(q, list):
+            for v in q:
+                yield from clauses(v)
+
+    for name, c in clauses(meta_query):
+        if orderby in (name, c.get("key")):
+            typ = META_TYPE_FIELD.get(str(c.get("type", "")).lower(), "raw")
+            return f"meta.{c['key']}.{typ}"
+    return orderby
