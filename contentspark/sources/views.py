@@ -297,3 +297,25 @@ def v_synonym_lines(spark: SparkSession) -> DataFrame:
 def v_weights(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(WEIGHT_ROWS, "post_type string, field string, enabled boolean, weight int, "
                                               "fuzzy boolean")
+
+
+def v_pointers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Curated pointers: per benchmark query its 2 smallest phrase-matching documents (else the 2
+    smallest document ids) at positions 1 and 3; search term = the query text."""
+    from pyspark.sql import Window
+
+    from contentspark.operators.analysis import unpivot_fields
+    from contentspark.operators.search import TextIndex, phrase
+
+    q = v_queries(spark, sf_dir)
+    docs = Tables(spark, sf_dir).documents
+    idx = TextIndex.build(unpivot_fields(docs, "doc_id", {"post_content": F.col("text")}))
+    hits = phrase(q, idx, {"post_content": 1.0}).select("query_id", "doc_id", F.lit(0).alias("prio"))
+    smallest = docs.select("doc_id").orderBy("doc_id").limit(2).agg(F.collect_list("doc_id")).scalar()
+    fallback = q.select("query_id", F.explode(smallest).alias("doc_id"), F.lit(1).alias("prio"))
+    cand = hits.unionByName(fallback).groupBy("query_id", "doc_id").agg(F.min("prio").alias("prio"))
+    w = Window.partitionBy("query_id").orderBy("prio", "doc_id")
+    top = cand.withColumn("r", F.row_number().over(w)).filter(F.col("r") <= 2)
+    return (top.join(q, "query_id")
+            .select(F.col("query").alias("search_term"), "doc_id",
+                    F.when(F.col("r") == 1, F.lit(1)).otherwise(F.lit(3)).alias("position")))
