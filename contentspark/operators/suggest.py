@@ -9,7 +9,8 @@ Spelling (SUG-4/5/6): noisy channel. Candidates per query token come from the
 fuzzy expansion (deletion keys + levenshtein, 'auto' budget); a candidate
 scores log P(w) (add-one smoothed unigram) + log P(w | left word) + log
 P(right word | w) with the *observed* neighbours (bigram counts from DOC-23)
-minus an edit penalty per edit. Per position the best candidate wins; at most
+minus an edit penalty per edit (and a penalty for keeping a word the corpus
+never saw). Per position the best candidate wins; at most
 two positions change (the largest gains). All joins; no pairs of candidates
 are formed.
 
@@ -79,7 +80,8 @@ def completion_top_k(matches: DataFrame, posts: DataFrame, k: int = 5, types=("p
 
 # ---------------------------------------------------------------- spelling
 
-EDIT_PENALTY = math.log(0.01)  # log-probability of one edit
+EDIT_PENALTY = math.log(0.05)  # log-probability of one edit
+UNSEEN_PENALTY = 3 * math.log(0.05)  # keeping a word the corpus never saw costs like three edits
 MIN_SCORE = 0.0001
 
 
@@ -123,7 +125,8 @@ def spelling(queries: DataFrame, vocabulary: DataFrame, uni: DataFrame, bi: Data
                                                                         + vocab))).otherwise(0.0)
             + F.when(F.col("right").isNotNull(),
                      F.log((F.coalesce(F.col("rc"), F.lit(0.0)) + 1) / (uc + vocab))).otherwise(0.0)
-            + F.levenshtein("term", "vterm") * F.lit(EDIT_PENALTY))
+            + F.levenshtein("term", "vterm") * F.lit(EDIT_PENALTY)
+            + F.when(F.col("uc").isNull(), F.lit(UNSEEN_PENALTY)).otherwise(0.0))
     s = s.withColumn("logp", logp)
     w = Window.partitionBy("query_id", "pos").orderBy(F.col("logp").desc(), F.col("vterm").asc())
     best = s.withColumn("r", F.row_number().over(w)).filter("r = 1").drop("r")
