@@ -78,3 +78,26 @@ def decay_enabled(mode: str, post_types: list[str] | None) -> bool:
     if mode == "off_with_products" and "product" in types:
         return False
     return True
+
+
+# Fields whose presence turns fuzziness off (id searches are exact).
+ID_FIELDS = ["ID", "post_id", "post_parent"]
+
+
+def effective_fuzziness(fields: list[str], fuzziness):
+    """FLT-13: searching an id field removes fuzziness from every clause."""
+    return 0 if set(fields) & set(ID_FIELDS) else fuzziness
+
+
+def fuzzy_clause_weights(weight_rows, post_type: str) -> dict[str, float]:
+    """SCR-5: {field: weight} of the enabled, fuzzy fields of a type (weight 0 -> 1).
+
+    ``weight_rows`` is the weighting configuration as (post_type, field,
+    enabled, weight, fuzzy) tuples - a settings list, not data.
+    """
+    return {f: float(w or 1) for t, f, enabled, w, fz in weight_rows if t == post_type and enabled and fz}
+
+
+def type_weights(weight_rows, post_type: str) -> dict[str, float]:
+    """SCR-1/2: {field: weight} of the enabled fields of a type (weight 0 -> 1)."""
+    return {f: float(w or 1) for t, f, enabled, w, fz in weight_rows if t == post_type and enabled}

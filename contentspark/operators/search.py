@@ -45,28 +45,70 @@ B = 0.75
 
 @dataclass
 class TextIndex:
-    """Field rows + postings of a document set under one analyzer."""
+    """Postings of a document set under one analyzer.
+
+    ``postings``: (doc_id, field, term, pos, len) - ``len`` is the token count
+    of the (doc, field), carried on every row so scoring needs no second pass
+    over the texts. :meth:`materialize` writes the postings once to the shared
+    checkpoint folder (sorted by term) and rereads them: every clause of a
+    search then scans that Parquet table instead of re-tokenizing the corpus,
+    and the lineage is cut (a lost executor does not re-run the analysis).
+    """
 
-    field_rows: DataFrame  # (doc_id, field, text)
-    postings: DataFrame  # (doc_id, field, term, pos)
+    postings: DataFrame  # (doc_id, field, term, pos, len)
     analyzer: str = "plain"
+    df_table: DataFrame | None = None  # (field, term, df), written by materialize
+    stats_table: DataFrame | None = None  # (field, n_docs, avg_len), written by materialize
 
     @classmethod
     def build(cls, field_rows: DataFrame, analyzer: str = "plain") -> "TextIndex":
-        p = (field_rows.select("doc_id", "field", F.posexplode(analyze(F.col("text"), analyzer)).alias("pos", "term"))
-             .filter(F.col("term").isNotNull()))
-        return cls(field_rows, p, analyzer)
+        toks = field_rows.select("doc_id", "field", analyze(F.col("text"), analyzer).alias("toks"))
+        n = F.size(F.filter(F.col("toks"), lambda x: x.isNotNull()))
+        # len is computed below the Generate: an expression next to posexplode in the same
+        # select would be evaluated per exploded row with the whole array carried along.
+        toks = toks.select("doc_id", "field", "toks", n.cast("bigint").alias("len"))
+        p = (toks.select("doc_id", "field", "len", F.posexplode("toks").alias("pos", "term"))
+             .filter(F.col("term").isNotNull())
+             .select("doc_id", "field", "term", "pos", "len"))
+        return cls(p, analyzer)
+
+    def materialize(self, path: str | None = None, partitions: int | None = None) -> "TextIndex":
+        """Write the postings (hash-partitioned and sorted by term) under the shared checkpoint folder."""
+        import os
+        import uuid
+
+        from contentspark.session import checkpoint_dir
+
+        spark = self.postings.sparkSession
+        path = path or os.path.join(checkpoint_dir(spark), f"postings-{uuid.uuid4().hex}")
+        n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        (self.postings.repartition(n, "term").sortWithinPartitions("term", "doc_id")
+         .write.mode("overwrite").parquet(os.path.join(path, "postings")))
+        postings = spark.read.parquet(os.path.join(path, "postings"))
+        base = TextIndex(postings, self.analyzer)
+        (base.term_df().repartition(n, "term").sortWithinPartitions("term")
+         .write.mode("overwrite").parquet(os.path.join(path, "df")))
+        base.stats().coalesce(1).write.mode("overwrite").parquet(os.path.join(path, "stats"))
+        return TextIndex(postings, self.analyzer, spark.read.parquet(os.path.join(path, "df")),
+                         spark.read.parquet(os.path.join(path, "stats")))
+
+    def term_df(self) -> DataFrame:
+        """(field, term, df): documents per term and field (stored when materialized)."""
+        if self.df_table is not None:
+            return self.df_table
+        return self.postings.groupBy("field", "term").agg(F.countDistinct("doc_id").cast("bigint").alias("df"))
 
     def lengths(self) -> DataFrame:
-        """(doc_id, field, len): tokens per field, computed per row (no shuffle)."""
-        toks = analyze(F.col("text"), self.analyzer)
-        n = F.size(F.filter(toks, lambda x: x.isNotNull()))
-        return self.field_rows.select("doc_id", "field", n.cast("bigint").alias("len"))
+        """(doc_id, field, len) of every non-empty field."""
+        return self.postings.select("doc_id", "field", "len").distinct()
 
     def stats(self) -> DataFrame:
         """(field, n_docs, avg_len) over documents where the field is not empty."""
-        return (self.lengths().filter(F.col("len") > 0).groupBy("field")
-                .agg(F.count(F.lit(1)).cast("bigint").alias("n_docs"), F.avg("len").alias("avg_len")))
+        if self.stats_table is not None:
+            return self.stats_table
+        s = self.postings.groupBy("field").agg(F.countDistinct("doc_id").cast("bigint").alias("n_docs"),
+                                               F.count(F.lit(1)).cast("bigint").alias("n_tok"))
+        return s.select("field", "n_docs", (F.col("n_tok") / F.col("n_docs")).alias("avg_len"))
 
     def postings_for(self, terms: DataFrame) -> DataFrame:
         """Postings restricted to a set of terms (semi join before any aggregation)."""
@@ -74,7 +116,7 @@ class TextIndex:
 
     def tf_for(self, terms: DataFrame) -> DataFrame:
         return (self.postings_for(terms).groupBy("doc_id", "field", "term")
-                .agg(F.count(F.lit(1)).cast("bigint").alias("tf")))
+                .agg(F.count(F.lit(1)).cast("bigint").alias("tf"), F.max("len").alias("len")))
 
     def vocabulary(self) -> DataFrame:
         return self.postings.select("term").distinct()
@@ -116,13 +158,12 @@ def _scored(qt: DataFrame, index: TextIndex, fields: list[str], term_col: str =
     """
     lookup = qt.select(F.col(term_col).alias("term")).distinct()
     post = index.postings_for(lookup).filter(F.col("field").isin(fields))
-    tf = post.groupBy("doc_id", "field", "term").agg(F.count(F.lit(1)).cast("bigint").alias("tf"))
-    df = tf.groupBy("field", "term").agg(F.count(F.lit(1)).cast("bigint").alias("df"))
+    tf = post.groupBy("doc_id", "field", "term").agg(F.count(F.lit(1)).cast("bigint").alias("tf"),
+                                                     F.max("len").alias("len"))
+    df = index.term_df().join(lookup, "term", "left_semi").filter(F.col("field").isin(fields))
     stats = F.broadcast(index.stats().filter(F.col("field").isin(fields)))  # one row per field
-    lengths = index.lengths().filter(F.col("field").isin(fields))
     hits = (qt.join(tf.withColumnRenamed("term", term_col), term_col)
             .join(df.withColumnRenamed("term", term_col), ["field", term_col])
-            .join(lengths, ["doc_id", "field"])
             .join(stats, "field"))
     return hits.withColumn("score", bm25(F.col("tf"), F.col("len"), F.col("avg_len"), F.col("df"), F.col("n_docs")))
 
@@ -199,18 +240,30 @@ def match(queries: DataFrame, index: TextIndex, weights: Mapping[str, float], op
 
 
 def phrase_offsets(queries: DataFrame, index: TextIndex, fields: list[str], analyzer: str | None = None) -> DataFrame:
-    """(query_id, doc_id, field, qpos, offset=pos-qpos, n_pos) for docs holding every phrase term in a field."""
+    """(query_id, doc_id, field, term, qpos, n_pos, len, offset=pos-qpos) for candidate documents.
+
+    Candidates come from each query's rarest term (smallest document frequency
+    over the chosen fields): only (query, doc, field) triples holding it are
+    joined with the occurrences of the other terms, so a frequent term never
+    multiplies with every query that contains it. Queries with a term absent
+    from the index cannot match and are dropped.
+    """
     qt = query_terms(queries, analyzer or index.analyzer)
-    npos = qt.groupBy("query_id").agg(F.count(F.lit(1)).alias("n_pos"),
-                                      F.countDistinct("term").alias("n_terms"))
-    qt = qt.join(npos, "query_id")
+    npos = qt.groupBy("query_id").agg(F.count(F.lit(1)).alias("n_pos"), F.countDistinct("term").alias("n_terms"))
+    dft = (index.term_df().filter(F.col("field").isin(fields)).join(qt.select("term").distinct(), "term", "left_semi")
+           .groupBy("term").agg(F.sum("df").alias("dfsum")))
+    present = qt.select("query_id", "term").distinct().join(dft, "term")
+    rare = (present.groupBy("query_id").agg(F.min_by("term", F.struct("dfsum", "term")).alias("rterm"),
+                                            F.count(F.lit(1)).alias("n_present"))
+            .join(npos, "query_id").filter(F.col("n_present") == F.col("n_terms")))
+    rare_post = index.postings_for(rare.select(F.col("rterm").alias("term"))).filter(F.col("field").isin(fields))
+    cand = (rare_post.join(rare.select("query_id", F.col("rterm").alias("term")), "term")
+            .select("query_id", "doc_id", "field").distinct())
     post = index.postings_for(qt).filter(F.col("field").isin(fields))
-    occ = qt.join(post, "term")
-    # candidate (query, doc, field): all distinct phrase terms present
-    cand = (occ.groupBy("query_id", "doc_id", "field", "n_terms").agg(F.countDistinct("term").alias("m"))
-            .filter(F.col("m") == F.col("n_terms")).select("query_id", "doc_id", "field"))
-    return (occ.join(cand, ["query_id", "doc_id", "field"], "left_semi")
-            .select("query_id", "doc_id", "field", "term", "qpos", "n_pos", (F.col("pos") - F.col("qpos")).alias("offset")))
+    occ = (post.join(cand, ["doc_id", "field"]).join(qt, ["query_id", "term"])
+           .join(rare.select("query_id", "n_pos"), "query_id"))
+    return occ.select("query_id", "doc_id", "field", "term", "qpos", "n_pos", "len",
+                      (F.col("pos") - F.col("qpos")).alias("offset"))
 
 
 def _phrase_score(freqs: DataFrame, queries: DataFrame, index: TextIndex, weights: Mapping[str, float],
@@ -218,13 +271,11 @@ def _phrase_score(freqs: DataFrame, queries: DataFrame, index: TextIndex, weight
     """freqs (query_id, doc_id, field, pf) -> best_fields phrase score."""
     fields = list(weights)
     qt = query_terms(queries, analyzer or index.analyzer).select("query_id", "term").distinct()
-    df = (index.postings_for(qt).filter(F.col("field").isin(fields)).groupBy("field", "term")
-          .agg(F.countDistinct("doc_id").cast("bigint").alias("df")))
+    df = index.term_df().join(qt.select("term").distinct(), "term", "left_semi").filter(F.col("field").isin(fields))
     stats = F.broadcast(index.stats().filter(F.col("field").isin(fields)))
     sum_idf = (qt.join(df, "term").join(stats, "field")
                .groupBy("query_id", "field").agg(F.sum(idf(F.col("df"), F.col("n_docs"))).alias("sum_idf")))
-    lengths = index.lengths().filter(F.col("field").isin(fields))
-    s = (freqs.join(sum_idf, ["query_id", "field"]).join(lengths, ["doc_id", "field"]).join(stats, "field")
+    s = (freqs.join(sum_idf, ["query_id", "field"]).join(stats, "field")
          .withColumn("score", F.col("sum_idf") * F.col("pf") * (K1 + 1)
                      / (F.col("pf") + K1 * (1 - B + B * F.col("len") / F.col("avg_len"))))
          .withColumn("score", F.col("score") * _weight(F.col("field"), weights)))
@@ -235,13 +286,15 @@ def phrase(queries: DataFrame, index: TextIndex, weights: Mapping[str, float], a
            ) -> DataFrame:
     """TXT-3: exact phrase (consecutive positions) -> (query_id, doc_id, score)."""
     off = phrase_offsets(queries, index, list(weights), analyzer)
-    starts = (off.groupBy("query_id", "doc_id", "field", "offset", "n_pos")
-              .agg(F.countDistinct("qpos").alias("m")).filter(F.col("m") == F.col("n_pos")))
-    pf = starts.groupBy("query_id", "doc_id", "field").agg(F.count(F.lit(1)).cast("double").alias("pf"))
+    # one posting per (doc, field, pos): a (query, doc, field, offset, qpos) occurs at most once
+    starts = (off.groupBy("query_id", "doc_id", "field", "offset", "n_pos", "len")
+              .agg(F.count(F.lit(1)).alias("m")).filter(F.col("m") == F.col("n_pos")))
+    pf = starts.groupBy("query_id", "doc_id", "field").agg(F.count(F.lit(1)).cast("double").alias("pf"),
+                                                           F.max("len").alias("len"))
     return _phrase_score(pf, queries, index, weights, analyzer)
 
 
-SLOP_SCHEMA = "query_id long, doc_id long, field string, pf double"
+SLOP_SCHEMA = "query_id long, doc_id long, field string, pf double, len long"
 
 
 def _sloppy_freq(slop: int):
@@ -277,6 +330,7 @@ def _sloppy_freq(slop: int):
             "doc_id": pd.Series([int(pdf["doc_id"].iloc[0])][:keep], dtype="int64"),
             "field": pd.Series([str(pdf["field"].iloc[0])][:keep], dtype="object"),
             "pf": pd.Series([float(anchors)][:keep], dtype="float64"),
+            "len": pd.Series([int(pdf["len"].iloc[0])][:keep], dtype="int64"),
         })
 
     return fn

@@ -194,7 +194,10 @@ def v_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
         g = t.part.groupBy(col).agg(F.count("*").alias("n"))
         out = out.unionByName(frame(g, flat_term_id(tax, T.slug(F.col(col))), tax, F.col(col), F.lit(0),
                                     F.col("n"), F.concat(F.lit(f"{tax} "), F.col(col))))
-    return out.select(*cols)
+    kind = F.when(F.col("taxonomy") != "geo", F.col("taxonomy")).when(F.col("parent") == 0, "region") \
+        .otherwise("nation")
+    meta = build_meta([("kind", kind), ("objects", F.col("count"))])
+    return out.select(*cols, meta.alias("meta"))
 
 
 def v_term_relationships(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -234,6 +237,7 @@ def v_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("role") == "system", F.lit("0")).otherwise(F.lit("1")).alias("comment_approved"),
         F.col("turn").cast("bigint").alias("comment_karma"),
         F.when(F.col("role") == "user", F.col("conv_id")).otherwise(F.lit(0)).cast("bigint").alias("user_id"),
+        build_meta([("length", F.length("text")), ("role", F.col("role"))]).alias("meta"),
     )
 
 
