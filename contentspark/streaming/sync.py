@@ -212,8 +212,11 @@ def stream_windowed_counts(spark: SparkSession, source_dir: str, schema, ts: str
     reader = spark.readStream.schema(schema)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    src = reader.parquet(source_dir).withWatermark(ts, watermark)
-    agg = windowed_counts(src, ts, group, size)
+    # watermarks need TIMESTAMP; with the UTC session zone the NTZ values are unchanged
+    src = reader.parquet(source_dir).withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, watermark)
+    agg = windowed_counts(src, ts, group, size).select(
+        F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+        F.col("window_end").cast("timestamp_ntz").alias("window_end"), group, "n")
     return (agg.writeStream.outputMode("append").format("memory").queryName(query_name)
             .trigger(availableNow=True).start())
 
