@@ -29,12 +29,14 @@ def doc_plan(spark, sf):
 
 
 @query("str1_full_rebuild_summary", """
-SELECT 'post' AS entity,
-       count_if(coalesce(l.quality, 1) <> 0 AND d.n_chars <= 20000 AND length(d.text) > 0)::BIGINT AS synced,
-       count_if(coalesce(l.quality, 1) = 0)::BIGINT AS skipped,
-       count_if(coalesce(l.quality, 1) <> 0 AND NOT (d.n_chars <= 20000 AND length(d.text) > 0))::BIGINT AS failed,
-       'with_errors' AS status
-FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id""")
+WITH t AS (
+  SELECT 'post' AS entity,
+         count_if(coalesce(l.quality, 1) <> 0 AND d.n_chars <= 20000 AND length(d.text) > 0)::BIGINT AS synced,
+         count_if(coalesce(l.quality, 1) = 0)::BIGINT AS skipped,
+         count_if(coalesce(l.quality, 1) <> 0 AND NOT (d.n_chars <= 20000 AND length(d.text) > 0))::BIGINT AS failed
+  FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id
+)
+SELECT *, CASE WHEN failed = 0 THEN 'success' WHEN synced = 0 THEN 'failed' ELSE 'with_errors' END AS status FROM t""")
 def str1_full_rebuild_summary(spark, sf):
     """Classify every document (synced / skipped by the exclude flag / failed validation) and total."""
     return SY.rebuild_summary(doc_plan(spark, sf), "post")
