@@ -28,7 +28,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, field as dc_field
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -59,6 +59,8 @@ class TextIndex:
     analyzer: str = "plain"
     df_table: DataFrame | None = None  # (field, term, df), written by materialize
     stats_table: DataFrame | None = None  # (field, n_docs, avg_len), written by materialize
+    path: str | None = None  # where materialize wrote the tables
+    _keys: dict = dc_field(default_factory=dict, repr=False)
 
     @classmethod
     def build(cls, field_rows: DataFrame, analyzer: str = "plain") -> "TextIndex":
@@ -90,7 +92,25 @@ class TextIndex:
          .write.mode("overwrite").parquet(os.path.join(path, "df")))
         base.stats().coalesce(1).write.mode("overwrite").parquet(os.path.join(path, "stats"))
         return TextIndex(postings, self.analyzer, spark.read.parquet(os.path.join(path, "df")),
-                         spark.read.parquet(os.path.join(path, "stats")))
+                         spark.read.parquet(os.path.join(path, "stats")), path)
+
+    def vocab_keys(self, max_k: int) -> DataFrame:
+        """(vterm, key) deletion keys of the vocabulary (up to ``max_k`` deletions).
+
+        Built once per index and budget; written next to a materialized index.
+        """
+        if max_k not in self._keys:
+            vk = self.vocabulary().select(F.col("term").alias("vterm"),
+                                          F.explode(deletion_keys(F.col("term"), max_k)).alias("key"))
+            if self.path:
+                import os
+
+                p = os.path.join(self.path, f"vocab_keys_{max_k}")
+                n = int(vk.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+                vk.repartition(n, "key").write.mode("overwrite").parquet(p)
+                vk = vk.sparkSession.read.parquet(p)
+            self._keys[max_k] = vk
+        return self._keys[max_k]
 
     def term_df(self) -> DataFrame:
         """(field, term, df): documents per term and field (stored when materialized)."""
@@ -122,6 +142,34 @@ class TextIndex:
         return self.postings.select("term").distinct()
 
 
+_CATALOG: dict = {}
+
+
+def input_signature(df: DataFrame) -> tuple:
+    """(path, size, mtime) of every file a DataFrame reads - changes whenever an input changes."""
+    spark = df.sparkSession
+    out = []
+    for f in sorted(df.inputFiles()):
+        path = spark._jvm.org.apache.hadoop.fs.Path(f)
+        st = path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path)
+        out.append((f, st.getLen(), st.getModificationTime()))
+    return tuple(out)
+
+
+def cached_index(key: str, field_rows: DataFrame, analyzer: str = "plain") -> TextIndex:
+    """A materialized index shared by every query of the session over the same inputs.
+
+    ``key`` names the document set and field definition; the input files'
+    signature is part of the cache key, so a changed table rebuilds the index.
+    """
+    k = (key, analyzer, input_signature(field_rows), field_rows.sparkSession.sparkContext.applicationId)
+    idx = _CATALOG.get(k)
+    if idx is None:
+        idx = TextIndex.build(field_rows, analyzer).materialize()
+        _CATALOG[k] = idx
+    return idx
+
+
 def bm25(tf: Column, length: Column, avg_len: Column, df: Column, n_docs: Column) -> Column:
     idf = F.log(1.0 + (n_docs - df + 0.5) / (df + 0.5))
     return idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / avg_len))
@@ -199,16 +247,17 @@ def deletion_keys(term: Column, k: Column | int) -> Column:
     return F.array_distinct(keys)
 
 
-def fuzzy_expand(qt: DataFrame, vocabulary: DataFrame, fuzziness) -> DataFrame:
+def fuzzy_expand(qt: DataFrame, vocabulary: DataFrame, fuzziness, vocab_keys: DataFrame | None = None) -> DataFrame:
     """qt + ``vterm``: vocabulary terms within the token's edit budget (the token itself when present).
 
     Equi-join on deletion keys (never a cross join), then exact verification.
+    ``vocab_keys`` (vterm, key) may come precomputed from the index.
     """
     q = qt.withColumn("k", fuzzy_budget(F.length("term"), fuzziness))
     qk = q.select("query_id", "term", "k", F.explode(deletion_keys(F.col("term"), F.col("k"))).alias("key")).distinct()
     max_k = 2 if fuzziness == "auto" else int(fuzziness)
-    vk = vocabulary.select(F.col("term").alias("vterm"),
-                           F.explode(deletion_keys(F.col("term"), max_k)).alias("key")).distinct()
+    vk = vocab_keys if vocab_keys is not None else vocabulary.select(
+        F.col("term").alias("vterm"), F.explode(deletion_keys(F.col("term"), max_k)).alias("key"))
     pairs = (qk.join(vk, "key").select("query_id", "term", "k", "vterm").distinct()
              .filter(F.levenshtein(F.col("term"), F.col("vterm")) <= F.col("k")))
     return qt.join(pairs.drop("k"), ["query_id", "term"])
@@ -226,7 +275,8 @@ def match(queries: DataFrame, index: TextIndex, weights: Mapping[str, float], op
     fields = list(weights)
     qt = distinct_query_terms(query_terms(queries, analyzer or index.analyzer))
     if fuzziness not in (0, "0", None):
-        qt = fuzzy_expand(qt, index.vocabulary(), fuzziness)
+        max_k = 2 if fuzziness == "auto" else int(fuzziness)
+        qt = fuzzy_expand(qt, index.vocabulary(), fuzziness, index.vocab_keys(max_k))
         hits = _scored(qt, index, fields, term_col="vterm")
         per_tok = hits.groupBy("query_id", "doc_id", "field", "term", "n_terms").agg(F.max("score").alias("score"))
     else:

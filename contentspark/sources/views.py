@@ -309,11 +309,11 @@ def v_pointers(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import Window
 
     from contentspark.operators.analysis import unpivot_fields
-    from contentspark.operators.search import TextIndex, phrase
+    from contentspark.operators.search import cached_index, phrase
 
     q = v_queries(spark, sf_dir)
     docs = Tables(spark, sf_dir).documents
-    idx = TextIndex.build(unpivot_fields(docs, "doc_id", {"post_content": F.col("text")}))
+    idx = cached_index("documents:post_content=text", unpivot_fields(docs, "doc_id", {"post_content": F.col("text")}))
     hits = phrase(q, idx, {"post_content": 1.0}).select("query_id", "doc_id", F.lit(0).alias("prio"))
     smallest = docs.select("doc_id").orderBy("doc_id").limit(2).agg(F.collect_list("doc_id")).scalar()
     fallback = q.select("query_id", F.explode(smallest).alias("doc_id"), F.lit(1).alias("prio"))
