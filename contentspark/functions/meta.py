@@ -38,7 +38,9 @@ def typed_value(raw: Column, is_string: Column | None = None) -> Column:
         F.when(dbl >= 0, F.floor(dbl)).otherwise(F.ceil(dbl)).try_cast("bigint"))
     boolean = F.lower(F.trim(F.coalesce(s, F.lit("")))).isin(TRUE_STRINGS)
     string_like = (s.isNotNull() & (s != "")) if is_string is None else (is_string & (s != ""))
-    parsed = parse_datetime(F.trim(s)).cast("timestamp_ntz")
+    # every accepted format starts with yyyy[-/]MM: skip the parse attempts for other strings
+    looks_like_date = F.trim(s).rlike(r"^[0-9]{4}[-/]?[0-9]{2}")
+    parsed = F.when(looks_like_date, parse_datetime(F.trim(s))).cast("timestamp_ntz")
     ok = parsed.isNotNull() & (F.year(parsed) <= MAX_YEAR) & (F.year(parsed) > 0)
     default_ts = F.lit(DEFAULT_DATETIME).cast("timestamp_ntz")
     ts = F.when(string_like, F.when(ok, parsed).otherwise(default_ts))
