@@ -44,9 +44,11 @@ def order_items(lines: DataFrame, parts: DataFrame) -> DataFrame:
 
 
 def order_document(orders: DataFrame, customers: DataFrame, nations: DataFrame, regions: DataFrame,
-                   lines: DataFrame, parts: DataFrame) -> DataFrame:
+                   lines: DataFrame, parts: DataFrame, transform=None) -> DataFrame:
     """DOC-1: one nested row per order: author struct, date parts, meta map (total, priority,
-    items), geo terms with ancestors. Missing customer -> empty author fields."""
+    items), geo terms with ancestors. Missing customer -> empty author fields.
+
+    UDF-1: ``transform`` (DataFrame -> DataFrame) changes or adds document columns."""
     items = order_items(lines, parts)
     cust = customers.select(F.col("c_custkey").alias("o_custkey"), "c_name", "c_nationkey")
     geo = geo_terms(nations, regions)
@@ -60,12 +62,13 @@ def order_document(orders: DataFrame, customers: DataFrame, nations: DataFrame,
         F.lit("_total"), F.array(typed_value(F.col("o_totalprice"))),
         F.lit("_priority"), F.array(typed_value(F.col("o_orderpriority"))),
         F.lit("_items"), F.array(typed_value(F.coalesce(F.col("items"), F.lit("")))))
-    return d.select(F.col("o_orderkey").alias("id"), author.alias("post_author"),
-                    D.clean_date(F.col("o_orderdate")).alias("post_date"),
-                    D.date_terms(F.col("o_orderdate")).alias("date_terms"),
-                    F.col("o_orderstatus").alias("post_status"), meta.alias("meta"),
-                    F.create_map(F.lit("geo"), F.coalesce(F.col("geo_terms"), F.array())).alias("terms"),
-                    F.coalesce(F.col("n_items"), F.lit(0)).alias("n_items"))
+    out = d.select(F.col("o_orderkey").alias("id"), author.alias("post_author"),
+                   D.clean_date(F.col("o_orderdate")).alias("post_date"),
+                   D.date_terms(F.col("o_orderdate")).alias("date_terms"),
+                   F.col("o_orderstatus").alias("post_status"), meta.alias("meta"),
+                   F.create_map(F.lit("geo"), F.coalesce(F.col("geo_terms"), F.array())).alias("terms"),
+                   F.coalesce(F.col("n_items"), F.lit(0)).alias("n_items"))
+    return out.transform(transform) if transform is not None else out
 
 
 def geo_terms(nations: DataFrame, regions: DataFrame) -> DataFrame:
