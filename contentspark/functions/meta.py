@@ -62,9 +62,18 @@ def meta_entry(key: str, raw: Column) -> tuple[Column, Column]:
 
 
 def build_meta(pairs: list[tuple[str, Column]]) -> Column:
-    """Meta map from (key, raw column) pairs; keys whose value is NULL are absent."""
+    """Meta map from (key, raw column) pairs; a NULL raw value gives a NULL entry.
+
+    The map stays a plain ``create_map`` so Catalyst rewrites ``meta['k']`` to
+    that one entry's expression: a predicate on one key computes only that
+    key's typed readings. A NULL entry behaves as a missing key in every
+    predicate; code that lists keys goes through :func:`live_meta`.
+    """
     if not pairs:
         return F.create_map().cast(f"map<string,array<{META_VALUE_TYPE}>>")
-    m = F.create_map(*[x for k, c in pairs for x in meta_entry(k, c)])
-    # DOC-10: drop empty keys and absent values.
-    return F.map_filter(m, lambda k, v: (k != "") & v.isNotNull())
+    return F.create_map(*[x for k, c in pairs if k != "" for x in meta_entry(k, c)])
+
+
+def live_meta(meta: Column) -> Column:
+    """The meta map without NULL entries (keys that are really present)."""
+    return F.map_filter(meta, lambda k, v: v.isNotNull())

@@ -103,14 +103,14 @@ def term_order(assignments: DataFrame, relationships: DataFrame) -> DataFrame:
 def meta_allow_auto(meta: Column, exclude: list[str] | None = None, allow_protected: list[str] | None = None) -> Column:
     """DOC-8: public keys minus excluded; '_' keys only when allow-listed."""
     exclude, allow = exclude or [], allow_protected or []
-    return F.map_filter(meta, lambda k, v: (~k.startswith("_") | k.isin(allow if allow else [""]))
+    return F.map_filter(meta, lambda k, v: v.isNotNull() & (~k.startswith("_") | k.isin(allow if allow else [""]))
                         & ~k.isin(exclude if exclude else [""]))
 
 
 def meta_allow_manual(meta: Column, weighted_keys: list[str], allow_protected: list[str] | None = None) -> Column:
     """DOC-9: only keys that appear in the weighting table, plus allowed protected keys."""
     keep = list(weighted_keys) + list(allow_protected or [])
-    return F.map_filter(meta, lambda k, v: k.isin(keep if keep else [""]))
+    return F.map_filter(meta, lambda k, v: v.isNotNull() & k.isin(keep if keep else [""]))
 
 
 def meta_from_json(js: Column) -> Column:

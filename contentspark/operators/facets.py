@@ -20,6 +20,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from contentspark.functions.meta import live_meta
 from contentspark.functions.multivalue import and_all, or_all
 
 MAX_BUCKETS = 10_000
@@ -135,7 +136,7 @@ def distinct_values(df: DataFrame, values: Column, size: int = MAX_BUCKETS) -> D
 
 def distinct_map_keys(df: DataFrame, map_col: str = "meta") -> DataFrame:
     """AGG-4: distinct keys of a map column."""
-    return df.select(F.explode(F.map_keys(F.col(map_col))).alias("key")).distinct()
+    return df.select(F.explode(F.map_keys(live_meta(F.col(map_col)))).alias("key")).distinct()
 
 
 def allowed_key(key: Column, allow: list[str] | None = None) -> Column:
@@ -160,7 +161,7 @@ def meta_keys_per_type(df: DataFrame, type_col: str = "post_type", map_col: str
     Long form instead of one collected set per type, so no group is gathered
     into a single row whatever the number of keys.
     """
-    pairs = df.select(F.col(type_col).alias("type"), F.explode(F.map_keys(F.col(map_col))).alias("key"))
+    pairs = df.select(F.col(type_col).alias("type"), F.explode(F.map_keys(live_meta(F.col(map_col)))).alias("key"))
     return (pairs.filter(allowed_key(F.col("key"), allow)).groupBy("type", "key")
             .agg(F.count(F.lit(1)).cast("bigint").alias("n_objects")))
 

@@ -166,7 +166,9 @@ FROM v_posts WHERE post_type = 'post'""")
 def doc14_redact_protected(spark, sf):
     """toxic=1 documents (passworded) lose content and meta."""
     p = DOC.redact_protected(V.v_posts(spark, sf, types=["post"]))
-    return p.select("id", F.length("post_content").alias("content_len"), F.size("meta").alias("n_meta"))
+    from contentspark.functions.meta import live_meta
+
+    return p.select("id", F.length("post_content").alias("content_len"), F.size(live_meta(F.col("meta"))).alias("n_meta"))
 
 
 @query("doc15_term_document", with_views(V_TERMS) + """
