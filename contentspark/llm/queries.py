@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contentspark.llm import exact_dedup
+from contentspark.llm import exact_dedup, ngram_join
 from contentspark.llm.common import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,12 @@ def query(key: str, sql: str | None = None):
     return register
 
 
+@query("op9_ngram_join")
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its near-duplicate class and its number of links to other n-gram sets."""
+    return ngram_join.near_classes(load(spark, sf_dir, "documents"))
+
+
 @query("op10_exact_dedup", r"""
 SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id IS NOT DISTINCT FROM min(doc_id) OVER same AS kept, sha256(norm) AS text_sha256
