@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contentspark.llm import exact_dedup, ngram_join
+from contentspark.llm import exact_dedup, kneser_ney, ngram_join
 from contentspark.llm.common import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,12 @@ def query(key: str, sql: str | None = None):
     return register
 
 
+@query("op7_kneser_ney")
+def op7_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its perplexity, its language's threshold and whether it is kept."""
+    return kneser_ney.judge(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
 @query("op9_ngram_join")
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its near-duplicate class and its number of links to other n-gram sets."""
