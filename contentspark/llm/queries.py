@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contentspark.llm import exact_dedup, kneser_ney, ngram_join
+from contentspark.llm import exact_dedup, kneser_ney, mixing, ngram_join
 from contentspark.llm.common import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +30,70 @@ def op7_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kneser_ney.judge(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
 
 
+@query("op8_mixing", r"""
+WITH sized AS (
+  SELECT doc_id, source, CASE WHEN source IS NULL THEN '-' ELSE '+' || source END AS key,
+         len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+         md5('mix-1:' || coalesce(doc_id::VARCHAR, 'null')) AS h
+  FROM documents),
+src AS (
+  SELECT source, key, sum(size)::BIGINT AS source_size, ceil(count(*) / 8192.0)::BIGINT AS shards,
+         row_number() OVER (ORDER BY source NULLS LAST) AS rank
+  FROM sized GROUP BY source, key),
+weighed AS (
+  SELECT *, [3, 1, 2][((rank - 1) % 3 + 1)::INT] AS weight,
+         greatest(1, least(128, floor(sum(source_size) OVER () / (count(*) OVER () * 256))))::BIGINT AS block
+  FROM src),
+levels AS (
+  SELECT *, (1.5 * sum(source_size) OVER () - coalesce(sum(2 * source_size) OVER poorer, 0))::DOUBLE
+            / (sum(weight) OVER () - coalesce(sum(weight) OVER poorer, 0)) AS level
+  FROM weighed
+  WINDOW poorer AS (ORDER BY 2 * source_size / weight, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+goals AS (
+  SELECT *, least((2 * source_size)::DOUBLE, weight * max(level) OVER ()) AS target
+  FROM levels),
+dealt AS (
+  SELECT doc_id, key, size, source_size, target, block, h, ('0x' || substr(h, 1, 7))::BIGINT % shards AS shard
+  FROM sized JOIN goals USING (key)),
+lines AS (
+  SELECT *, row_number() OVER line AS pos, (sum(size) OVER line)::BIGINT AS e, (sum(size) OVER line)::BIGINT - size AS s
+  FROM dealt WINDOW line AS (PARTITION BY key, shard ORDER BY h, doc_id NULLS FIRST, size ROWS UNBOUNDED PRECEDING)),
+shards AS (
+  SELECT key, shard, max(e) AS words, greatest(1, round(max(e) / max(block)))::BIGINT AS n
+  FROM lines GROUP BY key, shard HAVING max(e) > 0),
+wanted AS (
+  SELECT key, rank, target * sum(n) / source_size AS w, (2 * sum(n))::BIGINT AS most
+  FROM goals JOIN shards USING (key) GROUP BY key, rank, target, source_size),
+source_quotients AS (
+  SELECT key, row_number() OVER (ORDER BY w / (2 * k + 1) DESC, rank, k) AS place,
+         (SELECT round(round(sum(w), 6))::BIGINT FROM wanted) AS total
+  FROM (SELECT *, unnest(generate_series(0, most - 1)) AS k FROM wanted)),
+source_seats AS (SELECT key, count(*) AS total FROM source_quotients WHERE place <= total GROUP BY key),
+shard_quotients AS (
+  SELECT key, shard, row_number() OVER (PARTITION BY key ORDER BY n / (2 * k + 1) DESC, shard, k) AS place
+  FROM (SELECT *, unnest(generate_series(0, 2 * n - 1)) AS k FROM shards)),
+seats AS (
+  SELECT key, shard, count(*) AS seats FROM shard_quotients JOIN source_seats USING (key)
+  WHERE place <= total GROUP BY key, shard),
+quotas AS (SELECT *, seats // n AS whole, seats % n AS extra FROM shards JOIN seats USING (key, shard)),
+picked AS (
+  SELECT * FROM (
+    SELECT key, shard, j * words // n AS lo, (j + 1) * words // n AS hi, extra,
+           row_number() OVER (PARTITION BY key, shard ORDER BY md5('mix-1:' || key || ':' || shard || ':' || j), j) AS lot
+    FROM (SELECT *, unnest(generate_series(0, n - 1)) AS j FROM quotas WHERE extra > 0))
+  WHERE lot <= extra),
+more AS (
+  SELECT key, shard, pos, sum(least(e, hi) - greatest(s, lo)) AS words
+  FROM lines JOIN picked USING (key, shard) WHERE s < hi AND lo < e GROUP BY key, shard, pos)
+SELECT doc_id, size, source_size, target,
+       (coalesce(whole, 0) * size + coalesce(more.words, 0))::BIGINT AS taken
+FROM lines LEFT JOIN quotas USING (key, shard) LEFT JOIN more USING (key, shard, pos)
+""")
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its size, its source's size and target, and the words of it that the mix takes."""
+    return mixing.mix(load(spark, sf_dir, "documents")).drop("text_hash")
+
+
 @query("op9_ngram_join")
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its near-duplicate class and its number of links to other n-gram sets."""
