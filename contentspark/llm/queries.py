@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contentspark.llm import exact_dedup, kneser_ney, mixing, ngram_join
+from contentspark.llm import exact_dedup, kneser_ney, mixing, ngram_join, sentencepiece_unigram
 from contentspark.llm.common import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,12 @@ def query(key: str, sql: str | None = None):
     return register
 
 
+@query("op1_sentencepiece")
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's piece ids, their number, and whether they decode to the text."""
+    return sentencepiece_unigram.encode(load(spark, sf_dir, "documents"))
+
+
 @query("op7_kneser_ney")
 def op7_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its perplexity, its language's threshold and whether it is kept."""
