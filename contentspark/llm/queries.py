@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contentspark.llm import exact_dedup, kneser_ney, mixing, ngram_join, sentencepiece_unigram
+from contentspark.llm import exact_dedup, kneser_ney, license_scan, mixing, ngram_join, pii, sentencepiece_unigram
 from contentspark.llm.common import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +30,59 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_unigram.encode(load(spark, sf_dir, "documents"))
 
 
+@query("op5_pii")
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's personal data: counts and digest of the base spans, all spans with scores."""
+    return pii.personal_data(load(spark, sf_dir, "documents"))
+
+
+def _license_sql() -> str:
+    templates = ",\n         ".join(
+        f"({n}, '{label}', {phrase}, {2 if phrase else 4}, '{text}')"
+        for n, (text, label, phrase) in enumerate([(t, l, True) for t, l in license_scan.PHRASES]
+                                                  + [(t, l, False) for t, l in license_scan.LICENSE_TEXTS]))
+    return rf"""
+WITH t(template, label, phrase, k, text) AS (
+  VALUES {templates}),
+grams AS (
+  SELECT template, label, phrase, k, i AS tpos, len(words) - k + 1 AS grams, array_to_string(words[i + 1:i + k], ' ') AS gram
+  FROM (SELECT *, unnest(range(len(words) - k + 1)) AS i FROM (SELECT *, string_split(text, ' ') AS words FROM t))),
+d AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, doc_id, list_transform(
+           regexp_extract_all(coalesce(text, ''), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'),
+           lambda w: translate(w, '{license_scan.UPPER}', '{license_scan.LOWER}')) AS w
+  FROM documents),
+words AS (SELECT row, pos, w, len(w) AS n FROM (SELECT row, w, unnest(range(len(w))) AS pos FROM d)),
+hits AS (
+  SELECT row, template, label, phrase, grams, pos, tpos FROM grams JOIN (
+    SELECT row, pos, array_to_string(w[pos + 1:pos + 4], ' ') AS gram, 4 AS k FROM words WHERE pos + 4 <= n
+    UNION ALL SELECT row, pos, array_to_string(w[pos + 1:pos + 2], ' '), 2 FROM words WHERE pos + 2 <= n) USING (k, gram)),
+votes AS (
+  SELECT row, template, label, phrase, grams, pos - tpos AS diagonal, count(*) AS votes, min(pos) AS lo, max(pos) AS hi
+  FROM hits GROUP BY ALL),
+marked AS (
+  SELECT *, coalesce(phrase OR abs(diagonal - lag(diagonal) OVER line) > {license_scan.SHIFT}
+                     OR lo > max(hi) OVER (line ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) + {license_scan.GAP},
+                     true)::INT AS new
+  FROM votes WINDOW line AS (PARTITION BY row, template ORDER BY lo, diagonal)),
+merged AS (
+  SELECT row, template, label, phrase, span, min(lo) AS first, least(sum(votes), any_value(grams)) / any_value(grams) AS score
+  FROM (SELECT *, sum(new) OVER (PARTITION BY row, template ORDER BY lo, diagonal) AS span FROM marked) GROUP BY ALL),
+spans AS (SELECT * FROM merged WHERE score >= CASE WHEN phrase THEN 1 ELSE {license_scan.COVER} END)
+SELECT doc_id, len(any_value(w)) AS n_words, count(first) FILTER (phrase) AS n_base, min(first) FILTER (phrase) AS first_word,
+       max(first) FILTER (phrase) AS last_word,
+       coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (phrase), '') AS base_labels,
+       coalesce(string_agg(DISTINCT label, ',' ORDER BY label), '') AS labels, round(coalesce(max(score), 0), 6) AS score
+FROM d LEFT JOIN spans USING (row) GROUP BY row, doc_id
+"""
+
+
+@query("op6_license_scan", _license_sql())
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's license phrases, and the labels and score of license texts found in it."""
+    return license_scan.scan(load(spark, sf_dir, "documents"))
+
+
 @query("op7_kneser_ney")
 def op7_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its perplexity, its language's threshold and whether it is kept."""
