@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contentspark.llm import exact_dedup, kneser_ney, license_scan, mixing, ngram_join, pii, sentencepiece_unigram
+from contentspark.llm import exact_dedup, kneser_ney, license_scan, mixing, ngram_join, pii, sentencepiece_unigram, url_reputation
 from contentspark.llm.common import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +30,63 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_unigram.encode(load(spark, sf_dir, "documents"))
 
 
+def _url_sql() -> str:
+    u = url_reputation
+    rules = ", ".join(f"('{v}', '{r}', '{r.partition('/')[0]}', '/{r.partition('/')[2]}')" for v, r in u.RULES)
+    two = ", ".join(f"'{x}'" for x in u.TWO_LABEL_SUFFIXES)
+    strength = rf"""
+  SELECT CASE WHEN count(*) < 2 OR sum(n * mean * (1 - mean)) <= 0 THEN 1.0
+              WHEN sum(n * (bad / n - mean) ** 2) <= sum(mean * (1 - mean)) THEN {u.MOST_STRENGTH}
+              ELSE least({u.MOST_STRENGTH}, greatest(1.0, sum(n * mean * (1 - mean)) / sum(n)
+                   / ((sum(n * (bad / n - mean) ** 2) - sum(mean * (1 - mean))) / sum(n)) - 1)) END AS s
+  FROM (SELECT n, bad, m AS mean FROM %s) WHERE n > 0"""
+    post = "(s * m + bad) / (s + n)"
+    return rf"""
+WITH parts AS (
+  SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+cut AS (
+  SELECT page_id, translate(regexp_extract(coalesce(rest, ''), '^[^/?#]*'), '{u.UPPER}', '{u.LOWER}') AS host,
+         regexp_extract(substr(coalesce(rest, ''), length(regexp_extract(coalesce(rest, ''), '^[^/?#]*')) + 1), '^[^?#]*') AS path
+  FROM parts),
+outcomes AS (SELECT doc_id AS page_id, max((quality = 0)::INT) AS bad FROM labels WHERE quality IS NOT NULL GROUP BY doc_id),
+counts AS (
+  SELECT host, count(bad) AS n, coalesce(sum(bad), 0) AS bad,
+         regexp_replace(regexp_replace(host, '^.*@', ''), ':[0-9]*$', '') AS bare
+  FROM cut LEFT JOIN outcomes USING (page_id) GROUP BY host),
+named AS (
+  SELECT *, regexp_matches(bare, '^[0-9.]+$|^\[|^[^.]*$') AS own, string_split(bare, '.') AS l,
+         array_to_string(string_split(bare, '.')[-2:], '.') IN ({two}) AS two FROM counts),
+hosts AS (
+  SELECT host, n, bad, CASE WHEN own THEN bare ELSE array_to_string(l[(CASE WHEN two THEN -3 ELSE -2 END):], '.') END AS domain,
+         CASE WHEN own THEN bare ELSE array_to_string(l[(CASE WHEN two THEN -2 ELSE -1 END):], '.') END AS suffix
+  FROM named),
+l1 AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad, (sum(sum(bad)) OVER () + 1) / (sum(sum(n)) OVER () + 2) AS m FROM hosts GROUP BY suffix),
+s1 AS ({strength % "l1"}),
+l2 AS (SELECT domain, suffix, sum(h.n) AS n, sum(h.bad) AS bad, any_value((s * l1.m + l1.bad) / (s + l1.n)) AS m
+       FROM hosts h JOIN l1 USING (suffix), s1 GROUP BY domain, suffix),
+s2 AS ({strength % "l2"}),
+l3 AS (SELECT host, h.n, h.bad, (s * l2.m + l2.bad) / (s + l2.n) AS m FROM hosts h JOIN l2 USING (domain, suffix), s2),
+s3 AS ({strength % "l3"}),
+known AS (SELECT host, n, {post} AS mean, s + n + 1 AS width FROM l3, s3),
+rated AS (SELECT host, n, round(mean, 6) AS bad_rate, round(mean - {u.Z} * sqrt(mean * (1 - mean) / width), 6) AS bad_bound FROM known),
+rules(verdict, rule, rule_host, rule_path) AS (VALUES {rules}),
+fits AS (
+  SELECT host, path, arg_max(rule, length(rule)) AS rule, arg_max(verdict, length(rule)) AS verdict
+  FROM (SELECT DISTINCT host, path FROM cut) JOIN rules
+    ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+  GROUP BY host, path)
+SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN bad_bound > {u.LIMIT} THEN 'block' ELSE 'allow' END) AS verdict,
+       n AS host_labels, bad_rate, bad_bound
+FROM cut JOIN rated USING (host) LEFT JOIN fits USING (host, path)
+"""
+
+
+@query("op4_url_reputation", _url_sql())
+def op4_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's host, path, rule and verdict; labels of the documents with the page's id are its outcomes."""
+    return url_reputation.judge(load(spark, sf_dir, "pages"), load(spark, sf_dir, "labels"))
+
+
 @query("op5_pii")
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's personal data: counts and digest of the base spans, all spans with scores."""
