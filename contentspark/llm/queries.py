@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contentspark.llm import exact_dedup, kneser_ney, license_scan, mixing, ngram_join, pii, sentencepiece_unigram, url_reputation
+from contentspark.llm import block_topk, exact_dedup, kneser_ney, license_scan, mixing, ngram_join, pii, sentencepiece_unigram, url_reputation, warc_archive
 from contentspark.llm.common import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +30,36 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_unigram.encode(load(spark, sf_dir, "documents"))
 
 
+@query("op2_block_topk", """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS q FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS query_id, b.vec_id, list_dot_product(a.q, b.q)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id)
+SELECT query_id, rank::INT AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored) WHERE rank <= 10
+""")
+def op2_block_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best other vectors of every vector whose vec_id is divisible by 100."""
+    return block_topk.top_k(load(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+@query("op3_warc", r"""
+SELECT page_id, strlen(html) AS payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (
+         (('0x' || substr(code, 1 + 5 * (i // 4)::INT, 5))::INT >> (15 - 5 * (i % 4))::INT) & 31), 1)), '') AS payload_digest,
+       CASE WHEN last IS NOT DISTINCT FROM page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN last IS DISTINCT FROM page_id THEN last END AS refers_to, true AS verified
+FROM (SELECT page_id, html, sha1(html) AS code, max(page_id) OVER (PARTITION BY html) AS last
+      FROM (SELECT page_id, coalesce(html, '') AS html FROM pages))
+""")
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Writes the archive of all pages, reads it back: every record's type, payload length and digest, and reference."""
+    return warc_archive.read_records(warc_archive.write_archive(load(spark, sf_dir, "pages")))
+
+
 def _url_sql() -> str:
     u = url_reputation
     rules = ", ".join(f"('{v}', '{r}', '{r.partition('/')[0]}', '/{r.partition('/')[2]}')" for v, r in u.RULES)
