@@ -1,9 +1,9 @@
 """Quality classifier: perplexity under an interpolated modified Kneser-Ney n-gram model.
 
 The model's symbols are characters, so that counts stay few and no word is out of
-vocabulary: a run of white space is one space, a word equal to the one before it
-is a single repeat mark (so that stuttering text is improbable, not cheap), and
-symbols from 4000 up share 90 classes. A symbol has 12 bits, an n-gram of order 4
+vocabulary: a run of white space is one space; a word equal to the one before it is
+one repeat mark and takes the space in front with it (each mark is about as improbable
+as it is rare, so stuttering text is dear); symbols from 4000 up share 90 classes. A symbol has 12 bits, an n-gram of order 4
 is one long: its context is ``code >> 12``, its suffix the low bits.
 
 1. One scan counts the n-grams of all documents, those of trusted ones apart.
@@ -46,9 +46,9 @@ from contentspark.llm.common import BROADCAST_ROWS, by_key, materialize, whole_t
 
 ORDER = 4
 TRUSTED_ROWS = 400_000  # labelled documents that the model is fitted on, at most
-QUANTILE = 0.995
+QUANTILE = 0.99
 SLACK = 1.0
-PIVOT = 60.0            # symbols of a text whose perplexity scatters sqrt(2) times as much as a long one's
+PIVOT = 200.0           # symbols of a text whose perplexity scatters sqrt(2) times as much as a long one's
 TABLE_ROWS = 4 * BROADCAST_ROWS  # n-grams up to which the log probabilities are broadcast
 SLICE_CHARS = 1 << 20
 BITS = 12
@@ -77,8 +77,9 @@ def symbols(texts: list[str], order: int = ORDER) -> tuple[np.ndarray, np.ndarra
         word = np.add.reduceat(weight, at - at[0])
         again = np.concatenate([[False], (word[1:] == word[:-1]) & (text[at[1:]] == text[at[:-1]])])
         out[at[again]] = REPEAT
-        inside = np.repeat(again, spans)  # of the repeated word and the space behind it
-        keep[at[0]:] &= ~(inside & (within > 0) & ~space[at[0]:])
+        blank = space[at[0]:]
+        keep[at[0]:] &= ~(np.repeat(again, spans) & (within > 0) & ~blank)  # the rest of the word
+        keep[at[0]:] &= ~(np.repeat(np.append(again[1:], False), spans) & blank)  # the space in front of it
     out, text = out[keep], text[keep]
     begins = np.searchsorted(text, np.arange(len(texts)))
     out = np.insert(out, np.repeat(begins, gap), BEGIN)

@@ -16,7 +16,7 @@ def plain_symbols(text, order=op.ORDER):
         if token[0] in " \t\n\v\f\r":
             out.append(32)
         elif token == last:
-            out.append(op.REPEAT)
+            out[-1] = op.REPEAT  # in place of the space
         else:
             out += [ord(c) if ord(c) < op.FIRST_CLASS else op.FIRST_CLASS + ord(c) % op.CLASSES for c in token]
             last = token
