@@ -1,16 +1,6 @@
-"""Analysis job (DOC-22..24): postings, statistics, shingles, edge n-grams.
+"""Analysis job (DOC-22..24): analyzers, field rows, shingles, edge n-grams.
 
-An :class:`Index` holds the derived tables full-text operators join against:
-
-``postings``   (doc_id, field, term, pos)       one row per token occurrence
-``tf``         (doc_id, field, term, tf)        term frequency per field
-``lengths``    (doc_id, field, len)             tokens per field
-``df``         (field, term, df)                documents per term
-``stats``      (field, n_docs, avg_len)         one row per field
-
-All are plain DataFrame jobs (``posexplode`` + ``groupBy``). At scale they
-are written once (``Index.save``) as Parquet, ``postings``/``tf`` bucketed
-by ``term`` so query-time joins on the term read co-partitioned data.
+The postings themselves are :class:`contentspark.operators.search.TextIndex`.
 Analyzers: ``plain`` (lower-case letter/digit runs, pure SQL) and
 ``english`` (plus stop words and the Porter stemmer in an Arrow pandas_udf;
 stop words keep their position gap, as phrase matching expects).
@@ -19,7 +9,6 @@ stop words keep their position gap, as phrase matching expects).
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -76,47 +65,6 @@ def unpivot_fields(docs: DataFrame, id_col: str, fields: Mapping[str, Column], e
             .filter(F.col("text").isNotNull()))
 
 
-@dataclass
-class Index:
-    postings: DataFrame
-    analyzer: str = "plain"
-
-    @classmethod
-    def build(cls, field_rows: DataFrame, analyzer: str = "plain") -> "Index":
-        """DOC-22: postings from (doc_id, field, text) rows."""
-        p = (field_rows.select("doc_id", "field", F.posexplode(analyze(F.col("text"), analyzer)).alias("pos", "term"))
-             .filter(F.col("term").isNotNull()))
-        return cls(p, analyzer)
-
-    @property
-    def tf(self) -> DataFrame:
-        return self.postings.groupBy("doc_id", "field", "term").agg(F.count(F.lit(1)).cast("bigint").alias("tf"))
-
-    @property
-    def lengths(self) -> DataFrame:
-        return self.postings.groupBy("doc_id", "field").agg(F.count(F.lit(1)).cast("bigint").alias("len"))
-
-    @property
-    def df(self) -> DataFrame:
-        return self.postings.groupBy("field", "term").agg(F.countDistinct("doc_id").cast("bigint").alias("df"))
-
-    @property
-    def stats(self) -> DataFrame:
-        return self.lengths.groupBy("field").agg(F.count(F.lit(1)).cast("bigint").alias("n_docs"),
-                                                 F.avg("len").alias("avg_len"))
-
-    def vocabulary(self) -> DataFrame:
-        """(term, df_total): distinct terms over all fields."""
-        return self.postings.groupBy("term").agg(F.countDistinct("doc_id").cast("bigint").alias("df_total"))
-
-    def save(self, path: str, buckets: int = 64) -> "Index":
-        """Write postings as Parquet partitioned by field; reread for reuse (cuts lineage)."""
-        (self.postings.repartition(buckets, "term").sortWithinPartitions("term", "doc_id")
-         .write.mode("overwrite").partitionBy("field").parquet(path))
-        spark = self.postings.sparkSession
-        return Index(spark.read.parquet(path), self.analyzer)
-
-
 def shingles(field_rows: DataFrame, min_n: int = 2, max_n: int = 3, analyzer: str = "plain") -> DataFrame:
     """DOC-23: word n-grams (min_n..max_n) of consecutive tokens: (doc_id, field, pos, n, shingle).
 

@@ -1,9 +1,10 @@
 """Bulk full-text search (TXT-1..18) and scoring (SCR-1..11).
 
-Shape: a *table of queries* ``(query_id, query)`` against an :class:`Index`
+Shape: a *table of queries* ``(query_id, query)`` against a :class:`TextIndex`
 of documents -> ``(query_id, doc_id, score)``. Every clause is an equi-join
 of query terms with the index on ``term`` followed by grouped aggregation;
-there are no cross joins and no per-query driver loops.
+there are no cross joins and no per-query driver loops. Queries are whole
+texts of any length.
 
 Scoring (our fixed definitions, see SURVEY 2.0):
   BM25 per (term, field): idf * tf*(k1+1) / (tf + k1*(1-b+b*len/avg_len)),
@@ -15,13 +16,17 @@ Scoring (our fixed definitions, see SURVEY 2.0):
 Phrase: all query positions at the same offset ``pos - qpos``; the phrase
 frequency replaces tf and the summed idf of its terms replaces idf.
 Fuzzy: per query token, vocabulary terms within the edit budget are found
-through deletion-neighbourhood keys (exact: two strings within k edits share
-a key obtained by at most k deletions from each) and verified with
-``levenshtein``; a token scores as its best expansion.
+through keys that two strings within k edits must share (see
+:func:`fuzzy_expand`) and verified with ``levenshtein``; a token scores as its
+best expansion.
 
-Skew: a term held by a third of all documents makes its join partition large;
-AQE's skew-join splitting handles it (enabled by the session helpers), and
-term statistics are computed only for the query terms (semi join first).
+Clauses that need all terms (AND, phrase, cross-fields AND) start from each
+query's rarest term: only documents that hold it meet the query's other terms.
+
+Skew: postings are one row per (term, document, field), partitioned by term
+*and* a part of the document id, so a term of most documents is spread over
+:data:`SPLITS` partitions when the index is written; query-time joins on a hot
+term are split by adaptive execution.
 """
 
 from __future__ import annotations
@@ -30,7 +35,6 @@ import math
 from collections.abc import Mapping
 from dataclasses import dataclass, field as dc_field
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,6 +42,7 @@ from contentspark.operators.analysis import analyze
 
 K1 = 1.2
 B = 0.75
+SPLITS = 32  # partitions that one term's postings are spread over
 
 
 # ---------------------------------------------------------------- index
@@ -47,15 +52,16 @@ B = 0.75
 class TextIndex:
     """Postings of a document set under one analyzer.
 
-    ``postings``: (doc_id, field, term, pos, len) - ``len`` is the token count
-    of the (doc, field), carried on every row so scoring needs no second pass
-    over the texts. :meth:`materialize` writes the postings once to the shared
-    checkpoint folder (sorted by term) and rereads them: every clause of a
+    ``postings``: (term, part, doc_id, field, opens, len, tf, positions), one
+    row per term, document and field. ``len`` is the token count of the (doc,
+    field), ``opens`` marks the row of its first token (one per non-empty
+    field, which counts documents without a distinct). :meth:`materialize`
+    writes the postings once to the shared checkpoint folder: every clause of a
     search then scans that Parquet table instead of re-tokenizing the corpus,
     and the lineage is cut (a lost executor does not re-run the analysis).
     """
 
-    postings: DataFrame  # (doc_id, field, term, pos, len)
+    postings: DataFrame
     analyzer: str = "plain"
     df_table: DataFrame | None = None  # (field, term, df), written by materialize
     stats_table: DataFrame | None = None  # (field, n_docs, avg_len), written by materialize
@@ -65,17 +71,22 @@ class TextIndex:
     @classmethod
     def build(cls, field_rows: DataFrame, analyzer: str = "plain") -> "TextIndex":
         toks = field_rows.select("doc_id", "field", analyze(F.col("text"), analyzer).alias("toks"))
-        n = F.size(F.filter(F.col("toks"), lambda x: x.isNotNull()))
-        # len is computed below the Generate: an expression next to posexplode in the same
+        real = F.filter(F.col("toks"), lambda x: x.isNotNull())
+        # len and head are computed below the Generate: an expression next to posexplode in the same
         # select would be evaluated per exploded row with the whole array carried along.
-        toks = toks.select("doc_id", "field", "toks", n.cast("bigint").alias("len"))
-        p = (toks.select("doc_id", "field", "len", F.posexplode("toks").alias("pos", "term"))
+        toks = toks.select("doc_id", "field", "toks", F.size(real).cast("bigint").alias("len"),
+                           F.get(real, F.lit(0)).alias("head"))
+        p = (toks.select("doc_id", "field", "len", "head", F.posexplode("toks").alias("pos", "term"))
              .filter(F.col("term").isNotNull())
-             .select("doc_id", "field", "term", "pos", "len"))
+             .select("term", F.pmod(F.hash("doc_id"), F.lit(SPLITS)).alias("part"), "doc_id", "field",
+                     (F.col("term") == F.col("head")).alias("opens"), "len", "pos"))
+        # One shuffle: the grouping keys contain the partitioning keys.
+        p = (p.repartition("term", "part").groupBy("term", "part", "doc_id", "field", "opens", "len")
+             .agg(F.count(F.lit(1)).cast("bigint").alias("tf"), F.array_sort(F.collect_list("pos")).alias("positions")))
         return cls(p, analyzer)
 
-    def materialize(self, path: str | None = None, partitions: int | None = None) -> "TextIndex":
-        """Write the postings (hash-partitioned and sorted by term) under the shared checkpoint folder."""
+    def materialize(self, path: str | None = None) -> "TextIndex":
+        """Write the postings (sorted by term in each partition) under the shared checkpoint folder."""
         import os
         import uuid
 
@@ -83,76 +94,72 @@ class TextIndex:
 
         spark = self.postings.sparkSession
         path = path or os.path.join(checkpoint_dir(spark), f"postings-{uuid.uuid4().hex}")
-        n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        (self.postings.repartition(n, "term").sortWithinPartitions("term", "doc_id")
-         .write.mode("overwrite").parquet(os.path.join(path, "postings")))
+        self.postings.sortWithinPartitions("term", "doc_id").write.mode("overwrite").parquet(
+            os.path.join(path, "postings"))
         postings = spark.read.parquet(os.path.join(path, "postings"))
         base = TextIndex(postings, self.analyzer)
-        (base.term_df().repartition(n, "term").sortWithinPartitions("term")
-         .write.mode("overwrite").parquet(os.path.join(path, "df")))
+        base.term_df().write.mode("overwrite").parquet(os.path.join(path, "df"))
         base.stats().coalesce(1).write.mode("overwrite").parquet(os.path.join(path, "stats"))
         return TextIndex(postings, self.analyzer, spark.read.parquet(os.path.join(path, "df")),
                          spark.read.parquet(os.path.join(path, "stats")), path)
 
     def vocab_keys(self, max_k: int) -> DataFrame:
-        """(vterm, key) deletion keys of the vocabulary (up to ``max_k`` deletions).
+        """(vterm, key) fuzzy keys of the vocabulary for budgets up to ``max_k``.
 
         Built once per index and budget; written next to a materialized index.
         """
         if max_k not in self._keys:
-            vk = self.vocabulary().select(F.col("term").alias("vterm"),
-                                          F.explode(deletion_keys(F.col("term"), max_k)).alias("key"))
+            vk = vocabulary_keys(self.vocabulary(), max_k)
             if self.path:
                 import os
 
                 p = os.path.join(self.path, f"vocab_keys_{max_k}")
-                n = int(vk.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-                vk.repartition(n, "key").write.mode("overwrite").parquet(p)
+                vk.write.mode("overwrite").parquet(p)
                 vk = vk.sparkSession.read.parquet(p)
             self._keys[max_k] = vk
         return self._keys[max_k]
 
+    def occurrences(self) -> DataFrame:
+        """(doc_id, field, term, pos): one row per token."""
+        return self.postings.select("doc_id", "field", "term", F.explode("positions").alias("pos"))
+
     def term_df(self) -> DataFrame:
         """(field, term, df): documents per term and field (stored when materialized)."""
         if self.df_table is not None:
             return self.df_table
-        return self.postings.groupBy("field", "term").agg(F.countDistinct("doc_id").cast("bigint").alias("df"))
-
-    def lengths(self) -> DataFrame:
-        """(doc_id, field, len) of every non-empty field."""
-        return self.postings.select("doc_id", "field", "len").distinct()
+        return self.postings.groupBy("field", "term").agg(F.count(F.lit(1)).cast("bigint").alias("df"))
 
     def stats(self) -> DataFrame:
         """(field, n_docs, avg_len) over documents where the field is not empty."""
         if self.stats_table is not None:
             return self.stats_table
-        s = self.postings.groupBy("field").agg(F.countDistinct("doc_id").cast("bigint").alias("n_docs"),
-                                               F.count(F.lit(1)).cast("bigint").alias("n_tok"))
+        s = self.postings.groupBy("field").agg(F.count_if("opens").cast("bigint").alias("n_docs"),
+                                               F.sum("tf").cast("bigint").alias("n_tok"))
         return s.select("field", "n_docs", (F.col("n_tok") / F.col("n_docs")).alias("avg_len"))
 
     def postings_for(self, terms: DataFrame) -> DataFrame:
-        """Postings restricted to a set of terms (semi join before any aggregation)."""
+        """Postings restricted to a set of terms (semi join before anything else)."""
         return self.postings.join(terms.select("term").distinct(), "term", "left_semi")
 
-    def tf_for(self, terms: DataFrame) -> DataFrame:
-        return (self.postings_for(terms).groupBy("doc_id", "field", "term")
-                .agg(F.count(F.lit(1)).cast("bigint").alias("tf"), F.max("len").alias("len")))
-
     def vocabulary(self) -> DataFrame:
-        return self.postings.select("term").distinct()
+        return self.term_df().select("term").distinct()
 
 
 _CATALOG: dict = {}
 
 
 def input_signature(df: DataFrame) -> tuple:
-    """(path, size, mtime) of every file a DataFrame reads - changes whenever an input changes."""
+    """(folder, modification time, files, bytes) of every table a DataFrame reads.
+
+    One status and one content summary per table folder, whatever its number of files.
+    """
     spark = df.sparkSession
-    out = []
-    for f in sorted(df.inputFiles()):
-        path = spark._jvm.org.apache.hadoop.fs.Path(f)
-        st = path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path)
-        out.append((f, st.getLen(), st.getModificationTime()))
+    conf, out = spark._jsc.hadoopConfiguration(), []
+    for folder in sorted({f.rpartition("/")[0] if f.rpartition("/")[0].endswith(".parquet") else f for f in df.inputFiles()}):
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        fs = path.getFileSystem(conf)
+        total = fs.getContentSummary(path)
+        out.append((folder, fs.getFileStatus(path).getModificationTime(), total.getFileCount(), total.getLength()))
     return tuple(out)
 
 
@@ -195,27 +202,50 @@ def distinct_query_terms(qt: DataFrame) -> DataFrame:
     return d.join(n, "query_id")
 
 
-def weights_frame(spark, weights: Mapping[str, float]) -> DataFrame:
-    return spark.createDataFrame([(f, float(w)) for f, w in weights.items()], "field string, weight double")
-
-
-def _scored(qt: DataFrame, index: TextIndex, fields: list[str], term_col: str = "term") -> DataFrame:
+def _scored(qt: DataFrame, index: TextIndex, fields: list[str], term_col: str = "term",
+            only: DataFrame | None = None) -> DataFrame:
     """(query_id, doc_id, field, <qt cols>, score) for every (query term, doc, field) hit.
 
     ``qt`` has ``term_col`` = the index term to look up (an expansion for fuzzy).
+    ``only``: candidates (query_id, doc_id[, field]) that hits are restricted to.
     """
-    lookup = qt.select(F.col(term_col).alias("term")).distinct()
-    post = index.postings_for(lookup).filter(F.col("field").isin(fields))
-    tf = post.groupBy("doc_id", "field", "term").agg(F.count(F.lit(1)).cast("bigint").alias("tf"),
-                                                     F.max("len").alias("len"))
-    df = index.term_df().join(lookup, "term", "left_semi").filter(F.col("field").isin(fields))
+    post = _postings(qt.select(F.col(term_col).alias("term")), index, fields, only)
+    df = index.term_df().filter(F.col("field").isin(fields))
     stats = F.broadcast(index.stats().filter(F.col("field").isin(fields)))  # one row per field
-    hits = (qt.join(tf.withColumnRenamed("term", term_col), term_col)
+    hits = (qt.join(post.drop("positions").withColumnRenamed("term", term_col), _on(only, [term_col]))
             .join(df.withColumnRenamed("term", term_col), ["field", term_col])
             .join(stats, "field"))
     return hits.withColumn("score", bm25(F.col("tf"), F.col("len"), F.col("avg_len"), F.col("df"), F.col("n_docs")))
 
 
+def _on(only: DataFrame | None, keys: list[str]) -> list[str]:
+    return keys if only is None else ["query_id", *keys]
+
+
+def _postings(terms: DataFrame, index: TextIndex, fields: list[str], only: DataFrame | None) -> DataFrame:
+    """Postings of ``terms`` in ``fields``; with candidates, one row per candidate (query_id, doc_id[, field])."""
+    post = index.postings_for(terms).filter(F.col("field").isin(fields)).drop("part", "opens")
+    if only is None:
+        return post
+    keys = [c for c in ("doc_id", "field") if c in only.columns]
+    return post.join(only.select("query_id", *keys), keys)
+
+
+def candidates(qt: DataFrame, index: TextIndex, fields: list[str], per_field: bool) -> DataFrame:
+    """(query_id, doc_id[, field]) that hold the query's rarest term; queries with an unknown term have none.
+
+    ``qt``: (query_id, term, ...). A term's rarity is its document frequency summed over the fields.
+    """
+    terms = qt.select("query_id", "term").distinct()
+    dft = (index.term_df().filter(F.col("field").isin(fields)).groupBy("term").agg(F.sum("df").alias("dfsum")))
+    rare = (terms.join(dft, "term", "left").groupBy("query_id")
+            .agg(F.min_by("term", F.struct("dfsum", "term")).alias("term"),
+                 F.bool_and(F.col("dfsum").isNotNull()).alias("known")).filter("known").drop("known"))
+    keys = ["doc_id", "field"] if per_field else ["doc_id"]
+    post = index.postings_for(rare).filter(F.col("field").isin(fields))
+    return post.join(rare, "term").select("query_id", *keys).distinct()
+
+
 def _weight(field_col: Column, weights: Mapping[str, float]) -> Column:
     w = F.lit(1.0)
     for f, v in weights.items():
@@ -233,34 +263,82 @@ def fuzzy_budget(token_len: Column, fuzziness) -> Column:
     return F.lit(int(fuzziness))
 
 
-def deletion_keys(term: Column, k: Column | int) -> Column:
+# Terms up to this length get deletion keys (at most L*L/2 + L + 1 short strings), longer ones
+# k + 1 segments: both are lossless, and neither grows beyond a few hundred keys per term.
+DELETION_LENGTH = 24
+
+
+def deletion_keys(term: Column, k: int) -> Column:
     """All strings obtained by deleting up to k (<= 2) characters of ``term``, the term included."""
-    k = F.lit(k) if isinstance(k, int) else k
     n = F.length(term)
-    one = F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
-                      lambda i: F.concat(F.substring(term, 1, i - 1), F.substring(term, i + 1, 1 << 20)))
-    two = F.flatten(F.transform(one, lambda s: F.transform(
-        F.sequence(F.lit(1), F.greatest(F.length(s), F.lit(1))),
-        lambda j: F.concat(F.substring(s, 1, j - 1), F.substring(s, j + 1, 1 << 20)))))
-    keys = (F.when(k >= 2, F.concat(F.array(term), one, two))
-            .when(k == 1, F.concat(F.array(term), one)).otherwise(F.array(term)))
+    cut = lambda s, i: F.concat(F.substring(s, 1, i - 1), F.substring(s, i + 1, 1 << 20))
+    one = F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: cut(term, i))
+    keys = F.array(term)
+    if k >= 1:
+        keys = F.concat(keys, one)
+    if k >= 2:
+        keys = F.concat(keys, F.flatten(F.transform(one, lambda s: F.transform(
+            F.sequence(F.lit(1), F.greatest(F.length(s), F.lit(1))), lambda j: cut(s, j)))))
     return F.array_distinct(keys)
 
 
+def _segment(term: Column, k: int, i: int) -> Column:
+    """Segment i of k + 1 equal parts of a string."""
+    begin = F.floor(F.length(term) * i / (k + 1)).cast("int")
+    return F.substring(term, begin + 1, F.floor(F.length(term) * (i + 1) / (k + 1)).cast("int") - begin)
+
+
+def vocabulary_keys(vocabulary: DataFrame, max_k: int) -> DataFrame:
+    """(vterm, key) of a vocabulary (term) for edit budgets up to ``max_k``.
+
+    Short terms: ``d:`` and the deletion keys. Long terms: for each budget, their length and each of
+    k + 1 segments; one of them survives k edits and stands within k characters of its place.
+    """
+    term, n = F.col("term"), F.length("term")
+    keys = F.when(n <= DELETION_LENGTH, F.transform(deletion_keys(term, max_k), lambda x: F.concat(F.lit("d:"), x)))
+    segments = [F.concat_ws(":", F.lit(f"s{k}.{i}"), n, _segment(term, k, i)) for k in range(1, max_k + 1) for i in range(k + 1)]
+    exact = F.concat(F.lit("e:"), term)
+    return vocabulary.select(term.alias("vterm"), F.explode(keys.otherwise(F.array(exact, *segments))).alias("key"))
+
+
+def _query_keys(term: Column, k: int) -> Column:
+    """Keys of a query token with budget k that meet :func:`vocabulary_keys`."""
+    n = F.length(term)
+    keys = F.when(n <= DELETION_LENGTH + k, F.transform(deletion_keys(term, k), lambda x: F.concat(F.lit("d:"), x))).otherwise(
+        F.array().cast("array<string>"))
+    if k == 0:
+        return F.when(n <= DELETION_LENGTH, keys).otherwise(F.array(F.concat(F.lit("e:"), term)))
+    wide = 2 * k + 1  # lengths that the vocabulary term may have, and places where its segment may stand
+
+    def probe(x: Column) -> Column:
+        length, i, shift = n + x % wide - k, F.floor(x / wide).cast("int") % (k + 1), F.floor(x / (wide * (k + 1))).cast("int") - k
+        begin = F.floor(length * i / (k + 1)).cast("int")
+        size = F.floor(length * (i + 1) / (k + 1)).cast("int") - begin
+        key = F.concat_ws(":", F.concat(F.lit(f"s{k}."), i.cast("string")), length, F.substring(term, begin + shift + 1, size))
+        return F.when((length > DELETION_LENGTH) & (begin + shift >= 0), key)
+
+    probes = F.transform(F.sequence(F.lit(0), F.lit(wide * wide * (k + 1) - 1)), probe)
+    return F.when(n > DELETION_LENGTH - k, F.concat(keys, F.array_distinct(F.array_compact(probes)))).otherwise(keys)
+
+
 def fuzzy_expand(qt: DataFrame, vocabulary: DataFrame, fuzziness, vocab_keys: DataFrame | None = None) -> DataFrame:
     """qt + ``vterm``: vocabulary terms within the token's edit budget (the token itself when present).
 
-    Equi-join on deletion keys (never a cross join), then exact verification.
+    Equi-join on keys that strings within k edits share (never a cross join), then exact verification.
     ``vocab_keys`` (vterm, key) may come precomputed from the index.
     """
-    q = qt.withColumn("k", fuzzy_budget(F.length("term"), fuzziness))
-    qk = q.select("query_id", "term", "k", F.explode(deletion_keys(F.col("term"), F.col("k"))).alias("key")).distinct()
     max_k = 2 if fuzziness == "auto" else int(fuzziness)
-    vk = vocab_keys if vocab_keys is not None else vocabulary.select(
-        F.col("term").alias("vterm"), F.explode(deletion_keys(F.col("term"), max_k)).alias("key"))
-    pairs = (qk.join(vk, "key").select("query_id", "term", "k", "vterm").distinct()
+    if max_k > 2:
+        raise ValueError("edit budgets above 2 are not supported")
+    terms = qt.select("term").distinct().withColumn("k", fuzzy_budget(F.length("term"), fuzziness))
+    keys = F.when(F.col("k") == 0, _query_keys(F.col("term"), 0))
+    for k in range(1, max_k + 1):
+        keys = keys.when(F.col("k") == k, _query_keys(F.col("term"), k))
+    qk = terms.select("term", "k", F.explode(keys).alias("key"))
+    vk = vocab_keys if vocab_keys is not None else vocabulary_keys(vocabulary, max_k)
+    pairs = (qk.join(vk, "key").select("term", "k", "vterm").distinct()
              .filter(F.levenshtein(F.col("term"), F.col("vterm")) <= F.col("k")))
-    return qt.join(pairs.drop("k"), ["query_id", "term"])
+    return qt.join(pairs.drop("k"), "term")
 
 
 # ---------------------------------------------------------------- clauses
@@ -280,7 +358,8 @@ def match(queries: DataFrame, index: TextIndex, weights: Mapping[str, float], op
         hits = _scored(qt, index, fields, term_col="vterm")
         per_tok = hits.groupBy("query_id", "doc_id", "field", "term", "n_terms").agg(F.max("score").alias("score"))
     else:
-        per_tok = _scored(qt, index, fields).select("query_id", "doc_id", "field", "term", "n_terms", "score")
+        only = candidates(qt, index, fields, per_field=True) if operator == "and" else None
+        per_tok = _scored(qt, index, fields, only=only).select("query_id", "doc_id", "field", "term", "n_terms", "score")
     per_field = per_tok.groupBy("query_id", "doc_id", "field", "n_terms").agg(
         F.sum("score").alias("score"), F.count(F.lit(1)).alias("matched"))
     if operator == "and":
@@ -290,30 +369,21 @@ def match(queries: DataFrame, index: TextIndex, weights: Mapping[str, float], op
 
 
 def phrase_offsets(queries: DataFrame, index: TextIndex, fields: list[str], analyzer: str | None = None) -> DataFrame:
-    """(query_id, doc_id, field, term, qpos, n_pos, len, offset=pos-qpos) for candidate documents.
+    """(query_id, doc_id, field, len, offsets) of the documents that hold all the query's terms.
 
-    Candidates come from each query's rarest term (smallest document frequency
-    over the chosen fields): only (query, doc, field) triples holding it are
-    joined with the occurrences of the other terms, so a frequent term never
-    multiplies with every query that contains it. Queries with a term absent
-    from the index cannot match and are dropped.
+    ``offsets``: for each query position the array of ``pos - qpos``, shortest array first. Candidates
+    come from the query's rarest term; a row's size is bounded by one document's postings.
     """
     qt = query_terms(queries, analyzer or index.analyzer)
-    npos = qt.groupBy("query_id").agg(F.count(F.lit(1)).alias("n_pos"), F.countDistinct("term").alias("n_terms"))
-    dft = (index.term_df().filter(F.col("field").isin(fields)).join(qt.select("term").distinct(), "term", "left_semi")
-           .groupBy("term").agg(F.sum("df").alias("dfsum")))
-    present = qt.select("query_id", "term").distinct().join(dft, "term")
-    rare = (present.groupBy("query_id").agg(F.min_by("term", F.struct("dfsum", "term")).alias("rterm"),
-                                            F.count(F.lit(1)).alias("n_present"))
-            .join(npos, "query_id").filter(F.col("n_present") == F.col("n_terms")))
-    rare_post = index.postings_for(rare.select(F.col("rterm").alias("term"))).filter(F.col("field").isin(fields))
-    cand = (rare_post.join(rare.select("query_id", F.col("rterm").alias("term")), "term")
-            .select("query_id", "doc_id", "field").distinct())
-    post = index.postings_for(qt).filter(F.col("field").isin(fields))
-    occ = (post.join(cand, ["doc_id", "field"]).join(qt, ["query_id", "term"])
-           .join(rare.select("query_id", "n_pos"), "query_id"))
-    return occ.select("query_id", "doc_id", "field", "term", "qpos", "n_pos", "len",
-                      (F.col("pos") - F.col("qpos")).alias("offset"))
+    npos = qt.groupBy("query_id").agg(F.count(F.lit(1)).alias("n_pos"))
+    post = _postings(qt, index, fields, candidates(qt, index, fields, per_field=True))
+    rows = post.join(qt, ["query_id", "term"]).select(
+        "query_id", "doc_id", "field", "len", "qpos", "positions")
+    all_terms = (rows.groupBy("query_id", "doc_id", "field", "len").agg(F.collect_list(F.struct("qpos", "positions")).alias("at"))
+                 .join(npos, "query_id").filter(F.size("at") == F.col("n_pos")))
+    shifted = F.transform("at", lambda x: F.transform(x["positions"], lambda p: p - x["qpos"]))
+    sized = F.array_sort(F.transform(shifted, lambda a: F.struct(F.size(a).alias("n"), a.alias("a"))))
+    return all_terms.select("query_id", "doc_id", "field", "len", F.transform(sized, lambda x: x["a"]).alias("offsets"))
 
 
 def _phrase_score(freqs: DataFrame, queries: DataFrame, index: TextIndex, weights: Mapping[str, float],
@@ -336,68 +406,26 @@ def phrase(queries: DataFrame, index: TextIndex, weights: Mapping[str, float], a
            ) -> DataFrame:
     """TXT-3: exact phrase (consecutive positions) -> (query_id, doc_id, score)."""
     off = phrase_offsets(queries, index, list(weights), analyzer)
-    # one posting per (doc, field, pos): a (query, doc, field, offset, qpos) occurs at most once
-    starts = (off.groupBy("query_id", "doc_id", "field", "offset", "n_pos", "len")
-              .agg(F.count(F.lit(1)).alias("m")).filter(F.col("m") == F.col("n_pos")))
-    pf = starts.groupBy("query_id", "doc_id", "field").agg(F.count(F.lit(1)).cast("double").alias("pf"),
-                                                           F.max("len").alias("len"))
+    starts = F.aggregate("offsets", F.get("offsets", F.lit(0)), lambda found, a: F.array_intersect(found, a))
+    pf = off.select("query_id", "doc_id", "field", F.size(starts).cast("double").alias("pf"), "len").filter("pf > 0")
     return _phrase_score(pf, queries, index, weights, analyzer)
 
 
-SLOP_SCHEMA = "query_id long, doc_id long, field string, pf double, len long"
-
-
-def _sloppy_freq(slop: int):
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        """Anchors d such that every query position has an occurrence with offset in [d, d+slop]."""
-        n_pos = int(pdf["n_pos"].iloc[0])
-        pdf = pdf.sort_values("offset", kind="mergesort")
-        offs = pdf["offset"].to_numpy()
-        qps = pdf["qpos"].to_numpy()
-        counts: dict = {}
-        covered = 0
-        j = 0
-        anchors = 0
-        L = len(offs)
-        seen_anchor = None
-        for i in range(L):
-            while j < L and offs[j] <= offs[i] + slop:
-                c = counts.get(qps[j], 0)
-                if c == 0:
-                    covered += 1
-                counts[qps[j]] = c + 1
-                j += 1
-            if covered == n_pos and offs[i] != seen_anchor:
-                anchors += 1
-                seen_anchor = offs[i]
-            c = counts[qps[i]] - 1
-            counts[qps[i]] = c
-            if c == 0:
-                covered -= 1
-        keep = 1 if anchors else 0
-        return pd.DataFrame({
-            "query_id": pd.Series([int(pdf["query_id"].iloc[0])][:keep], dtype="int64"),
-            "doc_id": pd.Series([int(pdf["doc_id"].iloc[0])][:keep], dtype="int64"),
-            "field": pd.Series([str(pdf["field"].iloc[0])][:keep], dtype="object"),
-            "pf": pd.Series([float(anchors)][:keep], dtype="float64"),
-            "len": pd.Series([int(pdf["len"].iloc[0])][:keep], dtype="int64"),
-        })
-
-    return fn
-
-
 def sloppy_phrase(queries: DataFrame, index: TextIndex, weights: Mapping[str, float], slop: int = 5,
                   analyzer: str | None = None) -> DataFrame:
     """TXT-4: phrase within ``slop`` position moves.
 
     Match iff some anchor offset d has every query position occurring with an
     offset in [d, d+slop] (the spread of the chosen offsets is <= slop).
-    Frequency = number of distinct valid anchors. Runs per (query, doc, field)
-    group in ``applyInPandas`` (a two-pointer sweep) after the all-terms
-    join, so no pairs of occurrences are ever materialized.
+    Frequency = number of distinct valid anchors. Anchors are tried against the
+    shortest array first, so few of them reach the others.
     """
     off = phrase_offsets(queries, index, list(weights), analyzer)
-    pf = off.groupBy("query_id", "doc_id", "field").applyInPandas(_sloppy_freq(slop), SLOP_SCHEMA)
+    near = lambda a, d: F.exists(a, lambda x: (x >= d) & (x <= d + slop))
+    anchors = F.filter(F.array_distinct(F.flatten("offsets")), lambda d: near(F.get("offsets", F.lit(0)), d))
+    off = off.withColumn("anchors", anchors)
+    anchors = F.filter("anchors", lambda d: F.forall("offsets", lambda a: near(a, d)))
+    pf = off.select("query_id", "doc_id", "field", F.size(anchors).cast("double").alias("pf"), "len").filter("pf > 0")
     return _phrase_score(pf, queries, index, weights, analyzer)
 
 
@@ -405,9 +433,10 @@ def cross_fields(queries: DataFrame, index: TextIndex, fields: list[str], operat
                  tie: float = 0.5, analyzer: str | None = None) -> DataFrame:
     """TXT-5: terms may be spread over fields; blended df = max df over the fields; weights 1 (SCR-4)."""
     qt = distinct_query_terms(query_terms(queries, analyzer or index.analyzer))
-    hits = _scored(qt, index, fields)
-    blended = (hits.groupBy("query_id", "term").agg(F.max("df").alias("bdf")))
-    h = (hits.join(blended, ["query_id", "term"])
+    only = candidates(qt, index, fields, per_field=False) if operator == "and" else None
+    hits = _scored(qt, index, fields, only=only)
+    blended = index.term_df().filter(F.col("field").isin(fields)).groupBy("term").agg(F.max("df").alias("bdf"))
+    h = (hits.join(blended, "term")
          .withColumn("score", bm25(F.col("tf"), F.col("len"), F.col("avg_len"), F.col("bdf"), F.col("n_docs"))))
     per_term = (h.groupBy("query_id", "doc_id", "term", "n_terms")
                 .agg(F.max("score").alias("best"), F.sum("score").alias("total")))

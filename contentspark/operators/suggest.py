@@ -87,7 +87,7 @@ MIN_SCORE = 0.0001
 
 def language_model(shingle_rows: DataFrame, postings: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(unigrams(term, c), bigrams(w1, w2, c), totals(n_tokens, vocab)) from the corpus."""
-    uni = postings.groupBy("term").agg(F.count(F.lit(1)).cast("double").alias("c"))
+    uni = postings.groupBy("term").agg(F.sum("tf").cast("double").alias("c"))
     bi = (shingle_rows.filter(F.col("n") == 2)
           .select(F.split("shingle", " ").getItem(0).alias("w1"), F.split("shingle", " ").getItem(1).alias("w2"))
           .groupBy("w1", "w2").agg(F.count(F.lit(1)).cast("double").alias("c")))
@@ -159,7 +159,7 @@ def related(index: TextIndex, sources: DataFrame, fields: list[str], n_terms: in
             k: int = 5) -> DataFrame:
     """SUG-7: (source_id, doc_id, score, rank) - k most similar documents per source document."""
     post = index.postings.filter(F.col("field").isin(fields))
-    tf = post.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"))
+    tf = post.groupBy("doc_id", "term").agg(F.sum("tf").alias("tf"))
     df = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     n_docs = tf.select("doc_id").distinct().agg(F.count(F.lit(1)).alias("n")).scalar()
     src_tf = tf.join(sources.select(F.col("doc_id")), "doc_id", "left_semi").join(df, "term")
@@ -168,7 +168,7 @@ def related(index: TextIndex, sources: DataFrame, fields: list[str], n_terms: in
     top = (src_tf.withColumn("r", F.row_number().over(w)).filter(F.col("r") <= n_terms)
            .select(F.col("doc_id").alias("source_id"), "term"))
     nq = top.groupBy("source_id").agg(F.count(F.lit(1)).alias("nq"))
-    lengths = index.lengths().filter(F.col("field").isin(fields)).groupBy("doc_id").agg(F.sum("len").alias("len"))
+    lengths = post.filter("opens").groupBy("doc_id").agg(F.sum("len").alias("len"))
     avg = lengths.agg(F.avg("len")).scalar()
     cand = (top.join(tf, "term").filter(F.col("doc_id") != F.col("source_id"))
             .join(df, "term").join(lengths, "doc_id")

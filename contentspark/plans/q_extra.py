@@ -67,7 +67,7 @@ def cmt5_comment_meta(spark, sf):
 POSTS_TC_SQL = """
 SELECT id AS doc_id, 'post_title' AS field, post_title AS txt FROM v_posts WHERE post_type IN ('post', 'product', 'page')
 UNION ALL SELECT id, 'post_content', post_content FROM v_posts WHERE post_type IN ('post', 'product', 'page')"""
-QUERIES_SQL = f"SELECT item_id AS query_id, array_to_string({tokens('text')}[1:3], ' ') AS query FROM benchmark"
+QUERIES_SQL = f"SELECT item_id AS query_id, array_to_string({tokens('text')}, ' ') AS query FROM benchmark"
 
 
 def _posts_sql(body: str) -> str:

@@ -22,7 +22,7 @@ from contentspark.streaming import sync as SY
 DOC_FIELDS_SQL = """
 SELECT doc_id, 'post_title' AS field, trim(split_part(text, chr(10), 1)) AS txt FROM documents
 UNION ALL SELECT doc_id, 'post_content', text FROM documents"""
-QUERIES_SQL = f"SELECT item_id AS query_id, array_to_string({tokens('text')}[1:3], ' ') AS query FROM benchmark"
+QUERIES_SQL = f"SELECT item_id AS query_id, array_to_string({tokens('text')}, ' ') AS query FROM benchmark"
 
 
 @query("udf1_document_transform", """

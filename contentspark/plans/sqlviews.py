@@ -103,7 +103,7 @@ v_comments AS (
 
 V_QUERIES = f"""
 v_queries AS (
-  SELECT item_id AS query_id, array_to_string({tokens('text')}[1:3], ' ') AS query FROM benchmark
+  SELECT item_id AS query_id, array_to_string({tokens('text')}, ' ') AS query FROM benchmark
 )"""
 
 

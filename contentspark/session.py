@@ -56,14 +56,14 @@ def ensure_conf(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
-    Read from ``spark.checkpoint.dir`` (the cluster's shared folder). Only when it
-    is unset (local tests) a scratch folder is created and registered.
+    Read from ``spark.checkpoint.dir`` (the cluster's shared folder). Where it is
+    unset, a local session gets a scratch folder; on a cluster that is an error,
+    for executors would each write to their own disk.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir() if hasattr(spark.sparkContext, "getCheckpointDir") else None
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="contentspark-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+        spark.sparkContext.setCheckpointDir(d)
     return d

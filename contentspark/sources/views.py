@@ -5,7 +5,7 @@
 ``v_term_relationships``  customers/suppliers -> nations, parts -> brand/ptype
 ``v_comments``  conversation turns as a threaded comment table
 ``v_changes``   events as a change feed; ``v_log`` error events as a query log
-``v_queries``   benchmark items as search queries (first 3 tokens)
+``v_queries``   benchmark items as search queries (whole texts)
 
 Hot filter columns (type, status, dates, ids) stay top-level so Catalyst pushes
 them into the Parquet scans; a ``post_type`` filter prunes whole union branches.
@@ -241,11 +241,11 @@ def v_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def v_queries(spark: SparkSession, sf_dir: str, n_tokens: int = 3) -> DataFrame:
-    """benchmark items as search queries: (query_id, query) = first tokens of the text."""
+def v_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """benchmark items as search queries: (query_id, query) = all tokens of the text."""
     b = Tables(spark, sf_dir).benchmark
     return b.select(F.col("item_id").alias("query_id"),
-                    F.array_join(F.slice(T.tokens(F.col("text")), 1, n_tokens), " ").alias("query"))
+                    F.array_join(T.tokens(F.col("text")), " ").alias("query"))
 
 
 def v_changes(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -106,6 +106,38 @@ def test_fuzzy_expansion_is_exact(spark):
         assert got == want, fz
 
 
+def test_fuzzy_expansion_of_long_terms(spark):
+    import random
+
+    rng = random.Random(3)
+    base = ["".join(rng.choice("abc") for _ in range(n)) for n in (22, 23, 24, 25, 26, 27, 40, 300)]
+
+    def edit(w):
+        i = rng.randrange(len(w))
+        return rng.choice([w[:i] + w[i + 1:], w[:i] + rng.choice("abc") + w[i:], w[:i] + rng.choice("abc") + w[i + 1:]])
+
+    vocab = set(base) | {edit(w) for w in base for _ in range(6)} | {edit(edit(w)) for w in base for _ in range(6)}
+    vocab |= {edit(edit(edit(w))) for w in base for _ in range(6)}
+    terms = sorted(set(base) | {edit(w) for w in base})
+    qt = spark.createDataFrame([(1, t) for t in terms], "query_id long, term string")
+    for fz in (1, 2):
+        got = {(r.term, r.vterm) for r in S.fuzzy_expand(qt, spark.createDataFrame([(v,) for v in vocab], "term string"), fz).collect()}
+        assert got == {(t, v) for t in terms for v in vocab if lev(t, v) <= fz}
+    junk = spark.createDataFrame([("x" * 20_000,)], "term string")
+    assert S.vocabulary_keys(junk, 2).count() < 10
+
+
+def test_whole_text_queries_of_any_length(spark):
+    words = [f"w{i}" for i in range(120)]
+    docs = spark.createDataFrame([(1, "a " + " ".join(words) + " z"), (2, " ".join(words[:-1])), (3, " ".join(reversed(words)))],
+                                 "doc_id long, text string")
+    idx = S.TextIndex.build(A.unpivot_fields(docs, "doc_id", {"body": F.col("text")}))
+    q = spark.createDataFrame([(7, " ".join(words))], "query_id long, query string")
+    assert [r.doc_id for r in S.phrase(q, idx, {"body": 1.0}).collect()] == [1]
+    assert sorted(r.doc_id for r in S.match(q, idx, {"body": 1.0}, "and").collect()) == [1, 3]
+    assert sorted(r.doc_id for r in S.match(q, idx, {"body": 1.0}, "or").collect()) == [1, 2, 3]
+
+
 def test_bm25_prefers_shorter_field(spark):
     hits = S.match(queries(spark), index(spark), {"body": 1.0}, "or").filter("query_id = 14").collect()
     score = {r.doc_id: r.score for r in hits}
@@ -121,7 +153,7 @@ def test_porter_stems():
 def test_english_analyzer_drops_stop_words_keeps_positions(spark):
     d = spark.createDataFrame([(1, "the running of the dogs")], "doc_id long, text string")
     rows = A.unpivot_fields(d, "doc_id", {"body": F.col("text")})
-    p = S.TextIndex.build(rows, "english").postings.orderBy("pos").collect()
+    p = S.TextIndex.build(rows, "english").occurrences().orderBy("pos").collect()
     assert [(r.term, r.pos) for r in p] == [("run", 1), ("dog", 4)]
 
 
