@@ -76,10 +76,9 @@ def slug_py(value: str) -> str:
 
 
 def sortable(col: Column | str) -> Column:
-    """``.sortable`` key: lower-case and ASCII-folded; long values not indexed."""
+    """``.sortable`` key: lower-case and ASCII-folded, whole values of any length."""
     c = F.col(col) if isinstance(col, str) else col
-    folded = F.translate(F.lower(c), FOLD_FROM, FOLD_TO)
-    return F.when(F.length(c) <= 10922, folded)
+    return F.translate(F.lower(c), FOLD_FROM, FOLD_TO)
 
 
 def first_line(col: Column | str) -> Column:

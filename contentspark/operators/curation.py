@@ -48,11 +48,13 @@ def organic_only(organic: DataFrame) -> DataFrame:
     return organic.withColumn("position", F.row_number().over(w))
 
 
-def clean_pointers(pointers: DataFrame, posts: DataFrame, page_size: int = 10) -> DataFrame:
-    """CUR-4: keep positions within a page and pointers to published documents."""
+def clean_pointers(pointers: DataFrame, posts: DataFrame, page_size: int | None = None) -> DataFrame:
+    """CUR-4: keep pointers to published documents, at positions within a page if its size is given."""
     live = posts.filter(F.col("post_status") == "publish").select(F.col("id").alias("doc_id"))
-    return (pointers.filter((F.col("position") >= 1) & (F.col("position") <= page_size))
-            .join(live, "doc_id", "left_semi"))
+    kept = pointers.filter(F.col("position") >= 1)
+    if page_size is not None:
+        kept = kept.filter(F.col("position") <= page_size)
+    return kept.join(live, "doc_id", "left_semi")
 
 
 def rekey(pointers: DataFrame, renames: DataFrame) -> DataFrame:

@@ -9,8 +9,8 @@ counts become per-facet ``count_if`` flags on the same scan instead of extra
 passes.
 
 Terms aggregations count documents, not occurrences (values are de-duplicated
-per document). Bucket order: count desc, key asc. Bucket caps (10,000 /
-100) are part of the feature (top-k reports), applied after counting.
+per document). Bucket order: count desc, key asc. All buckets are
+returned unless the caller asks for the ``size`` best (a top-k report).
 """
 
 from __future__ import annotations
@@ -23,8 +23,6 @@ from pyspark.sql import functions as F
 from contentspark.functions.meta import live_meta
 from contentspark.functions.multivalue import and_all, or_all
 
-MAX_BUCKETS = 10_000
-META_FACET_SIZE = 100
 META_DISPLAY_CHARS = 100
 
 
@@ -41,13 +39,13 @@ def facet_pairs(facets: Mapping[str, Column]) -> Column:
 
 
 def facet_counts(df: DataFrame, facets: Mapping[str, Column], flags: Mapping[str, Column] | None = None,
-                 size: int | None = MAX_BUCKETS) -> DataFrame:
+                 size: int | None = None) -> DataFrame:
     """AGG-1/7/8/10/14/18: (facet, value, doc_count) for several facets in one pass.
 
     ``flags`` optionally maps a facet name to the predicate a document must
     satisfy to be counted for that facet (the request's filter minus the
     facet's own selection); facets without a flag count every row of ``df``.
-    Empty buckets are dropped (AGG-15); each facet keeps its ``size`` best.
+    Empty buckets are dropped (AGG-15); with ``size`` each facet keeps its best ones.
     """
     flags = dict(flags or {})
     names = list(facets)
@@ -66,8 +64,8 @@ def facet_counts(df: DataFrame, facets: Mapping[str, Column], flags: Mapping[str
     return counted.withColumn("__r", F.row_number().over(w)).filter(F.col("__r") <= size).drop("__r")
 
 
-def terms_agg(df: DataFrame, values: Column, size: int = MAX_BUCKETS, name: str = "terms") -> DataFrame:
-    """AGG-1/AGG-3: documents per distinct value, top ``size`` by count desc, key asc."""
+def terms_agg(df: DataFrame, values: Column, size: int | None = None, name: str = "terms") -> DataFrame:
+    """AGG-1/AGG-3: documents per distinct value (the top ``size`` by count desc, key asc, if given)."""
     return facet_counts(df, {name: values}, size=size).select(F.col("value").alias("key"), "doc_count")
 
 
@@ -129,8 +127,8 @@ def meta_facet_display(counts: DataFrame) -> DataFrame:
     return counts.withColumn("label", F.substring(F.col("value"), 1, META_DISPLAY_CHARS))
 
 
-def distinct_values(df: DataFrame, values: Column, size: int = MAX_BUCKETS) -> DataFrame:
-    """AGG-3: the ``size`` most frequent distinct values of a (multi-valued) field."""
+def distinct_values(df: DataFrame, values: Column, size: int | None = None) -> DataFrame:
+    """AGG-3: the distinct values of a (multi-valued) field (the ``size`` most frequent, if given)."""
     return terms_agg(df, values, size=size)
 
 
@@ -147,11 +145,12 @@ def allowed_key(key: Column, allow: list[str] | None = None) -> Column:
     return cond
 
 
-def distinct_meta_keys(df: DataFrame, allow: list[str] | None = None, limit: int = 800,
+def distinct_meta_keys(df: DataFrame, allow: list[str] | None = None, limit: int | None = None,
                        map_col: str = "meta") -> DataFrame:
-    """AGG-5: sorted distinct non-protected (or allowed) meta keys, first ``limit``."""
+    """AGG-5: sorted distinct non-protected (or allowed) meta keys (the first ``limit``, if given)."""
     keys = distinct_map_keys(df, map_col).filter(allowed_key(F.col("key"), allow))
-    return keys.orderBy("key").limit(limit)
+    keys = keys.orderBy("key")
+    return keys if limit is None else keys.limit(limit)
 
 
 def meta_keys_per_type(df: DataFrame, type_col: str = "post_type", map_col: str = "meta",

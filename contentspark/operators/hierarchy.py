@@ -1,15 +1,29 @@
 """Hierarchies (HIER-1..5): closures, descendant counts, trees, comment threads.
 
-All walks are recursive CTEs (``WITH RECURSIVE``, Spark 4): one join per
-level, executed on the cluster; the depth is the number of levels, not the
-number of rows. Nothing is collected to the driver between levels.
+All walks come from one closure table, built by doubling: after round k it holds
+every (node, ancestor) pair up to depth 2^k, and the next round joins the pairs
+of depth exactly 2^k with it. So a chain of a million levels takes 20 rounds,
+each a join on the cluster whose result is written to the shared folder; no
+recursion limit applies and nothing is collected to the driver between rounds.
+Pairs that are known are not derived again, so cycles end: a node of a cycle
+has the cycle's other nodes as ancestors, never itself.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import os
+import uuid
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from contentspark.session import checkpoint_dir
+
+
+def _written(df: DataFrame, path: str) -> DataFrame:
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
 
 def closure(nodes: DataFrame, id_col: str = "term_id", parent_col: str = "parent") -> DataFrame:
     """HIER-1: (id, ancestor, depth) for every ancestor of every node (depth 1 = parent).
@@ -17,18 +31,22 @@ def closure(nodes: DataFrame, id_col: str = "term_id", parent_col: str = "parent
     ``parent`` 0 or NULL means root. Both directions come from this one table:
     ancestors of x = rows with id = x; descendants of y = rows with ancestor = y.
     """
-    edges = nodes.select(F.col(id_col).alias("id"), F.col(parent_col).alias("parent"))
-    spark = nodes.sparkSession
-    return spark.sql(
-        """
-        WITH RECURSIVE c(id, ancestor, depth) AS (
-          SELECT id, parent, 1 FROM {e} WHERE parent IS NOT NULL AND parent <> 0
-          UNION ALL
-          SELECT c.id, e.parent, c.depth + 1 FROM c JOIN {e} e ON e.id = c.ancestor
-          WHERE e.parent IS NOT NULL AND e.parent <> 0 AND e.parent <> e.id
-        )
-        SELECT id, ancestor, depth FROM c
-        """, e=edges)
+    folder = os.path.join(checkpoint_dir(nodes.sparkSession), f"closure-{uuid.uuid4().hex}")
+    start = nodes.select(F.col(id_col).alias("id"), F.col(parent_col).alias("ancestor"), F.lit(1).alias("depth"))
+    start = start.filter(F.col("ancestor").isNotNull() & (F.col("ancestor") != 0) & (F.col("ancestor") != F.col("id")))
+    known = last = _written(start.dropDuplicates(["id", "ancestor"]), os.path.join(folder, "1"))
+    reach = 1
+    while not last.isEmpty():
+        far = last.filter(F.col("depth") == reach).select(
+            "id", F.col("ancestor").alias("mid"), F.col("depth").alias("first"))
+        near = known.select(F.col("id").alias("mid"), "ancestor", F.col("depth").alias("second"))
+        found = (far.join(near, "mid").filter(F.col("ancestor") != F.col("id"))
+                 .groupBy("id", "ancestor").agg(F.min(F.col("first") + F.col("second")).alias("depth"))
+                 .join(known.select("id", "ancestor"), ["id", "ancestor"], "left_anti"))
+        reach *= 2
+        last = _written(found, os.path.join(folder, str(reach)))
+        known = known.unionByName(last)
+    return known
 
 
 def with_hierarchy(terms: DataFrame, id_col: str = "term_id", parent_col: str = "parent") -> DataFrame:
@@ -59,35 +77,42 @@ def tree(terms: DataFrame, sort_key: str = "name", id_col: str = "term_id", pare
          descending: bool = False) -> DataFrame:
     """HIER-4: (id, level, path) where ordering by ``path`` gives the pre-order flattening.
 
-    Siblings are ordered by ``sort_key`` (e.g. name or count) then id; the path
-    holds one zero-padded sort token per level, so a lexicographic array order
-    is the tree order.
+    Siblings are ordered by ``sort_key`` (e.g. name or count), ascending or descending, then id; the
+    path holds one sort token per level, so a lexicographic array order is the tree order. Ascending
+    names are their own tokens; otherwise the token is the rank among the siblings.
     """
     key = F.col(sort_key)
-    if descending:
-        key = F.lit(10**15) - key.cast("bigint") if sort_key == "count" else key
-    if sort_key == "count":
-        tok = F.lpad(key.cast("bigint").cast("string"), 16, "0")
-    else:
-        tok = F.lower(key.cast("string"))
     nodes = terms.select(F.col(id_col).alias("id"), F.coalesce(F.col(parent_col), F.lit(0)).alias("parent"),
-                         F.concat(tok, F.lit("\u0001"), F.lpad(F.col(id_col).cast("string"), 20, "0")).alias("tok"))
-    spark = terms.sparkSession
-    return spark.sql(
-        """
-        WITH RECURSIVE t(id, level, path) AS (
-          SELECT id, 0, array(tok) FROM {n} WHERE parent = 0
-          UNION ALL
-          SELECT n.id, t.level + 1, array_append(t.path, n.tok) FROM t JOIN {n} n
-          ON n.parent = t.id AND n.id <> t.id
-        )
-        SELECT id, level, path FROM t
-        """, n=nodes).withColumnRenamed("id", id_col)
+                         (F.lower(key.cast("string")) if sort_key != "count" else key).alias("key"))
+    number = F.lpad(F.col("id").cast("string"), 20, "0")
+    if descending or sort_key == "count":
+        siblings = Window.partitionBy("parent").orderBy(F.col("key").desc() if descending else F.col("key").asc(), "id")
+        token = F.lpad(F.row_number().over(siblings).cast("string"), 12, "0")
+    else:
+        token = F.concat("key", F.lit("\u0001"), number)
+    nodes = nodes.withColumn("tok", token)
+    return _paths(nodes, nodes.filter("parent = 0").select("id")).select("id", "level", "path").withColumnRenamed("id", id_col)
+
+
+def _paths(nodes: DataFrame, roots: DataFrame) -> DataFrame:
+    """(id, root, level, path) of the nodes (id, parent, tok) below ``roots`` (id), the roots included.
+
+    A path has one token per level, so its size is the depth.
+    """
+    up = closure(nodes, "id", "parent")
+    below = up.join(roots.select(F.col("id").alias("ancestor")), "ancestor", "left_semi").select(
+        "id", F.col("ancestor").alias("root"), F.col("depth").alias("level"))
+    below = below.unionByName(roots.select("id", F.col("id").alias("root"), F.lit(0).alias("level")))
+    steps = up.unionByName(nodes.select("id", F.col("id").alias("ancestor"), F.lit(0).alias("depth")))
+    tokens = steps.join(nodes.select(F.col("id").alias("ancestor"), "tok"), "ancestor").select("id", "depth", "tok")
+    path = F.transform(F.array_sort(F.collect_list(F.struct((-F.col("depth")).alias("d"), "tok"))), lambda x: x["tok"])
+    return (below.join(tokens, "id").filter(F.col("depth") <= F.col("level"))
+            .groupBy("id", "root", "level").agg(path.alias("path")))
 
 
 def thread(comments: DataFrame, roots: DataFrame | None = None, id_col: str = "comment_ID",
            parent_col: str = "comment_parent", order_col: str = "comment_date_gmt") -> DataFrame:
-    """HIER-5: a comment set with all its descendants, level by level.
+    """HIER-5: a comment set with all its descendants.
 
     Returns (id, root, level, path); ``roots`` defaults to top-level comments.
     Threaded order = order by path; flat order = by the caller's sort.
@@ -95,19 +120,6 @@ def thread(comments: DataFrame, roots: DataFrame | None = None, id_col: str = "c
     nodes = comments.select(F.col(id_col).alias("id"), F.col(parent_col).alias("parent"),
                             F.concat(F.date_format(F.col(order_col), "yyyyMMddHHmmss"),
                                      F.lpad(F.col(id_col).cast("string"), 20, "0")).alias("tok"))
-    if roots is None:
-        start = nodes.filter(F.col("parent") == 0).select("id", "tok")
-    else:
-        start = nodes.join(roots.select(F.col(id_col).alias("id")), "id", "left_semi").select("id", "tok")
-    spark = comments.sparkSession
-    out = spark.sql(
-        """
-        WITH RECURSIVE t(id, root, level, path) AS (
-          SELECT id, id, 0, array(tok) FROM {s}
-          UNION ALL
-          SELECT n.id, t.root, t.level + 1, array_append(t.path, n.tok) FROM t JOIN {n} n
-          ON n.parent = t.id AND n.id <> t.id
-        )
-        SELECT id, root, level, path FROM t
-        """, s=start, n=nodes)
-    return out.withColumnRenamed("id", id_col)
+    start = nodes.filter(F.col("parent") == 0) if roots is None else nodes.join(
+        roots.select(F.col(id_col).alias("id")), "id", "left_semi")
+    return _paths(nodes, start.select("id")).withColumnRenamed("id", id_col)

@@ -88,17 +88,13 @@ def author_filter(author=None, author_name=None, author__in=None, author__not_in
 
 
 def mime_type_filter(mime) -> Column | None:
-    """FLT-9: string -> prefix family ('image' matches 'image/*'); list -> exact or 'x/*' family.
-
-    An empty string matches documents without a MIME type.
-    """
-    if mime is None:
+    """FLT-9: a string is a plain prefix ('imag' and 'image' match 'image/png'), '' no filter; list
+    entries match exactly, or as a family when they hold no slash ('image', 'image/*')."""
+    if mime is None or mime == "":
         return None
     col = F.col("post_mime_type")
     if isinstance(mime, str):
-        if mime == "":
-            return col == ""
-        return col.startswith(mime) if "/" in mime else (col == mime) | col.startswith(mime + "/")
+        return col.startswith(mime)
     conds = []
     for m in mime:
         if m.endswith("/*"):

@@ -22,8 +22,10 @@ SORT_ALIASES = {
     "id": "id", "ID": "id", "parent": "post_parent", "post_parent": "post_parent",
     "menu_order": "menu_order", "comment_count": "comment_count", "author": "post_author",
 }
-MAX_WINDOW = 10_000
 DEFAULT_PAGE_SIZE = 10
+# Author paths and the post columns that hold them.
+AUTHOR_PATHS = {"post_author.login": "author_name", "post_author.display_name": "author_name",
+                "post_author.raw": "author_name", "post_author.id": "post_author"}
 
 
 def _direction(col: Column, order: str) -> Column:
@@ -36,6 +38,22 @@ def meta_sort_key(key: str, typ: str, order: str, meta_col: str = "meta") -> Col
     return F.array_min(vals) if order.lower() == "asc" else F.array_max(vals)
 
 
+def path_column(key: str, order: str = "asc") -> Column:
+    """SRT-1: a sort alias or document path as a Column.
+
+    ``post_author.login[.sortable]`` and ``post_author.display_name[.sortable]`` read the author
+    columns, ``terms.<taxonomy>.<name|slug|term_id>[.sortable]`` the taxonomy's terms (several
+    values: the smallest ascending, the largest descending), ``<column>.sortable`` any text column.
+    """
+    path, folded = (key[: -len(".sortable")], True) if key.endswith(".sortable") else (key, False)
+    if path.startswith("terms."):
+        _, tax, attribute = path.split(".", 2)
+        values = F.transform(F.col("terms")[tax], lambda t: sortable(t[attribute]) if folded else t[attribute])
+        return F.array_min(values) if order.lower() == "asc" else F.array_max(values)
+    col = AUTHOR_PATHS.get(path) or SORT_ALIASES.get(path, path)
+    return sortable(F.col(col).cast("string")) if folded or col == "post_title" else F.col(col)
+
+
 def sort_columns(orderby=None, order: str = "desc", has_search: bool = False, meta_key: str | None = None,
                  id_col: str = "id") -> list[Column]:
     """SRT-1/2/3/5/7: sort specification -> ordered Columns.
@@ -66,9 +84,7 @@ def sort_columns(orderby=None, order: str = "desc", has_search: bool = False, me
             _, k, typ = key.split(".", 2)
             cols.append(_direction(meta_sort_key(k, typ, direction), direction))
             continue
-        col = SORT_ALIASES.get(key, key)
-        c = sortable(F.col(col)) if col == "post_title" else F.col(col)
-        cols.append(_direction(c, direction))
+        cols.append(_direction(path_column(key, direction), direction))
     cols.append(F.col(id_col).asc())
     return cols
 
@@ -79,15 +95,16 @@ def sticky_first(sticky_ids: list[int], id_col: str = "id") -> Column:
 
 
 def random_key(seed: int, id_col: str = "id") -> Column:
-    """SCR-10: deterministic random order (hash of id and seed)."""
-    return F.xxhash64(F.col(id_col), F.lit(seed))
+    """SCR-10: deterministic random order (hash of seed and id)."""
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string")))
 
 
-def page_window(page: int | None = None, per_page: int | None = None, offset: int | None = None) -> tuple[int, int]:
-    """SRT-8: (offset, size). page overrides offset; negatives -> 0; -1 size -> 10,000."""
+def page_window(page: int | None = None, per_page: int | None = None, offset: int | None = None
+                ) -> tuple[int, int | None]:
+    """SRT-8: (offset, size). page overrides offset; negatives -> 0; size -1 is all rows (None)."""
     size = DEFAULT_PAGE_SIZE if per_page is None else int(per_page)
     if size == -1:
-        size = MAX_WINDOW
+        return (0 if page and int(page) > 0 else max(int(offset or 0), 0)), None
     size = max(size, 0)
     if page is not None and int(page) > 0:
         off = (int(page) - 1) * size
@@ -102,7 +119,7 @@ def paginate(df: DataFrame, cols: list[Column], page=None, per_page=None, offset
     out = df.orderBy(*cols)
     if off:
         out = out.offset(off)
-    return out.limit(size)
+    return out if size is None else out.limit(size)
 
 
 def total_count(df: DataFrame) -> Column:

@@ -1,9 +1,8 @@
 """Suggestion, completion, spelling and related items (SUG-1..8).
 
-Completion: an edge n-gram table ``(doc_id, field, prefix)`` (DOC-24) is
-equi-joined with the query tokens (3..10 characters; shorter tokens are
-ignored, longer ones cut to 10) - every remaining token must prefix some
-token of the document.
+Completion: an edge n-gram table ``(doc_id, field, prefix, token)`` (DOC-24) is
+equi-joined with the query tokens on their first 10 characters - every token,
+compared whole, must prefix some token of the document.
 
 Spelling (SUG-4/5/6): noisy channel. Candidates per query token come from the
 fuzzy expansion (deletion keys + levenshtein, 'auto' budget); a candidate
@@ -34,25 +33,28 @@ from contentspark.operators.search import TextIndex, bm25, fuzzy_expand
 MIN_PREFIX, MAX_PREFIX = 3, 10
 
 
-def prefix_index(field_rows: DataFrame) -> DataFrame:
-    """DOC-24 over field rows: distinct (doc_id, field, prefix)."""
-    return field_rows.select("doc_id", "field", F.explode(edge_ngrams(tokens(F.col("text")), MIN_PREFIX, MAX_PREFIX))
-                             .alias("prefix")).distinct()
+def prefix_index(field_rows: DataFrame, min_len: int = MIN_PREFIX) -> DataFrame:
+    """DOC-24 over field rows: distinct (doc_id, field, prefix, token), prefixes of min_len..10 characters."""
+    toks = field_rows.select("doc_id", "field", F.explode(F.array_distinct(tokens(F.col("text")))).alias("token"))
+    return toks.select("doc_id", "field", F.explode(edge_ngrams(F.array("token"), min_len, MAX_PREFIX)).alias("prefix"),
+                       "token").distinct()
 
 
 def query_prefix_tokens(queries: DataFrame) -> DataFrame:
-    """(query_id, ptok, n_tokens): usable query tokens (>= 3 chars, cut to 10)."""
-    t = queries.select("query_id", F.explode(F.array_distinct(F.transform(
-        F.filter(tokens(F.col("query")), lambda x: F.length(x) >= MIN_PREFIX),
-        lambda x: F.substring(x, 1, MAX_PREFIX)))).alias("ptok"))
+    """(query_id, ptok, pkey, n_tokens): query tokens, whole, with the key (10 characters at most) they are joined by."""
+    t = queries.select("query_id", F.explode(F.array_distinct(tokens(F.col("query")))).alias("ptok"))
     n = t.groupBy("query_id").agg(F.count(F.lit(1)).alias("n_tokens"))
-    return t.join(n, "query_id")
+    return t.withColumn("pkey", F.substring("ptok", 1, MAX_PREFIX)).join(n, "query_id")
 
 
 def complete(queries: DataFrame, prefixes: DataFrame) -> DataFrame:
-    """SUG-1: (query_id, doc_id, matched_fields) where every usable query token prefixes a doc token."""
+    """SUG-1: (query_id, doc_id, matched_fields) where every query token prefixes a doc token.
+
+    The join is on the first 10 characters; longer tokens are compared whole behind it. ``prefixes``
+    should have prefixes from one character up if queries may hold such short tokens.
+    """
     qt = query_prefix_tokens(queries)
-    hits = qt.join(prefixes, qt.ptok == prefixes.prefix)
+    hits = qt.join(prefixes, (qt.pkey == prefixes.prefix) & F.startswith(prefixes.token, qt.ptok))
     per = hits.groupBy("query_id", "doc_id", "n_tokens").agg(F.countDistinct("ptok").alias("m"),
                                                              F.countDistinct("field").alias("matched_fields"))
     return per.filter(F.col("m") == F.col("n_tokens")).select("query_id", "doc_id", "matched_fields")

@@ -55,12 +55,19 @@ def rewrite_pairs(rules: DataFrame) -> DataFrame:
     return eq_pairs.unionByName(rep_pairs).distinct()
 
 
-def expand_queries(queries: DataFrame, pairs: DataFrame, max_len: int = 4) -> DataFrame:
-    """(query_id, alt, query): the original (unless replaced) plus one row per rewrite."""
-    q = queries.select("query_id", tokens(F.col("query")).alias("toks"))
+def expand_queries(queries: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(query_id, alt, query): the original (unless replaced) plus one row per rewrite.
+
+    Query n-grams are made of the phrase lengths that the rules have (a scalar subquery of the
+    distinct lengths; the rules are a settings list).
+    """
+    sizes = pairs.select(F.size(F.split("phrase", " ")).alias("n")).distinct().agg(
+        F.array_sort(F.collect_list("n")).alias("sizes")).scalar()
+    queries = queries.withColumn("sizes", F.coalesce(sizes, F.array().cast("array<int>")))
+    q = queries.select("query_id", tokens(F.col("query")).alias("toks"), "sizes")
     grams = q.select("query_id", "toks", F.explode(F.flatten(F.transform(
         F.sequence(F.lit(1), F.greatest(F.size("toks"), F.lit(1))),
-        lambda s: F.transform(F.sequence(F.lit(1), F.lit(max_len)),
+        lambda s: F.transform(F.col("sizes"),
                               lambda n: F.struct(s.alias("start"), n.alias("n"),
                                                  F.array_join(F.slice("toks", s, n), " ").alias("phrase"))))))
         .alias("g")).filter(F.col("g.start") + F.col("g.n") - 1 <= F.size("toks"))

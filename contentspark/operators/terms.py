@@ -93,9 +93,19 @@ TERM_SORTS = {"name": "name", "slug": "slug", "id": "term_id", "term_id": "term_
 
 
 def term_sort(orderby: str = "name", order: str = "asc") -> list[Column]:
-    """TRM-11: sort keys (name and description normalized), id as tie-break."""
-    col = TERM_SORTS.get(orderby, orderby)
-    c = sortable(F.col(col)) if col in ("name", "description") else F.col(col)
+    """TRM-11: sort keys (name and description normalized), id as tie-break.
+
+    ``meta.<key>.<type>`` sorts by that reading of a meta key (the smallest value ascending, the
+    largest descending; terms without it last).
+    """
+    if orderby.startswith("meta."):
+        from contentspark.operators.sorting import meta_sort_key
+
+        key, typ = orderby[len("meta."):].rsplit(".", 1)
+        c = meta_sort_key(key, typ, order)
+    else:
+        col = TERM_SORTS.get(orderby, orderby)
+        c = sortable(F.col(col)) if col in ("name", "description") else F.col(col)
     c = c.asc_nulls_last() if order.lower() == "asc" else c.desc_nulls_last()
     return [c, F.col("term_id").asc()]
 

@@ -30,9 +30,10 @@ def cmt1_author_fields(spark, sf):
 
 
 @query("cmt2_comment_ids", CM + """
-SELECT comment_ID FROM v_comments WHERE comment_ID IN (1, 2, 3, 1001, 5005) AND comment_ID NOT IN (2)""")
+SELECT comment_ID FROM v_comments WHERE comment_ID IN (1, 2, 3, 16777217, 83886083) AND comment_ID NOT IN (2)""")
 def cmt2_comment_ids(spark, sf):
-    return comments_where(spark, sf, {"comment__in": [1, 2, 3, 1001, 5005], "comment__not_in": [2]}).select("comment_ID")
+    return comments_where(spark, sf, {"comment__in": [1, 2, 3, V.TURNS + 1, 5 * V.TURNS + 3],
+                                      "comment__not_in": [2]}).select("comment_ID")
 
 
 @query("cmt3_date_query", CM + """
@@ -61,13 +62,13 @@ def cmt6_parent(spark, sf):
 
 @query("cmt7_parent_post_filters", with_views(V_POSTS, V_COMMENTS) + """
 SELECT c.comment_ID FROM v_comments c JOIN v_posts p ON p.id = c.comment_post_ID
-WHERE p.post_type = 'post' AND p.post_status = 'publish' AND p.id NOT IN (1000000, 1000001)
+WHERE p.post_type = 'post' AND p.post_status = 'publish' AND p.id NOT IN (72057594037927936, 72057594037927937)
   AND p.post_password = ''""")
 def cmt7_parent_post_filters(spark, sf):
     posts = V.v_posts(spark, sf, types=["post"]).filter(F.col("post_password") == "")
     c = V.v_comments(spark, sf)
     out = C.with_post_filter(c, posts, {"post_type": "post", "post_status": "publish",
-                                        "post__not_in": [1000000, 1000001]})
+                                        "post__not_in": [V.DOC_ID_OFFSET, V.DOC_ID_OFFSET + 1]})
     return out.select("comment_ID")
 
 

@@ -75,7 +75,7 @@ def agg4_meta_map_keys(spark, sf):
 
 @query("agg5_meta_keys_sorted", """
 SELECT key FROM (SELECT unnest(['_price', 'size', 'label', 'quality', 'toxic', 'n_chars']) AS key)
-ORDER BY key LIMIT 800""")
+ORDER BY key""")
 def agg5_meta_keys_sorted(spark, sf):
     return G.distinct_meta_keys(V.v_posts(spark, sf), allow=["_price"])
 
@@ -94,22 +94,20 @@ def agg6_meta_keys_per_type(spark, sf):
 
 @query("agg7_taxonomy_facet", FACETS_SQL + """
 SELECT facet, value, doc_count FROM (
-  SELECT facet, value, count(*)::BIGINT AS doc_count,
-         row_number() OVER (PARTITION BY facet ORDER BY count(*) DESC, value) AS r
+  SELECT facet, value, count(*)::BIGINT AS doc_count
   FROM (SELECT 'brand' AS facet, brand AS value FROM pf UNION ALL SELECT 'ptype', ptype FROM pf
         UNION ALL SELECT 'post_tag', unnest(tags) FROM pf)
-  GROUP BY facet, value) WHERE r <= 10000""")
+  GROUP BY facet, value)""")
 def agg7_taxonomy_facet(spark, sf):
     return G.facet_counts(products(spark, sf), {t: term_slugs(t) for t in ("brand", "ptype", "post_tag")})
 
 
 @query("agg8_meta_facet", FACETS_SQL + """
 SELECT facet, value, doc_count, substr(value, 1, 100) AS label FROM (
-  SELECT 'size' AS facet, size AS value, count(*)::BIGINT AS doc_count,
-         row_number() OVER (ORDER BY count(*) DESC, size) AS r
-  FROM pf GROUP BY size) WHERE r <= 100""")
+  SELECT 'size' AS facet, size AS value, count(*)::BIGINT AS doc_count
+  FROM pf GROUP BY size)""")
 def agg8_meta_facet(spark, sf):
-    counts = G.facet_counts(products(spark, sf), {"size": meta_raw("size")}, size=G.META_FACET_SIZE)
+    counts = G.facet_counts(products(spark, sf), {"size": meta_raw("size")})
     return G.meta_facet_display(counts)
 
 

@@ -68,10 +68,11 @@ def flt4_parent_in_not_in(spark, sf):
 
 
 @query("flt5_id_in_not_in", POSTS + """
-SELECT id FROM v_posts WHERE post_type = 'post' AND id IN (1000001, 1000002, 1000003, 1000010, 1000500)
-  AND id NOT IN (1000002, 1000500)""")
+SELECT id FROM v_posts WHERE post_type = 'post' AND id IN (72057594037927937, 72057594037927938, 72057594037927939, 72057594037927946, 72057594037928436)
+  AND id NOT IN (72057594037927938, 72057594037928436)""")
 def flt5_id_in_not_in(spark, sf):
-    args = {"post__in": [1000001, 1000002, 1000003, 1000010, 1000500], "post__not_in": [1000002, 1000500]}
+    args = {"post__in": [V.DOC_ID_OFFSET + i for i in (1, 2, 3, 10, 500)],
+            "post__not_in": [V.DOC_ID_OFFSET + i for i in (2, 500)]}
     return posts_where(spark, sf, args, types=["post"]).select("id")
 
 
@@ -128,6 +129,17 @@ def flt9_mime_type(spark, sf):
         P.post_filter({"post_type": ["post", "page"], "extra": c})).select("id")
 
 
+@query("flt9_prefix", POSTS + """
+SELECT id FROM v_posts WHERE post_type IN ('post', 'page') AND starts_with(post_mime_type, 'text/h')
+UNION ALL SELECT id FROM v_posts WHERE post_type = 'page'""")
+def flt9_prefix(spark, sf):
+    """A string is a plain prefix; the empty string filters nothing."""
+    posts = V.v_posts(spark, sf, types=["post", "page"])
+    a = posts.filter(P.post_filter({"post_type": ["post", "page"], "post_mime_type": "text/h"})).select("id")
+    b = posts.filter(P.post_filter({"post_type": ["page"], "post_mime_type": ""})).select("id")
+    return a.unionByName(b)
+
+
 @query("flt10_no_password", POSTS + "SELECT id FROM v_posts WHERE post_type = 'post' AND post_password = ''")
 def flt10_no_password(spark, sf):
     return posts_where(spark, sf, {"post_type": "post", "has_password": False}, types=["post"]).select("id")
@@ -312,7 +324,7 @@ def meta7_typed_numeric(spark, sf):
 
 @query("meta7_typed_char", POSTS + """
 SELECT id FROM v_posts WHERE post_type = 'shop_order' AND id IN (
-  SELECT 3000000 + o_orderkey FROM orders WHERE o_orderpriority = '1-URGENT')""")
+  SELECT 216172782113783808 + o_orderkey FROM orders WHERE o_orderpriority = '1-URGENT')""")
 def meta7_typed_char(spark, sf):
     mq = [{"key": "_priority", "value": "1-URGENT", "compare": "=", "type": "CHAR"}]
     return posts_where(spark, sf, {"post_type": "shop_order", "meta_query": mq}, types=["shop_order"]).select("id")

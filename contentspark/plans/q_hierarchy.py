@@ -83,20 +83,34 @@ def hier4_term_tree(spark, sf):
     return t.select("term_id", "level", F.array_join("path", ">").alias("path_key"))
 
 
+@query("hier4_term_tree_descending", with_views(V_TERMS) + """,
+geo AS (SELECT term_id, parent, name, lpad((row_number() OVER (PARTITION BY parent ORDER BY lower(name) DESC, term_id))::VARCHAR,
+               12, '0') AS tok FROM v_terms WHERE taxonomy = 'geo'),
+t AS (
+  WITH RECURSIVE t(id, level, path) AS (
+    SELECT term_id, 0, [tok] FROM geo WHERE parent = 0
+    UNION ALL SELECT g.term_id, t.level + 1, list_append(t.path, g.tok) FROM t JOIN geo g ON g.parent = t.id
+  ) SELECT * FROM t
+)
+SELECT id AS term_id, level, array_to_string(path, '>') AS path_key FROM t""")
+def hier4_term_tree_descending(spark, sf):
+    """The tree with siblings in descending name order."""
+    t = H.tree(geo_terms(spark, sf), sort_key="name", descending=True)
+    return t.select("term_id", "level", F.array_join("path", ">").alias("path_key"))
+
+
 @query("hier5_comment_thread", with_views(V_COMMENTS) + """,
 t AS (
   WITH RECURSIVE t(id, root, level) AS (
-    SELECT comment_ID, comment_ID, 0 FROM v_comments WHERE comment_parent = 0 AND comment_ID < 20000
+    SELECT comment_ID, comment_ID, 0 FROM v_comments WHERE comment_parent = 0
     UNION ALL
     SELECT c.comment_ID, t.root, t.level + 1 FROM t JOIN v_comments c ON c.comment_parent = t.id
   ) SELECT * FROM t
 )
 SELECT id AS comment_ID, root, level FROM t""")
 def hier5_comment_thread(spark, sf):
-    """All descendants of the threads whose root id is below 20000, level by level."""
-    c = V.v_comments(spark, sf)
-    roots = c.filter((F.col("comment_parent") == 0) & (F.col("comment_ID") < 20000))
-    return H.thread(c, roots).select("comment_ID", "root", "level")
+    """Every comment with its thread's root and its level in it."""
+    return H.thread(V.v_comments(spark, sf)).select("comment_ID", "root", "level")
 
 
 # ---------------------------------------------------------------- TRM
@@ -184,12 +198,25 @@ def trm9_search(spark, sf):
 
 
 @query("trm11_sort", GEO_CLOSURE_SQL + """
-SELECT term_id, row_number() OVER (ORDER BY lower(name) DESC, term_id) AS pos FROM hier""")
+SELECT term_id, row_number() OVER (ORDER BY lower(name) DESC, term_id) AS pos FROM hier ORDER BY pos LIMIT 20""")
 def trm11_sort(spark, sf):
+    """First page of 20 terms by descending name (a partial top-k, the rank over the page only)."""
+    from pyspark.sql import Window
+
+    order = TR.term_sort("name", "desc")
+    page = geo_hier(spark, sf).orderBy(*order).limit(20)
+    return page.select("term_id", F.row_number().over(Window.orderBy(*order)).alias("pos"))
+
+
+@query("trm11_meta_sort", GEO_CLOSURE_SQL + """
+SELECT term_id, row_number() OVER (ORDER BY count DESC, term_id) AS pos FROM hier ORDER BY pos LIMIT 20""")
+def trm11_meta_sort(spark, sf):
+    """First page of 20 terms by the numeric reading of the meta key 'objects'."""
     from pyspark.sql import Window
 
-    h = geo_hier(spark, sf)
-    return h.select("term_id", F.row_number().over(Window.orderBy(*TR.term_sort("name", "desc"))).alias("pos"))
+    order = TR.term_sort("meta.objects.long", "desc")
+    page = geo_hier(spark, sf).orderBy(*order).limit(20)
+    return page.select("term_id", F.row_number().over(Window.orderBy(*order)).alias("pos"))
 
 
 @query("trm12_fields", GEO_CLOSURE_SQL + """

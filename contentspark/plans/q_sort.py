@@ -29,7 +29,7 @@ def posts(spark, sf, types):
 
 
 @query("srt1_sort_title", POSTS + f"""
-SELECT id, row_number() OVER (ORDER BY CASE WHEN length(post_title) <= 10922 THEN {FOLD} END ASC NULLS LAST, id) AS pos
+SELECT id, row_number() OVER (ORDER BY {FOLD} ASC NULLS LAST, id) AS pos
 FROM v_posts WHERE post_type = 'post' ORDER BY pos LIMIT 10""")
 def srt1_sort_title(spark, sf):
     """'title' alias: lower-cased, accent-folded title, ascending, first page of 10."""
@@ -128,3 +128,18 @@ def srt13_order_search(spark, sf):
         "date_query": [{"m": [199701, 199712], "compare": "BETWEEN"}]}))
     df = df.filter(text_match_all(["post_title"], "order"))
     return page_rows(df, S.sort_columns(None, "desc"), per_page=6)
+
+
+@query("srt1_nested_paths", POSTS + """
+SELECT id, row_number() OVER (ORDER BY lower(brand) DESC, author_login ASC, id) AS pos
+FROM (SELECT *, '' AS author_login FROM v_posts WHERE post_type = 'product') ORDER BY pos LIMIT 25""")
+def srt1_nested_paths(spark, sf):
+    """Sort paths into the document: terms.brand.name.sortable (descending), then post_author.login.sortable."""
+    cols = S.sort_columns({"terms.brand.name.sortable": "desc", "post_author.login.sortable": "asc"})
+    return page_rows(posts(spark, sf, ["product"]), cols, per_page=25)
+
+
+@query("srt8_all_rows", POSTS + "SELECT id FROM v_posts WHERE post_type = 'shop_order'")
+def srt8_all_rows(spark, sf):
+    """Page size -1: every row."""
+    return S.paginate(posts(spark, sf, ["shop_order"]), S.sort_columns(None, "desc"), per_page=-1).select("id")

@@ -28,15 +28,13 @@ def name_prefix_queries(spark, sf):
 
 SUG_SQL = f"""
 WITH qs AS (SELECT DISTINCT substr(p_name, 1, 6) AS query_id FROM part),
-qtok AS (SELECT DISTINCT query_id, substr(t, 1, 10) AS ptok
-         FROM (SELECT query_id, unnest({tokens('query_id')}) AS t FROM qs) WHERE length(t) >= 3),
+qtok AS (SELECT DISTINCT query_id, unnest({tokens('query_id')}) AS ptok FROM qs),
 qn AS (SELECT query_id, count(*) AS n FROM qtok GROUP BY query_id),
 fr AS (SELECT p_partkey AS doc_id, 'post_title' AS field, p_name AS txt FROM part
        UNION ALL SELECT p_partkey, 'term_suggest', p_brand || ' ' || p_type FROM part),
-toks AS (SELECT doc_id, field, unnest({tokens('txt')}) AS tok FROM fr),
-pre AS (SELECT DISTINCT doc_id, field, substr(tok, 1, i) AS prefix FROM toks, range(3, 11) r(i) WHERE i <= length(tok)),
+toks AS (SELECT DISTINCT doc_id, field, unnest({tokens('txt')}) AS tok FROM fr),
 h AS (SELECT q.query_id, p.doc_id, count(DISTINCT q.ptok) AS m, count(DISTINCT p.field) AS f
-      FROM qtok q JOIN pre p ON p.prefix = q.ptok GROUP BY ALL),
+      FROM qtok q JOIN toks p ON starts_with(p.tok, q.ptok) GROUP BY ALL),
 matches AS (SELECT h.query_id, h.doc_id, h.f AS matched_fields FROM h JOIN qn ON qn.query_id = h.query_id WHERE h.m = qn.n)
 """
 
@@ -44,7 +42,7 @@ matches AS (SELECT h.query_id, h.doc_id, h.f AS matched_fields FROM h JOIN qn ON
 @query("sug1_prefix_completion", SUG_SQL + "SELECT query_id, doc_id, matched_fields FROM matches")
 def sug1_prefix_completion(spark, sf):
     """Every distinct 6-character product-name prefix completed against titles and term names."""
-    return SG.complete(name_prefix_queries(spark, sf), SG.prefix_index(product_rows(spark, sf)))
+    return SG.complete(name_prefix_queries(spark, sf), SG.prefix_index(product_rows(spark, sf), min_len=1))
 
 
 @query("sug3_completion_top5", SUG_SQL + """
@@ -53,7 +51,7 @@ SELECT query_id, doc_id, rank FROM (
          TIMESTAMP '2023-01-01 00:00:00' + to_hours(doc_id::BIGINT) DESC, doc_id) AS rank FROM matches
 ) WHERE rank <= 5""")
 def sug3_completion_top5(spark, sf):
-    m = SG.complete(name_prefix_queries(spark, sf), SG.prefix_index(product_rows(spark, sf)))
+    m = SG.complete(name_prefix_queries(spark, sf), SG.prefix_index(product_rows(spark, sf), min_len=1))
     posts = V.v_posts(spark, sf, types=["product"])
     return SG.completion_top_k(m, posts, k=5).select("query_id", "doc_id", "rank")
 

@@ -53,18 +53,18 @@ v_posts AS (
          NULL::DOUBLE AS total
   FROM part
   UNION ALL
-  SELECT 1000000 + d.doc_id, 'post', 'publish', trim(split_part(d.text, chr(10), 1)), d.text,
+  SELECT 72057594037927936 + d.doc_id, 'post', 'publish', trim(split_part(d.text, chr(10), 1)), d.text,
          'doc-' || d.doc_id::VARCHAR, 0, 0, TIMESTAMP '2024-01-01 00:00:00' + to_hours(d.doc_id::BIGINT),
          'text/' || d.source, CASE WHEN l.toxic = 1 THEN 'protected' ELSE '' END, 0,
          NULL, NULL, NULL, NULL, l.quality, l.toxic, d.lang, d.source, NULL
   FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id
   UNION ALL
-  SELECT 2000000 + page_id, 'page', 'publish', {html_title('html')}, {strip_html('html')},
+  SELECT 144115188075855872 + page_id, 'page', 'publish', {html_title('html')}, {strip_html('html')},
          'page-' || page_id::VARCHAR, 0, 0, TIMESTAMP '2024-06-01 00:00:00' + to_hours(page_id::BIGINT),
          'text/html', '', 0, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL
   FROM pages
   UNION ALL
-  SELECT 3000000 + o_orderkey, 'shop_order', o_orderstatus, 'Order #' || o_orderkey::VARCHAR, '',
+  SELECT 216172782113783808 + o_orderkey, 'shop_order', o_orderstatus, 'Order #' || o_orderkey::VARCHAR, '',
          'order-' || o_orderkey::VARCHAR, 0, o_custkey, o_orderdate, '', '', 0,
          NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, o_totalprice
   FROM orders
@@ -89,8 +89,8 @@ v_terms AS (
 
 V_COMMENTS = """
 v_comments AS (
-  SELECT (conv_id * 1000 + turn + 1)::BIGINT AS comment_ID, (conv_id + 1000000)::BIGINT AS comment_post_ID,
-         CASE WHEN turn = 0 THEN 0 ELSE conv_id * 1000 + turn END::BIGINT AS comment_parent,
+  SELECT (conv_id * 16777216 + turn + 1)::BIGINT AS comment_ID, (conv_id + 72057594037927936)::BIGINT AS comment_post_ID,
+         CASE WHEN turn = 0 THEN 0 ELSE conv_id * 16777216 + turn END::BIGINT AS comment_parent,
          role AS comment_author, role || '@example.com' AS comment_author_email,
          'https://' || role || '.example.com' AS comment_author_url, role AS comment_type,
          text AS comment_content,

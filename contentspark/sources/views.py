@@ -21,9 +21,11 @@ from contentspark.functions.meta import META_VALUE_TYPE, build_meta
 from contentspark.sources.tables import Tables
 
 # Id offsets of the object families inside v_posts.
-DOC_ID_OFFSET = 1_000_000
-PAGE_ID_OFFSET = 2_000_000
-ORDER_ID_OFFSET = 3_000_000
+DOC_ID_OFFSET = 1 << 56
+PAGE_ID_OFFSET = 2 << 56
+ORDER_ID_OFFSET = 3 << 56
+# Fixed value: turns that a conversation has room for in comment ids.
+TURNS = 1 << 24
 # Id offsets of geo terms.
 REGION_TERM_OFFSET = 1
 NATION_TERM_OFFSET = 100
@@ -221,7 +223,7 @@ def v_term_relationships(spark: SparkSession, sf_dir: str) -> DataFrame:
 def v_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversation turns as comments; each turn replies to the previous one."""
     c = Tables(spark, sf_dir).conversations
-    cid = F.col("conv_id") * 1000 + F.col("turn") + 1  # ids start at 1: 0 means "no parent"
+    cid = F.col("conv_id") * F.lit(TURNS) + F.col("turn") + 1  # ids start at 1: 0 means "no parent"
     return c.select(
         cid.cast("bigint").alias("comment_ID"),
         (F.col("conv_id") + DOC_ID_OFFSET).cast("bigint").alias("comment_post_ID"),

@@ -145,18 +145,23 @@ def full_rebuild(spark: SparkSession, plan: DataFrame, entity: str, out_dir: str
     return rebuild_summary(plan, entity)
 
 
-def last_errors(plan: DataFrame, order: list[Column], n: int = 50) -> DataFrame:
-    """STR-8: the last ``n`` failure messages (top-k, no global sort of all rows)."""
-    return plan.filter(F.col("sync_status") == "failed").orderBy(*order).limit(n)
+def failed_rows(plan: DataFrame) -> DataFrame:
+    """STR-8: every failed row with its message."""
+    return plan.filter(F.col("sync_status") == "failed")
+
+
+def last_errors(plan: DataFrame, order: list[Column], n: int) -> DataFrame:
+    """STR-8: a report of the last ``n`` failures (top-k, no global sort of all rows)."""
+    return failed_rows(plan).orderBy(*order).limit(n)
 
 
 def term_cascade(edited_terms: DataFrame, closure: DataFrame, relationships: DataFrame, objects: DataFrame,
-                 limit: int = 350) -> DataFrame:
+                 limit: int | None = None) -> DataFrame:
     """STR-4: objects to re-sync for edited terms.
 
     A term's own objects; a term without objects cascades to its descendants'
-    objects. Only eligible ``objects`` (object_id) count; a term whose object
-    count exceeds ``limit`` is skipped (its rows are left out).
+    objects. Only eligible ``objects`` (object_id) count. With ``limit`` a term
+    with more objects is left to the next full rebuild.
     """
     rel = relationships.select(F.col("term_taxonomy_id").alias("term_id"), "object_id").join(
         objects.select("object_id"), "object_id", "left_semi")
@@ -166,6 +171,8 @@ def term_cascade(edited_terms: DataFrame, closure: DataFrame, relationships: Dat
     desc = (no_own.join(closure.select(F.col("ancestor").alias("term_id"), F.col("id").alias("desc_id")), "term_id")
             .join(rel.withColumnRenamed("term_id", "desc_id"), "desc_id").select("term_id", "object_id"))
     allrows = own.select("term_id", "object_id").unionByName(desc).distinct()
+    if limit is None:
+        return allrows
     counts = allrows.groupBy("term_id").agg(F.count(F.lit(1)).alias("n"))
     ok = counts.filter(F.col("n") <= limit).select("term_id")
     return allrows.join(ok, "term_id", "left_semi")
@@ -188,7 +195,7 @@ def meta_change_targets(meta_changes: DataFrame, allowed_keys: list[str], curren
     mc = meta_changes.filter(F.col("key").isin(allowed_keys))
     direct = mc.filter(F.col("op") != "delete_all").select("object_id")
     da = mc.filter(F.col("op") == "delete_all").select("key", "value")
-    found = current_meta.join(da, ["key", "value"]).select("object_id")
+    found = current_meta.join(da.distinct(), ["key", "value"], "left_semi").select("object_id")
     return direct.unionByName(found).distinct()
 
 

@@ -113,3 +113,50 @@ def test_size_batches_prefix_sum(spark):
         running += s
         want[i] = (running // 10, False)
     assert got == want
+
+
+def test_deep_chains_and_cycles(spark):
+    from contentspark.operators import hierarchy as H
+
+    chain = spark.createDataFrame([(i, i - 1, f"n{i}", 1) for i in range(1, 131)], "term_id long, parent long, name string, count long")
+    c = H.closure(chain)
+    assert c.count() == 130 * 129 // 2 and c.agg(F.max("depth")).first()[0] == 129
+    deepest = [r for r in H.tree(chain).collect() if r.term_id == 130][0]
+    assert deepest.level == 129 and len(deepest.path) == 130
+    cycle = spark.createDataFrame([(1, 2), (2, 1), (3, 2), (4, 4), (5, 0)], "term_id long, parent long")
+    got = sorted((r.id, r.ancestor, r.depth) for r in H.closure(cycle).collect())
+    assert got == [(1, 2, 1), (2, 1, 1), (3, 1, 2), (3, 2, 1)]
+
+
+def test_tree_descending_names(spark):
+    from contentspark.operators import hierarchy as H
+
+    terms = spark.createDataFrame([(1, 0, "a"), (2, 0, "b"), (3, 1, "x"), (4, 1, "y")], "term_id long, parent long, name string")
+    order = lambda d: [r.term_id for r in sorted(H.tree(terms, descending=d).collect(), key=lambda r: r.path)]
+    assert order(False) == [1, 3, 4, 2] and order(True) == [2, 1, 4, 3]
+
+
+def test_long_synonym_phrases(spark):
+    from contentspark.operators import synonyms as SY
+
+    rules = SY.parse_lines(spark.createDataFrame([("a b c d e, zed",)], "line string"))
+    q = spark.createDataFrame([(1, "x a b c d e y")], "query_id long, query string")
+    assert {r.query for r in SY.expand_queries(q, SY.rewrite_pairs(rules)).collect()} == {"x a b c d e y", "x zed y"}
+
+
+def test_completion_compares_whole_tokens(spark):
+    from contentspark.operators import suggest as SG
+
+    docs = spark.createDataFrame([(1, "f", "internatioxyz"), (2, "f", "international days"), (3, "f", "in")], "doc_id long, field string, text string")
+    q = spark.createDataFrame([("a", "international"), ("b", "in"), ("c", "i d")], "query_id string, query string")
+    got = {(r.query_id, r.doc_id) for r in SG.complete(q, SG.prefix_index(docs, min_len=1)).collect()}
+    assert got == {("a", 2), ("b", 1), ("b", 2), ("b", 3), ("c", 2)}
+
+
+def test_mime_rules(spark):
+    from contentspark.operators.predicates import mime_type_filter
+
+    df = spark.createDataFrame([("image/png",), ("image",), ("imagx/y",), ("",)], "post_mime_type string")
+    got = lambda m: sorted(r[0] for r in df.filter(mime_type_filter(m)).collect())
+    assert got("imag") == ["image", "image/png", "imagx/y"] and got(["image"]) == ["image", "image/png"] and got(["image/png"]) == ["image/png"]
+    assert mime_type_filter("") is None
