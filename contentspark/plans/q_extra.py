@@ -66,7 +66,9 @@ def cmt5_comment_meta(spark, sf):
 
 POSTS_TC_SQL = """
 SELECT id AS doc_id, 'post_title' AS field, post_title AS txt FROM v_posts WHERE post_type IN ('post', 'product', 'page')
-UNION ALL SELECT id, 'post_content', post_content FROM v_posts WHERE post_type IN ('post', 'product', 'page')"""
+UNION ALL SELECT id, 'post_content', post_content FROM v_posts WHERE post_type IN ('post', 'product', 'page')
+UNION ALL SELECT id, 'terms.brand.name', brand FROM v_posts WHERE post_type = 'product'
+UNION ALL SELECT id, 'terms.source.name', source FROM v_posts WHERE post_type = 'post'"""
 QUERIES_SQL = f"SELECT item_id AS query_id, array_to_string({tokens('text')}, ' ') AS query FROM benchmark"
 
 
@@ -74,12 +76,15 @@ def _posts_sql(body: str) -> str:
     return body.replace("WITH qsrc AS", with_views(V_POSTS) + ",\nqsrc AS", 1)
 
 
-@query("scr1_scr2_type_weights_oracle", _posts_sql(bm25_sql(POSTS_TC_SQL, QUERIES_SQL,
-                                                            {"post_title": 2.0, "post_content": 1.0}))
-       + ", b AS (" + best_fields("or") + ") SELECT query_id, doc_id, round(s * 1000)::BIGINT AS score FROM b")
-def scr1_scr2_type_weights_oracle(spark, sf):
-    """Per-(type, field) weights in one pass over posts, products and pages (the weighting table
-    gives title 2 / content 1 to each type)."""
+@query("scr1_scr2_type_weights", _posts_sql(bm25_sql(POSTS_TC_SQL.replace(" AS txt FROM v_posts", " AS txt FROM v_posts"), QUERIES_SQL, {})
+       .replace("SELECT * FROM (VALUES ) t(field, weight)", """SELECT * FROM (VALUES ('post', 'post_title', 2), ('post', 'post_content', 1),
+         ('product', 'post_title', 5), ('product', 'terms.brand.name', 3), ('page', 'post_title', 1), ('page', 'post_content', 4))
+         t(post_type, field, weight)""")
+       + """SELECT query_id, fs.doc_id, round(max(s * weight) * 1000)::BIGINT AS score
+FROM fs JOIN v_posts p ON p.id = fs.doc_id JOIN w ON w.field = fs.field AND w.post_type = p.post_type GROUP BY ALL"""))
+def scr1_scr2_type_weights(spark, sf):
+    """Weights of the weighting table per (type, field) over posts, products and pages: fields of the table
+    that a type doesn't enable don't count for it."""
     from contentspark.plans.q_search import type_weighted_search
 
     return type_weighted_search(spark, sf)
@@ -104,7 +109,14 @@ def scr3_default_weights(spark, sf):
     return milli(S.match(q, S.TextIndex.build(rows), FL.DEFAULT_WEIGHTS, "or"))
 
 
-@query("scr4_cross_fields_flat_weights")
+PRODUCT_WEIGHTED_SQL = """
+SELECT p_partkey AS doc_id, 'post_title' AS field, p_name AS txt FROM part
+UNION ALL SELECT p_partkey, 'terms.brand.name', p_brand FROM part"""
+
+
+@query("scr4_cross_fields_flat_weights", bm25_sql(
+    PRODUCT_WEIGHTED_SQL, "SELECT DISTINCT p_type AS query_id, p_type || ' brand' AS query FROM part", {"post_title": 1.0})
+    + "SELECT xs.query_id, xs.doc_id, round(xs.s * 1000)::BIGINT AS score FROM xs JOIN qn USING (query_id) WHERE xs.m = qn.n_terms")
 def scr4_cross_fields_flat_weights(spark, sf):
     """Cross-fields clause over weighted product fields: the weights are flattened to 1."""
     posts = V.v_posts(spark, sf, types=["product"]).filter(P.post_filter({"post_type": "product"}))
@@ -115,7 +127,10 @@ def scr4_cross_fields_flat_weights(spark, sf):
     return milli(S.cross_fields(q, S.TextIndex.build(rows), list(weights), "and"))
 
 
-@query("scr5_fuzzy_fields_per_type")
+@query("scr5_fuzzy_fields_per_type", bm25_sql(
+    "SELECT p_partkey AS doc_id, 'post_title' AS field, p_name AS txt FROM part",
+    "SELECT DISTINCT p_type AS query_id, p_type AS query FROM part", {"post_title": 5.0}, fuzzy=1)
+    + ", b AS (" + best_fields("or") + ") SELECT query_id, doc_id, round(s * 1000)::BIGINT AS score FROM b")
 def scr5_fuzzy_fields_per_type(spark, sf):
     """Fuzzy clause over the product fields flagged fuzzy (brand names are not)."""
     posts = V.v_posts(spark, sf, types=["product"]).filter(P.post_filter({"post_type": "product"}))
@@ -140,13 +155,19 @@ def scr8_decay_switch(spark, sf):
     return milli(hits)
 
 
-@query("sug2_suggest_fields_in_fuzzy")
+@query("sug2_suggest_fields_in_fuzzy", bm25_sql(f"""
+SELECT p_partkey AS doc_id, 'post_title' AS field, p_name AS txt FROM part
+UNION ALL SELECT p_partkey, 'post_title.suggest', array_to_string(list_distinct(list(substr(tok, 1, n))), ' ')
+FROM (SELECT p_partkey, unnest({tokens('p_name')}) AS tok FROM part), range(3, 11) r(n) WHERE n <= length(tok) GROUP BY p_partkey""",
+    "SELECT DISTINCT substr(p_name, 1, 5) AS query_id, substr(p_name, 1, 5) AS query FROM part",
+    {"post_title": 3.0, "post_title.suggest": 2.0}, fuzzy=1)
+    + ", b AS (" + best_fields("or") + ") SELECT query_id, doc_id, round(s * 1000)::BIGINT AS score FROM b")
 def sug2_suggest_fields_in_fuzzy(spark, sf):
     """Fuzzy clause with the suggest (edge n-gram) field added at weight - 1 (min 1)."""
     p = Tables(spark, sf).part
     rows = A.unpivot_fields(p, "p_partkey", {"post_title": F.col("p_name")})
-    pre = SG.prefix_index(rows).select("doc_id", F.lit("post_title.suggest").alias("field"),
-                                       F.col("prefix").alias("text"))
+    grams = F.array_distinct(A.edge_ngrams(A.analyze(F.col("p_name"))))
+    pre = A.unpivot_fields(p, "p_partkey", {"post_title.suggest": F.array_join(grams, " ")})
     weights = SG.suggest_field_weights({"post_title": 3.0}, ["post_title.suggest"])
     idx = S.TextIndex.build(rows.unionByName(pre))
     q = p.select(F.substring("p_name", 1, 5).alias("query_id"), F.substring("p_name", 1, 5).alias("query")).distinct()

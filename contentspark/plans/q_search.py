@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from contentspark.functions.text import first_line
 from contentspark.operators import analysis as A
+from contentspark.operators import fields as FL
 from contentspark.operators import search as S
 from contentspark.operators.predicates import post_filter
 from contentspark.plans.registry import query
@@ -92,6 +93,52 @@ w AS (SELECT * FROM (VALUES ('post_title', 2.0), ('post_content', 1.0)) t(field,
 """
 
 
+# Phrases with slop: an anchor d is an offset such that every query position occurs at an offset in [d, d + 5].
+SLOP_SQL = """,
+full_docs AS (SELECT query_id, doc_id, field FROM occ JOIN npos USING (query_id)
+              GROUP BY ALL HAVING count(DISTINCT qpos) = max(n_pos)),
+off AS (SELECT DISTINCT query_id, doc_id, field, qpos, off FROM occ JOIN full_docs USING (query_id, doc_id, field)),
+anchors AS (
+  SELECT a.query_id, a.doc_id, a.field, a.off
+  FROM (SELECT DISTINCT query_id, doc_id, field, off FROM off) a
+  JOIN off b ON b.query_id = a.query_id AND b.doc_id = a.doc_id AND b.field = a.field AND b.off BETWEEN a.off AND a.off + 5
+  JOIN npos n ON n.query_id = a.query_id
+  GROUP BY ALL HAVING count(DISTINCT b.qpos) = max(n.n_pos)),
+sf AS (SELECT query_id, doc_id, field, count(*) AS pf FROM anchors GROUP BY ALL),
+ss AS (SELECT sf.query_id, sf.doc_id, max(
+              sidf.sum_idf * sf.pf * 2.2 / (sf.pf + 1.2 * (0.25 + 0.75 * l.len / st.avg_len))
+              * CASE sf.field WHEN 'post_title' THEN 2.0 ELSE 1.0 END) AS s
+       FROM sf JOIN sidf ON sidf.query_id = sf.query_id AND sidf.field = sf.field
+       JOIN lens l ON l.doc_id = sf.doc_id AND l.field = sf.field JOIN st ON st.field = sf.field GROUP BY ALL)
+"""
+
+# Clause scores per (query, document) that algorithms add up.
+PHRASE_SQL = "SELECT query_id, doc_id, max(s) AS s FROM ps GROUP BY ALL"
+AND_SQL = """SELECT fs.query_id, fs.doc_id, max(fs.s * w.weight) AS s FROM fs JOIN w ON w.field = fs.field
+  JOIN qn ON qn.query_id = fs.query_id WHERE fs.m = qn.n_terms GROUP BY ALL"""
+CROSS_SQL = "SELECT xs.query_id, xs.doc_id, xs.s FROM xs JOIN qn ON qn.query_id = xs.query_id WHERE xs.m = qn.n_terms"
+
+
+def fuzzy_scores(k: str, only_all: bool) -> str:
+    """SQL of fuzzy best-fields scores over ``qx`` (query_id, term, vterm); ``only_all``: AND."""
+    return f"""
+SELECT f.query_id, f.doc_id, max(f.s * w.weight) AS s FROM (
+  SELECT query_id, doc_id, field, sum(s) AS s, count(*) AS m FROM (
+    SELECT {k}.query_id, tf.doc_id, tf.field, {k}.term,
+           max(ln(1.0 + (st.n_docs - df.df + 0.5) / (df.df + 0.5)) * tf.tf * 2.2
+               / (tf.tf + 1.2 * (0.25 + 0.75 * l.len / st.avg_len))) AS s
+    FROM {k} JOIN tf ON tf.term = {k}.vterm JOIN df ON df.field = tf.field AND df.term = tf.term
+    JOIN lens l ON l.doc_id = tf.doc_id AND l.field = tf.field JOIN st ON st.field = tf.field GROUP BY ALL)
+  GROUP BY ALL) f JOIN w ON w.field = f.field
+  {"JOIN qn ON qn.query_id = f.query_id WHERE f.m = qn.n_terms" if only_all else ""} GROUP BY ALL"""
+
+
+def added(*clauses: tuple[str, float]) -> str:
+    """SQL of bool should: boosted clause scores summed per (query, document)."""
+    union = " UNION ALL ".join(f"SELECT query_id, doc_id, s * {boost} AS s FROM ({sql})" for sql, boost in clauses)
+    return f"SELECT query_id, doc_id, round(sum(s) * 1000)::BIGINT AS score FROM ({union}) GROUP BY ALL"
+
+
 @query("doc22_postings", f"""
 WITH fr AS (SELECT doc_id, 'post_title' AS field, trim(split_part(text, chr(10), 1)) AS txt FROM documents
             UNION ALL SELECT doc_id, 'post_content', text FROM documents),
@@ -167,9 +214,9 @@ def txt3_phrase(spark, sf):
     return scored(S.phrase(bench_queries(spark, sf), doc_index(spark, sf), WEIGHTS))
 
 
-@query("txt4_sloppy_phrase")
+@query("txt4_sloppy_phrase", BASE_SQL + SLOP_SQL + "SELECT query_id, doc_id, round(s * 1000)::BIGINT AS score FROM ss")
 def txt4_sloppy_phrase(spark, sf):
-    """Phrase with slop 5 (applyInPandas sweep per (query, doc, field))."""
+    """Phrase with slop 5."""
     return scored(S.sloppy_phrase(bench_queries(spark, sf), doc_index(spark, sf), WEIGHTS, 5))
 
 
@@ -239,17 +286,24 @@ def txt7_match_everything(spark, sf):
     return hits.agg(F.count(F.lit(1)).cast("bigint").alias("n"), F.sum("score").alias("total_score"))
 
 
-@query("txt9_algorithm_default")
+@query("txt9_algorithm_default", FUZZY_SQL + added((PHRASE_SQL, 4.0), (AND_SQL, 2.0), (fuzzy_scores("qx", False), 1.0)))
 def txt9_algorithm_default(spark, sf):
     return scored(S.search(bench_queries(spark, sf), doc_index(spark, sf), WEIGHTS, "default"))
 
 
-@query("txt10_algorithm_350")
+@query("txt10_algorithm_350", BASE_SQL + SLOP_SQL + added((PHRASE_SQL, 3.0), ("SELECT query_id, doc_id, s FROM ss", 1.0)))
 def txt10_algorithm_350(spark, sf):
     return scored(S.search(bench_queries(spark, sf), doc_index(spark, sf), WEIGHTS, "3.5"))
 
 
-@query("txt11_algorithm_400")
+# Budgets of 'auto' fuzziness: 0, 1, 2 edits for up to 2, up to 5, more characters.
+AUTO_SQL = FUZZY_SQL.replace(
+    "abs(length(qe.e) - length(v.e)) <= 1 AND levenshtein(qe.e, v.e) <= 1",
+    "abs(length(qe.e) - length(v.e)) <= 2 AND levenshtein(qe.e, v.e) <= "
+    "CASE WHEN length(qe.e) <= 2 THEN 0 WHEN length(qe.e) <= 5 THEN 1 ELSE 2 END")
+
+
+@query("txt11_algorithm_400", AUTO_SQL + added((PHRASE_SQL, 3.0), (fuzzy_scores("qx", True), 1.0), (CROSS_SQL, 1.0)))
 def txt11_algorithm_400(spark, sf):
     return scored(S.search(bench_queries(spark, sf), doc_index(spark, sf), WEIGHTS, "4.0"))
 
@@ -334,7 +388,7 @@ def scr9_sticky_first(spark, sf):
     return top.select("doc_id", F.row_number().over(Window.orderBy(*order)).alias("pos"))
 
 
-@query("scr10_random_order")
+@query("scr10_random_order", "SELECT doc_id FROM documents ORDER BY md5('42:' || doc_id::VARCHAR), doc_id LIMIT 10")
 def scr10_random_order(spark, sf):
     """Deterministic random order (hash of id and seed), first page of 10."""
     from contentspark.operators.sorting import random_key
@@ -343,23 +397,17 @@ def scr10_random_order(spark, sf):
     return d.orderBy(random_key(42, "doc_id"), "doc_id").limit(10).select("doc_id")
 
 
-@query("scr1_type_weights")
-def scr1_type_weights(spark, sf):
-    """Per-(post_type, field) weights over v_posts (title/content), disabled fields removed."""
-    return type_weighted_search(spark, sf)
+TYPE_FIELDS = ["post_title", "post_content", "post_excerpt", "terms.brand.name", "terms.source.name"]
 
 
 def type_weighted_search(spark, sf):
+    """Best fields of the weighting table: every field that any type has there is searched, each type
+    with its own weights."""
     posts = V.v_posts(spark, sf, types=["post", "product", "page"]).filter(
         post_filter({"post_type": ["post", "product", "page"]}))
-    rows = A.unpivot_fields(posts, "id", {"post_title": F.col("post_title"), "post_content": F.col("post_content")},
-                            extra=["post_type"])
-    idx = S.TextIndex.build(rows.select("doc_id", "field", "text"))
-    q = bench_queries(spark, sf)
-    qt = S.distinct_query_terms(S.query_terms(q))
-    per = S._scored(qt, idx, ["post_title", "post_content"])
-    per = (per.groupBy("query_id", "doc_id", "field").agg(F.sum("score").alias("score"))
-           .join(rows.select("doc_id", "field", "post_type"), ["doc_id", "field"]))
-    weighted = S.apply_weights(per, V.v_weights(spark))
-    best = weighted.groupBy("query_id", "doc_id").agg(F.max("score").alias("score"))
-    return scored(best)
+    rows = FL.field_rows(posts, TYPE_FIELDS, extra=["post_type"])
+    idx = S.cached_index("v_posts(post,product,page):" + ",".join(TYPE_FIELDS), rows.select("doc_id", "field", "text"))
+    qt = S.distinct_query_terms(S.query_terms(bench_queries(spark, sf)))
+    per = S._scored(qt, idx, TYPE_FIELDS).groupBy("query_id", "doc_id", "field").agg(F.sum("score").alias("score"))
+    weighted = S.apply_weights(per.withColumn("post_type", V.post_type_of(F.col("doc_id"))), V.v_weights(spark))
+    return scored(weighted.groupBy("query_id", "doc_id").agg(F.max("score").alias("score")))

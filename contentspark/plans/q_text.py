@@ -89,17 +89,33 @@ def txt14_synonym_replacement(spark, sf):
     return alts.join(gear, "query_id", "left_semi").select("query_id", "query")
 
 
-@query("txt16_highlight")
+# Texts are cut into token and other runs; runs that are query terms are wrapped.
+HIGHLIGHT_SQL = """,
+runs AS (SELECT doc_id, regexp_extract_all(text, '[\\p{L}\\p{N}]+|[^\\p{L}\\p{N}]+') AS parts FROM documents)
+SELECT fs.query_id, fs.doc_id, array_to_string(list_transform(any_value(r.parts), lambda x: CASE
+         WHEN list_contains(any_value(q.toks), lower(x)) THEN '<mark class="search-highlight">' || x || '</mark>' ELSE x END), '')
+         AS highlighted
+FROM fs JOIN qn ON qn.query_id = fs.query_id JOIN q ON q.query_id = fs.query_id JOIN runs r ON r.doc_id = fs.doc_id
+WHERE fs.m = qn.n_terms GROUP BY fs.query_id, fs.doc_id"""
+
+
+def _base_sql() -> str:
+    from contentspark.plans.q_search import BASE_SQL
+
+    return BASE_SQL
+
+
+@query("txt16_highlight", _base_sql() + HIGHLIGHT_SQL)
 def txt16_highlight(spark, sf):
-    """AND-match hits with their titles highlighted (query terms wrapped in <mark>)."""
+    """AND-match hits with their whole texts highlighted (query terms wrapped in <mark>)."""
     from contentspark.plans.q_search import WEIGHTS, bench_queries, doc_index
 
     q = bench_queries(spark, sf)
     hits = S.match(q, doc_index(spark, sf), WEIGHTS, "and")
-    docs = Tables(spark, sf).documents.select("doc_id", F.substring_index("text", "\n", 1).alias("title"))
+    docs = Tables(spark, sf).documents.select("doc_id", "text")
     qterms = q.select("query_id", S.analyze(F.col("query")).alias("terms"))
     return (hits.join(qterms, "query_id").join(docs, "doc_id")
-            .select("query_id", "doc_id", S.highlight_terms(F.col("title"), F.col("terms")).alias("highlighted")))
+            .select("query_id", "doc_id", S.highlight_terms(F.col("text"), F.col("terms")).alias("highlighted")))
 
 
 @query("txt17_excerpt", r"""

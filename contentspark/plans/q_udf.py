@@ -62,7 +62,13 @@ def udf4_search_field_boosts(spark, sf):
     return hits.select("query_id", "doc_id", S.milli(F.col("score")).alias("score"))
 
 
-@query("udf5_registered_algorithm")
+def _phrase_and_sql() -> str:
+    from contentspark.plans.q_search import AND_SQL, BASE_SQL, PHRASE_SQL, added
+
+    return BASE_SQL + added((PHRASE_SQL, 2.0), (AND_SQL, 1.0))
+
+
+@query("udf5_registered_algorithm", _phrase_and_sql())
 def udf5_registered_algorithm(spark, sf):
     """A registered algorithm ('phrase_and': phrase x2 + AND x1) used by name."""
     from contentspark.plans.q_search import WEIGHTS, bench_queries, doc_index

@@ -168,6 +168,12 @@ def v_posts(spark: SparkSession, sf_dir: str, types: list[str] | None = None) ->
     return out
 
 
+def post_type_of(post_id: Column) -> Column:
+    """The post type that an id of :func:`v_posts` belongs to."""
+    return (F.when(post_id >= ORDER_ID_OFFSET, "shop_order").when(post_id >= PAGE_ID_OFFSET, "page")
+            .when(post_id >= DOC_ID_OFFSET, "post").otherwise("product"))
+
+
 def v_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Terms: geo (regions, nations with region parents), brand and ptype (flat).
 
@@ -288,11 +294,11 @@ WEIGHT_ROWS = [
     ("post", "post_excerpt", True, 1, True),
     ("post", "terms.brand.name", True, 3, False),
     ("post", "terms.source.name", False, 0, False),
-    ("product", "post_title", True, 2, True),
-    ("product", "post_content", True, 1, True),
+    ("product", "post_title", True, 5, True),
+    ("product", "post_content", False, 1, True),
     ("product", "terms.brand.name", True, 3, False),
-    ("page", "post_title", True, 2, True),
-    ("page", "post_content", True, 1, True),
+    ("page", "post_title", True, 1, True),
+    ("page", "post_content", True, 4, True),
 ]
 
 
