@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from contentspark.functions.multivalue import and_all, clean_list, or_all
 from contentspark.operators import predicates as P
+from contentspark.operators.sorting import meta_sort_key
 from contentspark.operators.terms import text_match_all
 
 # Comment search fields.
@@ -33,7 +34,8 @@ def comment_filter(args: dict) -> Column:
 
     author_email, author_url, user_id, author__in / author__not_in (user ids),
     comment__in / comment__not_in, date_query, karma, parent / parent__in /
-    parent__not_in, hierarchical (top level only), search, status (+
+    parent__not_in, hierarchical (top level only), search (+ search_fields: columns
+    or ``meta.<key>.value`` paths in place of the default fields), status (+
     include_unapproved), type / type__in / type__not_in, meta_query.
     """
     conds: list[Column | None] = []
@@ -60,7 +62,7 @@ def comment_filter(args: dict) -> Column:
     if args.get("hierarchical"):
         conds.append(F.col("comment_parent") == 0)
     if args.get("search"):
-        conds.append(text_match_all(COMMENT_SEARCH_FIELDS, args["search"]))
+        conds.append(text_match_all(args.get("search_fields") or COMMENT_SEARCH_FIELDS, args["search"]))
     status = args.get("status")
     if status is not None and status != "all":
         vals = status if isinstance(status, (list, tuple)) else [status]
@@ -109,7 +111,12 @@ def with_post_filter(comments: DataFrame, posts: DataFrame, post_args: dict) ->
 
 
 def comment_sort(orderby: str | None = None, order: str = "desc") -> list[Column]:
-    """CMT-11: default comment_date_gmt desc; raw column names allowed; id tie-break."""
+    """CMT-11: default comment_date_gmt desc; raw column names and ``meta.<key>.<type>`` (a reading
+    of a meta key; comments without it last) allowed; id tie-break."""
+    if orderby and orderby.startswith("meta."):
+        key, typ = orderby[len("meta."):].rsplit(".", 1)
+        c = meta_sort_key(key, typ, order)
+        return [c.asc_nulls_last() if order.lower() == "asc" else c.desc_nulls_last(), F.col("comment_ID").asc()]
     col = {None: "comment_date_gmt", "": "comment_date_gmt", "comment_date": "comment_date_gmt",
            "comment_ID": "comment_ID", "id": "comment_ID"}.get(orderby, orderby)
     c = F.col(col)

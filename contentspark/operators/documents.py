@@ -9,11 +9,11 @@ form, never gathered into one row.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from contentspark.functions import dates as D
-from contentspark.functions.meta import typed_value
+from contentspark.functions.meta import live_meta, typed_value
 from contentspark.functions.text import strip_html
 
 # Attachment MIME types whose text can be extracted.
@@ -34,6 +34,22 @@ def sorted_join(order: Column, value: Column, sep: str) -> Column:
                                     lambda x: x["v"]), sep)
 
 
+def post_document(posts: DataFrame, images: DataFrame | None = None, transform=None) -> DataFrame:
+    """DOC-1: one nested row per post-like object: author struct, cleaned date and its parts, the live
+    typed meta, terms by taxonomy, and the thumbnail of ``images`` (id, thumbnail) where there is one.
+
+    UDF-1: ``transform`` (DataFrame -> DataFrame) changes or adds document columns."""
+    name = F.coalesce(F.col("author_name"), F.lit(""))
+    author = F.struct(name.alias("raw"), name.alias("login"), name.alias("display_name"), F.col("post_author").alias("id"))
+    out = posts.select("id", "post_type", "post_status", "post_title", "post_content", "post_excerpt", "post_name",
+                       "post_parent", "menu_order", author.alias("post_author"),
+                       D.clean_date(F.col("post_date")).alias("post_date"), D.date_terms(F.col("post_date")).alias("date_terms"),
+                       live_meta(F.col("meta")).alias("meta"), "terms")
+    if images is not None:
+        out = out.join(images, "id", "left")
+    return out.transform(transform) if transform is not None else out
+
+
 def order_items(lines: DataFrame, parts: DataFrame) -> DataFrame:
     """DOC-19: (o_orderkey, items) item names of an order joined with '|' in line order."""
     j = lines.select("l_orderkey", "l_linenumber", "l_partkey").join(
@@ -227,42 +243,16 @@ def delete_by_ids(docs: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     return docs.join(ids.select(key).distinct(), key, "left_anti")
 
 
-def bulk_lines(docs: DataFrame, id_col: str, index: str) -> DataFrame:
-    """SNK-4: (id, action, document) JSON lines of a bulk index request."""
-    action = F.to_json(F.struct(F.struct(F.lit(index).alias("_index"), F.col(id_col).cast("string").alias("_id"))
-                                .alias("index")))
-    return docs.select(F.col(id_col).alias("id"), action.alias("action"),
-                       F.to_json(F.struct(*[F.col(c) for c in docs.columns])).alias("document"))
-
+def json_documents(docs: DataFrame, id_col: str) -> DataFrame:
+    """SNK-4: (id, document) with each row as one JSON text."""
+    return docs.select(F.col(id_col).alias("id"), F.to_json(F.struct(*[F.col(c) for c in docs.columns])).alias("document"))
 
-def write_bulk(docs: DataFrame, path: str, id_col: str, index: str) -> None:
-    """SNK-4: write action + document lines as text files (one request body per task)."""
-    lines = bulk_lines(docs, id_col, index)
-    lines.select(F.concat_ws("\n", "action", "document").alias("value")).write.mode("overwrite").text(path)
 
+def write_documents(docs: DataFrame, path: str, format: str = "parquet") -> None:
+    """SNK-4: write documents with Spark's own writers (parquet or json lines)."""
+    docs.write.mode("overwrite").format(format).save(path)
 
-def size_batches(docs: DataFrame, id_col: str, size_col: Column, limit: int, buckets: int = 64) -> DataFrame:
-    """SNK-5: batch id = floor(running size in id order / limit) (running sum inclusive); rows
-    above ``limit`` are routed out (``oversize`` = True, no batch) and do not count.
-
-    The running sum is a distributed prefix sum: rows are range-bucketed by id,
-    each bucket is summed (one small row per bucket), bucket offsets come from a
-    window over those few rows, and the in-bucket running sum adds the offset.
-    No single task sees all rows.
-    """
-    d = docs.withColumn("__size", size_col.cast("bigint")).withColumn("oversize", F.col("__size") > limit)
-    ok = d.filter(~F.col("oversize"))
-    bounds = ok.select(F.min(id_col).alias("lo"), F.max(id_col).alias("hi"))
-    lo, hi = bounds.select("lo").scalar(), bounds.select("hi").scalar()
-    width = F.greatest((hi - lo + 1) / F.lit(buckets), F.lit(1.0))
-    ok = ok.withColumn("__b", F.floor((F.col(id_col) - lo) / width).cast("bigint"))
-    sums = ok.groupBy("__b").agg(F.sum("__size").alias("__bs"))
-    offsets = sums.withColumn("__off", F.coalesce(F.sum("__bs").over(
-        Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("__b", "__off")
-    w = Window.partitionBy("__b").orderBy(id_col).rowsBetween(Window.unboundedPreceding, 0)
-    ok = (ok.join(offsets, "__b").withColumn("running", F.sum("__size").over(w) + F.col("__off"))
-          .withColumn("batch", F.floor(F.col("running") / F.lit(limit)).cast("bigint")))
-    bad = d.filter(F.col("oversize")).withColumn("running", F.lit(None).cast("bigint")) \
-        .withColumn("batch", F.lit(None).cast("bigint"))
-    return ok.drop("__b", "__off").unionByName(bad).drop("__size")
 
+def route_oversize(docs: DataFrame, size_col: Column, limit: int) -> DataFrame:
+    """SNK-5: rows with ``oversize``, for those that a size-limited consumer gets by another way."""
+    return docs.withColumn("oversize", size_col > limit)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from contentspark.functions.multivalue import and_all, clean_list
+from contentspark.operators.fields import field_column
 from contentspark.functions.text import py_tokens, slug_py, sortable, tokens
 
 # Fields a term search looks at by default.
@@ -13,11 +14,13 @@ TERM_SEARCH_FIELDS = ["name", "slug", "taxonomy", "description"]
 
 
 def text_match_all(fields: list[str], text: str) -> Column:
-    """Every query token occurs in some field (cross-fields AND, plain analyzer)."""
+    """Every query token occurs in some field (cross-fields AND, plain analyzer).
+
+    Fields are columns or document paths such as ``meta.<key>.value``."""
     q = py_tokens(text)
     if not q:
         return F.lit(True)
-    bag = F.array_distinct(F.flatten(F.array(*[F.coalesce(tokens(F.col(f)), F.array().cast("array<string>"))
+    bag = F.array_distinct(F.flatten(F.array(*[F.coalesce(tokens(field_column(f)), F.array().cast("array<string>"))
                                                for f in fields])))
     return F.coalesce(F.size(F.array_except(F.array(*[F.lit(t) for t in q]), bag)) == 0, F.lit(False))
 

@@ -80,6 +80,24 @@ def cmt8_search(spark, sf):
     return comments_where(spark, sf, {"search": "The AND user"}).select("comment_ID")
 
 
+@query("cmt8_meta", CM + """
+SELECT comment_ID FROM v_comments WHERE comment_author = 'assistant'""")
+def cmt8_meta(spark, sf):
+    """Search in chosen fields only, here a meta key: other fields don't count."""
+    return comments_where(spark, sf, {"search": "ASSISTANT", "search_fields": ["meta.role.value"]}
+                          ).select("comment_ID")
+
+
+@query("cmt11_meta", CM + """
+SELECT comment_ID, row_number() OVER (ORDER BY length(comment_content) DESC, comment_ID) AS pos FROM v_comments
+ORDER BY pos LIMIT 8""")
+def cmt11_meta(spark, sf):
+    """First page of 8 by the numeric reading of the meta key 'length'."""
+    cols = C.comment_sort("meta.length.long", "desc")
+    page = S.paginate(V.v_comments(spark, sf), cols, page=1, per_page=8)
+    return page.select("comment_ID", F.row_number().over(Window.orderBy(*cols)).alias("pos"))
+
+
 @query("cmt9_status", CM + """
 SELECT comment_ID FROM v_comments WHERE comment_approved = '0'
 UNION ALL SELECT comment_ID FROM v_comments WHERE comment_approved = '1' OR user_id IN (3, 4)

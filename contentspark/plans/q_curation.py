@@ -8,6 +8,7 @@ from contentspark.operators import curation as C
 from contentspark.operators import search as S
 from contentspark.plans.q_search import BASE_SQL, WEIGHTS, bench_queries, doc_index
 from contentspark.plans.registry import query
+from contentspark.session import written
 from contentspark.sources import views as V
 from contentspark.sources.tables import Tables
 
@@ -56,15 +57,16 @@ final AS (
 
 
 def organic_hits(spark, sf):
+    """The ranking that pins go into, matched once and written: every use reads the table."""
     q = bench_queries(spark, sf)
     hits = S.match(q, doc_index(spark, sf), WEIGHTS, "or")
-    return hits.select("query_id", "doc_id", S.milli(F.col("score")).alias("score")).join(q, "query_id")
+    return written(hits.select("query_id", "doc_id", S.milli(F.col("score")).alias("score")), "organic").join(q, "query_id")
 
 
 @query("cur1_pinned_positions", CUR_SQL + "SELECT query_id, doc_id, position, pinned FROM final")
 def cur1_pinned_positions(spark, sf):
     """Organic OR-match ranking with curated documents inserted at their positions."""
-    return C.pin(organic_hits(spark, sf), V.v_pointers(spark, sf)).select("query_id", "doc_id", "position", "pinned")
+    return C.pin(organic_hits(spark, sf), written(V.v_pointers(spark, sf), "pointers")).select("query_id", "doc_id", "position", "pinned")
 
 
 @query("cur2_forced_match", CUR_SQL + """
@@ -73,7 +75,7 @@ WHERE f.pinned AND NOT EXISTS (SELECT 1 FROM organic o WHERE o.query_id = f.quer
 def cur2_forced_match(spark, sf):
     """Pinned documents that the text clause alone would not have returned."""
     org = organic_hits(spark, sf)
-    res = C.pin(org, V.v_pointers(spark, sf))
+    res = C.pin(org, written(V.v_pointers(spark, sf), "pointers"))
     return (res.filter("pinned").join(org.select("query_id", "doc_id"), ["query_id", "doc_id"], "left_anti")
             .select("query_id", "doc_id", "position"))
 
@@ -95,7 +97,7 @@ FROM pointers o FULL OUTER JOIN newp n ON n.search_term = o.search_term AND n.do
 WHERE o.doc_id IS NULL OR n.doc_id IS NULL OR o.position <> n.position""")
 def cur4_pointer_maintenance(spark, sf):
     """Page size 2 drops position-3 pointers; trashed (toxic) documents lose their pointers."""
-    old = V.v_pointers(spark, sf)
+    old = written(V.v_pointers(spark, sf), "pointers")
     t = Tables(spark, sf)
     posts = t.documents.join(t.labels, "doc_id", "left").select(
         F.col("doc_id").alias("id"),

@@ -39,6 +39,37 @@ def doc1_order_document(spark, sf):
                     F.col("date_terms.year").alias("year"))
 
 
+@query("doc1_post_document", with_views(V_POSTS) + f''',
+img AS (SELECT page_id, nullif(regexp_extract(regexp_extract(html, '(?is)<img\\b[^>]*>'), '(?is)\\bsrc\\s*=\\s*"([^"]*)"', 1), '') AS src
+        FROM pages),
+tags AS (SELECT id, unnest(list_distinct({tokens('post_title')})) AS t FROM v_posts WHERE post_type = 'product'),
+terms AS (
+  SELECT id, 'brand:' || {slug('brand')} AS term FROM v_posts WHERE brand IS NOT NULL
+  UNION ALL SELECT id, 'ptype:' || {slug('ptype')} FROM v_posts WHERE ptype IS NOT NULL
+  UNION ALL SELECT id, 'post_tag:' || {slug('t')} FROM tags
+  UNION ALL SELECT id, 'lang:' || {slug('lang')} FROM v_posts WHERE lang IS NOT NULL
+  UNION ALL SELECT id, 'source:' || {slug('source')} FROM v_posts WHERE source IS NOT NULL)
+SELECT p.id, p.post_type, '' AS author_display, year(p.post_date) AS year,
+       coalesce((SELECT string_agg(term, ',' ORDER BY term) FROM terms t WHERE t.id = p.id), '') AS terms,
+       CASE WHEN post_type = 'product' THEN '_price,_sku,label,size'
+            WHEN post_type = 'post' THEN concat_ws(',', 'n_chars', CASE WHEN quality IS NOT NULL THEN 'quality,toxic' END)
+            ELSE '' END AS meta_keys, img.src AS thumbnail
+FROM v_posts p LEFT JOIN img ON p.post_type = 'page' AND img.page_id = p.id - {V.PAGE_ID_OFFSET}
+WHERE post_type IN ('product', 'post', 'page')''')
+def doc1_post_document(spark, sf):
+    """Documents of products, posts and pages: author, date parts, typed meta, terms, thumbnail."""
+    posts = V.v_posts(spark, sf, types=["product", "post", "page"])
+    images = Tables(spark, sf).pages.select((F.col("page_id") + V.PAGE_ID_OFFSET).alias("id"),
+                                            DOC.thumbnail(F.col("html")).alias("thumbnail"))
+    d = DOC.post_document(posts, images)
+    terms = F.flatten(F.transform(F.map_entries("terms"), lambda e: F.transform(
+        e["value"], lambda t: F.concat_ws(":", e["key"], t["slug"]))))
+    return d.select("id", "post_type", F.col("post_author.display_name").alias("author_display"),
+                    F.col("date_terms.year").alias("year"), F.array_join(F.array_sort(terms), ",").alias("terms"),
+                    F.array_join(F.array_sort(F.map_keys("meta")), ",").alias("meta_keys"),
+                    F.col("thumbnail.src").alias("thumbnail"))
+
+
 @query("doc2_invalid_dates", """
 SELECT o_orderkey, try_strptime(printf('%04d-%02d-%02d', year(o_orderdate), month(o_orderdate),
                                        dayofmonth(o_orderdate) + 2), '%Y-%m-%d') AS cleaned
@@ -137,11 +168,20 @@ def doc10_drop_empty_keys(spark, sf):
     return e.select("event_id", F.array_join(F.array_sort(F.map_keys(DOC.meta_from_json(js))), ",").alias("keys"))
 
 
-@query("doc11_thumbnail")
+THUMBNAIL_SQL = """
+WITH i AS (SELECT page_id, regexp_extract(html, '(?is)<img\\b[^>]*>') AS img FROM pages)
+SELECT page_id, nullif(regexp_extract(img, '(?is)\\bsrc\\s*=\\s*"([^"]*)"', 1), '') AS src,
+       TRY_CAST(regexp_extract(img, '(?is)\\bwidth\\s*=\\s*"([^"]*)"', 1) AS INTEGER) AS width,
+       TRY_CAST(regexp_extract(img, '(?is)\\bheight\\s*=\\s*"([^"]*)"', 1) AS INTEGER) AS height,
+       CASE WHEN img <> '' THEN trim(regexp_extract(img, '(?is)\\balt\\s*=\\s*"([^"]*)"', 1)) END AS alt
+FROM i"""
+
+
+@query("doc11_thumbnail", THUMBNAIL_SQL)
 def doc11_thumbnail(spark, sf):
-    """First image of each page as a thumbnail struct (NULL when the page has none)."""
+    """First image of each page: source, size, alternative text (NULL when the page has none)."""
     pg = Tables(spark, sf).pages
-    return pg.select("page_id", DOC.thumbnail(F.col("html")).alias("thumbnail"))
+    return pg.select("page_id", DOC.thumbnail(F.col("html")).alias("t")).select("page_id", "t.*")
 
 
 @query("doc12_plain_text", f"SELECT page_id, {strip_html('html')} AS plain FROM pages")
@@ -243,20 +283,17 @@ def snk3_delete_by_ids(spark, sf):
     return DOC.delete_by_ids(t.documents, t.labels.filter("quality = 0"), "doc_id").select("doc_id")
 
 
-@query("snk4_bulk_lines")
-def snk4_bulk_lines(spark, sf):
-    """Bulk request lines (action + document JSON) for every document."""
+@query("snk4_json_documents", """
+SELECT doc_id AS id, to_json(struct_pack(doc_id := doc_id, lang := lang, source := source, n_chars := n_chars)) AS document
+FROM documents""")
+def snk4_json_documents(spark, sf):
+    """One JSON text per document, as the JSON-lines sink writes it."""
     d = Tables(spark, sf).documents
-    return DOC.bulk_lines(d.select("doc_id", "lang", "source", "n_chars", "text"), "doc_id", "documents")
+    return DOC.json_documents(d.select("doc_id", "lang", "source", "n_chars"), "doc_id")
 
 
-@query("snk5_size_batches", """
-WITH ok AS (SELECT doc_id, n_chars FROM documents WHERE n_chars <= 20000),
-r AS (SELECT doc_id, sum(n_chars) OVER (ORDER BY doc_id ROWS UNBOUNDED PRECEDING) AS running FROM ok)
-SELECT doc_id, false AS oversize, running, floor(running / 20000)::BIGINT AS batch FROM r
-UNION ALL SELECT doc_id, true, NULL, NULL FROM documents WHERE n_chars > 20000""")
-def snk5_size_batches(spark, sf):
-    """Request batches of at most ~20,000 characters in id order; larger documents reported apart."""
+@query("snk5_oversize_routing", "SELECT doc_id, n_chars, n_chars > 20000 AS oversize FROM documents")
+def snk5_oversize_routing(spark, sf):
+    """Documents above a size limit are marked for a sink of their own; no batch is simulated."""
     d = Tables(spark, sf).documents.select("doc_id", "n_chars")
-    b = DOC.size_batches(d, "doc_id", F.col("n_chars"), 20000)
-    return b.select("doc_id", "oversize", "running", "batch")
+    return DOC.route_oversize(d, F.col("n_chars"), 20000)

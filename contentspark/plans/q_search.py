@@ -30,9 +30,7 @@ def doc_fields(spark, sf):
 
 
 def doc_index(spark, sf, analyzer="plain"):
-    """The documents' postings (title = first line, content = text), analyzed once per session and
-    input version and written to the shared checkpoint folder."""
-    return S.cached_index("documents:post_title=first_line(text),post_content=text", doc_fields(spark, sf), analyzer)
+    return V.documents_index(spark, sf, analyzer)
 
 
 def bench_queries(spark, sf):

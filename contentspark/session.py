@@ -67,3 +67,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
         d = tempfile.mkdtemp(prefix="contentspark-ckpt-")
         spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+def written(df, name: str):
+    """``df`` written once as Parquet under the shared folder and read back (lineage ends there)."""
+    import uuid
+
+    path = os.path.join(checkpoint_dir(df.sparkSession), f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -256,6 +256,17 @@ def v_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.array_join(T.tokens(F.col("text")), " ").alias("query"))
 
 
+def documents_index(spark: SparkSession, sf_dir: str, analyzer: str = "plain"):
+    """The postings of documents (title = first line, content = text), analyzed once per session and
+    input version and written to the shared checkpoint folder."""
+    from contentspark.operators.analysis import unpivot_fields
+    from contentspark.operators.search import cached_index
+
+    rows = unpivot_fields(Tables(spark, sf_dir).documents, "doc_id",
+                          {"post_title": T.first_line(F.col("text")), "post_content": F.col("text")})
+    return cached_index("documents:post_title=first_line(text),post_content=text", rows, analyzer)
+
+
 def v_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events as a change feed keyed by user_id: error = delete, else upsert."""
     e = Tables(spark, sf_dir).events
@@ -316,12 +327,11 @@ def v_pointers(spark: SparkSession, sf_dir: str) -> DataFrame:
     smallest document ids) at positions 1 and 3; search term = the query text."""
     from pyspark.sql import Window
 
-    from contentspark.operators.analysis import unpivot_fields
-    from contentspark.operators.search import cached_index, phrase
+    from contentspark.operators.search import phrase
 
     q = v_queries(spark, sf_dir)
     docs = Tables(spark, sf_dir).documents
-    idx = cached_index("documents:post_content=text", unpivot_fields(docs, "doc_id", {"post_content": F.col("text")}))
+    idx = documents_index(spark, sf_dir)
     hits = phrase(q, idx, {"post_content": 1.0}).select("query_id", "doc_id", F.lit(0).alias("prio"))
     smallest = docs.select("doc_id").orderBy("doc_id").limit(2).agg(F.collect_list("doc_id")).scalar()
     fallback = q.select("query_id", F.explode(smallest).alias("doc_id"), F.lit(1).alias("prio"))
