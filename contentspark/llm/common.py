@@ -14,6 +14,10 @@ from contentspark.sources.tables import load  # noqa: F401  (used by the query m
 # some 40 bytes in the hash table, so 20 MB); larger ones are joined by a shuffle.
 BROADCAST_ROWS = 500_000
 
+# Documents in an Arrow batch: texts are wide rows, and a batch is held several times over
+# (JVM buffer, Python strings, arrays), so batches are kept to some megabytes.
+TEXT_BATCH_ROWS = 1000
+
 # Fixed value: white space of the text contracts (space, tab to carriage return).
 SPACE_RUN = r"[\x20\x09-\x0D]+"
 
@@ -33,6 +37,13 @@ def shared_dir(spark: SparkSession) -> str:
     return d.rstrip("/")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Sets the Arrow batch size for rows with texts, unless the session has one of its own."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":  # Spark's default
+        spark.conf.set(key, str(TEXT_BATCH_ROWS))
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back: lineage ends there."""
     spark = df.sparkSession

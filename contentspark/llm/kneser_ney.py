@@ -7,7 +7,7 @@ as it is rare, so stuttering text is dear); symbols from 4000 up share 90 classe
 is one long: its context is ``code >> 12``, its suffix the low bits.
 
 1. One scan counts the n-grams of all documents, those of trusted ones apart.
-   Tasks add up slices of about a million characters before the shuffle.
+   Tasks add up slices of about half a million characters before the shuffle.
 2. Count tables of every order are sharded by n-gram and joined order by order
    (count, context total and context discount mass, lower order's probability),
    which gives the log probability of each n-gram that the corpus has.
@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from contentspark.llm.common import BROADCAST_ROWS, by_key, materialize, whole_text
+from contentspark.llm.common import BROADCAST_ROWS, by_key, materialize, small_batches, whole_text
 
 ORDER = 4
 TRUSTED_ROWS = 400_000  # labelled documents that the model is fitted on, at most
@@ -50,7 +50,7 @@ QUANTILE = 0.99
 SLACK = 1.0
 PIVOT = 200.0           # symbols of a text whose perplexity scatters sqrt(2) times as much as a long one's
 TABLE_ROWS = 4 * BROADCAST_ROWS  # n-grams up to which the log probabilities are broadcast
-SLICE_CHARS = 1 << 20
+SLICE_CHARS = 1 << 19
 BITS = 12
 FIRST_CLASS, CLASSES = 4000, 90
 REPEAT, BEGIN = 4094, 4095
@@ -204,6 +204,7 @@ def trusted_ids(labels: DataFrame, most: int = TRUSTED_ROWS) -> DataFrame:
 
 def perplexities(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """One row per document: doc_id, lang, text_hash, n_symbols, log_perplexity, trusted."""
+    small_batches(docs.sparkSession)
     ids = materialize(trusted_ids(labels), "trusted")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"),
                        whole_text().alias("text"))

@@ -37,7 +37,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from contentspark.llm.common import by_key, materialize, shuffle_partitions, whole_text
+from contentspark.llm.common import by_key, materialize, shuffle_partitions, small_batches, whole_text
 from contentspark.llm.components import connected_components
 
 WORDS = 5
@@ -45,7 +45,7 @@ SIMILARITY = 0.8
 RECALL = 0.999       # of pairs at exactly SIMILARITY; more similar ones are found more often
 MAX_HASHES = 150     # bands times rows
 CHUNK_GRAMS = 1 << 16
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 COLUMN_SLAB = 8192
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -271,6 +271,7 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY, recall: float
     ``class_id`` is the smallest doc_id of all that links connect.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
     rows = materialize(docs.mapInArrow(_sketches(*banding(similarity, recall)), SKETCH), "sketches")
     usable = rows.where("doc_id IS NOT NULL AND grams > 0")

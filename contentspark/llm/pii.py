@@ -33,6 +33,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from contentspark.llm.common import small_batches
+
 KINDS = ["email", "ip", "card", "phone", "iban", "ssn"]
 BASE_KINDS = KINDS[:4]
 
@@ -175,6 +177,7 @@ def personal_data(docs: DataFrame) -> DataFrame:
     The counts and the digest are of base spans; ``spans`` holds all as kind:start:end
     (code points, end exclusive), ``scores`` the score of each, ``n_added`` how many the method added.
     """
+    small_batches(docs.sparkSession)
     searched = F.when(F.col("text").rlike("[0-9@]"), F.col("text"))
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), searched.alias("text")).mapInArrow(_scan, RESULT)
 

@@ -38,13 +38,15 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from contentspark.llm.common import small_batches
+
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARKER = "▁"
 UNKNOWN_PENALTY = 10.0
-CACHE_ENTRIES = 250_000
+CACHE_ENTRIES = 150_000
 SHORT = 48       # characters of a stretch that is cached and searched together with others
 TOGETHER = 8192  # stretches of similar length that are searched at once
-SLICE_CHARS = 1 << 20  # texts that are encoded at once, but for longer ones
+SLICE_CHARS = 1 << 19  # texts that are encoded at once, but for longer ones
 TRIES = 100  # free slots of the double array that a node tries before it goes to the end
 
 
@@ -296,6 +298,7 @@ def _local(shared: Broadcast) -> Tokenizer:
 
 
 def _share(df: DataFrame, model: str) -> Broadcast:
+    small_batches(df.sparkSession)
     return df.sparkSession.sparkContext.broadcast(Tokenizer(Vocabulary.load(model)))
 
 

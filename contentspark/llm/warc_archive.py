@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from contentspark.llm.common import by_key, materialize
+from contentspark.llm.common import by_key, materialize, small_batches
 
 MIN_REVISIT_BYTES = 0
 DATE = "1970-01-01T00:00:00Z"  # pages have no time of capture
@@ -154,6 +154,7 @@ def read_records(archive: Archive) -> DataFrame:
     ``verified``: the payload in the record (for revisits: in the response that has the
     declared digest) has the digests that the headers and the store claim.
     """
+    small_batches(archive.heads.sparkSession)
     parsed = materialize(reconstruct(archive).mapInArrow(_parse, PARSED), "warc-parsed")
     responses = parsed.where("type = 'response'")
     by_digest = responses.groupBy(F.col("declared").alias("d")).agg(
