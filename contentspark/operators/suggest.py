@@ -15,8 +15,8 @@ are formed.
 
 Related (SUG-7): more-like-this. Per source document its 12 best tf-idf terms
 (``row_number`` per document) form a query; candidates must match at least
-30 % of them; score = sum of BM25 of matched terms; the source is excluded;
-top 5 per source.
+30 % of them (found through the rarest ones); score = sum of BM25 of matched
+terms; the source is excluded; top 5 per source.
 """
 
 from __future__ import annotations
@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from contentspark.functions.text import tokens
 from contentspark.operators.analysis import edge_ngrams
 from contentspark.operators.search import TextIndex, bm25, fuzzy_expand
+from contentspark.session import written
 
 MIN_PREFIX, MAX_PREFIX = 3, 10
 
@@ -97,14 +98,9 @@ def language_model(shingle_rows: DataFrame, postings: DataFrame) -> tuple[DataFr
     return uni, bi, totals
 
 
-def spelling(queries: DataFrame, vocabulary: DataFrame, uni: DataFrame, bi: DataFrame, totals: DataFrame,
-             max_changes: int = 2, min_score: float = MIN_SCORE) -> DataFrame:
-    """SUG-4/5: (query_id, query, suggestion, score) - the corrected phrase when it differs.
-
-    gain = log-likelihood improvement of the chosen corrections over the
-    original phrase; score = 1 - exp(-gain) in (0, 1); suggestions with
-    score <= ``min_score`` drop.
-    """
+def spelling_candidates(queries: DataFrame, vocabulary: DataFrame, uni: DataFrame, bi: DataFrame, totals: DataFrame
+                        ) -> DataFrame:
+    """(query_id, pos, term, vterm, gain): candidates per query position with their gain over the word itself."""
     qt = queries.select("query_id", F.posexplode(tokens(F.col("query"))).alias("pos", "term"))
     ctx = qt.select("query_id", "pos", "term",
                     F.lag("term").over(Window.partitionBy("query_id").orderBy("pos")).alias("left"),
@@ -130,10 +126,20 @@ def spelling(queries: DataFrame, vocabulary: DataFrame, uni: DataFrame, bi: Data
             + F.levenshtein("term", "vterm") * F.lit(EDIT_PENALTY)
             + F.when(F.col("uc").isNull(), F.lit(UNSEEN_PENALTY)).otherwise(0.0))
     s = s.withColumn("logp", logp)
-    w = Window.partitionBy("query_id", "pos").orderBy(F.col("logp").desc(), F.col("vterm").asc())
-    best = s.withColumn("r", F.row_number().over(w)).filter("r = 1").drop("r")
     orig = s.filter(F.col("vterm") == F.col("term")).select("query_id", "pos", F.col("logp").alias("logp0"))
-    best = best.join(orig, ["query_id", "pos"]).withColumn("gain", F.col("logp") - F.col("logp0"))
+    return s.join(orig, ["query_id", "pos"]).select(
+        "query_id", "pos", "term", "vterm", F.round(F.col("logp") - F.col("logp0"), 9).alias("gain"))
+
+
+def spelling(queries: DataFrame, candidates: DataFrame, max_changes: int = 2, min_score: float = MIN_SCORE) -> DataFrame:
+    """SUG-4/5: (query_id, query, suggestion, score) - the corrected phrase when it differs.
+
+    gain = log-likelihood improvement of the chosen corrections over the
+    original phrase; score = 1 - exp(-gain) in (0, 1); suggestions with
+    score <= ``min_score`` drop.
+    """
+    w = Window.partitionBy("query_id", "pos").orderBy(F.col("gain").desc(), F.col("vterm").asc())
+    best = candidates.withColumn("r", F.row_number().over(w)).filter("r = 1").drop("r")
     wg = Window.partitionBy("query_id").orderBy(F.col("gain").desc(), F.col("pos").asc())
     best = best.withColumn("g", F.row_number().over(wg))
     chosen = F.when((F.col("g") <= max_changes) & (F.col("gain") > 0), F.col("vterm")).otherwise(F.col("term"))
@@ -149,6 +155,17 @@ def spelling(queries: DataFrame, vocabulary: DataFrame, uni: DataFrame, bi: Data
         "query_id", "query", "suggestion", "score")
 
 
+def alternatives(queries: DataFrame, candidates: DataFrame, k: int) -> DataFrame:
+    """SUG-6: (query_id, rank, suggestion, score) - up to ``k`` phrases per query, each with one word changed."""
+    changed = candidates.filter((F.col("vterm") != F.col("term")) & (F.col("gain") > 0))
+    w = Window.partitionBy("query_id").orderBy(F.col("gain").desc(), "pos", "vterm")
+    top = changed.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    toks = queries.select("query_id", tokens(F.col("query")).alias("toks"))
+    words = F.transform("toks", lambda x, i: F.when(i == F.col("pos"), F.col("vterm")).otherwise(x))
+    return top.join(toks, "query_id").select("query_id", "rank", F.array_join(words, " ").alias("suggestion"),
+                                             (1.0 - F.exp(-F.col("gain"))).alias("score"))
+
+
 def only_when_empty(suggestions: DataFrame, hits: DataFrame) -> DataFrame:
     """SUG-6: keep suggestions only for queries without any hit (left anti join)."""
     return suggestions.join(hits.select("query_id").distinct(), "query_id", "left_anti")
@@ -158,25 +175,35 @@ def only_when_empty(suggestions: DataFrame, hits: DataFrame) -> DataFrame:
 
 
 def related(index: TextIndex, sources: DataFrame, fields: list[str], n_terms: int = 12, min_match: float = 0.3,
-            k: int = 5) -> DataFrame:
-    """SUG-7: (source_id, doc_id, score, rank) - k most similar documents per source document."""
+            k: int = 5, among: DataFrame | None = None) -> DataFrame:
+    """SUG-7: (source_id, doc_id, score, rank) - k most similar documents per source document.
+
+    Tag and category names are fields like any other. ``among`` (doc_id) restricts the candidates, e.g.
+    to some post types. A document that matches m of a source's n terms holds one of its n - m + 1
+    rarest: candidates come from those, so a source's most frequent terms are only looked up in them.
+    """
     post = index.postings.filter(F.col("field").isin(fields))
-    tf = post.groupBy("doc_id", "term").agg(F.sum("tf").alias("tf"))
+    tf = written(post.groupBy("doc_id", "term").agg(F.sum("tf").alias("tf")), "related-tf")
     df = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     n_docs = tf.select("doc_id").distinct().agg(F.count(F.lit(1)).alias("n")).scalar()
     src_tf = tf.join(sources.select(F.col("doc_id")), "doc_id", "left_semi").join(df, "term")
     w = Window.partitionBy("doc_id").orderBy(
         (F.col("tf") * F.log(1.0 + (n_docs - F.col("df") + 0.5) / (F.col("df") + 0.5))).desc(), F.col("term"))
     top = (src_tf.withColumn("r", F.row_number().over(w)).filter(F.col("r") <= n_terms)
-           .select(F.col("doc_id").alias("source_id"), "term"))
-    nq = top.groupBy("source_id").agg(F.count(F.lit(1)).alias("nq"))
+           .select(F.col("doc_id").alias("source_id"), "term", "df"))
+    of = Window.partitionBy("source_id")
+    top = top.withColumn("nq", F.count(F.lit(1)).over(of)).withColumn("need", F.ceil(F.col("nq") * min_match))
+    top = written(top.withColumn("rarity", F.row_number().over(of.orderBy("df", "term"))), "related-terms")
+    rare = top.filter(F.col("rarity") <= F.col("nq") - F.col("need") + 1)
+    cand = rare.join(tf.select("doc_id", "term"), "term").filter(F.col("doc_id") != F.col("source_id"))
+    if among is not None:
+        cand = cand.join(among.select("doc_id"), "doc_id", "left_semi")
+    cand = cand.select("source_id", "doc_id").distinct()
     lengths = post.filter("opens").groupBy("doc_id").agg(F.sum("len").alias("len"))
     avg = lengths.agg(F.avg("len")).scalar()
-    cand = (top.join(tf, "term").filter(F.col("doc_id") != F.col("source_id"))
-            .join(df, "term").join(lengths, "doc_id")
+    hits = (cand.join(top, "source_id").join(tf, ["doc_id", "term"]).join(lengths, "doc_id")
             .withColumn("s", bm25(F.col("tf"), F.col("len"), avg, F.col("df"), n_docs)))
-    per = cand.groupBy("source_id", "doc_id").agg(F.sum("s").alias("score"), F.count(F.lit(1)).alias("m"))
-    per = per.join(nq, "source_id").filter(F.col("m") >= F.ceil(F.col("nq") * min_match))
+    per = hits.groupBy("source_id", "doc_id", "need").agg(F.round(F.sum("s"), 6).alias("score"), F.count(F.lit(1)).alias("m"))
     wr = Window.partitionBy("source_id").orderBy(F.col("score").desc(), F.col("doc_id").asc())
-    return (per.withColumn("rank", F.row_number().over(wr)).filter(F.col("rank") <= k)
+    return (per.filter(F.col("m") >= F.col("need")).withColumn("rank", F.row_number().over(wr)).filter(F.col("rank") <= k)
             .select("source_id", "doc_id", "score", "rank"))

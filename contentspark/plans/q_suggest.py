@@ -6,10 +6,12 @@ from pyspark.sql import functions as F
 
 from contentspark.operators import analysis as A
 from contentspark.operators import documents as DOC
+from contentspark.operators import fields as FL
 from contentspark.operators import search as S
 from contentspark.operators import suggest as SG
 from contentspark.plans.registry import query
-from contentspark.plans.sqlviews import tokens
+from contentspark.plans.sqlviews import V_POSTS, tokens, with_views
+from contentspark.session import written
 from contentspark.sources import views as V
 from contentspark.sources.tables import Tables
 
@@ -56,57 +58,133 @@ def sug3_completion_top5(spark, sf):
     return SG.completion_top_k(m, posts, k=5).select("query_id", "doc_id", "rank")
 
 
-def lm(spark, sf):
-    rows = A.unpivot_fields(Tables(spark, sf).documents, "doc_id", {"post_content": F.col("text")})
-    idx = S.TextIndex.build(rows)
-    uni, bi, totals = SG.language_model(A.shingles(rows, 2, 2), idx.postings)
-    return idx, uni, bi, totals
-
-
 def misspelled_queries(spark, sf):
     """Benchmark queries with their longest token's 2nd and 3rd letters swapped (a typo)."""
     q = V.v_queries(spark, sf)
     t = S.analyze(F.col("query"))
     longest = F.aggregate(t, F.lit(""), lambda acc, x: F.when(F.length(x) > F.length(acc), x).otherwise(acc))
     typo = F.concat(F.substring(longest, 1, 1), F.substring(longest, 3, 1), F.substring(longest, 2, 1),
-                    F.substring(longest, 4, 1000))
+                    F.substring(longest, 4, 1 << 20))
     return q.select("query_id", F.array_join(F.transform(t, lambda x: F.when(x == longest, typo).otherwise(x)), " ")
                     .alias("query"))
 
 
-@query("sug4_spelling_suggestions")
+def candidates(spark, sf):
+    """Scored spelling candidates of the misspelled queries, written once: all of SUG-4..6 read them."""
+    rows = A.unpivot_fields(Tables(spark, sf).documents, "doc_id", {"post_content": F.col("text")})
+    idx = S.cached_index("documents:post_content=text", rows)
+    uni, bi, totals = SG.language_model(A.shingles(rows, 2, 2), idx.postings)
+    uni, bi = written(uni, "unigrams"), written(bi, "bigrams")
+    totals = uni.agg(F.sum("c").alias("n_tokens"), F.count(F.lit(1)).cast("double").alias("vocab"))
+    return written(SG.spelling_candidates(misspelled_queries(spark, sf), idx.vocabulary(), uni, bi, totals), "spelling")
+
+
+SPELLING_SQL = f'''
+WITH dt AS (SELECT doc_id, {tokens('text')} AS toks FROM documents),
+uni AS (SELECT term, count(*) AS c FROM (SELECT unnest(toks) AS term FROM dt) GROUP BY term),
+bi AS (SELECT w1, w2, count(*) AS c FROM (SELECT unnest(toks[:-2]) AS w1, unnest(toks[2:]) AS w2 FROM dt WHERE len(toks) > 1)
+       GROUP BY ALL),
+tot AS (SELECT sum(c) AS n, count(*) AS v FROM uni),
+q0 AS (SELECT item_id AS query_id, {tokens('text')} AS t FROM benchmark),
+q1 AS (SELECT query_id, t, list_filter(t, lambda x: length(x) = list_max(list_transform(t, lambda y: length(y))))[1] AS l FROM q0),
+q AS (SELECT query_id, list_transform(t, lambda x: CASE WHEN x = l
+        THEN substr(l, 1, 1) || substr(l, 3, 1) || substr(l, 2, 1) || substr(l, 4) ELSE x END) AS t FROM q1),
+ctx AS (SELECT query_id, i AS pos, t[i + 1] AS term, CASE WHEN i > 0 THEN t[i] END AS lft, t[i + 2] AS rgt
+        FROM (SELECT query_id, t, unnest(range(len(t))) AS i FROM q)),
+qw AS (SELECT DISTINCT term FROM ctx),
+chars AS (SELECT ch, row_number() OVER (ORDER BY ch) AS r FROM (
+  SELECT DISTINCT unnest(string_split(term, '')) AS ch FROM (SELECT term FROM uni UNION SELECT term FROM qw))),
+cm AS (SELECT map_from_entries(list(struct_pack(k := ch, v := chr((32 + r)::INTEGER)))) AS m FROM chars),
+qe AS (SELECT term, array_to_string(list_transform(string_split(term, ''), lambda c: map_extract_value(cm.m, c)), '') AS e FROM qw, cm),
+ve AS (SELECT term, array_to_string(list_transform(string_split(term, ''), lambda c: map_extract_value(cm.m, c)), '') AS e FROM uni, cm),
+pairs AS (SELECT qe.term, ve.term AS vterm, levenshtein(qe.e, ve.e) AS d FROM qe JOIN ve
+          ON abs(length(qe.e) - length(ve.e)) <= 2 AND levenshtein(qe.e, ve.e)
+             <= CASE WHEN length(qe.e) <= 2 THEN 0 WHEN length(qe.e) <= 5 THEN 1 ELSE 2 END
+          UNION SELECT term, term, 0 FROM qw),
+sc AS (
+  SELECT c.query_id, c.pos, c.term, p.vterm,
+         ln((coalesce(u.c, 0) + 1) / (tot.n + tot.v))
+         + CASE WHEN c.lft IS NULL THEN 0 ELSE ln((coalesce(b1.c, 0) + 1) / (coalesce(ul.c, 0) + tot.v)) END
+         + CASE WHEN c.rgt IS NULL THEN 0 ELSE ln((coalesce(b2.c, 0) + 1) / (coalesce(u.c, 0) + tot.v)) END
+         + p.d * ln(0.05) + CASE WHEN u.c IS NULL THEN 3 * ln(0.05) ELSE 0 END AS logp
+  FROM ctx c JOIN pairs p USING (term) CROSS JOIN tot LEFT JOIN uni u ON u.term = p.vterm LEFT JOIN uni ul ON ul.term = c.lft
+  LEFT JOIN bi b1 ON b1.w1 = c.lft AND b1.w2 = p.vterm LEFT JOIN bi b2 ON b2.w1 = p.vterm AND b2.w2 = c.rgt),
+cand AS (SELECT s.query_id, s.pos, s.term, s.vterm, round(s.logp - o.logp, 9) AS gain
+         FROM sc s JOIN sc o ON o.query_id = s.query_id AND o.pos = s.pos AND o.vterm = o.term),
+best AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY gain DESC, pos) AS g FROM (
+           SELECT * FROM cand QUALIFY row_number() OVER (PARTITION BY query_id, pos ORDER BY gain DESC, vterm) = 1)),
+said AS (SELECT query_id, string_agg(term, ' ' ORDER BY pos) AS query,
+                string_agg(CASE WHEN g <= 2 AND gain > 0 THEN vterm ELSE term END, ' ' ORDER BY pos) AS suggestion,
+                1 - exp(-sum(CASE WHEN g <= 2 AND gain > 0 THEN gain ELSE 0 END)) AS score
+         FROM best GROUP BY query_id)
+'''
+
+
+@query("sug4_spelling_suggestions", SPELLING_SQL + "SELECT * FROM said WHERE suggestion <> query AND score > 0.0001")
 def sug4_spelling_suggestions(spark, sf):
     """Noisy-channel phrase corrections (<= 2 changed words, score > 0.0001) for typo'd queries."""
-    idx, uni, bi, totals = lm(spark, sf)
-    return SG.spelling(misspelled_queries(spark, sf), idx.vocabulary(), uni, bi, totals)
+    return SG.spelling(misspelled_queries(spark, sf), candidates(spark, sf))
 
 
-@query("sug5_min_score_strict")
+@query("sug5_min_score_strict", SPELLING_SQL + "SELECT * FROM said WHERE suggestion <> query AND score > 0.99")
 def sug5_min_score_strict(spark, sf):
-    """The same with a 0.1 minimum score: weaker suggestions are dropped."""
-    idx, uni, bi, totals = lm(spark, sf)
-    return SG.spelling(misspelled_queries(spark, sf), idx.vocabulary(), uni, bi, totals, min_score=0.1)
+    """The same with a 0.99 minimum score: weaker suggestions are dropped."""
+    return SG.spelling(misspelled_queries(spark, sf), candidates(spark, sf), min_score=0.99)
 
 
-@query("sug6_suggest_only_when_empty")
+@query("sug6_suggest_only_when_empty", SPELLING_SQL + """
+SELECT * FROM said WHERE suggestion <> query AND score > 0.0001 AND query_id NOT IN (
+  SELECT q.query_id FROM q JOIN dt ON list_has_all(dt.toks, q.t))""")
 def sug6_suggest_only_when_empty(spark, sf):
     """Suggestions only for typo'd queries whose AND match finds nothing."""
-    idx, uni, bi, totals = lm(spark, sf)
     q = misspelled_queries(spark, sf)
-    sugg = SG.spelling(q, idx.vocabulary(), uni, bi, totals)
-    hits = S.match(q, idx, {"post_content": 1.0}, "and")
-    return SG.only_when_empty(sugg, hits)
-
-
-@query("sug7_related_documents")
+    hits = S.match(q, V.documents_index(spark, sf), {"post_content": 1.0}, "and")
+    return SG.only_when_empty(SG.spelling(q, candidates(spark, sf)), hits)
+
+
+@query("sug6_alternatives", SPELLING_SQL + """,
+alt AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY gain DESC, pos, vterm) AS rank FROM cand
+        WHERE vterm <> term AND gain > 0)
+SELECT a.query_id, a.rank, array_to_string(list_concat(q.t[:a.pos], [a.vterm], q.t[a.pos + 2:]), ' ') AS suggestion,
+       1 - exp(-a.gain) AS score
+FROM alt a JOIN q USING (query_id) WHERE a.rank <= 5""")
+def sug6_alternatives(spark, sf):
+    """Up to five alternative phrases per query, each with one word corrected."""
+    return SG.alternatives(misspelled_queries(spark, sf), candidates(spark, sf), 5)
+
+
+RELATED_FIELDS = ["post_title", "post_content", "terms.source.name"]
+
+
+@query("sug7_related_documents", with_views(V_POSTS) + f''',
+fr AS (SELECT id, post_title AS txt FROM v_posts WHERE post_type IN ('post', 'page')
+       UNION ALL SELECT id, post_content FROM v_posts WHERE post_type IN ('post', 'page')
+       UNION ALL SELECT id, source FROM v_posts WHERE post_type = 'post'),
+occ AS (SELECT id, unnest({tokens('txt')}) AS term FROM fr),
+tf AS (SELECT id, term, count(*) AS tf FROM occ GROUP BY ALL),
+lens AS (SELECT id, sum(tf) AS len FROM tf GROUP BY id),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+n AS (SELECT count(*) AS n, avg(len) AS avg_len FROM lens),
+top AS (SELECT id AS source_id, term, df, count(*) OVER (PARTITION BY id) AS nq FROM (
+          SELECT tf.id, tf.term, df.df, row_number() OVER (PARTITION BY tf.id
+                   ORDER BY tf.tf * ln(1.0 + (n.n - df.df + 0.5) / (df.df + 0.5)) DESC, tf.term) AS r
+          FROM tf JOIN df USING (term) CROSS JOIN n JOIN v_posts p ON p.id = tf.id AND p.post_type = 'post') WHERE r <= 12),
+per AS (SELECT t.source_id, tf.id AS doc_id, any_value(t.nq) AS nq, count(*) AS m,
+               round(sum(ln(1.0 + (n.n - t.df + 0.5) / (t.df + 0.5)) * tf.tf * 2.2
+                         / (tf.tf + 1.2 * (0.25 + 0.75 * l.len / n.avg_len))), 6) AS score
+        FROM top t JOIN tf ON tf.term = t.term AND tf.id <> t.source_id JOIN lens l ON l.id = tf.id CROSS JOIN n
+        JOIN v_posts p ON p.id = tf.id AND p.post_type = 'post' GROUP BY t.source_id, tf.id)
+SELECT source_id, doc_id, round(score * 1000)::BIGINT AS score, rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY source_id ORDER BY score DESC, doc_id) AS rank FROM per
+  WHERE m >= ceil(nq * 0.3)) WHERE rank <= 5''')
 def sug7_related_documents(spark, sf):
-    """More-like-this for every document: top-12 tf-idf terms, >= 30 % matched, top 5."""
-    d = Tables(spark, sf).documents
-    from contentspark.functions.text import first_line
-
-    rows = A.unpivot_fields(d, "doc_id", {"post_title": first_line(F.col("text")), "post_content": F.col("text")})
-    idx = S.TextIndex.build(rows)
-    out = SG.related(idx, d.select("doc_id"), ["post_title", "post_content"])
+    """More-like-this for every post over titles, contents and source tags of posts and pages: top-12 tf-idf
+    terms, >= 30 % matched, top 5 among the posts."""
+    posts = V.v_posts(spark, sf, types=["post", "page"])
+    rows = FL.field_rows(posts, RELATED_FIELDS)
+    idx = S.cached_index("v_posts(post,page):" + ",".join(RELATED_FIELDS), rows)
+    ids = V.v_posts(spark, sf, types=["post"]).select(F.col("id").alias("doc_id"))
+    out = SG.related(idx, ids, RELATED_FIELDS, among=ids)
     return out.select("source_id", "doc_id", S.milli(F.col("score")).alias("score"), "rank")
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from contentspark.operators import hierarchy as H
 from contentspark.plans.q_hierarchy import GEO_CLOSURE_SQL
 from contentspark.plans.registry import query
+from contentspark.session import checkpoint_dir
 from contentspark.sources import views as V
 from contentspark.sources.tables import Tables
 from contentspark.streaming import sync as SY
@@ -38,8 +39,10 @@ WITH t AS (
 )
 SELECT *, CASE WHEN failed = 0 THEN 'success' WHEN synced = 0 THEN 'failed' ELSE 'with_errors' END AS status FROM t""")
 def str1_full_rebuild_summary(spark, sf):
-    """Classify every document (synced / skipped by the exclude flag / failed validation) and total."""
-    return SY.rebuild_summary(doc_plan(spark, sf), "post")
+    """Every document classified (synced / skipped by the exclude flag / failed validation), the synced
+    ones written, and the totals of what was written."""
+    run = SY.full_rebuild(spark, doc_plan(spark, sf), "post")
+    return run.select("entity", "synced", "skipped", "failed", "status")
 
 
 @query("str2_change_dedup", LAST_SQL + "SELECT object_id, event_id, event_type FROM last")
@@ -53,11 +56,22 @@ def change_transform(batch):
     return SY.eligibility(ch, F.col("event_type") != "error")
 
 
+def event_files(spark, sf, files: int = 8) -> str:
+    """The events as files of a feed in the shared folder (a stand-in for files that arrive over time)."""
+    import os
+    import uuid
+
+    path = os.path.join(checkpoint_dir(spark), f"feed-{uuid.uuid4().hex}")
+    Tables(spark, sf).events.repartition(files, "event_id").write.parquet(path)
+    return path
+
+
 @query("str3_incremental_upsert_final", LAST_SQL + "SELECT object_id, event_id FROM last WHERE event_type <> 'error'")
 def str3_incremental_upsert_final(spark, sf):
-    """The events table streamed (readStream -> foreachBatch) into a versioned target; live rows."""
-    schema = Tables(spark, sf).events.schema
-    out = SY.run_change_stream(spark, sf, schema, change_transform, "str3", glob="events.parquet")
+    """The events table, as eight files of a change feed, streamed (readStream -> foreachBatch, one file a
+    micro-batch) into a versioned target; live rows."""
+    feed = event_files(spark, sf)
+    out = SY.run_change_stream(spark, feed, Tables(spark, sf).events.schema, change_transform, "str3")
     return SY.current_state(out).select("object_id", "event_id")
 
 
@@ -139,6 +153,21 @@ def str8_failed_rows(spark, sf):
     return SY.failed_rows(doc_plan(spark, sf)).select("doc_id", "error")
 
 
+@query("str8_retries", """
+SELECT 'post' AS entity, count_if(coalesce(l.quality, 1) <> 0 AND d.n_chars <= 80000 AND length(d.text) > 0)::BIGINT AS synced,
+       count_if(coalesce(l.quality, 1) = 0)::BIGINT AS skipped,
+       count_if(coalesce(l.quality, 1) <> 0 AND NOT (d.n_chars <= 80000 AND length(d.text) > 0))::BIGINT AS failed
+FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id""")
+def str8_retries(spark, sf):
+    """Rows that fail are tried again, here with twice and four times the size limit; what is left has failed."""
+    def again(failed, attempt):
+        return SY.rebuild_plan(failed.drop("sync_status", "error"), F.lit(False),
+                               (F.length("text") > 0) & (F.col("n_chars") <= 20000 * 2 ** (attempt - 1)), F.lit("document too large"))
+
+    run = SY.full_rebuild(spark, doc_plan(spark, sf), "post", retry=again, attempts=3)
+    return run.select("entity", "synced", "skipped", "failed")
+
+
 @query("str9_skip_rules", """
 SELECT count_if(coalesce(l.quality, 1) = 0)::BIGINT AS skipped FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id""")
 def str9_skip_rules(spark, sf):

@@ -58,22 +58,34 @@ def eligibility(changes: DataFrame, eligible: Column) -> DataFrame:
 # ---------------------------------------------------------------- streaming
 
 
+BUCKETS = 64  # of a versioned target: a micro-batch rewrites those that its keys fall into
+
+
 def stream_changes(spark: SparkSession, source_dir: str, schema, target_dir: str, checkpoint: str,
                    transform, key: str = "object_id", max_files: int = 1, glob: str | None = None):
     """STR-3 as Structured Streaming: files in ``source_dir`` -> ``transform`` -> versioned target.
 
-    Each micro-batch reads the current target, merges, and writes a new
-    generation ``target_dir/gen=<batch_id>``; the batch id makes a replayed
-    batch overwrite its own generation (exactly-once with the checkpoint).
+    The target is cut into key buckets. Each micro-batch reads the buckets that its
+    keys fall into, merges, and writes them as generation ``target_dir/gen=<batch_id>``;
+    the other buckets stay where they are. The batch id makes a replayed batch
+    overwrite its own generation (exactly-once with the checkpoint). Bucket folders
+    that two later generations have replaced are removed.
     Returns the started query.
     """
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         s = batch.sparkSession
-        prev = latest_generation(s, target_dir, before=batch_id)
-        changes = transform(batch)
-        merged = apply_changes(prev, changes, key)
-        merged.write.mode("overwrite").parquet(os.path.join(target_dir, f"gen={batch_id:012d}"))
+        changes = last_change_per_key(transform(batch), key).withColumn("bucket", F.pmod(F.hash(key), F.lit(BUCKETS)))
+        changes = changes.persist()
+        try:
+            touched = [r[0] for r in changes.select("bucket").distinct().collect()]  # at most BUCKETS numbers
+            prev = read_buckets(s, target_dir, before=batch_id, only=touched)
+            merged = apply_changes(prev, changes, key)
+            (merged.repartition("bucket").write.mode("overwrite").partitionBy("bucket")
+             .parquet(os.path.join(target_dir, f"gen={batch_id:012d}")))
+        finally:
+            changes.unpersist()
+        remove_replaced(s, target_dir, before=batch_id)
 
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
     if glob:
@@ -83,22 +95,54 @@ def stream_changes(spark: SparkSession, source_dir: str, schema, target_dir: str
             .trigger(availableNow=True).start())
 
 
-def latest_generation(spark: SparkSession, target_dir: str, before: int | None = None) -> DataFrame | None:
-    """The newest complete generation of a versioned target (None when there is none)."""
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(target_dir)
+def _folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in ``path`` (one listing; none where it does not exist)."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(jvm_path):
-        return None
-    gens = []
-    for st in fs.listStatus(jvm_path):
-        name = st.getPath().getName()
-        if name.startswith("gen=") and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            g = int(name[4:])
-            if before is None or g < before:
-                gens.append(g)
-    if not gens:
-        return None
-    return spark.read.parquet(os.path.join(target_dir, f"gen={max(gens):012d}"))
+    return [st.getPath().getName() for st in fs.listStatus(jvm_path) if st.isDirectory()] if fs.exists(jvm_path) else []
+
+
+def bucket_versions(spark: SparkSession, target_dir: str, before: int | None = None) -> dict[int, list[int]]:
+    """{bucket: generations that hold it, newest first}, of complete generations (before ``before``)."""
+    out: dict[int, list[int]] = {}
+    for name in sorted(_folders(spark, target_dir), reverse=True):
+        if not name.startswith("gen=") or (before is not None and int(name[4:]) >= before):
+            continue
+        folder = spark._jvm.org.apache.hadoop.fs.Path(os.path.join(target_dir, name, "_SUCCESS"))
+        if folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+            for b in _folders(spark, os.path.join(target_dir, name)):
+                if b.startswith("bucket="):
+                    out.setdefault(int(b[7:]), []).append(int(name[4:]))
+    return out
+
+
+def _bucket_path(target_dir: str, generation: int, bucket: int) -> str:
+    return os.path.join(target_dir, f"gen={generation:012d}", f"bucket={bucket}")
+
+
+def read_buckets(spark: SparkSession, target_dir: str, before: int | None = None, only: list[int] | None = None
+                 ) -> DataFrame | None:
+    """The newest version of every bucket (or of ``only`` some); None when there is none."""
+    versions = bucket_versions(spark, target_dir, before)
+    frames = []
+    by_generation: dict[int, list[str]] = {}
+    for b, generations in versions.items():
+        if only is None or b in only:
+            by_generation.setdefault(generations[0], []).append(_bucket_path(target_dir, generations[0], b))
+    for generation, paths in by_generation.items():
+        frames.append(spark.read.option("basePath", os.path.join(target_dir, f"gen={generation:012d}")).parquet(*paths))
+    out = frames[0] if frames else None
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+def remove_replaced(spark: SparkSession, target_dir: str, before: int) -> None:
+    """Removes bucket folders that two newer generations before ``before`` have replaced (a replay needs one)."""
+    for b, generations in bucket_versions(spark, target_dir, before).items():
+        for old in generations[2:]:
+            path = spark._jvm.org.apache.hadoop.fs.Path(_bucket_path(target_dir, old, b))
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def run_change_stream(spark: SparkSession, source_dir: str, schema, transform, name: str,
@@ -112,10 +156,10 @@ def run_change_stream(spark: SparkSession, source_dir: str, schema, transform, n
     q = stream_changes(spark, source_dir, schema, target, os.path.join(base, "checkpoint"), transform, key,
                        glob=glob)
     q.awaitTermination()
-    out = latest_generation(spark, target)
+    out = read_buckets(spark, target)
     if out is None:
         raise RuntimeError("the change stream produced no generation")
-    return out
+    return out.drop("bucket")
 
 
 # ---------------------------------------------------------------- rebuild / cascades
@@ -138,11 +182,49 @@ def rebuild_summary(plan: DataFrame, entity: str) -> DataFrame:
     return s.select(F.lit(entity).alias("entity"), "synced", "skipped", "failed", status.alias("status"))
 
 
-def full_rebuild(spark: SparkSession, plan: DataFrame, entity: str, out_dir: str | None = None) -> DataFrame:
-    """STR-1: write the synced rows of an entity (overwrite) and return the summary."""
-    out_dir = out_dir or os.path.join(checkpoint_dir(spark), "index", entity)
-    plan.filter(F.col("sync_status") == "synced").drop("sync_status", "error").write.mode("overwrite").parquet(out_dir)
-    return rebuild_summary(plan, entity)
+def full_rebuild(spark: SparkSession, plan: DataFrame, entity: str, out_dir: str | None = None, retry=None,
+                 attempts: int = 3) -> DataFrame:
+    """STR-1/8/11: write an entity, retry what failed, and return the run's summary.
+
+    The synced rows are written as ``out_dir/attempt=1``. ``retry`` (failed rows, attempt -> plan of
+    them) gets up to ``attempts - 1`` more tries; rows that it repairs are appended as further
+    attempts. The summary reads what was written (``written``) and appends to the run history.
+    """
+    import time
+    import uuid
+
+    out_dir = out_dir or os.path.join(checkpoint_dir(spark), "index", f"{entity}-{uuid.uuid4().hex}")
+    began, attempt, left = time.time(), 1, plan
+    totals = rebuild_summary(plan, entity)
+    while True:
+        left = _write_attempt(spark, left, out_dir, attempt)
+        if retry is None or attempt >= attempts or left.isEmpty():
+            break
+        attempt += 1
+        left = retry(left, attempt)
+    written = spark.read.option("basePath", out_dir).parquet(os.path.join(out_dir, "attempt=*"))
+    n = written.agg(F.count(F.lit(1)).cast("bigint")).scalar()
+    failed = left.agg(F.count_if(F.col("sync_status") == "failed").cast("bigint")).scalar()
+    status = F.when(F.col("failed") == 0, "success").when(F.col("synced") == 0, "failed").otherwise("with_errors")
+    summary = (totals.select("entity", "skipped", n.alias("synced"), failed.alias("failed"))
+               .withColumns({"status": status, "attempts": F.lit(attempt), "seconds": F.lit(round(time.time() - began, 3)),
+                             "path": F.lit(out_dir)}))
+    return summary
+
+
+def _write_attempt(spark: SparkSession, plan: DataFrame, out_dir: str, attempt: int) -> DataFrame:
+    """Writes the synced rows of one attempt and returns the failed ones, read from a table of their own."""
+    plan.filter(F.col("sync_status") == "synced").drop("sync_status", "error").write.mode("overwrite").parquet(
+        os.path.join(out_dir, f"attempt={attempt}"))
+    path = os.path.join(out_dir, "failed", f"attempt={attempt}")
+    failed_rows(plan).write.mode("overwrite").parquet(path)
+    return spark.read.schema(plan.schema).parquet(path)
+
+
+def append_history(spark: SparkSession, summary: DataFrame, history_dir: str) -> DataFrame:
+    """STR-11: appends a run's summary to the history table and returns the whole history."""
+    summary.withColumn("ended", F.current_timestamp()).write.mode("append").parquet(history_dir)
+    return spark.read.parquet(history_dir)
 
 
 def failed_rows(plan: DataFrame) -> DataFrame:
