@@ -64,6 +64,18 @@ def rekey(pointers: DataFrame, renames: DataFrame) -> DataFrame:
             .select(F.coalesce("new_term", "search_term").alias("search_term"), "doc_id", "position"))
 
 
+def restore(pointers: DataFrame, removed: DataFrame, posts: DataFrame) -> DataFrame:
+    """CUR-4: pointers plus those of ``removed`` whose document is published again.
+
+    A restored pointer takes its old position if no other pointer of its term holds that by now.
+    """
+    live = posts.filter(F.col("post_status") == "publish").select(F.col("id").alias("doc_id"))
+    back = (removed.join(live, "doc_id", "left_semi")
+            .join(pointers.select("search_term", "doc_id"), ["search_term", "doc_id"], "left_anti")
+            .join(pointers.select("search_term", "position"), ["search_term", "position"], "left_anti"))
+    return pointers.select("search_term", "doc_id", "position").unionByName(back.select("search_term", "doc_id", "position"))
+
+
 def pointer_changes(old: DataFrame, new: DataFrame) -> DataFrame:
     """CUR-4: (search_term, doc_id, op, position) with op insert / update / delete (full outer join)."""
     o = old.select("search_term", "doc_id", F.col("position").alias("old_pos"))

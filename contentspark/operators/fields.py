@@ -62,11 +62,6 @@ def searchable_types(weights: DataFrame) -> DataFrame:
     return weights.filter(F.col("enabled")).select("post_type").distinct()
 
 
-def fuzzy_fields(weights: DataFrame, post_type: str) -> DataFrame:
-    """SCR-5: fields of a type that stay in fuzzy clauses."""
-    return weights.filter((F.col("post_type") == post_type) & F.col("enabled") & F.col("fuzzy")).select("field")
-
-
 def decay_enabled(mode: str, post_types: list[str] | None) -> bool:
     """SCR-8: decay switch: 'off'; 'off_products' (off when only products are searched);
     'off_with_products' (off whenever products are included); anything else on."""

@@ -383,11 +383,6 @@ def invalid_date_parts(year: Column, month: Column, day: Column, hour: Column |
     return F.coalesce(out_of_bounds | ~real, F.lit(True))
 
 
-def iso_weeks_in_year(year: Column) -> Column:
-    """52 or 53: the ISO week number of Dec 28 of the year."""
-    return F.weekofyear(F.make_date(year, F.lit(12), F.lit(28)))
-
-
 # ---------------------------------------------------------------- compile
 
 def post_filter(args: dict, searchable_types: list[str] | None = None,

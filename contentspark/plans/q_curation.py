@@ -104,3 +104,25 @@ def cur4_pointer_maintenance(spark, sf):
         F.when(F.coalesce(F.col("toxic"), F.lit(0)) == 1, "trash").otherwise("publish").alias("post_status"))
     new = C.clean_pointers(old, posts, page_size=2)
     return C.pointer_changes(old, new)
+
+
+@query("cur4_rekey", CUR_SQL + """
+SELECT CASE WHEN query_id % 2 = 0 THEN 'new ' || p.search_term ELSE p.search_term END AS search_term, p.doc_id, p.position
+FROM pointers p JOIN qtext ON qtext.query = p.search_term""")
+def cur4_rekey(spark, sf):
+    """Every second search term is renamed; its pointers follow."""
+    renames = bench_queries(spark, sf).filter(F.col("query_id") % 2 == 0).select(
+        F.upper("query").alias("old_term"), F.concat(F.lit("new "), F.col("query")).alias("new_term"))
+    return C.rekey(written(V.v_pointers(spark, sf), "pointers"), renames)
+
+
+@query("cur4_untrash", CUR_SQL + "SELECT search_term, doc_id, position FROM pointers")
+def cur4_untrash(spark, sf):
+    """Toxic documents go to the trash with their pointers, and come back: the pointers return to their places."""
+    old = written(V.v_pointers(spark, sf), "pointers")
+    t = Tables(spark, sf)
+    docs = t.documents.join(t.labels, "doc_id", "left").select(F.col("doc_id").alias("id"), F.coalesce("toxic", F.lit(0)).alias("toxic"))
+    status = F.when(F.col("toxic") == 1, "trash").otherwise("publish")
+    kept = C.clean_pointers(old, docs.withColumn("post_status", status))
+    removed = old.join(kept.select("search_term", "doc_id"), ["search_term", "doc_id"], "left_anti")
+    return C.restore(kept, removed, docs.withColumn("post_status", F.lit("publish")))

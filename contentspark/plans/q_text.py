@@ -177,3 +177,25 @@ def scr11_range_boost(spark, sf):
         .alias("boost"))
     return (hits.join(boost, "doc_id")
             .select("query_id", "doc_id", S.milli(F.col("score") + F.col("boost")).alias("score")))
+
+
+@query("txt15_lines", """
+SELECT 'equivalent' AS kind, '' AS lhs, lower(replace(p_brand, '#', ' ')) || ',' || lower(p_type) AS rhs
+FROM (SELECT DISTINCT p_brand, p_type FROM part)
+UNION ALL SELECT DISTINCT 'replace', lower(p_type), 'type ' || lower(p_type) FROM part""")
+def txt15_lines(spark, sf):
+    """Synonym lists read as lines of a text file (made of the product table) and parsed into rules."""
+    import os
+    import uuid
+
+    from contentspark.session import checkpoint_dir
+
+    p = Tables(spark, sf).part
+    sets = p.select(F.concat("p_brand", F.lit(", "), "p_type").alias("value")).distinct()
+    rules = p.select(F.concat("p_type", F.lit(" => type "), "p_type").alias("value")).distinct()
+    notes = sets.select(F.concat(F.lit("# "), "value").alias("value"))
+    path = os.path.join(checkpoint_dir(spark), f"synonyms-{uuid.uuid4().hex}")
+    sets.unionByName(rules).unionByName(notes).write.text(path)
+    parsed = SY.parse_lines(spark.read.text(path).withColumnRenamed("value", "line"))
+    phrases = lambda c: F.array_join(F.transform(c, lambda a: F.array_join(a, " ")), ",")
+    return parsed.select("kind", phrases("lhs").alias("lhs"), phrases("rhs").alias("rhs"))

@@ -160,3 +160,33 @@ def test_mime_rules(spark):
     got = lambda m: sorted(r[0] for r in df.filter(mime_type_filter(m)).collect())
     assert got("imag") == ["image", "image/png", "imagx/y"] and got(["image"]) == ["image", "image/png"] and got(["image/png"]) == ["image/png"]
     assert mime_type_filter("") is None
+
+
+def test_change_stream_over_generations(spark, tmp_path):
+    feed, target = str(tmp_path / "feed"), str(tmp_path / "target")
+    schema = "event_id long, ts timestamp, object_id long, op string"
+    base = dt.datetime(2024, 1, 1)
+    batches = [[(n * 100 + i, base + dt.timedelta(minutes=(7 * n + i) % 50), i % (5 + n), "upsert" if i % 3 else "delete")
+                for i in range(20)] for n in range(5)]
+    for rows in batches:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(feed)
+    SYN.stream_changes(spark, feed, spark.read.parquet(feed).schema, target, str(tmp_path / "ck"), lambda b: b).awaitTermination()
+    got = {r.object_id: r.event_id for r in SYN.read_buckets(spark, target).collect()}
+    want = {}
+    for e, ts, o, _ in sorted((r for rows in batches for r in rows), key=lambda r: (r[1], r[0])):
+        want[o] = e
+    assert got == want
+    versions = SYN.bucket_versions(spark, target)
+    assert max(len(v) for v in versions.values()) <= 3 and len(SYN._folders(spark, target)) == 5
+
+
+def test_rebuild_retries_and_history(spark, tmp_path):
+    docs = spark.createDataFrame([(1, 10), (2, 30), (3, 99), (4, 5)], "id long, size long")
+    plan = SYN.rebuild_plan(docs, F.col("id") == 4, F.col("size") <= 20, F.lit("too large"))
+    again = lambda failed, n: SYN.rebuild_plan(failed.drop("sync_status", "error"), F.lit(False), F.col("size") <= 20 * n, F.lit("too large"))
+    run = SYN.full_rebuild(spark, plan, "post", str(tmp_path / "out"), again, 3)
+    r = run.first()
+    assert (r.synced, r.skipped, r.failed, r.status, r.attempts) == (2, 1, 1, "with_errors", 3) and r.seconds > 0
+    for _ in range(2):
+        history = SYN.append_history(spark, run, str(tmp_path / "history"))
+    assert history.count() == 2 and {x.failed for x in history.collect()} == {1}
