@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from contentspark.functions.multivalue import and_all
-from contentspark.functions.text import slug_py
+from contentspark.functions.text import py_tokens, slug_py, tokens
 from contentspark.operators import predicates as P
 from contentspark.operators.sorting import sort_columns
 
@@ -85,6 +85,24 @@ def product_list_filter(virtual=None, downloadable=None, stock_status=None) -> C
     return and_all(conds) if conds else None
 
 
+def search_with_children(parents: DataFrame, key: str, fields: list[str], children: DataFrame, text: str) -> DataFrame:
+    """COM-6/7: parents for which every token of ``text`` occurs in one of their fields or in a child's text.
+
+    ``children``: (key, text), e.g. variation SKUs of a product or item names of an order. Only query
+    tokens leave the children's scan, so a parent's gathered tokens are at most as many as the query's.
+    """
+    q = py_tokens(text)
+    if not q:
+        return parents
+    wanted = F.array(*[F.lit(t) for t in q])
+    found = children.select(F.col(key).alias("__key"), F.explode(F.array_intersect(tokens(F.col("text")), wanted)).alias("t"))
+    found = found.groupBy("__key").agg(F.collect_set("t").alias("__child"))
+    none = F.array().cast("array<string>")
+    own = F.flatten(F.array(*[F.coalesce(tokens(F.col(f)), none) for f in fields]))
+    return (parents.join(found, F.col(key) == F.col("__key"), "left")
+            .filter(F.size(F.array_except(wanted, F.concat(own, F.coalesce("__child", none)))) == 0).drop("__key", "__child"))
+
+
 def order_search_filter(text: str, fields: list[str], id_col: str = "id", id_offset: int = 0) -> Column:
     """COM-7: token match over order fields; a numeric text also matches the order id."""
     from contentspark.operators.terms import text_match_all

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from contentspark.functions.meta import typed_value
 from contentspark.operators import commerce as CO
+from contentspark.operators import documents as DOC
 from contentspark.operators import predicates as P
 from contentspark.operators.terms import text_match_all
 from contentspark.plans.registry import query
@@ -99,6 +100,39 @@ def com6_product_list_filters(spark, sf):
     return df.filter(f & text_match_all(["post_title", "post_content", "post_excerpt", "sku"], "small")).select("id")
 
 
+@query("com6_variation_skus", f"""
+WITH p AS (SELECT *, 'SKU-' || p_partkey::VARCHAR AS sku, min(p_partkey) OVER (PARTITION BY p_brand) AS parent FROM part),
+bag AS (SELECT parent AS id, unnest({tokens('sku')}) AS t FROM p WHERE p_partkey <> parent
+        UNION ALL SELECT p_partkey, unnest({tokens("p_name || ' ' || sku")}) FROM p WHERE p_partkey = parent)
+SELECT id FROM bag WHERE t IN ('sku', '77') GROUP BY id HAVING count(DISTINCT t) = 2""")
+def com6_variation_skus(spark, sf):
+    """Parent products (a brand's first) matching 'SKU 77' in title, own SKU or a variation's SKU."""
+    p = Tables(spark, sf).part.withColumn("sku", F.concat(F.lit("SKU-"), F.col("p_partkey").cast("string")))
+    parents = p.groupBy("p_brand").agg(F.min("p_partkey").alias("parent"))
+    p = p.join(parents, "p_brand")
+    variations = DOC.variation_skus(p, "parent", "sku", "p_partkey").select(
+        F.col("parent_id").alias("id"), F.col("variation_sku").alias("text"))
+    own = p.filter(F.col("p_partkey") == F.col("parent")).select(F.col("p_partkey").alias("id"), "p_name", "sku")
+    return CO.search_with_children(own, "id", ["p_name", "sku"], variations, "SKU 77").select("id")
+
+
+@query("com7_order_items", f"""
+WITH bag AS (
+  SELECT o.o_orderkey AS id, unnest({tokens("coalesce(c.c_name, '') || ' ' || coalesce(c.c_mktsegment, '')")}) AS t
+  FROM orders o LEFT JOIN customer c ON c.c_custkey = o.o_custkey
+  UNION ALL SELECT l.l_orderkey, unnest({tokens('p.p_name')}) FROM lineitem l JOIN part p ON p.p_partkey = l.l_partkey)
+SELECT id FROM bag WHERE id IN (SELECT o_orderkey FROM orders) AND t IN ('machinery', 'widget')
+GROUP BY id HAVING count(DISTINCT t) = 2""")
+def com7_order_items(spark, sf):
+    """Orders matching 'machinery widget' over customer fields and item names."""
+    t = Tables(spark, sf)
+    o = t.orders.join(t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_name", "c_mktsegment"), "o_custkey", "left")
+    items = t.lineitem.join(t.part.select(F.col("p_partkey").alias("l_partkey"), "p_name"), "l_partkey").select(
+        F.col("l_orderkey").alias("id"), F.col("p_name").alias("text"))
+    return CO.search_with_children(o.withColumnRenamed("o_orderkey", "id"), "id", ["c_name", "c_mktsegment"], items,
+                                   "machinery widget").select("id")
+
+
 @query("com7_order_search", f"""
 WITH o AS (SELECT o.o_orderkey, c.c_name, c.c_mktsegment, o.o_orderpriority FROM orders o
            LEFT JOIN customer c ON c.c_custkey = o.o_custkey)
