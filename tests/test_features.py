@@ -101,18 +101,10 @@ def test_attachment_rows_from_binary_files(spark):
     assert out == ["application/pdf", "application/vnd.openxmlformats-officedocument.wordprocessingml.document"]
 
 
-def test_size_batches_prefix_sum(spark):
-    rows = [(i, s) for i, s in enumerate([5, 5, 5, 30, 5, 5, 9], start=1)]
-    df = spark.createDataFrame(rows, "id long, n long")
-    got = {r.id: (r.batch, r.oversize) for r in DOC.size_batches(df, "id", F.col("n"), 10, buckets=3).collect()}
-    running, want = 0, {}
-    for i, s in rows:
-        if s > 10:
-            want[i] = (None, True)
-            continue
-        running += s
-        want[i] = (running // 10, False)
-    assert got == want
+def test_oversize_rows_are_marked(spark):
+    df = spark.createDataFrame([(1, 5), (2, 30), (3, 10), (4, None)], "id long, n long")
+    got = {r.id: r.oversize for r in DOC.route_oversize(df, F.col("n"), 10).collect()}
+    assert got == {1: False, 2: True, 3: False, 4: None}
 
 
 def test_deep_chains_and_cycles(spark):
