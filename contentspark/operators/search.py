@@ -39,6 +39,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from contentspark.operators.analysis import analyze
+from contentspark.session import written
 
 K1 = 1.2
 B = 0.75
@@ -231,21 +232,44 @@ def _postings(terms: DataFrame, index: TextIndex, fields: list[str], only: DataF
     return post.join(only.select("query_id", *keys), keys)
 
 
-def candidates(qt: DataFrame, index: TextIndex, fields: list[str], per_field: bool) -> DataFrame:
+def candidates(qt: DataFrame, index: TextIndex, fields: list[str], per_field: bool, term_col: str = "term") -> DataFrame:
     """(query_id, doc_id[, field]) that hold the query's rarest term; queries with an unknown term have none.
 
-    ``qt``: (query_id, term, ...). A term's rarity is its document frequency summed over the fields.
+    ``qt``: (query_id, term, ...); with ``term_col`` another column, a term stands for all its index
+    terms there (fuzzy expansions). Rarity is the document frequency summed over these and the fields.
     """
-    terms = qt.select("query_id", "term").distinct()
-    dft = (index.term_df().filter(F.col("field").isin(fields)).groupBy("term").agg(F.sum("df").alias("dfsum")))
-    rare = (terms.join(dft, "term", "left").groupBy("query_id")
-            .agg(F.min_by("term", F.struct("dfsum", "term")).alias("term"),
-                 F.bool_and(F.col("dfsum").isNotNull()).alias("known")).filter("known").drop("known"))
+    terms = qt.select("query_id", "term", F.col(term_col).alias("lookup")).distinct()
+    dft = index.term_df().filter(F.col("field").isin(fields)).groupBy(F.col("term").alias("lookup")).agg(
+        F.sum("df").alias("df"))
+    per_term = terms.join(dft, "lookup", "left").groupBy("query_id", "term").agg(
+        F.sum(F.coalesce("df", F.lit(0))).alias("n"))
+    rare = (per_term.groupBy("query_id").agg(F.min_by("term", F.struct("n", "term")).alias("term"), F.min("n").alias("n"))
+            .filter("n > 0").select("query_id", "term"))
+    rare = rare.join(terms, ["query_id", "term"]).select("query_id", F.col("lookup").alias("term"))
     keys = ["doc_id", "field"] if per_field else ["doc_id"]
     post = index.postings_for(rare).filter(F.col("field").isin(fields))
     return post.join(rare, "term").select("query_id", *keys).distinct()
 
 
+def _fuzzy_hits(qt: DataFrame, index: TextIndex, fields: list[str], only: DataFrame | None) -> DataFrame:
+    """(query_id, doc_id, field, term, n_terms, score): a token's best expansion in each document.
+
+    Expansions are scored per distinct token, whatever number of queries have it.
+    """
+    pairs = qt.select("term", "vterm").distinct()
+    post = index.postings_for(pairs.select(F.col("vterm").alias("term"))).filter(F.col("field").isin(fields))
+    if only is not None:
+        post = post.join(only.select("doc_id", "field").distinct(), ["doc_id", "field"], "left_semi")
+    post = post.select(F.col("term").alias("vterm"), "doc_id", "field", "tf", "len")
+    df = index.term_df().filter(F.col("field").isin(fields)).withColumnRenamed("term", "vterm")
+    stats = F.broadcast(index.stats().filter(F.col("field").isin(fields)))  # one row per field
+    score = bm25(F.col("tf"), F.col("len"), F.col("avg_len"), F.col("df"), F.col("n_docs"))
+    best = (pairs.join(post, "vterm").join(df, ["field", "vterm"]).join(stats, "field")
+            .groupBy("term", "doc_id", "field").agg(F.max(score).alias("score")))
+    hits = qt.select("query_id", "term", "n_terms").distinct().join(best, "term")
+    return hits if only is None else hits.join(only, ["query_id", "doc_id", "field"])
+
+
 def _weight(field_col: Column, weights: Mapping[str, float]) -> Column:
     w = F.lit(1.0)
     for f, v in weights.items():
@@ -354,9 +378,9 @@ def match(queries: DataFrame, index: TextIndex, weights: Mapping[str, float], op
     qt = distinct_query_terms(query_terms(queries, analyzer or index.analyzer))
     if fuzziness not in (0, "0", None):
         max_k = 2 if fuzziness == "auto" else int(fuzziness)
-        qt = fuzzy_expand(qt, index.vocabulary(), fuzziness, index.vocab_keys(max_k))
-        hits = _scored(qt, index, fields, term_col="vterm")
-        per_tok = hits.groupBy("query_id", "doc_id", "field", "term", "n_terms").agg(F.max("score").alias("score"))
+        qt = written(fuzzy_expand(qt, index.vocabulary(), fuzziness, index.vocab_keys(max_k)), "expansions")
+        only = candidates(qt, index, fields, per_field=True, term_col="vterm") if operator == "and" else None
+        per_tok = _fuzzy_hits(qt, index, fields, only)
     else:
         only = candidates(qt, index, fields, per_field=True) if operator == "and" else None
         per_tok = _scored(qt, index, fields, only=only).select("query_id", "doc_id", "field", "term", "n_terms", "score")
