@@ -1,8 +1,10 @@
 """Connected components of an edge table: alternating large-star and small-star rounds.
 
-Every round is two grouped minima and two joins; a hub with many edges costs a
-pre-aggregated minimum and a join that adaptive execution splits. Each round is
-written to the shared folder, so a lost executor repeats one round at most.
+Every round is two grouped minima, each met with the edges again. A hub's edges would meet
+its minimum in one task, so nodes with many edges are taken apart: there are at most
+``HUBS`` of them (twice the edges divided by the threshold), their minima are broadcast,
+and only the other nodes, whose edges are few, are joined by a shuffle. Each half round is
+written to the shared folder, so a lost executor repeats half a round at most.
 """
 
 from __future__ import annotations
@@ -12,18 +14,31 @@ from pyspark.sql import functions as F
 
 from contentspark.llm.common import materialize
 
+HUB_EDGES = 500  # edges of a node that make it a hub, at least
+HUBS = 100_000   # hubs there can be, so that their table is small enough to broadcast
 
-def _large_star(e: DataFrame) -> DataFrame:
+
+def _with_least(edges: DataFrame, node: str, other: str, total: int, label: str) -> DataFrame:
+    """``edges`` with m, the smallest ``other`` of each ``node``; ``total`` is their number or more."""
+    least = materialize(edges.groupBy(node).agg(F.min(other).alias("m"), F.count("*").alias("n")), f"{label}-least")
+    hub = F.col("n") > max(HUB_EDGES, total // HUBS)
+    hubs = F.broadcast(least.where(hub).select(node, "m"))
+    rest = least.where(~hub).select(node, "m")
+    return edges.join(hubs, node).unionByName(edges.join(hubs, node, "left_anti").join(rest, node))
+
+
+def _large_star(e: DataFrame, total: int, label: str) -> DataFrame:
     both = e.select(F.col("u").alias("x"), F.col("v").alias("y")).unionByName(
         e.select(F.col("v").alias("x"), F.col("u").alias("y")))
-    least = both.groupBy("x").agg(F.min("y").alias("m")).select("x", F.least("x", "m").alias("m"))
-    return both.where("y > x").join(least, "x").select(F.col("y").alias("u"), F.col("m").alias("v")).distinct()
+    met = _with_least(both, "x", "y", 2 * total, label)
+    return met.where("y > x").select(F.col("y").alias("u"), F.least("x", "m").alias("v")).distinct()
 
 
-def _small_star(e: DataFrame) -> DataFrame:
-    least = e.groupBy("u").agg(F.min("v").alias("m"))
-    moved = e.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
+def _small_star(e: DataFrame, total: int, label: str) -> DataFrame:
+    met = _with_least(e, "u", "v", total, label)
+    # Besides its other neighbours, a node itself is tied to its smallest one (the row where v is m).
+    return met.select(F.when(F.col("v") != F.col("m"), F.col("v")).otherwise(F.col("u")).alias("u"),
+                      F.col("m").alias("v")).distinct()
 
 
 def connected_components(edges: DataFrame, a: str, b: str, label: str) -> DataFrame:
@@ -37,7 +52,8 @@ def connected_components(edges: DataFrame, a: str, b: str, label: str) -> DataFr
         now = e.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.xxhash64("u", "v") % 1000003)).first()
         if now == before:
             break
-        before = now
-        e = materialize(_small_star(materialize(_large_star(e), f"{label}-large")), f"{label}-small")
+        before, total = now, now[0]
+        large = materialize(_large_star(e, total, label), f"{label}-large")
+        e = materialize(_small_star(large, total, label), f"{label}-small")
     roots = e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     return e.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)
