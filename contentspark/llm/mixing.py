@@ -15,7 +15,9 @@ All steps are DataFrame operations.
    divisor are ranked, so that the ranked rows are a few per source or shard.
 4. A shard with quota q of n blocks takes all of them q div n times, and q mod n of them,
    picked by a seeded hash, once more. A document takes the words of its blocks; prefix
-   sums over the blocks give them without a row per document and block.
+   sums over the blocks give their number without a row per document and block.
+5. ``mixed`` joins the partly taken documents with their picked blocks, which makes a row per
+   document and block at most, and cuts each run of picked words out of the text.
 
 Defined results: null text has no words; a source without words has target 0 and takes
 nothing; null source is a source of its own, null and repeated doc_ids are rows like any
@@ -42,6 +44,7 @@ BLOCK_WORDS = 128    # words of a block, at most
 SOURCE_BLOCKS = 256  # blocks that a source of average size has at least, if it has the words
 SHARD_ROWS = 8192    # documents of a shard, on average
 WORD = r"[^\x20\x09-\x0D]+"
+SPACES = " \t\n\v\f\r"
 
 
 def seeded(*parts: Column | str) -> Column:
@@ -90,8 +93,8 @@ def _key(source: Column) -> Column:
     return F.when(source.isNull(), "-").otherwise(F.concat(F.lit("+"), source))
 
 
-def mix(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """One row per document: doc_id, size, source_size, target, taken, text_hash."""
+def _taken(docs: DataFrame, block_words: int) -> tuple[DataFrame, DataFrame]:
+    """Documents with their place in a shard, whole times (full) and words of picked blocks (extra); the blocks."""
     sized = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
         F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
@@ -131,8 +134,10 @@ def mix(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     lot = Window.partitionBy("key", "shard").orderBy(seeded(F.col("key"), F.col("shard"), F.col("j")), "j")
     cut = cut.withColumn("picked", F.row_number().over(lot) <= F.col("extra")).withColumns(
         {"lo": F.expr("j * words div n"), "hi": F.expr("(j + 1) * words div n")})
-    before = Window.partitionBy("key", "shard").orderBy("j").rowsBetween(Window.unboundedPreceding, -1)
-    cut = materialize(cut.select("key", "shard", "j", "lo", "picked", F.coalesce(
+    row = Window.partitionBy("key", "shard").orderBy("j")
+    before = row.rowsBetween(Window.unboundedPreceding, -1)
+    cut = materialize(cut.select("key", "shard", "j", "lo", "hi", "picked", F.lag("picked", 1, False).over(row).alias("after_one"),
+                                 F.lead("picked", 1, False).over(row).alias("before_one"), F.coalesce(
         F.sum(F.when(F.col("picked"), F.col("hi") - F.col("lo")).otherwise(0)).over(before), F.lit(0)).alias("so_far")),
         "mix-blocks")
 
@@ -148,28 +153,67 @@ def mix(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
         lines = lines.join(picked_words(side), ["key", "shard", f"j_{side}"], "left")
     upto = lambda side, p: F.col(f"so_far_{side}") + F.when(F.col(f"picked_{side}"), p - F.col(f"lo_{side}")).otherwise(0)
     extra = upto("last", F.col("end")) - upto("first", F.col("start"))
-    return lines.select("doc_id", "size", "source_size", "target",
-                        (F.col("full") * F.col("size") + F.coalesce(extra, F.lit(0))).cast("long").alias("taken"),
-                        "text_hash")
+    return lines.withColumn("extra", F.coalesce(extra, F.lit(0))), cut
+
+
+def mix(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """One row per document: doc_id, size, source_size, target, taken, text_hash."""
+    return _taken(docs, block_words)[0].select(
+        "doc_id", "size", "source_size", "target",
+        (F.col("full") * F.col("size") + F.col("extra")).cast("long").alias("taken"), "text_hash")
+
+
+def _ranges(lines: DataFrame, cut: DataFrame) -> DataFrame:
+    """key, shard, start, ranges: the runs of picked words (lo, hi; from 0, hi excluded) of partly taken documents."""
+    blocks = cut.where("picked").select("key", "shard", "j", "lo", "hi", "after_one", "before_one")
+    part = lines.where("extra > 0 AND extra < size").select("key", "shard", "start", "end", "j_first", "j_last", F.explode(
+        F.expr("sequence(j_first, j_last)")).alias("j")).join(by_key(blocks), ["key", "shard", "j"])
+    begins = F.when(~F.col("after_one") | (F.col("j") == F.col("j_first")), F.greatest("lo", "start") - F.col("start"))
+    ends = F.when(~F.col("before_one") | (F.col("j") == F.col("j_last")), F.least("hi", "end") - F.col("start"))
+    part = part.groupBy("key", "shard", "start").agg(
+        F.sort_array(F.collect_list(begins)).alias("lo"), F.sort_array(F.collect_list(ends)).alias("hi"))
+    return part.select("key", "shard", "start", F.arrays_zip("lo", "hi").alias("ranges"))
+
+
+def cut_words(text: Column, ranges: Column) -> Column:
+    """The texts of word ranges, each with the white space between its words."""
+    words = F.regexp_extract_all(text, F.lit(WORD + "[\\x20\\x09-\\x0D]*"), F.lit(0))
+    one = lambda w: lambda r: F.rtrim(
+        F.array_join(F.slice(w, (r["lo"] + 1).cast("int"), (r["hi"] - r["lo"]).cast("int")), ""), F.lit(SPACES))
+    return F.transform(F.array(words), lambda w: F.transform(ranges, one(w)))[0]  # the words are split once
 
 
-def mixed(docs: DataFrame) -> DataFrame:
-    """The mix itself: a row for each whole time a document is taken, and one with its first words for the rest.
+def mixed(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """The mix itself: a row for each whole time a document is taken, and one for each run of words of its other picked blocks.
 
-    Rows keep all columns; ``n_chars``, where there is one, follows a shortened text, in
-    which one space stands between words. Rows that repeat both doc_id and text share what
-    they take evenly.
+    Rows keep all columns; ``n_chars``, where there is one, follows a shortened text, which
+    keeps the white space between its words. Rows that agree in doc_id, source and text are
+    numbered, and each takes what one of them takes.
     """
-    plan = mix(docs).groupBy("doc_id", "text_hash", "size").agg(F.floor(F.avg("taken")).alias("_mix_taken"))
-    plan = materialize(plan.where("_mix_taken > 0").select(
-        F.col("doc_id").alias("_mix_id"), F.col("text_hash").alias("_mix_hash"),
-        F.expr("_mix_taken div size").cast("int").alias("_mix_times"),
-        F.expr("_mix_taken % size").cast("int").alias("_mix_rest")), "mix-plan")
-    same = F.col("doc_id").eqNullSafe(F.col("_mix_id")) & (F.xxhash64("text") == F.col("_mix_hash"))
-    rows = docs.join(by_key(plan), same)
+    lines, cut = _taken(docs, block_words)
+    same = Window.partitionBy("doc_id", "key", "text_hash").orderBy("shard", "start")
+    lines = materialize(lines.where("size > 0").withColumn("nth", F.row_number().over(same)).select(
+        "doc_id", "key", "text_hash", "nth", "shard", "start", "end", "size", "j_first", "j_last", "full", "extra"), "mix-taken")
+    plan = lines.where("full > 0 OR extra > 0").join(_ranges(lines, cut), ["key", "shard", "start"], "left")
+    plan = materialize(plan.select(
+        F.col("doc_id").alias("_mix_id"), F.col("key").alias("_mix_key"), F.col("text_hash").alias("_mix_hash"),
+        F.col("nth").alias("_mix_nth"),
+        (F.col("full") + F.when(F.col("extra") == F.col("size"), 1).otherwise(0)).cast("int").alias("_mix_times"),
+        F.col("ranges").alias("_mix_ranges")), "mix-plan")
+    same = (F.col("doc_id").cast("long").eqNullSafe(F.col("_mix_id")) & (F.xxhash64("text") == F.col("_mix_hash"))
+            & (_key(F.col("source").cast("string")) == F.col("_mix_key")))
+    repeated = lines.where("nth = 2").select(
+        F.col("doc_id").alias("_mix_id"), F.col("key").alias("_mix_key"), F.col("text_hash").alias("_mix_hash"))
+    n = repeated.count()
+    rows = docs.withColumn("_mix_row", F.lit(1))
+    if n:
+        others = F.to_json(F.struct(*[c for c in docs.columns if c != "text"]))
+        number = F.row_number().over(Window.partitionBy("doc_id", "source", F.xxhash64("text")).orderBy(others))
+        rows = docs.join(by_key(repeated, n), same, "left_anti").withColumn("_mix_row", F.lit(1)).unionByName(
+            docs.join(by_key(repeated, n), same, "left_semi").withColumn("_mix_row", number))
+    rows = rows.join(by_key(plan), same & (F.col("_mix_row") == F.col("_mix_nth")))
     whole = rows.where("_mix_times > 0").withColumn("_mix_copy", F.explode(F.expr("sequence(1, _mix_times)")))
-    part = rows.where("_mix_rest > 0").withColumn("text", F.array_join(F.slice(
-        F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), F.lit(1), F.col("_mix_rest")), " "))
+    part = rows.where("_mix_ranges IS NOT NULL").withColumn("text", F.explode(cut_words(F.col("text"), F.col("_mix_ranges"))))
     if "n_chars" in docs.columns:
         part = part.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return whole.select(docs.columns).unionByName(part.select(docs.columns))

@@ -10,7 +10,7 @@ and read again as the next stage's ``docs``. All stages but the last return the
 3. near_dedup: of each class of near copies (Jaccard 0.8 on five-word n-grams, linked
    directly or through others) the smallest doc_id stays.
 4. mixing: each source is taken up to its target; documents taken more than once repeat with
-   the same doc_id, a part of one is a row with its first words.
+   the same doc_id, of one taken in part each run of picked words is a row.
 5. tokens: the piece ids of every row, and whether they decode to its text.
 
 ``ORACLE_SQL`` is None: perplexities, similarity classes and piece searches are beyond SQL.

@@ -105,3 +105,31 @@ def test_mixed_rows_hold_the_words_taken(spark):
     words = sum(len(re.findall(op.WORD, r.text or "")) for r in out)
     assert abs(words - sum(r.taken for r in plan)) <= 4
     assert all(r.n_chars == len(r.text) for r in out) and out[0].__fields__ == docs.columns
+
+
+def test_mixed_cuts_the_picked_words_out_of_the_text(spark):
+    rng = random.Random(8)
+    rows = [(i, "".join(f"w{i}_{k}{rng.choice([' ', '  ', chr(9), chr(10)])}" for k in range(rng.choice([3, 700, 4000]))),
+             f"s{i % 3}") for i in range(24)] + [(1, "a\tb c " * 90, "s0")] * 3
+    docs = frame(spark, rows)
+    lines, cut = (x.collect() for x in op._taken(docs, op.BLOCK_WORDS))
+    picked = {}
+    for b in cut:
+        if b.picked:
+            picked.setdefault((b.key, b.shard), set()).update(range(b.lo, b.hi))
+    texts = {hash(t): t for _, t, _ in rows}
+    by_hash = {r.h: texts[hash(r.text)] for r in docs.select("text", F.xxhash64("text").alias("h")).collect()}
+    want, beyond = [], 0
+    for r in lines:
+        text, got = by_hash[r.text_hash], picked.get((r.key, r.shard), set())
+        spans = [m.span() for m in re.finditer(op.WORD, text)]
+        taken = [k for k in range(r.size) if r.start + k in got]
+        assert len(taken) == r.extra
+        want += [(r.doc_id, text)] * (r.full + (len(taken) == r.size))
+        if len(taken) < r.size:
+            starts = [k for k in taken if k - 1 not in taken]
+            ends = [k for k in taken if k + 1 not in taken]
+            want += [(r.doc_id, text[spans[a][0]:spans[b][1]]) for a, b in zip(starts, ends)]
+            beyond += bool(taken) and max(taken) >= len(taken)
+    assert beyond > 3
+    assert sorted((r.doc_id, r.text) for r in op.mixed(docs).collect()) == sorted(want)
