@@ -16,10 +16,17 @@ is one long: its context is ``code >> 12``, its suffix the low bits.
    made in one task, so the sum is complete before the shuffle. The table has one
    row per distinct n-gram of the corpus; it is broadcast if it is counted to be
    small, else both sides are shuffled by n-gram.
-4. A document is rejected if its log perplexity is above its language's fence:
+4. Texts that a model was trained on look better to it than unseen ones, so fences
+   are set from held-out perplexities: trusted documents fall into ``FOLDS`` by the hash
+   of their text (copies stay together), and each fold is scored by a model of the others.
+5. A document is rejected if its log perplexity is above its language's fence:
    the trusted documents' upper quantile plus ``SLACK`` times the distance from
    the median to it. Short texts scatter more, so quantiles are taken of the
    distance to the language's median in units of sqrt(1 + PIVOT / symbols).
+   A language with n trusted documents moves from the quantiles of all trusted
+   documents to its own with n: its median counts n to ``MIDDLE_PRIOR``, its upper
+   quantile n to ``REACH_PRIOR`` of the distances of all to their languages' medians
+   (to the median of all, as far as the language's own is not known).
 
 Trusted documents: those labelled with quality 1; a hash-ordered sample of at most
 ``TRUSTED_ROWS`` of them trains the model and sets the quantiles (the documented
@@ -27,8 +34,10 @@ bound of the fit); all documents are counted and scored.
 
 Defined results: null or empty texts have no perplexity (null) and are rejected:
 there is nothing in them to keep. A language without trusted documents (null
-included) uses the quantiles of all trusted documents; without any trusted
-documents everything that has text is kept. Rows that agree in doc_id, lang and
+included) uses the quantiles of all trusted documents, so that text in a script
+that no trusted document has is rejected; one trusted document raises its language's
+fence half way to its own held-out perplexity. Without trusted documents in every
+fold everything that has text is kept. Rows that agree in doc_id, lang and
 text give one row. Repeated or contradicting labels: quality 1 wins. Extra columns
 are ignored.
 """
@@ -39,7 +48,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from contentspark.llm.common import BROADCAST_ROWS, by_key, materialize, small_batches, whole_text
@@ -48,6 +57,9 @@ ORDER = 4
 TRUSTED_ROWS = 400_000  # labelled documents that the model is fitted on, at most
 QUANTILE = 0.99
 SLACK = 1.0
+FOLDS = 2               # parts of the trusted documents, each scored by a model of the others
+MIDDLE_PRIOR = 1.0      # documents that the median of all counts as in a language's median
+REACH_PRIOR = 1 / (1 - QUANTILE)  # the same for the upper quantile: documents of which one is beyond it
 PIVOT = 200.0           # symbols of a text whose perplexity scatters sqrt(2) times as much as a long one's
 TABLE_ROWS = 4 * BROADCAST_ROWS  # n-grams up to which the log probabilities are broadcast
 SLICE_CHARS = 1 << 19
@@ -118,12 +130,13 @@ def _slices(batch: pa.RecordBatch) -> Iterator[tuple[int, list[str]]]:
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        trusted = batch["trusted"].to_numpy(zero_copy_only=False)
+        fold = batch["fold"].to_numpy(zero_copy_only=False)  # -1: not trusted
         for a, texts in _slices(batch):
             code, text = ngram_codes(texts)
-            distinct, n = np.unique((code << 1) | trusted[a + text], return_counts=True)
-            yield pa.record_batch([pa.array(distinct >> 1), pa.array(np.where(distinct & 1, n, 0))],
-                                  names=["code", "n"])
+            distinct, n = np.unique(code * (FOLDS + 1) + fold[a + text] + 1, return_counts=True)
+            code, of = np.divmod(distinct, FOLDS + 1)
+            yield pa.record_batch([pa.array(code), *(pa.array(np.where(of == f + 1, n, 0)) for f in range(FOLDS))],
+                                  names=["code", *(f"n{f}" for f in range(FOLDS))])
 
 
 ROWS = "doc_id bigint, lang string, text_hash bigint, code bigint, n bigint"
@@ -203,24 +216,43 @@ def trusted_ids(labels: DataFrame, most: int = TRUSTED_ROWS) -> DataFrame:
 
 
 def perplexities(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """One row per document: doc_id, lang, text_hash, n_symbols, log_perplexity, trusted."""
+    """One row per document: doc_id, lang, text_hash, n_symbols, log_perplexity, trusted, held_out.
+
+    ``held_out`` is a trusted document's log perplexity under the model of the other folds.
+    """
     small_batches(docs.sparkSession)
     ids = materialize(trusted_ids(labels), "trusted")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"),
                        whole_text().alias("text"))
+    folds = range(FOLDS)
+    fold = F.pmod(F.xxhash64("text"), F.lit(FOLDS).cast("long"))
     marked = docs.join(F.broadcast(ids), docs.doc_id == ids._trusted_id, "left").select(
-        "text", F.col("_trusted_id").isNotNull().cast("long").alias("trusted"))
-    counts = materialize(marked.mapInArrow(_count, "code bigint, n bigint").groupBy("code")
-                         .agg(F.sum("n").alias("c")), "ngram-counts")
-    table = log_probabilities(counts)
+        "text", F.when(F.col("_trusted_id").isNotNull(), fold).otherwise(-1).alias("fold"))
+    counts = materialize(marked.mapInArrow(_count, "code bigint, " + ", ".join(f"n{f} bigint" for f in folds)).groupBy("code")
+                         .agg(*[F.sum(f"n{f}").alias(f"c{f}") for f in folds]), "ngram-counts")
+    every = sum((F.col(f"c{f}") for f in folds), F.lit(0))
+    table = log_probabilities(counts.select("code", every.alias("c")))
+    filled = counts.agg(*[F.sum(f"c{f}") for f in folds]).first()
+    testable = sum(bool(c) for c in filled) == FOLDS
+    if testable:
+        for f in folds:
+            others = log_probabilities(counts.where(every > 0).select("code", (every - F.col(f"c{f}")).alias("c")))
+            table = table.join(others.withColumnRenamed("logp", f"logp{f}"), "code", "left")
+        table = materialize(table, "log-probabilities")
     if table.count() <= TABLE_ROWS:
         table = F.broadcast(table)
     rows = docs.withColumn("text_hash", F.xxhash64("text")).mapInArrow(_document_rows, ROWS)
+    cost = lambda logp: F.sum(-F.col("n") * F.col(logp))
     scored = (rows.join(table, "code", "left").groupBy("doc_id", "lang", "text_hash")
-              .agg(F.sum("n").alias("n_symbols"), F.sum(-F.col("n") * F.col("logp")).alias("cost")))
+              .agg(F.sum("n").alias("n_symbols"), cost("logp").alias("cost"),
+                   *[cost(f"logp{f}").alias(f"cost{f}") for f in folds if testable]))
+    held = F.lit(None).cast("double")
+    for f in folds if testable else []:
+        held = F.when(F.pmod("text_hash", F.lit(FOLDS).cast("long")) == f, F.col(f"cost{f}") / F.col("n_symbols")).otherwise(held)
+    trusted = F.col("_trusted_id").isNotNull()
     return scored.join(F.broadcast(ids), scored.doc_id == ids._trusted_id, "left").select(
         "doc_id", "lang", "text_hash", "n_symbols", (F.col("cost") / F.col("n_symbols")).alias("log_perplexity"),
-        F.col("_trusted_id").isNotNull().alias("trusted"))
+        trusted.alias("trusted"), F.when(trusted, held).alias("held_out"))
 
 
 def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -229,19 +261,26 @@ def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
     ``threshold`` is the perplexity that a text of this language and length may have.
     """
     scored = materialize(perplexities(docs, labels), "perplexities")
-    trusted = scored.where("trusted AND log_perplexity IS NOT NULL")
-    middle = trusted.groupBy("lang").agg(F.percentile_approx("log_perplexity", 0.5, 10_000).alias("middle"))
+    trusted = scored.where("trusted AND held_out IS NOT NULL")
     scatter = F.sqrt(1 + PIVOT / F.col("n_symbols"))
-    off = trusted.join(F.broadcast(middle), trusted.lang.eqNullSafe(middle.lang)).drop(middle.lang)
-    off = off.withColumn("off", (F.col("log_perplexity") - F.col("middle")) / scatter)
-    fences = off.groupBy("lang").agg(
-        F.first("middle").alias("middle"),
-        (F.percentile_approx("off", QUANTILE, 10_000) * (1 + SLACK)).alias("reach"))
-    overall = fences.agg(F.max("middle"), F.max("reach")).first()
+    off = (F.col("held_out") - F.col("middle")) / scatter
+    median, upper = F.percentile_approx("held_out", 0.5, 10_000), F.percentile_approx(off, QUANTILE, 10_000)
+    middle = trusted.groupBy("lang").agg(median.alias("middle"))
+    apart = trusted.join(F.broadcast(middle), trusted.lang.eqNullSafe(middle.lang)).drop(middle.lang)
+    fences = apart.groupBy("lang").agg(F.count("*").alias("n"), F.first("middle").alias("middle"), upper.alias("reach"))
+    within = apart.agg(upper).first()[0]
+    all_middle = trusted.agg(median).first()[0]
+    all_reach = trusted.withColumn("middle", F.lit(all_middle).cast("double")).agg(upper).first()[0]
     out = scored.join(F.broadcast(fences.withColumnRenamed("lang", "_lang")),
                       F.col("lang").eqNullSafe(F.col("_lang")), "left")
-    limit = (F.coalesce("middle", F.lit(overall[0]).cast("double"))
-             + F.coalesce("reach", F.lit(overall[1]).cast("double")) * scatter)
+    n = F.coalesce("n", F.lit(0))
+
+    def shrunk(own: str, pooled: Column, prior: float) -> Column:
+        return (n * F.coalesce(own, F.lit(0.0)) + prior * pooled) / (n + prior)
+
+    within, all_middle, all_reach = (F.lit(x).cast("double") for x in (within, all_middle, all_reach))
+    reach = within + (all_reach - within) * MIDDLE_PRIOR / (n + MIDDLE_PRIOR)
+    limit = shrunk("middle", all_middle, MIDDLE_PRIOR) + (1 + SLACK) * shrunk("reach", reach, REACH_PRIOR) * scatter
     return out.select(
         "doc_id", "lang", "text_hash", "n_symbols", F.exp("log_perplexity").alias("perplexity"),
         F.exp(limit).alias("threshold"),

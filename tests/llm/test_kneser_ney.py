@@ -128,3 +128,45 @@ def test_no_labels_and_no_documents(spark):
 def test_sample_is_bounded(spark):
     labels = spark.createDataFrame([(i, 1, 0) for i in range(50)] * 2 + [(None, 1, 0), (99, 0, 0)], LABELS)
     assert op.trusted_ids(labels, 20).count() == 20 and op.trusted_ids(labels).count() == 50
+
+
+def rare(rng, n):
+    """Clean text of a language that shares its letters, and junk in them."""
+    words = "talo vesi kivi joki ja on kun yli alla mutta sana ilta".split()
+    return " ".join(rng.choice(words) for _ in range(n)).capitalize() + "."
+
+
+@pytest.mark.parametrize("n", [0, 1, 5])
+def test_languages_with_few_trusted_documents(spark, n):
+    rng = random.Random(9)
+    rows, labels = corpus()
+    rows += [(1000 + i, rare(rng, 120), "fi", 9) for i in range(30)]
+    rows += [(2000 + i, "".join(rng.choice("QZ#%|{}~^") for _ in range(600)), "fi", 9) for i in range(5)]
+    labels += [(1000 + i, 1, 0) for i in range(n)]
+    found = {r.doc_id: r for r in op.judge(spark.createDataFrame(rows, DOCS), spark.createDataFrame(labels, LABELS)).collect()}
+    assert not any(found[2000 + i].kept for i in range(5))
+    if n:
+        assert all(found[1000 + i].kept for i in range(30))
+    else:  # the fence of all trusted documents
+        scored = op.perplexities(spark.createDataFrame(rows, DOCS), spark.createDataFrame(labels, LABELS)).collect()
+        held = sorted(r.held_out for r in scored if r.trusted)
+        middle = held[(len(held) - 1) // 2]
+        scale = lambda r: math.sqrt(1 + op.PIVOT / r.n_symbols)
+        off = sorted((r.held_out - middle) / scale(r) for r in scored if r.trusted)
+        reach = off[math.ceil(op.QUANTILE * len(off)) - 1] * (1 + op.SLACK)
+        for i in range(30):
+            assert math.log(found[1000 + i].threshold) == pytest.approx(middle + reach * scale(found[1000 + i]))
+
+
+def test_held_out_perplexity_is_of_the_other_folds(spark):
+    rows, labels = corpus()
+    good = {i for i, q, _ in labels if q}
+    found = op.perplexities(spark.createDataFrame(rows, DOCS), spark.createDataFrame(labels, LABELS)).collect()
+    fold = {r.doc_id: r.text_hash % op.FOLDS for r in found}
+    model = {f: Plain([t for i, t, *_ in rows if i in good and fold[i] != f]) for f in range(op.FOLDS)}
+    texts = {i: t for i, t, *_ in rows}
+    for r in found:
+        if r.doc_id in good:
+            assert r.held_out == pytest.approx(model[fold[r.doc_id]].log_perplexity(texts[r.doc_id]), rel=1e-9)
+        else:
+            assert r.held_out is None
