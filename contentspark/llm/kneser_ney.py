@@ -38,7 +38,7 @@ included) uses the quantiles of all trusted documents, so that text in a script
 that no trusted document has is rejected; one trusted document raises its language's
 fence half way to its own held-out perplexity. Without trusted documents in every
 fold everything that has text is kept. Rows that agree in doc_id, lang and
-text give one row. Repeated or contradicting labels: quality 1 wins. Extra columns
+text give one row, with the figures of one of them. Repeated or contradicting labels: quality 1 wins. Extra columns
 are ignored.
 """
 
@@ -139,11 +139,14 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                   names=["code", *(f"n{f}" for f in range(FOLDS))])
 
 
-ROWS = "doc_id bigint, lang string, text_hash bigint, code bigint, n bigint"
+ROWS = "doc_id bigint, lang string, text_hash bigint, code bigint, n bigint, one bigint"
 
 
 def _document_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each document's distinct n-grams with their numbers; an empty text has one row, without n-gram."""
+    """Each document's distinct n-grams with their numbers; an empty text has one row, without n-gram.
+
+    ``one`` is 1 in one row of each document, so that its sum counts documents.
+    """
     for batch in batches:
         for a, texts in _slices(batch):
             code, text = ngram_codes(texts)
@@ -156,11 +159,14 @@ def _document_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                 new = np.flatnonzero(np.concatenate([[True], (code[1:] != code[:-1]) | (text[1:] != text[:-1])]))
                 doc, n, code = text[new], np.diff(new, append=len(code)), code[new]
             empty = np.setdiff1d(np.arange(len(texts)), doc)
-            doc = pa.array(a + np.concatenate([doc, empty]))
+            doc = np.concatenate([doc, empty])
+            one = np.zeros(len(doc), dtype=np.int64)
+            one[np.unique(doc, return_index=True)[1]] = 1
+            doc = pa.array(a + doc)
             code = pa.concat_arrays([pa.array(code, pa.int64()), pa.nulls(len(empty), pa.int64())])
             n = pa.array(np.concatenate([n, np.zeros(len(empty), dtype=np.int64)]))
             yield pa.record_batch([batch["doc_id"].take(doc), batch["lang"].take(doc), batch["text_hash"].take(doc),
-                                   code, n], names=["doc_id", "lang", "text_hash", "code", "n"])
+                                   code, n, pa.array(one)], names=["doc_id", "lang", "text_hash", "code", "n", "one"])
 
 
 def discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]:
@@ -242,9 +248,9 @@ def perplexities(docs: DataFrame, labels: DataFrame) -> DataFrame:
     if table.count() <= TABLE_ROWS:
         table = F.broadcast(table)
     rows = docs.withColumn("text_hash", F.xxhash64("text")).mapInArrow(_document_rows, ROWS)
-    cost = lambda logp: F.sum(-F.col("n") * F.col(logp))
+    cost = lambda logp: F.sum(-F.col("n") * F.col(logp)) / F.sum("one")
     scored = (rows.join(table, "code", "left").groupBy("doc_id", "lang", "text_hash")
-              .agg(F.sum("n").alias("n_symbols"), cost("logp").alias("cost"),
+              .agg((F.sum("n") / F.sum("one")).cast("long").alias("n_symbols"), cost("logp").alias("cost"),
                    *[cost(f"logp{f}").alias(f"cost{f}") for f in folds if testable]))
     held = F.lit(None).cast("double")
     for f in folds if testable else []:

@@ -170,3 +170,13 @@ def test_held_out_perplexity_is_of_the_other_folds(spark):
             assert r.held_out == pytest.approx(model[fold[r.doc_id]].log_perplexity(texts[r.doc_id]), rel=1e-9)
         else:
             assert r.held_out is None
+
+
+def test_repeated_rows_count_once(spark):
+    rows, labels = corpus()
+    short = "The stone."
+    docs = spark.createDataFrame(rows + [(None, short, "en", 9)] * 40 + [(900, short, "en", 9)], DOCS)
+    once, many = (next(r for r in op.judge(docs, spark.createDataFrame(labels, LABELS)).collect() if r.doc_id == i)
+                  for i in (900, None))
+    assert many.n_symbols == once.n_symbols == len(plain_symbols(short)) - op.ORDER + 1
+    assert many.threshold == pytest.approx(once.threshold) and many.perplexity == pytest.approx(once.perplexity)
