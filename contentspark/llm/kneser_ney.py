@@ -28,9 +28,9 @@ is one long: its context is ``code >> 12``, its suffix the low bits.
    quantile n to ``REACH_PRIOR`` of the distances of all to their languages' medians
    (to the median of all, as far as the language's own is not known).
 
-Trusted documents: those labelled with quality 1; a hash-ordered sample of at most
-``TRUSTED_ROWS`` of them trains the model and sets the quantiles (the documented
-bound of the fit); all documents are counted and scored.
+Trusted documents: those labelled with quality 1; all of them train the model and set
+the quantiles. Their ids are broadcast if they are counted to be few, else joined by a
+shuffle.
 
 Defined results: null or empty texts have no perplexity (null) and are rejected:
 there is nothing in them to keep. A language without trusted documents (null
@@ -54,7 +54,6 @@ from pyspark.sql import functions as F
 from contentspark.llm.common import BROADCAST_ROWS, by_key, materialize, small_batches, whole_text
 
 ORDER = 4
-TRUSTED_ROWS = 400_000  # labelled documents that the model is fitted on, at most
 QUANTILE = 0.99
 SLACK = 1.0
 FOLDS = 2               # parts of the trusted documents, each scored by a model of the others
@@ -215,10 +214,10 @@ def log_probabilities(counts: DataFrame, order: int = ORDER) -> DataFrame:
     return lower.select("code", F.ln("p").alias("logp"))
 
 
-def trusted_ids(labels: DataFrame, most: int = TRUSTED_ROWS) -> DataFrame:
-    """Ids of the documents that the model is fitted on."""
-    ids = labels.where("quality = 1 AND doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("_trusted_id"))
-    return ids.distinct().orderBy(F.xxhash64("_trusted_id"), "_trusted_id").limit(most)
+def trusted_ids(labels: DataFrame, most: int | None = None) -> DataFrame:
+    """Ids of the documents that the model is fitted on: all, or the first ``most`` by hash."""
+    ids = labels.where("quality = 1 AND doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("_trusted_id")).distinct()
+    return ids if most is None else ids.orderBy(F.xxhash64("_trusted_id"), "_trusted_id").limit(most)
 
 
 def perplexities(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -227,12 +226,12 @@ def perplexities(docs: DataFrame, labels: DataFrame) -> DataFrame:
     ``held_out`` is a trusted document's log perplexity under the model of the other folds.
     """
     small_batches(docs.sparkSession)
-    ids = materialize(trusted_ids(labels), "trusted")
+    ids = by_key(materialize(trusted_ids(labels), "trusted"))
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"),
                        whole_text().alias("text"))
     folds = range(FOLDS)
     fold = F.pmod(F.xxhash64("text"), F.lit(FOLDS).cast("long"))
-    marked = docs.join(F.broadcast(ids), docs.doc_id == ids._trusted_id, "left").select(
+    marked = docs.join(ids, docs.doc_id == ids._trusted_id, "left").select(
         "text", F.when(F.col("_trusted_id").isNotNull(), fold).otherwise(-1).alias("fold"))
     counts = materialize(marked.mapInArrow(_count, "code bigint, " + ", ".join(f"n{f} bigint" for f in folds)).groupBy("code")
                          .agg(*[F.sum(f"n{f}").alias(f"c{f}") for f in folds]), "ngram-counts")
@@ -256,7 +255,7 @@ def perplexities(docs: DataFrame, labels: DataFrame) -> DataFrame:
     for f in folds if testable else []:
         held = F.when(F.pmod("text_hash", F.lit(FOLDS).cast("long")) == f, F.col(f"cost{f}") / F.col("n_symbols")).otherwise(held)
     trusted = F.col("_trusted_id").isNotNull()
-    return scored.join(F.broadcast(ids), scored.doc_id == ids._trusted_id, "left").select(
+    return scored.join(ids, scored.doc_id == ids._trusted_id, "left").select(
         "doc_id", "lang", "text_hash", "n_symbols", (F.col("cost") / F.col("n_symbols")).alias("log_perplexity"),
         trusted.alias("trusted"), F.when(trusted, held).alias("held_out"))
 

@@ -180,3 +180,8 @@ def test_repeated_rows_count_once(spark):
                   for i in (900, None))
     assert many.n_symbols == once.n_symbols == len(plain_symbols(short)) - op.ORDER + 1
     assert many.threshold == pytest.approx(once.threshold) and many.perplexity == pytest.approx(once.perplexity)
+
+
+def test_all_trusted_documents_count(spark):
+    labels = spark.range(400_100).selectExpr("id AS doc_id", "1 AS quality", "0 AS toxic")
+    assert op.trusted_ids(labels).count() == 400_100
