@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contentspark.llm import block_topk, exact_dedup, kneser_ney, license_scan, mixing, ngram_join, pii, sentencepiece_unigram, url_reputation, warc_archive
+from contentspark.llm import block_topk, exact_dedup, kneser_ney, license_scan, merkle_manifest, mixing, ngram_join, pii, sentencepiece_unigram, url_reputation, warc_archive
 from contentspark.llm.common import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -255,3 +255,62 @@ WINDOW same AS (PARTITION BY norm)
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the copy that stays, its group's size and its normalised text's digest."""
     return exact_dedup.exact_groups(load(spark, sf_dir, "documents")).drop("text_hash")
+
+
+def _manifest_sql() -> str:
+    field = lambda c: f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')"
+    leaf = lambda text: "sha256(" + " || ".join(
+        field(text if c == "text" else c) for c in merkle_manifest.FIELDS) + ")"
+    lower = f"translate(text, '{merkle_manifest.UPPER}', '{merkle_manifest.LOWER}')"
+
+    def tree(name: str, nodes: str) -> str:
+        """All levels of the trees of ``nodes`` (g, i, node), their roots and every node's siblings."""
+        return rf"""
+{name}_up AS (
+  SELECT g, i, 0 AS lvl, node, count(*) OVER (PARTITION BY g) AS n FROM {nodes}
+  UNION ALL
+  SELECT g, i // 8, lvl + 1, sha256(string_agg(node, '' ORDER BY i)), (n + 7) // 8
+  FROM {name}_up WHERE n > 1 GROUP BY g, i // 8, lvl, n),
+{name}_root AS (SELECT g, node AS root FROM {name}_up WHERE n = 1),
+{name}_path AS (
+  SELECT a.g, a.i, a.lvl, coalesce(string_agg(b.node, '' ORDER BY b.i) FILTER (b.i < a.i), '') AS l,
+         coalesce(string_agg(b.node, '' ORDER BY b.i) FILTER (b.i > a.i), '') AS r
+  FROM {name}_up a JOIN {name}_up b ON a.g = b.g AND a.lvl = b.lvl AND a.i // 8 = b.i // 8 WHERE a.n > 1 GROUP BY a.g, a.i, a.lvl)"""
+
+    return rf"""
+WITH RECURSIVE leaves AS (
+  SELECT doc_id, lang, {leaf("text")} AS leaf, {leaf(lower)} AS altered,
+         xor(list_reduce(
+           list_transform(range(8 * strlen(doc_id::VARCHAR)), lambda k:
+             CASE WHEN k % 8 = 0 THEN ascii(substr(doc_id::VARCHAR, (k // 8 + 1)::INT, 1))::BIGINT ELSE 0 END),
+           lambda crc, b: xor(xor(crc, b) // 2, CASE WHEN xor(crc, b) % 2 = 1 THEN 3988292384 ELSE 0 END),
+           4294967295::BIGINT), 4294967295) % 3 = 0 AS chosen
+  FROM documents),
+line AS (
+  SELECT *, coalesce(':' || lang, '-') AS g, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i
+  FROM leaves),
+nodes AS (SELECT g, i, leaf AS node FROM line),{tree("doc", "nodes")},
+tops AS (SELECT 'all' AS g, g AS name, row_number() OVER (ORDER BY g) - 1 AS i, root AS node FROM doc_root),{tree("top", "tops")},
+way AS (
+  SELECT line.g, line.i, lvl AS step, l, r FROM line JOIN doc_path p ON line.g = p.g AND line.i // (8 ** lvl)::BIGINT = p.i
+  UNION ALL
+  SELECT line.g, line.i, 1000 + lvl, l, r FROM line JOIN tops ON line.g = tops.name JOIN top_path p ON tops.i // (8 ** lvl)::BIGINT = p.i),
+ways AS (
+  SELECT g, i, sha256(string_agg(l || r, '' ORDER BY step)) AS proof_sha256, list(l ORDER BY step) AS ls, list(r ORDER BY step) AS rs
+  FROM way GROUP BY g, i),
+folds AS (
+  SELECT line.g, line.i, 0 AS step, CASE WHEN chosen THEN altered ELSE leaf END AS node, coalesce(ls, []) AS ls, coalesce(rs, []) AS rs
+  FROM line LEFT JOIN ways USING (g, i)
+  UNION ALL
+  SELECT g, i, step + 1, sha256(ls[step + 1] || node || rs[step + 1]), ls, rs FROM folds WHERE step < len(ls))
+SELECT line.doc_id, line.leaf, doc_root.root AS subroot, top_root.root AS root, coalesce(proof_sha256, sha256('')) AS proof_sha256,
+       folds.node AS folded_root, folds.node = top_root.root AS verified
+FROM line JOIN doc_root ON line.g = doc_root.g JOIN folds ON line.g = folds.g AND line.i = folds.i AND folds.step = len(folds.ls)
+     LEFT JOIN ways ON line.g = ways.g AND line.i = ways.i, top_root
+"""
+
+
+@query("op13_merkle_manifest", _manifest_sql())
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's leaf, proof and folded root in the manifest of all documents."""
+    return merkle_manifest.manifest(load(spark, sf_dir, "documents"))
