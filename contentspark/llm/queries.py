@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contentspark.llm import block_topk, exact_dedup, kneser_ney, license_scan, merkle_manifest, mixing, ngram_join, pii, sentencepiece_unigram, url_reputation, warc_archive
+from contentspark.llm import bitslice_simhash, block_topk, exact_dedup, geometric_search, kneser_ney, license_scan, merkle_manifest, mixing, ngram_join, pii, sentencepiece_unigram, url_reputation, warc_archive
 from contentspark.llm.common import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -257,6 +257,42 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(load(spark, sf_dir, "documents")).drop("text_hash")
 
 
+def _ranked_sql() -> str:
+    terms = (rf"regexp_extract_all(translate(coalesce(text, ''), '{merkle_manifest.UPPER}', '{merkle_manifest.LOWER}'), "
+             r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')")
+    return rf"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, {terms} AS w FROM documents),
+q AS (SELECT row_number() OVER () AS query, item_id, {terms} AS w FROM benchmark),
+asked AS (SELECT query, item_id, word, count(*) AS times FROM (SELECT query, item_id, unnest(w) AS word FROM q) GROUP BY ALL),
+totals AS (SELECT count(*)::BIGINT AS n_docs, sum(len(w))::BIGINT AS length FROM d WHERE len(w) > 0),
+tfs AS (
+  SELECT row, doc_id, n, word, count(*) AS tf
+  FROM (SELECT row, doc_id, len(w) AS n, unnest(w) AS word FROM d) WHERE word IN (SELECT word FROM asked) GROUP BY ALL),
+weights AS (
+  SELECT word, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS weight
+  FROM (SELECT word, count(*) AS df FROM tfs GROUP BY word), totals),
+scores AS (
+  SELECT query, item_id, row, doc_id,
+         sum(times * weight * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * n_docs) // length))))::BIGINT AS score
+  FROM asked JOIN tfs USING (word) JOIN weights USING (word), totals GROUP BY ALL)
+SELECT item_id, rank::INT AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scores WHERE score > 0)
+WHERE rank <= 20
+"""
+
+
+@query("op11_geometric_search", _ranked_sql())
+def op11_geometric_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twenty best documents of every benchmark item."""
+    return geometric_search.search(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+
+
+@query("op12_bitslice_simhash")
+def op12_bitslice_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's SimHash fingerprint and the component that chains of near fingerprints put it in."""
+    return bitslice_simhash.near_components(load(spark, sf_dir, "documents"))
+
+
 def _manifest_sql() -> str:
     field = lambda c: f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')"
     leaf = lambda text: "sha256(" + " || ".join(
