@@ -1,12 +1,11 @@
 """Curated results (CUR-1..4).
 
-Pinning (CUR-1) without a per-query loop: pinned positions of a query, sorted
-ascending (p_1 < p_2 < ...), are turned into thresholds q_i = p_i - i + 1;
-organic rank r then lands at r + #{i : q_i <= r} - the r-th free slot. The
-thresholds of one query form a small array (pointers are capped at a page by
-CUR-4), attached to organic rows by an equi-join on the query key. A final
-``row_number`` per query closes gaps when a pinned position lies beyond the
-results.
+Pinning (CUR-1) without a per-query loop and without a task that sees all hits of a query. Organic
+ranks come from a range-partitioned sort (:func:`ranks.ranked`). The i-th pinned position p_i of a
+query (ascending) stands before organic rank q_i = p_i - i + 1; so the ranks up to the last q_i are
+merged with the pins, by a second sort of just these few rows, and every later rank moves by
+the number of pins. Pins beyond the results follow them without a gap; pins that share a position
+take neighbouring ones, the smaller doc_id first.
 """
 
 from __future__ import annotations
@@ -14,6 +13,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from contentspark.operators.ranks import ranked
+from contentspark.session import written
+
 
 def pin(organic: DataFrame, pointers: DataFrame, query_key: str = "query") -> DataFrame:
     """CUR-1/CUR-2: merge organic hits (query_id, query, doc_id, score) with pointers
@@ -24,28 +26,27 @@ def pin(organic: DataFrame, pointers: DataFrame, query_key: str = "query") -> Da
     """
     queries = organic.select("query_id", F.lower(F.trim(F.col(query_key))).alias("qkey")).distinct()
     p = pointers.select(F.lower(F.trim(F.col("search_term"))).alias("qkey"), "doc_id", "position")
-    pinned = queries.join(p, "qkey").select("query_id", "doc_id", "position")
-    rest = organic.join(pinned.select("query_id", "doc_id"), ["query_id", "doc_id"], "left_anti")
-    w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("doc_id").asc())
-    rest = rest.withColumn("r", F.row_number().over(w))
-    wp = Window.partitionBy("query_id").orderBy(F.col("position").asc(), F.col("doc_id").asc())
-    thr = (pinned.withColumn("i", F.row_number().over(wp))
-           .groupBy("query_id").agg(F.collect_list(F.col("position") - F.col("i") + 1).alias("thr")))
-    placed = (rest.join(thr, "query_id", "left")
-              .select("query_id", "doc_id",
-                      (F.col("r") + F.coalesce(F.size(F.filter("thr", lambda q: q <= F.col("r"))), F.lit(0)))
-                      .cast("double").alias("slot"), F.lit(False).alias("pinned")))
-    pins = pinned.select("query_id", "doc_id", F.col("position").cast("double").alias("slot"),
-                         F.lit(True).alias("pinned"))
-    allrows = placed.unionByName(pins)
-    wf = Window.partitionBy("query_id").orderBy(F.col("slot").asc(), F.col("pinned").desc(), F.col("doc_id").asc())
-    return allrows.withColumn("position", F.row_number().over(wf)).drop("slot")
+    pins = queries.join(p, "qkey").select("query_id", "doc_id", "position")
+    # Windows over the pins of one query: pointers are written by hand, never derived from the hits.
+    order = Window.partitionBy("query_id").orderBy("position", "doc_id")
+    pins = pins.withColumn("i", F.row_number().over(order))
+    pins = written(pins.withColumn("before", F.max(F.col("position") - F.col("i") + 1).over(order)), "pins")
+    per_query = pins.groupBy("query_id").agg(F.max("before").alias("last"), F.count(F.lit(1)).alias("pins"))
+
+    rest = organic.select("query_id", "doc_id", "score").join(pins.select("query_id", "doc_id"), ["query_id", "doc_id"], "left_anti")
+    rest = ranked(rest, ["query_id"], [F.col("score").desc(), F.col("doc_id").asc()], "r").join(per_query, "query_id", "left")
+    moved = F.coalesce(F.col("r") >= F.col("last"), F.lit(True))
+    later = rest.filter(moved).select(
+        "query_id", "doc_id", (F.col("r") + F.coalesce("pins", F.lit(0))).alias("position"), F.lit(False).alias("pinned"))
+    merged = rest.filter(~moved).select("query_id", "doc_id", F.col("r").cast("long").alias("at"), F.lit(False).alias("pinned"), F.lit(0).alias("i"))
+    merged = merged.unionByName(pins.select("query_id", "doc_id", F.col("before").cast("long").alias("at"), F.lit(True).alias("pinned"), "i"))
+    merged = ranked(merged, ["query_id"], [F.col("at").asc(), F.col("pinned").desc(), F.col("i").asc()], "position")
+    return later.unionByName(merged.select("query_id", "doc_id", "position", "pinned"))
 
 
 def organic_only(organic: DataFrame) -> DataFrame:
     """CUR-3: the preview without pointers: organic order only."""
-    w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("doc_id").asc())
-    return organic.withColumn("position", F.row_number().over(w))
+    return ranked(organic, ["query_id"], [F.col("score").desc(), F.col("doc_id").asc()], "position")
 
 
 def clean_pointers(pointers: DataFrame, posts: DataFrame, page_size: int | None = None) -> DataFrame:

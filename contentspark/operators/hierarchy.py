@@ -1,125 +1,101 @@
 """Hierarchies (HIER-1..5): closures, descendant counts, trees, comment threads.
 
-All walks come from one closure table, built by doubling: after round k it holds
-every (node, ancestor) pair up to depth 2^k, and the next round joins the pairs
-of depth exactly 2^k with it. So a chain of a million levels takes 20 rounds,
-each a join on the cluster whose result is written to the shared folder; no
-recursion limit applies and nothing is collected to the driver between rounds.
-Pairs that are known are not derived again, so cycles end: a node of a cycle
-has the cycle's other nodes as ancestors, never itself.
+Everything is read from the intervals of one Euler tour (:mod:`intervals`): descendants are a range of
+pre-order places, counts over descendants are differences of sums, levels and threads come with
+the tour. Tables of n rows give n rows, whatever the depth; pairs of node and ancestor are made only
+where pairs are what is asked for.
 """
 
 from __future__ import annotations
 
-import os
-import uuid
-
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from contentspark.session import checkpoint_dir
-
-
-def _written(df: DataFrame, path: str) -> DataFrame:
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+from contentspark.operators.intervals import pairs_below, tour
+from contentspark.session import written
 
 
 def closure(nodes: DataFrame, id_col: str = "term_id", parent_col: str = "parent") -> DataFrame:
     """HIER-1: (id, ancestor, depth) for every ancestor of every node (depth 1 = parent).
 
-    ``parent`` 0 or NULL means root. Both directions come from this one table:
-    ancestors of x = rows with id = x; descendants of y = rows with ancestor = y.
+    Its rows are the pairs themselves (for a chain, the square of its length); counts, covers and
+    threads do not need it. The nodes of a cycle have each other as ancestors, never themselves.
     """
-    folder = os.path.join(checkpoint_dir(nodes.sparkSession), f"closure-{uuid.uuid4().hex}")
-    start = nodes.select(F.col(id_col).alias("id"), F.col(parent_col).alias("ancestor"), F.lit(1).alias("depth"))
-    start = start.filter(F.col("ancestor").isNotNull() & (F.col("ancestor") != 0) & (F.col("ancestor") != F.col("id")))
-    known = last = _written(start.dropDuplicates(["id", "ancestor"]), os.path.join(folder, "1"))
-    reach = 1
-    while not last.isEmpty():
-        far = last.filter(F.col("depth") == reach).select(
-            "id", F.col("ancestor").alias("mid"), F.col("depth").alias("first"))
-        near = known.select(F.col("id").alias("mid"), "ancestor", F.col("depth").alias("second"))
-        found = (far.join(near, "mid").filter(F.col("ancestor") != F.col("id"))
-                 .groupBy("id", "ancestor").agg(F.min(F.col("first") + F.col("second")).alias("depth"))
-                 .join(known.select("id", "ancestor"), ["id", "ancestor"], "left_anti"))
-        reach *= 2
-        last = _written(found, os.path.join(folder, str(reach)))
-        known = known.unionByName(last)
-    return known
-
-
-def with_hierarchy(terms: DataFrame, id_col: str = "term_id", parent_col: str = "parent") -> DataFrame:
-    """DOC-15 / HIER-2 / HIER-3: terms plus ancestors, descendant totals and padded count.
-
-    ``ancestors`` (bounded by the depth) is kept as a sorted array;
-    descendants stay in long form in :func:`closure` (a root may have
-    millions), summarized here as ``n_descendants`` and ``children_count`` =
-    sum of their object counts; ``padded_count`` = own count + children_count.
+    walk = written(tour(nodes, id_col, parent_col), "tour")
+    pairs = pairs_below(walk)
+    cuts = walk.filter("cut IS NOT NULL").select(F.col("id").alias("root"), F.col("cut").alias("id"))
+    if cuts.isEmpty():
+        return pairs
+    # Behind a cycle's root stands the rest of the cycle: the root's former parent and what is above that.
+    behind = cuts.select("id").distinct()
+    behind = pairs_below(walk, among=behind).unionByName(behind.select("id", F.col("id").alias("ancestor"), F.lit(0).alias("depth")))
+    behind = cuts.join(behind, "id").select("root", "ancestor", "depth")
+    around = walk.select("id", "root", "level").join(behind, "root").filter("id != ancestor").select(
+        "id", "ancestor", (F.col("level") + 1 + F.col("depth")).alias("depth"))
+    return pairs.unionByName(around.join(pairs.select("id", "ancestor"), ["id", "ancestor"], "left_anti"))
+
+
+def with_hierarchy(terms: DataFrame, id_col: str = "term_id", parent_col: str = "parent", ancestors: bool = True) -> DataFrame:
+    """DOC-15 / HIER-2 / HIER-3: terms plus place, descendant totals and padded count.
+
+    ``level``, ``pre`` and ``n_descendants`` place a term: its descendants have the ``pre`` after its own,
+    ``n_descendants`` of them. ``children_count`` = sum of the descendants' object counts;
+    ``padded_count`` = own count + children_count. ``ancestors`` adds the sorted array of a
+    term's ancestors, as many as the term is deep.
     """
-    c = closure(terms, id_col, parent_col)
-    counts = terms.select(F.col(id_col).alias("id"), F.col("count").alias("cnt"))
-    anc = c.groupBy(F.col("id").alias(id_col)).agg(F.array_sort(F.collect_list("ancestor")).alias("ancestors"))
-    desc = (c.join(counts, "id")
-            .groupBy(F.col("ancestor").alias(id_col))
-            .agg(F.count(F.lit(1)).cast("bigint").alias("n_descendants"),
-                 F.sum("cnt").cast("bigint").alias("children_count")))
-    empty = F.array().cast("array<bigint>")
-    zero = F.lit(0).cast("bigint")
-    return (terms.join(anc, id_col, "left").join(desc, id_col, "left")
-            .withColumn("ancestors", F.coalesce("ancestors", empty))
-            .withColumn("n_descendants", F.coalesce("n_descendants", zero))
-            .withColumn("children_count", F.coalesce("children_count", zero))
-            .withColumn("padded_count", (F.col("count") + F.col("children_count")).cast("bigint")))
+    walk = written(tour(terms, id_col, parent_col, sums={"children_count": F.col("count")}), "tour")
+    h = walk.select(F.col("id").alias(id_col), "level", "pre", (F.col("size") - 1).alias("n_descendants"), "children_count")
+    out = terms.join(h, id_col).withColumn("padded_count", (F.col("count") + F.col("children_count")).cast("bigint"))
+    if not ancestors:
+        return out
+    above = pairs_below(walk).groupBy(F.col("id").alias(id_col)).agg(F.array_sort(F.collect_list("ancestor")).alias("ancestors"))
+    return out.join(above, id_col, "left").withColumn("ancestors", F.coalesce("ancestors", F.array().cast("array<bigint>")))
 
 
 def tree(terms: DataFrame, sort_key: str = "name", id_col: str = "term_id", parent_col: str = "parent",
-         descending: bool = False) -> DataFrame:
-    """HIER-4: (id, level, path) where ordering by ``path`` gives the pre-order flattening.
+         descending: bool = False, path: bool = True) -> DataFrame:
+    """HIER-4: (id, level, position[, path]): the pre-order flattening, siblings by ``sort_key``, then id.
 
-    Siblings are ordered by ``sort_key`` (e.g. name or count), ascending or descending, then id; the
-    path holds one sort token per level, so a lexicographic array order is the tree order. Ascending
-    names are their own tokens; otherwise the token is the rank among the siblings.
+    ``position`` counts from 0. ``path`` holds one sort token per level, so that a lexicographic array order
+    is the tree order: ascending names are their own tokens, otherwise a token is the number among
+    the table's rows in sibling order. Leave it out for deep trees.
     """
-    key = F.col(sort_key)
-    nodes = terms.select(F.col(id_col).alias("id"), F.coalesce(F.col(parent_col), F.lit(0)).alias("parent"),
-                         (F.lower(key.cast("string")) if sort_key != "count" else key).alias("key"))
-    number = F.lpad(F.col("id").cast("string"), 20, "0")
+    key = F.col(sort_key) if sort_key == "count" else F.lower(F.col(sort_key).cast("string"))
+    walk = written(tour(terms, id_col, parent_col, [(key, descending)]), "tour")
+    out = walk.select(F.col("id").alias(id_col), "level", F.col("pre").alias("position"))
+    if not path:
+        return out
     if descending or sort_key == "count":
-        siblings = Window.partitionBy("parent").orderBy(F.col("key").desc() if descending else F.col("key").asc(), "id")
-        token = F.lpad(F.row_number().over(siblings).cast("string"), 12, "0")
+        sibling = F.row_number().over(_siblings(walk))
+        tokens = walk.select("id", F.lpad(sibling.cast("string"), 12, "0").alias("tok"))
     else:
-        token = F.concat("key", F.lit("\u0001"), number)
-    nodes = nodes.withColumn("tok", token)
-    return _paths(nodes, nodes.filter("parent = 0").select("id")).select("id", "level", "path").withColumnRenamed("id", id_col)
+        tokens = terms.select(F.col(id_col).alias("id"), F.concat(key, F.lit("\u0001"), F.lpad(F.col(id_col).cast("string"), 20, "0")).alias("tok"))
+    steps = pairs_below(walk).unionByName(walk.select("id", F.col("id").alias("ancestor"), F.lit(0).alias("depth")))
+    steps = steps.join(tokens.withColumnRenamed("id", "ancestor"), "ancestor")
+    paths = steps.groupBy(F.col("id").alias(id_col)).agg(F.transform(F.array_sort(F.collect_list(
+        F.struct((-F.col("depth")).alias("d"), "tok"))), lambda x: x["tok"]).alias("path"))
+    return out.join(paths, id_col)
 
 
-def _paths(nodes: DataFrame, roots: DataFrame) -> DataFrame:
-    """(id, root, level, path) of the nodes (id, parent, tok) below ``roots`` (id), the roots included.
+def _siblings(walk: DataFrame):
+    from pyspark.sql import Window
 
-    A path has one token per level, so its size is the depth.
-    """
-    up = closure(nodes, "id", "parent")
-    below = up.join(roots.select(F.col("id").alias("ancestor")), "ancestor", "left_semi").select(
-        "id", F.col("ancestor").alias("root"), F.col("depth").alias("level"))
-    below = below.unionByName(roots.select("id", F.col("id").alias("root"), F.lit(0).alias("level")))
-    steps = up.unionByName(nodes.select("id", F.col("id").alias("ancestor"), F.lit(0).alias("depth")))
-    tokens = steps.join(nodes.select(F.col("id").alias("ancestor"), "tok"), "ancestor").select("id", "depth", "tok")
-    path = F.transform(F.array_sort(F.collect_list(F.struct((-F.col("depth")).alias("d"), "tok"))), lambda x: x["tok"])
-    return (below.join(tokens, "id").filter(F.col("depth") <= F.col("level"))
-            .groupBy("id", "root", "level").agg(path.alias("path")))
+    return Window.partitionBy("parent").orderBy("pre")
 
 
 def thread(comments: DataFrame, roots: DataFrame | None = None, id_col: str = "comment_ID",
            parent_col: str = "comment_parent", order_col: str = "comment_date_gmt") -> DataFrame:
     """HIER-5: a comment set with all its descendants.
 
-    Returns (id, root, level, path); ``roots`` defaults to top-level comments.
-    Threaded order = order by path; flat order = by the caller's sort.
+    Returns (id, root, level, position); ``roots`` defaults to top-level comments (parent 0). Threaded order =
+    order by position (replies by date, then id); flat order = by the caller's sort.
     """
-    nodes = comments.select(F.col(id_col).alias("id"), F.col(parent_col).alias("parent"),
-                            F.concat(F.date_format(F.col(order_col), "yyyyMMddHHmmss"),
-                                     F.lpad(F.col(id_col).cast("string"), 20, "0")).alias("tok"))
-    start = nodes.filter(F.col("parent") == 0) if roots is None else nodes.join(
-        roots.select(F.col(id_col).alias("id")), "id", "left_semi")
-    return _paths(nodes, start.select("id")).withColumnRenamed("id", id_col)
+    walk = written(tour(comments, id_col, parent_col, [(F.col(order_col), False)]), "tour")
+    if roots is None:
+        top = comments.filter(F.col(parent_col) == 0).select(F.col(id_col).alias("root"))
+        below = walk.join(top, "root", "left_semi").select("id", "root", "level", F.col("pre").alias("position"))
+        return below.withColumnRenamed("id", id_col)
+    start = roots.select(F.col(id_col).alias("id")).distinct()
+    pairs = pairs_below(walk, of=start).select("id", F.col("ancestor").alias("root"), F.col("depth").alias("level"))
+    own = walk.join(start, "id", "left_semi").select("id", F.col("id").alias("root"), F.lit(0).alias("level"))
+    return pairs.unionByName(own).join(walk.select("id", F.col("pre").alias("position")), "id").withColumnRenamed("id", id_col)

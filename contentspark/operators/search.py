@@ -120,6 +120,20 @@ class TextIndex:
             self._keys[max_k] = vk
         return self._keys[max_k]
 
+    def impact_tables(self) -> tuple[DataFrame, DataFrame]:
+        """(term, field, doc_id, impact) and (term, field, most, df) for :mod:`topk`.
+
+        ``impact`` is a posting's BM25 score, ``most`` a term's largest. Built once per index, from the
+        written postings where there are any.
+        """
+        if "impacts" not in self._keys:
+            rows = self.postings.join(self.term_df(), ["field", "term"]).join(F.broadcast(self.stats()), "field")
+            impact = bm25(F.col("tf"), F.col("len"), F.col("avg_len"), F.col("df"), F.col("n_docs"))
+            impacts = written(rows.select("term", "field", "doc_id", impact.alias("impact")), "impacts")
+            most = impacts.groupBy("term", "field").agg(F.max("impact").alias("most"), F.count(F.lit(1)).alias("df"))
+            self._keys["impacts"] = impacts, written(most, "largest-impacts")
+        return self._keys["impacts"]
+
     def occurrences(self) -> DataFrame:
         """(doc_id, field, term, pos): one row per token."""
         return self.postings.select("doc_id", "field", "term", F.explode("positions").alias("pos"))

@@ -5,13 +5,11 @@ equi-joined with the query tokens on their first 10 characters - every token,
 compared whole, must prefix some token of the document.
 
 Spelling (SUG-4/5/6): noisy channel. Candidates per query token come from the
-fuzzy expansion (deletion keys + levenshtein, 'auto' budget); a candidate
-scores log P(w) (add-one smoothed unigram) + log P(w | left word) + log
-P(right word | w) with the *observed* neighbours (bigram counts from DOC-23)
-minus an edit penalty per edit (and a penalty for keeping a word the corpus
-never saw). Per position the best candidate wins; at most
-two positions change (the largest gains). All joins; no pairs of candidates
-are formed.
+fuzzy expansion (deletion keys + levenshtein, 'auto' budget); all of them form a
+lattice, and a phrase scores the sum of its words' log P(w) (add-one smoothed
+unigram), log P(w | the word chosen before it) and a penalty per edit (and one
+for keeping a word the corpus never saw). The best paths come from a list
+Viterbi per query; only bigrams that the corpus has are edges.
 
 Related (SUG-7): more-like-this. Per source document its 12 best tf-idf terms
 (``row_number`` per document) form a query; candidates must match at least
@@ -23,6 +21,7 @@ from __future__ import annotations
 
 import math
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -98,72 +97,113 @@ def language_model(shingle_rows: DataFrame, postings: DataFrame) -> tuple[DataFr
     return uni, bi, totals
 
 
-def spelling_candidates(queries: DataFrame, vocabulary: DataFrame, uni: DataFrame, bi: DataFrame, totals: DataFrame
-                        ) -> DataFrame:
-    """(query_id, pos, term, vterm, gain): candidates per query position with their gain over the word itself."""
+def spelling_lattice(queries: DataFrame, vocabulary: DataFrame, uni: DataFrame, bi: DataFrame, totals: DataFrame
+                     ) -> tuple[DataFrame, DataFrame]:
+    """The lattice of all positions' candidates, as nodes and edges.
+
+    Nodes (query_id, pos, term, vterm, own, norm): a candidate's log P(w) with its edit penalties, and
+    log(c(w) + vocabulary). Edges (query_id, pos, prev, vterm, logp): the pairs of neighbouring candidates
+    that the corpus has as bigrams; every other pair costs -norm of its first word, so no pair has to be
+    written down for it.
+    """
     qt = queries.select("query_id", F.posexplode(tokens(F.col("query"))).alias("pos", "term"))
-    ctx = qt.select("query_id", "pos", "term",
-                    F.lag("term").over(Window.partitionBy("query_id").orderBy("pos")).alias("left"),
-                    F.lead("term").over(Window.partitionBy("query_id").orderBy("pos")).alias("right"))
-    cand = fuzzy_expand(ctx, vocabulary, "auto")  # adds vterm (only when the vocabulary has one)
-    cand = cand.unionByName(ctx.withColumn("vterm", F.col("term")))  # keeping the word is always a candidate
-    cand = cand.dropDuplicates(["query_id", "pos", "vterm"])
-    t = totals.select("n_tokens", "vocab")
-    u = uni.select(F.col("term").alias("vterm"), F.col("c").alias("uc"))
-    lb = bi.select(F.col("w1").alias("left"), F.col("w2").alias("vterm"), F.col("c").alias("lc"))
-    rb = bi.select(F.col("w1").alias("vterm"), F.col("w2").alias("right"), F.col("c").alias("rc"))
-    ul = uni.select(F.col("term").alias("left"), F.col("c").alias("left_c"))
-    s = (cand.join(u, "vterm", "left").join(lb, ["left", "vterm"], "left").join(rb, ["vterm", "right"], "left")
-         .join(ul, "left", "left"))
-    n_tok, vocab = t.select("n_tokens").scalar(), t.select("vocab").scalar()  # scalar subqueries
-    uc = F.coalesce(F.col("uc"), F.lit(0.0))
-    logp = (F.log((uc + 1) / (n_tok + vocab))
-            + F.when(F.col("left").isNotNull(),
-                     F.log((F.coalesce(F.col("lc"), F.lit(0.0)) + 1) / (F.coalesce(F.col("left_c"), F.lit(0.0))
-                                                                        + vocab))).otherwise(0.0)
-            + F.when(F.col("right").isNotNull(),
-                     F.log((F.coalesce(F.col("rc"), F.lit(0.0)) + 1) / (uc + vocab))).otherwise(0.0)
-            + F.levenshtein("term", "vterm") * F.lit(EDIT_PENALTY)
-            + F.when(F.col("uc").isNull(), F.lit(UNSEEN_PENALTY)).otherwise(0.0))
-    s = s.withColumn("logp", logp)
-    orig = s.filter(F.col("vterm") == F.col("term")).select("query_id", "pos", F.col("logp").alias("logp0"))
-    return s.join(orig, ["query_id", "pos"]).select(
-        "query_id", "pos", "term", "vterm", F.round(F.col("logp") - F.col("logp0"), 9).alias("gain"))
-
-
-def spelling(queries: DataFrame, candidates: DataFrame, max_changes: int = 2, min_score: float = MIN_SCORE) -> DataFrame:
-    """SUG-4/5: (query_id, query, suggestion, score) - the corrected phrase when it differs.
-
-    gain = log-likelihood improvement of the chosen corrections over the
-    original phrase; score = 1 - exp(-gain) in (0, 1); suggestions with
+    found = fuzzy_expand(qt.select("term").distinct(), vocabulary, "auto").select("term", "vterm")
+    words = found.unionByName(qt.select("term", F.col("term").alias("vterm"))).distinct()  # keeping a word is always possible
+    n_tok, vocab = totals.select("n_tokens").scalar(), totals.select("vocab").scalar()  # scalar subqueries
+    c = F.coalesce("c", F.lit(0.0))
+    own = (F.log((c + 1) / (n_tok + vocab)) + F.levenshtein("term", "vterm") * F.lit(EDIT_PENALTY)
+           + F.when(F.col("c").isNull(), F.lit(UNSEEN_PENALTY)).otherwise(0.0))
+    words = words.join(uni.select(F.col("term").alias("vterm"), "c"), "vterm", "left").select(
+        "term", "vterm", own.alias("own"), F.log(c + vocab).alias("norm"))
+    nodes = written(qt.join(words, "term").select("query_id", "pos", "term", "vterm", "own", "norm"), "lattice")
+    known = nodes.select("vterm").distinct()
+    pairs = (bi.join(known.withColumnRenamed("vterm", "w1"), "w1", "left_semi").join(known.withColumnRenamed("vterm", "w2"), "w2", "left_semi")
+             .select(F.col("w1").alias("prev"), F.col("w2").alias("vterm"), F.col("c").alias("pair")))
+    left = nodes.select("query_id", (F.col("pos") + 1).alias("pos"), F.col("vterm").alias("prev"), "norm")
+    edges = (left.join(pairs, "prev").join(nodes.select("query_id", "pos", "vterm"), ["query_id", "pos", "vterm"], "left_semi")
+             .select("query_id", "pos", "prev", "vterm", (F.log(F.col("pair") + 1) - F.col("norm")).alias("logp")))
+    return nodes, written(edges, "lattice-edges")
+
+
+def _viterbi(k: int):
+    """The k best paths of one query's lattice by list Viterbi, with their gain over the query itself."""
+    def best(entries: list) -> list:
+        return sorted(entries, key=lambda e: (-round(e[0], 9), e[1]))[:k]
+
+    def run(nodes: pd.DataFrame, edges: pd.DataFrame) -> pd.DataFrame:
+        positions: dict[int, list] = {}
+        for pos, term, vterm, own, norm in zip(nodes["pos"], nodes["term"], nodes["vterm"], nodes["own"], nodes["norm"]):
+            positions.setdefault(pos, []).append((term, vterm, own, norm))
+        seen: dict[tuple, dict] = {}
+        for pos, prev, vterm, logp in zip(edges["pos"], edges["prev"], edges["vterm"], edges["logp"]):
+            seen.setdefault((pos, vterm), {})[prev] = logp
+        paths: dict[str, list] = {}
+        said, last, before = 0.0, None, {}
+        for pos in sorted(positions):
+            term = positions[pos][0][0]
+            own = {v: o for _, v, o, _ in positions[pos]}
+            said += own[term] + (0.0 if last is None else seen.get((pos, term), {}).get(last, -before[last]))
+            if last is None:
+                paths = {v: [(o, (v,))] for v, o in own.items()}
+            else:
+                unseen = sorted(((s - before[p], path, p) for p, entries in paths.items() for s, path in entries),
+                                key=lambda e: (-round(e[0], 9), e[1]))
+                step = {}
+                for v, o in own.items():
+                    met = seen.get((pos, v), {})
+                    entries = [(s + logp + o, (*path, v)) for p, logp in met.items() for s, path in paths[p]]
+                    left = k
+                    for s, path, p in unseen:
+                        if left and p not in met:
+                            entries.append((s + o, (*path, v)))
+                            left -= 1
+                        elif not left:
+                            break
+                    step[v] = best(entries)
+                paths = step
+            last, before = term, {v: n for _, v, _, n in positions[pos]}
+        top = best([e for entries in paths.values() for e in entries])
+        return pd.DataFrame({"query_id": nodes["query_id"].iloc[0], "rank": range(1, len(top) + 1),
+                             "suggestion": [" ".join(path) for _, path in top], "gain": [round(s - said, 9) for s, _ in top]})
+
+    return run
+
+
+def best_phrases(lattice: tuple[DataFrame, DataFrame], k: int = 1) -> DataFrame:
+    """SUG-4/6: (query_id, rank, suggestion, gain): the k likeliest phrases of every query, the query itself among them.
+
+    A word's neighbours are the ones chosen with it, and any number of words may change. One group is one
+    query's lattice: its words and their candidates.
+    """
+    nodes, edges = lattice
+    schema = f"query_id {dict(nodes.dtypes)['query_id']}, rank int, suggestion string, gain double"
+    return nodes.groupBy("query_id").cogroup(edges.groupBy("query_id")).applyInPandas(_viterbi(k), schema)
+
+
+def _said(queries: DataFrame) -> DataFrame:
+    return queries.select("query_id", F.array_join(tokens(F.col("query")), " ").alias("query"))
+
+
+def spelling(queries: DataFrame, phrases: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
+    """SUG-4/5: (query_id, query, suggestion, score) - the likeliest phrase when it is not the query.
+
+    gain = log-likelihood improvement over the query; score = 1 - exp(-gain) in (0, 1); suggestions with
     score <= ``min_score`` drop.
     """
-    w = Window.partitionBy("query_id", "pos").orderBy(F.col("gain").desc(), F.col("vterm").asc())
-    best = candidates.withColumn("r", F.row_number().over(w)).filter("r = 1").drop("r")
-    wg = Window.partitionBy("query_id").orderBy(F.col("gain").desc(), F.col("pos").asc())
-    best = best.withColumn("g", F.row_number().over(wg))
-    chosen = F.when((F.col("g") <= max_changes) & (F.col("gain") > 0), F.col("vterm")).otherwise(F.col("term"))
-    words = best.select("query_id", "pos", chosen.alias("w"),
-                        F.when((F.col("g") <= max_changes) & (F.col("gain") > 0), F.col("gain")).otherwise(0.0)
-                        .alias("gain"))
-    out = words.groupBy("query_id").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "w"))), lambda x: x["w"]), " ")
-        .alias("suggestion"), F.sum("gain").alias("gain"))
-    out = out.join(queries.select("query_id", F.array_join(tokens(F.col("query")), " ").alias("query")), "query_id")
-    out = out.withColumn("score", 1.0 - F.exp(-F.col("gain")))
+    out = phrases.filter("rank = 1").join(_said(queries), "query_id").withColumn("score", 1.0 - F.exp(-F.col("gain")))
     return out.filter((F.col("suggestion") != F.col("query")) & (F.col("score") > min_score)).select(
         "query_id", "query", "suggestion", "score")
 
 
-def alternatives(queries: DataFrame, candidates: DataFrame, k: int) -> DataFrame:
-    """SUG-6: (query_id, rank, suggestion, score) - up to ``k`` phrases per query, each with one word changed."""
-    changed = candidates.filter((F.col("vterm") != F.col("term")) & (F.col("gain") > 0))
-    w = Window.partitionBy("query_id").orderBy(F.col("gain").desc(), "pos", "vterm")
-    top = changed.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-    toks = queries.select("query_id", tokens(F.col("query")).alias("toks"))
-    words = F.transform("toks", lambda x, i: F.when(i == F.col("pos"), F.col("vterm")).otherwise(x))
-    return top.join(toks, "query_id").select("query_id", "rank", F.array_join(words, " ").alias("suggestion"),
-                                             (1.0 - F.exp(-F.col("gain"))).alias("score"))
+def alternatives(queries: DataFrame, phrases: DataFrame, k: int) -> DataFrame:
+    """SUG-6: (query_id, rank, suggestion, score) - up to ``k`` whole phrases that are likelier than the query.
+
+    ``phrases`` are the k + 1 best, which may hold the query itself.
+    """
+    better = phrases.join(_said(queries), "query_id").filter((F.col("suggestion") != F.col("query")) & (F.col("gain") > 0))
+    w = Window.partitionBy("query_id").orderBy("rank")
+    return better.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).select(
+        "query_id", "rank", "suggestion", (1.0 - F.exp(-F.col("gain"))).alias("score"))
 
 
 def only_when_empty(suggestions: DataFrame, hits: DataFrame) -> DataFrame:

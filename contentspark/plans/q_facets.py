@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from contentspark.functions.multivalue import any_match
+from contentspark.operators import facet_index as FI
 from contentspark.operators import facets as G
 from contentspark.operators import predicates as P
 from contentspark.plans.registry import query
@@ -146,6 +146,20 @@ def agg11_date_facet_filter(spark, sf):
 SEL = {"brand": ["brand-2", "brand-3"], "post_tag": ["bolt"]}
 
 
+def facet_index(spark, sf):
+    """Bitmaps of the products' facets, with their prices beside the document numbers."""
+    fv = {"brand": term_slugs("brand"), "post_tag": term_slugs("post_tag"), "ptype": term_slugs("ptype")}
+    prices = F.transform(F.col("meta")["_price"], lambda x: x["double"])
+    return FI.cached_facets("products:brand,post_tag,ptype;prices", products(spark, sf), "id", fv, {"prices": prices})
+
+
+@query("agg12_match_all_bitmaps", FACETS_SQL + "SELECT id FROM pf WHERE brand = 'brand-2' AND list_contains(tags, 'bolt')")
+def agg12_match_all_bitmaps(spark, sf):
+    """'all' from the bitmaps: an AND of the selected values' words."""
+    index = facet_index(spark, sf)
+    return index.documents(index.mask_of_selection({"brand": ["brand-2"], "post_tag": ["bolt"]}, "all"))
+
+
 @query("agg12_match_all", FACETS_SQL + """
 SELECT id FROM pf WHERE brand = 'brand-2' AND brand = 'brand-3' AND list_contains(tags, 'bolt')
 UNION ALL
@@ -162,9 +176,9 @@ def agg12_match_all(spark, sf):
 @query("agg13_match_any", FACETS_SQL + """
 SELECT id FROM pf WHERE brand IN ('brand-2', 'brand-3') OR list_contains(tags, 'bolt')""")
 def agg13_match_any(spark, sf):
-    df = products(spark, sf)
-    fv = {"brand": term_slugs("brand"), "post_tag": term_slugs("post_tag")}
-    return df.filter(G.selection(fv, SEL, "any")).select("id")
+    """'any' from the bitmaps: an OR of the selected values' words."""
+    index = facet_index(spark, sf)
+    return index.documents(index.mask_of_selection(SEL, "any"))
 
 
 AGG14_SQL = FACETS_SQL + """
@@ -185,12 +199,18 @@ SELECT facet, value, doc_count FROM (
 
 @query("agg14_counts_ignoring_selection", AGG14_SQL)
 def agg14_counts_ignoring_selection(spark, sf):
-    """'any': each facet counts under the other facets' selections and the base filter."""
+    """'any': each facet counts under the other facets' selections and the base filter, from the bitmaps."""
+    base = F.exists("prices", lambda x: x > 920)
+    return facet_index(spark, sf).counts_ignoring_own(["brand", "post_tag", "ptype"], SEL, "any", base)
+
+
+@query("agg14_counts_in_one_scan", AGG14_SQL)
+def agg14_counts_in_one_scan(spark, sf):
+    """The same counts without an index: flags on one scan of the documents."""
     df = products(spark, sf)
     fv = {"brand": term_slugs("brand"), "post_tag": term_slugs("post_tag"), "ptype": term_slugs("ptype")}
     base = P.meta_clause({"key": "_price", "value": 920, "compare": ">"})
-    flags = G.counting_flags(fv, SEL, "any", base)
-    return G.facet_counts(df, fv, flags=flags)
+    return G.facet_counts(df, fv, flags=G.counting_flags(fv, SEL, "any", base))
 
 
 @query("agg15_drop_empty", FACETS_SQL + """
@@ -234,11 +254,9 @@ def agg18_grouping_sets(spark, sf):
 
 @query("agg18_multi_facet", AGG14_SQL.replace("price > 920", "price > 0"))
 def agg18_multi_facet(spark, sf):
-    """Each facet as its own filtered aggregation, all in one pass."""
-    df = products(spark, sf)
-    fv = {"brand": term_slugs("brand"), "post_tag": term_slugs("post_tag"), "ptype": term_slugs("ptype")}
-    flags = G.counting_flags(fv, SEL, "any", any_match(F.col("meta")["_price"], lambda x: x["double"] > 0))
-    return G.facet_counts(df, fv, flags=flags)
+    """Each facet as its own filtered aggregation in one request, from the bitmaps."""
+    base = F.exists("prices", lambda x: x > 0)
+    return facet_index(spark, sf).counts_ignoring_own(["brand", "post_tag", "ptype"], SEL, "any", base)
 
 
 @query("agg19_term_sample", with_views(V_TERMS) + """

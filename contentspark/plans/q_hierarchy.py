@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 
 from contentspark.operators import hierarchy as H
 from contentspark.operators import terms as TR
+from contentspark.operators.intervals import covered, tour
 from contentspark.plans.registry import query
 from contentspark.plans.sqlviews import V_COMMENTS, V_TERMS, with_views
+from contentspark.session import written
 from contentspark.sources import views as V
 
 GEO_CLOSURE_SQL = with_views(V_TERMS) + """,
@@ -49,18 +51,19 @@ def hier1_closure(spark, sf):
 
 @query("hier1_descendants", GEO_CLOSURE_SQL + "SELECT id FROM clo WHERE ancestor = 3")
 def hier1_descendants(spark, sf):
-    """Descendants of region term 3 (the same closure read the other way)."""
-    return H.closure(geo_terms(spark, sf)).filter(F.col("ancestor") == 3).select("id")
+    """Descendants of region term 3: a range of places, no closure."""
+    walk = written(tour(geo_terms(spark, sf)), "tour")
+    return covered(walk, spark.createDataFrame([(3,)], "id long"))
 
 
 @query("hier2_children_count", GEO_CLOSURE_SQL + "SELECT term_id, n_descendants, children_count FROM hier")
 def hier2_children_count(spark, sf):
-    return geo_hier(spark, sf).select("term_id", "n_descendants", "children_count")
+    return H.with_hierarchy(geo_terms(spark, sf), ancestors=False).select("term_id", "n_descendants", "children_count")
 
 
 @query("hier3_padded_counts", GEO_CLOSURE_SQL + "SELECT term_id, count, padded_count FROM hier")
 def hier3_padded_counts(spark, sf):
-    return geo_hier(spark, sf).select("term_id", "count", "padded_count")
+    return H.with_hierarchy(geo_terms(spark, sf), ancestors=False).select("term_id", "count", "padded_count")
 
 
 TREE_SQL = with_views(V_TERMS) + """,
@@ -83,6 +86,14 @@ def hier4_term_tree(spark, sf):
     return t.select("term_id", "level", F.array_join("path", ">").alias("path_key"))
 
 
+@query("hier4_term_tree_positions", TREE_SQL.replace(
+    "SELECT id AS term_id, level, array_to_string(path, '>') AS path_key FROM t",
+    "SELECT id AS term_id, level, row_number() OVER (ORDER BY path) - 1 AS position FROM t"))
+def hier4_term_tree_positions(spark, sf):
+    """The same tree as places in pre-order: a number per node, however deep it is."""
+    return H.tree(geo_terms(spark, sf), sort_key="name", path=False)
+
+
 @query("hier4_term_tree_descending", with_views(V_TERMS) + """,
 geo AS (SELECT term_id, parent, name, lpad((row_number() OVER (PARTITION BY parent ORDER BY lower(name) DESC, term_id))::VARCHAR,
                12, '0') AS tok FROM v_terms WHERE taxonomy = 'geo'),
@@ -99,6 +110,22 @@ def hier4_term_tree_descending(spark, sf):
     return t.select("term_id", "level", F.array_join("path", ">").alias("path_key"))
 
 
+@query("hier5_threaded_order", with_views(V_COMMENTS) + """,
+t AS (
+  WITH RECURSIVE t(id, path) AS (
+    SELECT comment_ID, [strftime(comment_date_gmt, '%Y%m%d%H%M%S') || lpad(comment_ID::VARCHAR, 20, '0')]
+    FROM v_comments WHERE comment_parent = 0
+    UNION ALL
+    SELECT c.comment_ID, list_append(t.path, strftime(c.comment_date_gmt, '%Y%m%d%H%M%S') || lpad(c.comment_ID::VARCHAR, 20, '0'))
+    FROM t JOIN v_comments c ON c.comment_parent = t.id
+  ) SELECT * FROM t
+)
+SELECT id AS comment_ID, row_number() OVER (ORDER BY path) - 1 AS position FROM t""")
+def hier5_threaded_order(spark, sf):
+    """Every comment's place when threads are listed with each reply below its parent, by date."""
+    return H.thread(V.v_comments(spark, sf)).select("comment_ID", "position")
+
+
 @query("hier5_comment_thread", with_views(V_COMMENTS) + """,
 t AS (
   WITH RECURSIVE t(id, root, level) AS (

@@ -15,6 +15,7 @@ from contentspark.functions.text import first_line
 from contentspark.operators import analysis as A
 from contentspark.operators import fields as FL
 from contentspark.operators import search as S
+from contentspark.operators import topk as TK
 from contentspark.operators.predicates import post_filter
 from contentspark.plans.registry import query
 from contentspark.plans.sqlviews import tokens
@@ -316,6 +317,24 @@ def srt10_top_k_per_query(spark, sf):
     return S.top_k(hits, 5).select("query_id", "doc_id", "score", "rank")
 
 
+def page(best):
+    return best.select("query_id", "doc_id", S.milli(F.col("score")).alias("score"), "rank")
+
+
+def top_sql(scores: str, k: int) -> str:
+    """SQL of the k best rows of scores (query_id, doc_id, score)."""
+    return f"""
+SELECT query_id, doc_id, score, rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM ({scores})) WHERE rank <= {k}"""
+
+
+@query("txt1_match_any_page", BASE_SQL + top_sql("""SELECT fs.query_id, fs.doc_id, round(max(fs.s * w.weight) * 1000)::BIGINT AS score
+FROM fs JOIN w ON w.field = fs.field GROUP BY ALL""", 10))
+def txt1_match_any_page(spark, sf):
+    """The first page of ten of every OR match, most postings of frequent terms unread."""
+    return page(TK.top_match(bench_queries(spark, sf), doc_index(spark, sf), WEIGHTS, 10, key=S.milli))
+
+
 def flagship(spark, sf):
     """Benchmark phrases searched in documents: phrase x3 + AND x1, no passworded or excluded
     documents, top 5 per query."""

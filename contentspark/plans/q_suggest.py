@@ -69,18 +69,18 @@ def misspelled_queries(spark, sf):
                     .alias("query"))
 
 
-def candidates(spark, sf):
-    """Scored spelling candidates of the misspelled queries, written once: all of SUG-4..6 read them."""
+def phrases(spark, sf, k: int):
+    """The k likeliest phrases of every misspelled query."""
     rows = A.unpivot_fields(Tables(spark, sf).documents, "doc_id", {"post_content": F.col("text")})
     idx = S.cached_index("documents:post_content=text", rows)
     uni, bi, totals = SG.language_model(A.shingles(rows, 2, 2), idx.postings)
     uni, bi = written(uni, "unigrams"), written(bi, "bigrams")
     totals = uni.agg(F.sum("c").alias("n_tokens"), F.count(F.lit(1)).cast("double").alias("vocab"))
-    return written(SG.spelling_candidates(misspelled_queries(spark, sf), idx.vocabulary(), uni, bi, totals), "spelling")
+    return SG.best_phrases(SG.spelling_lattice(misspelled_queries(spark, sf), idx.vocabulary(), uni, bi, totals), k)
 
 
 SPELLING_SQL = f'''
-WITH dt AS (SELECT doc_id, {tokens('text')} AS toks FROM documents),
+WITH RECURSIVE dt AS (SELECT doc_id, {tokens('text')} AS toks FROM documents),
 uni AS (SELECT term, count(*) AS c FROM (SELECT unnest(toks) AS term FROM dt) GROUP BY term),
 bi AS (SELECT w1, w2, count(*) AS c FROM (SELECT unnest(toks[:-2]) AS w1, unnest(toks[2:]) AS w2 FROM dt WHERE len(toks) > 1)
        GROUP BY ALL),
@@ -89,8 +89,7 @@ q0 AS (SELECT item_id AS query_id, {tokens('text')} AS t FROM benchmark),
 q1 AS (SELECT query_id, t, list_filter(t, lambda x: length(x) = list_max(list_transform(t, lambda y: length(y))))[1] AS l FROM q0),
 q AS (SELECT query_id, list_transform(t, lambda x: CASE WHEN x = l
         THEN substr(l, 1, 1) || substr(l, 3, 1) || substr(l, 2, 1) || substr(l, 4) ELSE x END) AS t FROM q1),
-ctx AS (SELECT query_id, i AS pos, t[i + 1] AS term, CASE WHEN i > 0 THEN t[i] END AS lft, t[i + 2] AS rgt
-        FROM (SELECT query_id, t, unnest(range(len(t))) AS i FROM q)),
+ctx AS (SELECT query_id, i AS pos, t[i + 1] AS term FROM (SELECT query_id, t, unnest(range(len(t))) AS i FROM q)),
 qw AS (SELECT DISTINCT term FROM ctx),
 chars AS (SELECT ch, row_number() OVER (ORDER BY ch) AS r FROM (
   SELECT DISTINCT unnest(string_split(term, '')) AS ch FROM (SELECT term FROM uni UNION SELECT term FROM qw))),
@@ -101,35 +100,44 @@ pairs AS (SELECT qe.term, ve.term AS vterm, levenshtein(qe.e, ve.e) AS d FROM qe
           ON abs(length(qe.e) - length(ve.e)) <= 2 AND levenshtein(qe.e, ve.e)
              <= CASE WHEN length(qe.e) <= 2 THEN 0 WHEN length(qe.e) <= 5 THEN 1 ELSE 2 END
           UNION SELECT term, term, 0 FROM qw),
-sc AS (
-  SELECT c.query_id, c.pos, c.term, p.vterm,
-         ln((coalesce(u.c, 0) + 1) / (tot.n + tot.v))
-         + CASE WHEN c.lft IS NULL THEN 0 ELSE ln((coalesce(b1.c, 0) + 1) / (coalesce(ul.c, 0) + tot.v)) END
-         + CASE WHEN c.rgt IS NULL THEN 0 ELSE ln((coalesce(b2.c, 0) + 1) / (coalesce(u.c, 0) + tot.v)) END
-         + p.d * ln(0.05) + CASE WHEN u.c IS NULL THEN 3 * ln(0.05) ELSE 0 END AS logp
-  FROM ctx c JOIN pairs p USING (term) CROSS JOIN tot LEFT JOIN uni u ON u.term = p.vterm LEFT JOIN uni ul ON ul.term = c.lft
-  LEFT JOIN bi b1 ON b1.w1 = c.lft AND b1.w2 = p.vterm LEFT JOIN bi b2 ON b2.w1 = p.vterm AND b2.w2 = c.rgt),
-cand AS (SELECT s.query_id, s.pos, s.term, s.vterm, round(s.logp - o.logp, 9) AS gain
-         FROM sc s JOIN sc o ON o.query_id = s.query_id AND o.pos = s.pos AND o.vterm = o.term),
-best AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY gain DESC, pos) AS g FROM (
-           SELECT * FROM cand QUALIFY row_number() OVER (PARTITION BY query_id, pos ORDER BY gain DESC, vterm) = 1)),
-said AS (SELECT query_id, string_agg(term, ' ' ORDER BY pos) AS query,
-                string_agg(CASE WHEN g <= 2 AND gain > 0 THEN vterm ELSE term END, ' ' ORDER BY pos) AS suggestion,
-                1 - exp(-sum(CASE WHEN g <= 2 AND gain > 0 THEN gain ELSE 0 END)) AS score
-         FROM best GROUP BY query_id)
+words AS (
+  SELECT p.term, p.vterm, ln((coalesce(u.c, 0) + 1) / (tot.n + tot.v)) + p.d * ln(0.05) + CASE WHEN u.c IS NULL THEN 3 * ln(0.05) ELSE 0 END AS own,
+         coalesce(u.c, 0) + tot.v AS norm
+  FROM pairs p CROSS JOIN tot LEFT JOIN uni u ON u.term = p.vterm),
+nodes AS (SELECT query_id, pos, term, vterm, own, norm FROM ctx JOIN words USING (term)),
+steps AS (
+  SELECT a.query_id, b.pos, a.vterm AS prev, a.term AS prev_term, b.vterm, b.term, b.own + ln((coalesce(bi.c, 0) + 1) / a.norm) AS logp
+  FROM nodes a JOIN nodes b ON b.query_id = a.query_id AND b.pos = a.pos + 1 LEFT JOIN bi ON bi.w1 = a.vterm AND bi.w2 = b.vterm),
+vit AS (
+  SELECT query_id, pos, vterm, own AS score, vterm AS path, 1::BIGINT AS r FROM nodes WHERE pos = 0
+  UNION ALL
+  SELECT * FROM (
+    SELECT s.query_id, s.pos, s.vterm, v.score + s.logp AS score, v.path || ' ' || s.vterm AS path,
+           row_number() OVER (PARTITION BY s.query_id, s.vterm ORDER BY round(v.score + s.logp, 9) DESC, v.path) AS r
+    FROM vit v JOIN steps s ON s.query_id = v.query_id AND s.pos = v.pos + 1 AND s.prev = v.vterm)
+  WHERE r <= 6),
+base AS (
+  SELECT query_id, sum(own) AS said FROM (
+    SELECT query_id, own FROM nodes WHERE pos = 0 AND vterm = term
+    UNION ALL SELECT query_id, logp FROM steps WHERE prev = prev_term AND vterm = term) GROUP BY query_id),
+best AS (
+  SELECT v.query_id, v.path AS suggestion, array_to_string(q.t, ' ') AS query, round(v.score - b.said, 9) AS gain,
+         row_number() OVER (PARTITION BY v.query_id ORDER BY round(v.score, 9) DESC, v.path) AS rank
+  FROM vit v JOIN q ON q.query_id = v.query_id AND v.pos = len(q.t) - 1 JOIN base b ON b.query_id = v.query_id),
+said AS (SELECT query_id, query, suggestion, 1 - exp(-gain) AS score FROM best WHERE rank = 1)
 '''
 
 
 @query("sug4_spelling_suggestions", SPELLING_SQL + "SELECT * FROM said WHERE suggestion <> query AND score > 0.0001")
 def sug4_spelling_suggestions(spark, sf):
-    """Noisy-channel phrase corrections (<= 2 changed words, score > 0.0001) for typo'd queries."""
-    return SG.spelling(misspelled_queries(spark, sf), candidates(spark, sf))
+    """Noisy-channel phrase corrections (score > 0.0001) for typo'd queries: the best path of each lattice."""
+    return SG.spelling(misspelled_queries(spark, sf), phrases(spark, sf, 1))
 
 
 @query("sug5_min_score_strict", SPELLING_SQL + "SELECT * FROM said WHERE suggestion <> query AND score > 0.99")
 def sug5_min_score_strict(spark, sf):
     """The same with a 0.99 minimum score: weaker suggestions are dropped."""
-    return SG.spelling(misspelled_queries(spark, sf), candidates(spark, sf), min_score=0.99)
+    return SG.spelling(misspelled_queries(spark, sf), phrases(spark, sf, 1), min_score=0.99)
 
 
 @query("sug6_suggest_only_when_empty", SPELLING_SQL + """
@@ -139,18 +147,16 @@ def sug6_suggest_only_when_empty(spark, sf):
     """Suggestions only for typo'd queries whose AND match finds nothing."""
     q = misspelled_queries(spark, sf)
     hits = S.match(q, V.documents_index(spark, sf), {"post_content": 1.0}, "and")
-    return SG.only_when_empty(SG.spelling(q, candidates(spark, sf)), hits)
+    return SG.only_when_empty(SG.spelling(q, phrases(spark, sf, 1)), hits)
 
 
 @query("sug6_alternatives", SPELLING_SQL + """,
-alt AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY gain DESC, pos, vterm) AS rank FROM cand
-        WHERE vterm <> term AND gain > 0)
-SELECT a.query_id, a.rank, array_to_string(list_concat(q.t[:a.pos], [a.vterm], q.t[a.pos + 2:]), ' ') AS suggestion,
-       1 - exp(-a.gain) AS score
-FROM alt a JOIN q USING (query_id) WHERE a.rank <= 5""")
+alt AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY rank) AS place FROM best
+        WHERE rank <= 6 AND suggestion <> query AND gain > 0)
+SELECT query_id, place AS rank, suggestion, 1 - exp(-gain) AS score FROM alt WHERE place <= 5""")
 def sug6_alternatives(spark, sf):
-    """Up to five alternative phrases per query, each with one word corrected."""
-    return SG.alternatives(misspelled_queries(spark, sf), candidates(spark, sf), 5)
+    """Up to five whole phrases per query that are likelier than it, best first."""
+    return SG.alternatives(misspelled_queries(spark, sf), phrases(spark, sf, 6), 5)
 
 
 RELATED_FIELDS = ["post_title", "post_content", "terms.source.name"]

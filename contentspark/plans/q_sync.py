@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from contentspark.operators import hierarchy as H
+from contentspark.operators.intervals import tour
 from contentspark.plans.q_hierarchy import GEO_CLOSURE_SQL
 from contentspark.plans.registry import query
-from contentspark.session import checkpoint_dir
+from contentspark.session import checkpoint_dir, written
 from contentspark.sources import views as V
 from contentspark.sources.tables import Tables
 from contentspark.streaming import sync as SY
@@ -99,7 +99,7 @@ def str4_term_cascade(spark, sf):
     terms = V.v_terms(spark, sf).filter(F.col("taxonomy") == "geo")
     rel = V.v_term_relationships(spark, sf).filter(F.col("object_type") == "customer")
     objs = Tables(spark, sf).customer.filter(F.col("c_acctbal") >= 0).select(F.col("c_custkey").alias("object_id"))
-    return SY.term_cascade(terms.select("term_id"), H.closure(terms), rel, objs).select("term_id", "object_id")
+    return SY.term_cascade(terms.select("term_id"), written(tour(terms), "tour"), rel, objs).select("term_id", "object_id")
 
 
 @query("str5_hierarchy_cascade", GEO_CLOSURE_SQL + """
@@ -110,7 +110,7 @@ SELECT DISTINCT t AS term_id FROM (
 def str5_hierarchy_cascade(spark, sf):
     terms = V.v_terms(spark, sf).filter(F.col("taxonomy") == "geo")
     changed = terms.filter(F.col("slug").isin("nation-1", "asia")).select("term_id")
-    return SY.hierarchy_cascade(changed, H.closure(terms))
+    return SY.hierarchy_cascade(changed, terms)
 
 
 @query("str6_meta_change", LAST_SQL + """,
@@ -233,3 +233,29 @@ SELECT min(ts) AS window_start, max(ts) + INTERVAL 20 MINUTE AS window_end, even
 FROM s GROUP BY event_type, sid""")
 def str13_session_counts(spark, sf):
     return SY.session_counts(Tables(spark, sf).events, "ts", "event_type", "20 minutes")
+
+
+@query("str13_stream_window_table", """
+WITH w AS (SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end,
+                  event_type, count(*)::BIGINT AS n FROM events GROUP BY ALL)
+SELECT * FROM w WHERE window_end <= (SELECT max(ts) FROM events)""")
+def str13_stream_window_table(spark, sf):
+    """The same counts from a stream: windows that the watermark (no delay) has closed, written by a file sink."""
+    feed = event_files(spark, sf, 1)
+    return SY.stream_window_table(spark, feed, Tables(spark, sf).events.schema, "ts", "event_type", "1 hour", "0 seconds")
+
+
+@query("str13_stream_session_table", """
+WITH o AS (SELECT event_type, ts, lag(ts) OVER (PARTITION BY event_type ORDER BY ts, event_id) AS prev FROM events),
+s AS (SELECT *, sum(CASE WHEN prev IS NULL OR ts - prev >= INTERVAL 20 MINUTE THEN 1 ELSE 0 END)
+                OVER (PARTITION BY event_type ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sid FROM o),
+done AS (SELECT time_bucket(INTERVAL 20 MINUTE, max(ts)) AS upto FROM events),
+all_ AS (SELECT min(ts) AS window_start, max(ts) + INTERVAL 20 MINUTE AS window_end, event_type, count(*)::BIGINT AS n,
+                min(ts) FILTER (ts >= upto) AS late FROM s, done GROUP BY event_type, sid)
+SELECT window_start, window_end, event_type, n FROM all_ WHERE late IS NULL AND (
+  window_end <= (SELECT max(ts) FROM events) OR EXISTS (
+    SELECT 1 FROM all_ o, done WHERE o.event_type = all_.event_type AND o.window_start > all_.window_start AND o.window_start < upto))""")
+def str13_stream_session_table(spark, sf):
+    """Sessions from a stream: pre-aggregated parts joined by a group's state, those that the watermark has closed."""
+    feed = event_files(spark, sf, 1)
+    return SY.stream_session_table(spark, feed, Tables(spark, sf).events.schema, "ts", "event_type", "20 minutes", "0 seconds")

@@ -14,10 +14,14 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pandas as pd
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor
 
-from contentspark.session import checkpoint_dir
+from contentspark.operators.intervals import covered, pairs_below, tour
+from contentspark.session import checkpoint_dir, written
 
 VERSION = ["ts", "event_id"]
 
@@ -58,34 +62,28 @@ def eligibility(changes: DataFrame, eligible: Column) -> DataFrame:
 # ---------------------------------------------------------------- streaming
 
 
-BUCKETS = 64  # of a versioned target: a micro-batch rewrites those that its keys fall into
+MERGE_RUNS = 8  # runs of a size that are merged into one, so a row is rewritten log8(rows / batch) times
+MANIFEST = "first long, last long, rows long"
 
 
 def stream_changes(spark: SparkSession, source_dir: str, schema, target_dir: str, checkpoint: str,
                    transform, key: str = "object_id", max_files: int = 1, glob: str | None = None):
     """STR-3 as Structured Streaming: files in ``source_dir`` -> ``transform`` -> versioned target.
 
-    The target is cut into key buckets. Each micro-batch reads the buckets that its
-    keys fall into, merges, and writes them as generation ``target_dir/gen=<batch_id>``;
-    the other buckets stay where they are. The batch id makes a replayed batch
-    overwrite its own generation (exactly-once with the checkpoint). Bucket folders
-    that two later generations have replaced are removed.
+    The target is merged on read. A micro-batch appends its newest change per key as a run
+    ``run=<first>-<last>`` of batch ids and then commits it by a row of ``manifest``; nothing that was
+    written before is read or rewritten. A run without its row does not exist: after a crash
+    the replayed batch writes it anew, and a batch that is replayed after its commit is left alone.
+    When :data:`MERGE_RUNS` neighbouring runs of a size have come together they are merged into one.
     Returns the started query.
     """
-
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         s = batch.sparkSession
-        changes = last_change_per_key(transform(batch), key).withColumn("bucket", F.pmod(F.hash(key), F.lit(BUCKETS)))
-        changes = changes.persist()
-        try:
-            touched = [r[0] for r in changes.select("bucket").distinct().collect()]  # at most BUCKETS numbers
-            prev = read_buckets(s, target_dir, before=batch_id, only=touched)
-            merged = apply_changes(prev, changes, key)
-            (merged.repartition("bucket").write.mode("overwrite").partitionBy("bucket")
-             .parquet(os.path.join(target_dir, f"gen={batch_id:012d}")))
-        finally:
-            changes.unpersist()
-        remove_replaced(s, target_dir, before=batch_id)
+        runs = manifest(s, target_dir)
+        if any(r["first"] <= batch_id <= r["last"] for r in runs):
+            return  # replayed after its commit
+        commit_run(s, target_dir, last_change_per_key(transform(batch), key), batch_id, batch_id)
+        compact(s, target_dir, key)
 
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
     if glob:
@@ -95,54 +93,65 @@ def stream_changes(spark: SparkSession, source_dir: str, schema, target_dir: str
             .trigger(availableNow=True).start())
 
 
-def _folders(spark: SparkSession, path: str) -> list[str]:
-    """Names of the folders in ``path`` (one listing; none where it does not exist)."""
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    return [st.getPath().getName() for st in fs.listStatus(jvm_path) if st.isDirectory()] if fs.exists(jvm_path) else []
-
-
-def bucket_versions(spark: SparkSession, target_dir: str, before: int | None = None) -> dict[int, list[int]]:
-    """{bucket: generations that hold it, newest first}, of complete generations (before ``before``)."""
-    out: dict[int, list[int]] = {}
-    for name in sorted(_folders(spark, target_dir), reverse=True):
-        if not name.startswith("gen=") or (before is not None and int(name[4:]) >= before):
-            continue
-        folder = spark._jvm.org.apache.hadoop.fs.Path(os.path.join(target_dir, name, "_SUCCESS"))
-        if folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
-            for b in _folders(spark, os.path.join(target_dir, name)):
-                if b.startswith("bucket="):
-                    out.setdefault(int(b[7:]), []).append(int(name[4:]))
-    return out
+def _run_path(target_dir: str, first: int, last: int) -> str:
+    return os.path.join(target_dir, "runs", f"{first:012d}-{last:012d}")
 
 
-def _bucket_path(target_dir: str, generation: int, bucket: int) -> str:
-    return os.path.join(target_dir, f"gen={generation:012d}", f"bucket={bucket}")
-
-
-def read_buckets(spark: SparkSession, target_dir: str, before: int | None = None, only: list[int] | None = None
-                 ) -> DataFrame | None:
-    """The newest version of every bucket (or of ``only`` some); None when there is none."""
-    versions = bucket_versions(spark, target_dir, before)
-    frames = []
-    by_generation: dict[int, list[str]] = {}
-    for b, generations in versions.items():
-        if only is None or b in only:
-            by_generation.setdefault(generations[0], []).append(_bucket_path(target_dir, generations[0], b))
-    for generation, paths in by_generation.items():
-        frames.append(spark.read.option("basePath", os.path.join(target_dir, f"gen={generation:012d}")).parquet(*paths))
-    out = frames[0] if frames else None
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+def commit_run(spark: SparkSession, target_dir: str, rows: DataFrame, first: int, last: int) -> None:
+    """Writes a run and then its manifest row; both appear by the rename that ends a write."""
+    path = _run_path(target_dir, first, last)
+    rows.write.mode("overwrite").parquet(path)
+    n = spark.read.schema(rows.schema).parquet(path).count()  # read from the files' footers
+    spark.createDataFrame([(first, last, n)], MANIFEST).coalesce(1).write.mode("append").parquet(
+        os.path.join(target_dir, "manifest"))
+
+
+def manifest(spark: SparkSession, target_dir: str, every: bool = False) -> list:
+    """The live runs (first, last, rows), oldest first: those that no committed run holds; or ``every`` committed one."""
+    try:
+        rows = spark.read.schema(MANIFEST).parquet(os.path.join(target_dir, "manifest")).distinct().collect()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+    held = lambda r: any(o["first"] <= r["first"] and r["last"] <= o["last"] and o != r for o in rows)
+    return sorted((r for r in rows if every or not held(r)), key=lambda r: (r["first"], r["last"]))
+
+
+def read_target(spark: SparkSession, target_dir: str, key: str = "object_id", schema=None) -> DataFrame | None:
+    """The newest version of every key (tombstones included), merged from the live runs; None without any."""
+    runs = manifest(spark, target_dir)
+    if not runs:
+        return None
+    paths = [_run_path(target_dir, r["first"], r["last"]) for r in runs]
+    rows = (spark.read.schema(schema) if schema is not None else spark.read).parquet(*paths)
+    return rows if len(runs) == 1 else last_change_per_key(rows, key)
 
 
-def remove_replaced(spark: SparkSession, target_dir: str, before: int) -> None:
-    """Removes bucket folders that two newer generations before ``before`` have replaced (a replay needs one)."""
-    for b, generations in bucket_versions(spark, target_dir, before).items():
-        for old in generations[2:]:
-            path = spark._jvm.org.apache.hadoop.fs.Path(_bucket_path(target_dir, old, b))
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+def _tier(rows: int) -> int:
+    """Size class of a run: runs of a class differ by less than a factor of MERGE_RUNS."""
+    n = 0
+    while rows >= MERGE_RUNS:
+        rows, n = rows // MERGE_RUNS, n + 1
+    return n
+
+
+def compact(spark: SparkSession, target_dir: str, key: str = "object_id") -> int:
+    """Merges the newest runs while MERGE_RUNS of them are of the newest one's size or less; returns the rows written."""
+    done = 0
+    while True:
+        runs = manifest(spark, target_dir)
+        group = []
+        for r in reversed(runs):
+            if group and _tier(r["rows"]) > max(_tier(g["rows"]) for g in group):
+                break
+            group.append(r)
+        if len(group) < MERGE_RUNS:
+            return done
+        paths = [_run_path(target_dir, r["first"], r["last"]) for r in group]
+        merged = last_change_per_key(spark.read.parquet(*paths), key)
+        commit_run(spark, target_dir, merged, group[-1]["first"], group[0]["last"])
+        done += manifest(spark, target_dir)[-1]["rows"]
 
 
 def run_change_stream(spark: SparkSession, source_dir: str, schema, transform, name: str,
@@ -156,10 +165,10 @@ def run_change_stream(spark: SparkSession, source_dir: str, schema, transform, n
     q = stream_changes(spark, source_dir, schema, target, os.path.join(base, "checkpoint"), transform, key,
                        glob=glob)
     q.awaitTermination()
-    out = read_buckets(spark, target)
+    out = read_target(spark, target, key)
     if out is None:
-        raise RuntimeError("the change stream produced no generation")
-    return out.drop("bucket")
+        raise RuntimeError("the change stream committed no run")
+    return out
 
 
 # ---------------------------------------------------------------- rebuild / cascades
@@ -237,9 +246,9 @@ def last_errors(plan: DataFrame, order: list[Column], n: int) -> DataFrame:
     return failed_rows(plan).orderBy(*order).limit(n)
 
 
-def term_cascade(edited_terms: DataFrame, closure: DataFrame, relationships: DataFrame, objects: DataFrame,
+def term_cascade(edited_terms: DataFrame, walk: DataFrame, relationships: DataFrame, objects: DataFrame,
                  limit: int | None = None) -> DataFrame:
-    """STR-4: objects to re-sync for edited terms.
+    """STR-4: objects to re-sync for edited terms; ``walk`` is the terms' :func:`intervals.tour`.
 
     A term's own objects; a term without objects cascades to its descendants'
     objects. Only eligible ``objects`` (object_id) count. With ``limit`` a term
@@ -250,7 +259,8 @@ def term_cascade(edited_terms: DataFrame, closure: DataFrame, relationships: Dat
     own = edited_terms.select("term_id").join(rel, "term_id")
     has_own = own.select("term_id").distinct()
     no_own = edited_terms.select("term_id").join(has_own, "term_id", "left_anti")
-    desc = (no_own.join(closure.select(F.col("ancestor").alias("term_id"), F.col("id").alias("desc_id")), "term_id")
+    below = pairs_below(walk, of=no_own.select(F.col("term_id").alias("id")))
+    desc = (below.select(F.col("ancestor").alias("term_id"), F.col("id").alias("desc_id"))
             .join(rel.withColumnRenamed("term_id", "desc_id"), "desc_id").select("term_id", "object_id"))
     allrows = own.select("term_id", "object_id").unionByName(desc).distinct()
     if limit is None:
@@ -260,12 +270,18 @@ def term_cascade(edited_terms: DataFrame, closure: DataFrame, relationships: Dat
     return allrows.join(ok, "term_id", "left_semi")
 
 
-def hierarchy_cascade(changed_terms: DataFrame, closure: DataFrame) -> DataFrame:
-    """STR-5: a changed term re-syncs itself, all its ancestors and all its descendants."""
-    up = changed_terms.join(closure.select(F.col("id").alias("term_id"), F.col("ancestor").alias("t")), "term_id")
-    down = changed_terms.join(closure.select(F.col("ancestor").alias("term_id"), F.col("id").alias("t")), "term_id")
-    own = changed_terms.select(F.col("term_id").alias("t"))
-    return own.unionByName(up.select("t")).unionByName(down.select("t")).distinct().withColumnRenamed("t", "term_id")
+def hierarchy_cascade(changed_terms: DataFrame, terms: DataFrame, id_col: str = "term_id", parent_col: str = "parent") -> DataFrame:
+    """STR-5: a changed term re-syncs itself, all its ancestors and all its descendants.
+
+    Ancestors are the terms with changed ones among their descendants (a sum of the tour), descendants the
+    places that changed terms' intervals cover: no pair of terms is made, however many change.
+    """
+    changed = changed_terms.select(F.col("term_id").alias(id_col)).distinct()
+    marked = terms.select(id_col, parent_col).join(changed.withColumn("_changed", F.lit(1)), id_col, "left")
+    walk = written(tour(marked, id_col, parent_col, sums={"changed_below": F.col("_changed")}), "tour")
+    own = changed.select(F.col(id_col).alias("id"))
+    up = walk.filter("changed_below > 0").select("id")
+    return own.unionByName(up).unionByName(covered(walk, own)).distinct().withColumnRenamed("id", "term_id")
 
 
 def meta_change_targets(meta_changes: DataFrame, allowed_keys: list[str], current_meta: DataFrame) -> DataFrame:
@@ -288,24 +304,141 @@ def windowed_counts(events: DataFrame, ts: str, group: str, size: str, slide: st
             .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), group, "n"))
 
 
+def session_parts(events: DataFrame, ts: str, group: str, gap: str) -> DataFrame:
+    """STR-13: (bucket, group, first, last, n) per tumbling bucket of the length of ``gap``.
+
+    Two events of a bucket are less than ``gap`` apart, so a bucket's events belong to one session: the
+    pre-aggregation is exact, and a group with most of all events becomes a row per bucket.
+    """
+    return events.groupBy(F.window(ts, gap).alias("w"), group).agg(
+        F.min(ts).alias("first"), F.max(ts).alias("last"), F.count(F.lit(1)).cast("bigint").alias("n")).select(
+        F.col("w.start").alias("bucket"), group, "first", "last", "n")
+
+
+def merge_sessions(parts: DataFrame, group: str, gap: str) -> DataFrame:
+    """STR-13: sessions from their parts: a session goes on while the next part begins within ``gap``.
+
+    The sorts see a row per bucket that has events, whatever the number of events.
+    """
+    line = Window.partitionBy(group).orderBy("first")
+    began = F.coalesce(F.col("first") - F.lag("last").over(line) >= F.expr(f"INTERVAL {gap}"), F.lit(True))
+    parts = parts.withColumn("began", began.cast("int"))
+    parts = parts.withColumn("session", F.sum("began").over(line.rowsBetween(Window.unboundedPreceding, 0)))
+    return parts.groupBy(group, "session").agg(
+        F.min("first").alias("window_start"), (F.max("last") + F.expr(f"INTERVAL {gap}")).alias("window_end"),
+        F.sum("n").cast("bigint").alias("n")).select("window_start", "window_end", group, "n")
+
+
 def session_counts(events: DataFrame, ts: str, group: str, gap: str) -> DataFrame:
-    """STR-13 (batch form): session windows (inactivity ``gap``) per group."""
-    return (events.groupBy(F.session_window(ts, gap).alias("w"), group)
-            .agg(F.count(F.lit(1)).cast("bigint").alias("n"))
-            .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), group, "n"))
+    """STR-13 (batch form): session windows (inactivity ``gap``, such as ``20 minutes``) per group."""
+    return merge_sessions(session_parts(events, ts, group, gap), group, gap)
 
 
-def stream_windowed_counts(spark: SparkSession, source_dir: str, schema, ts: str, group: str, size: str,
-                           watermark: str, query_name: str, glob: str | None = None):
-    """STR-13 (stream form): watermark + tumbling windows, append mode into a memory table."""
+def _event_stream(spark: SparkSession, source_dir: str, schema, ts: str, watermark: str, glob: str | None) -> DataFrame:
     reader = spark.readStream.schema(schema)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     # watermarks need TIMESTAMP; with the UTC session zone the NTZ values are unchanged
-    src = reader.parquet(source_dir).withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, watermark)
-    agg = windowed_counts(src, ts, group, size).select(
-        F.col("window_start").cast("timestamp_ntz").alias("window_start"),
-        F.col("window_end").cast("timestamp_ntz").alias("window_end"), group, "n")
+    return reader.parquet(source_dir).withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, watermark)
+
+
+def _as_ntz(df: DataFrame) -> DataFrame:
+    return df.select(*[F.col(c).cast("timestamp_ntz").alias(c) if t == "timestamp" else F.col(c) for c, t in df.dtypes])
+
+
+def stream_windowed_counts(spark: SparkSession, source_dir: str, schema, ts: str, group: str, size: str,
+                           watermark: str, query_name: str, glob: str | None = None):
+    """STR-13 (stream form): watermark + tumbling windows, append mode into a memory table (for small results)."""
+    agg = _as_ntz(windowed_counts(_event_stream(spark, source_dir, schema, ts, watermark, glob), ts, group, size))
     return (agg.writeStream.outputMode("append").format("memory").queryName(query_name)
             .trigger(availableNow=True).start())
 
+
+def stream_to_files(stream: DataFrame, name: str) -> DataFrame:
+    """Runs an append-mode stream over what its source holds, into Parquet files in the shared folder; the table.
+
+    The file sink's log makes the files of a batch visible once, whatever is retried.
+    """
+    import uuid
+
+    base = os.path.join(checkpoint_dir(stream.sparkSession), f"{name}-{uuid.uuid4().hex}")
+    out = os.path.join(base, "table")
+    (stream.writeStream.outputMode("append").format("parquet").option("checkpointLocation", os.path.join(base, "checkpoint"))
+     .trigger(availableNow=True).start(out).awaitTermination())
+    return stream.sparkSession.read.schema(stream.schema).parquet(out)
+
+
+def stream_window_table(spark: SparkSession, source_dir: str, schema, ts: str, group: str, size: str, watermark: str,
+                        glob: str | None = None) -> DataFrame:
+    """STR-13 (stream form): tumbling counts of the windows that the watermark has closed, as a table of files."""
+    events = _event_stream(spark, source_dir, schema, ts, watermark, glob)
+    return stream_to_files(_as_ntz(windowed_counts(events, ts, group, size)), "windows")
+
+
+SESSION_STATE = "first timestamp, last timestamp, n long"
+
+
+class _Sessions(StatefulProcessor):
+    """Joins the parts of one group to sessions. The state is the open session; a timer closes it ``gap_ms`` after its last event."""
+
+    def __init__(self, group: str, gap_ms: int):
+        self.group, self.gap_ms = group, gap_ms
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.open = handle.getValueState("open", SESSION_STATE)
+
+    def _closed(self, key, session) -> pd.DataFrame:
+        first, last, n = session
+        return pd.DataFrame({"window_start": [first], "window_end": [last + pd.Timedelta(milliseconds=self.gap_ms)],
+                             self.group: [key[0]], "n": [n]})
+
+    def _end_ms(self, last) -> int:
+        return int(pd.Timestamp(last).value // 1_000_000) + self.gap_ms
+
+    def handleInputRows(self, key, rows, timerValues):
+        parts = pd.concat(list(rows)).sort_values("first")
+        now = self.open.get() if self.open.exists() else None
+        if now is not None:
+            self.handle.deleteTimer(self._end_ms(now[1]))
+        for first, last, n in zip(parts["first"], parts["last"], parts["n"]):
+            if now is not None and pd.Timestamp(first) - pd.Timestamp(now[1]) >= pd.Timedelta(milliseconds=self.gap_ms):
+                yield self._closed(key, now)
+                now = None
+            now = (first, last, int(n)) if now is None else (now[0], last, now[2] + int(n))
+        self.open.update(now)
+        self.handle.registerTimer(self._end_ms(now[1]))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        if self.open.exists():
+            now = self.open.get()
+            self.open.clear()
+            yield self._closed(key, now)
+
+    def close(self) -> None:
+        pass
+
+
+def stream_session_table(spark: SparkSession, source_dir: str, schema, ts: str, group: str, gap: str, watermark: str,
+                         glob: str | None = None) -> DataFrame:
+    """STR-13 (stream form): sessions that the watermark has closed, as a table of files.
+
+    Events are pre-aggregated to a part per bucket and group by all tasks (:func:`session_parts`); only parts reach
+    the group's state, which is its open session.
+    """
+    gap_ms = int(spark.range(1).select(F.unix_millis(F.lit(0).cast("timestamp") + F.expr(f"INTERVAL {gap}"))).first()[0])
+    events = _event_stream(spark, source_dir, schema, ts, watermark, glob)
+    parts = (events.groupBy(F.window(ts, gap).alias("w"), group)
+             .agg(F.min(ts).alias("first"), F.max(ts).alias("last"), F.count(F.lit(1)).cast("bigint").alias("n"))
+             .select(F.window_time("w").alias("at"), group, "first", "last", "n"))
+    kind = dict(parts.dtypes)[group]
+    sessions = parts.groupBy(group).transformWithStateInPandas(
+        _Sessions(group, gap_ms), f"window_start timestamp, window_end timestamp, {group} {kind}, n long", "Append", "EventTime",
+        eventTimeColumnName="window_end")
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(provider)
+    spark.conf.set(provider, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")  # keeps timers
+    try:
+        return stream_to_files(_as_ntz(sessions), "sessions")
+    finally:
+        spark.conf.set(provider, before)
