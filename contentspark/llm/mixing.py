@@ -6,8 +6,8 @@ All steps are DataFrame operations.
    ``SHARE`` of all words; a target stops at ``MOST`` times its source's words and the
    excess goes to the others by weight. That water level is found in closed form from
    prefix sums over the sources in order of words per weight.
-2. Documents of a source are dealt to shards by a seeded hash (a hot source has many
-   shards) and laid end to end in seeded order; a shard's words are cut into blocks of
+2. Documents of a source are dealt to shards by a seeded hash of id and text (a hot source has many
+   shards) and laid end to end in the order of that hash, so rows that tie are equal in both; a shard's words are cut into blocks of
    equal numbers of words (they differ by one at most), about ``block_words``.
 3. Sainte-Lague: seats (blocks to take) go to the highest quotients w / (2k + 1), first
    among the sources (w: the target in blocks), then among each source's shards (w: its
@@ -98,8 +98,8 @@ def _taken(docs: DataFrame, block_words: int) -> tuple[DataFrame, DataFrame]:
     sized = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
         F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-        F.xxhash64("text").alias("text_hash"))
-    sized = materialize(sized.withColumns({"key": _key(F.col("source")), "h": seeded(F.col("doc_id"))}), "mix-sizes")
+        F.xxhash64("text").alias("text_hash"), F.md5("text").alias("md5"))
+    sized = materialize(sized.withColumns({"key": _key(F.col("source")), "h": seeded(F.col("doc_id"), F.col("md5"))}).drop("md5"), "mix-sizes")
     sources = sized.groupBy("source", "key").agg(
         F.sum("size").alias("source_size"), F.ceil(F.count("*") / SHARD_ROWS).alias("shards"))
     sources = targets(sources)

@@ -39,6 +39,7 @@ from pyspark.sql import functions as F
 
 from contentspark.llm.common import by_key, materialize, shuffle_partitions, small_batches, whole_text
 from contentspark.llm.components import connected_components
+from contentspark.llm.ranks import positions
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -314,8 +315,22 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY, recall: float
 
 
 def one_of_each_class(docs: DataFrame) -> DataFrame:
-    """``docs`` without those that a smaller doc_id of the same class stands for."""
-    found = near_classes(docs)
-    gone = materialize(found.where("doc_id != class_id").select(F.col("doc_id").alias("_near_id")).distinct(),
-                       "near-copies")
-    return docs.join(by_key(gone), F.col("doc_id") == F.col("_near_id"), "left_anti")
+    """``docs`` without those that a smaller doc_id of the same class stands for.
+
+    Where texts share a doc_id, each (doc_id, text) is a document of its own here, numbered in the order
+    of doc_id, so that a text goes only if one that stays stands for it. Rows without doc_id stay.
+    """
+    text_hash = F.xxhash64(whole_text())
+    rows = materialize(docs.where("doc_id IS NOT NULL").select(
+        F.col("doc_id").cast("long").alias("_near_id"), text_hash.alias("_near_hash")).distinct(), "near-rows")
+    if rows.groupBy("_near_id").count().where("count > 1").isEmpty():
+        gone = near_classes(docs).where("doc_id != class_id").select(F.col("doc_id").alias("_near_id")).distinct()
+        gone = materialize(gone, "near-copies")
+        return docs.join(by_key(gone), F.col("doc_id") == F.col("_near_id"), "left_anti")
+    numbers = positions(rows.withColumn("all", F.lit(0)), "all", [F.col("_near_id"), F.col("_near_hash")], "near-numbers")
+    numbers = materialize(numbers.select("_near_id", "_near_hash", F.col("index").alias("_near_number")), "near-numbered")
+    same = (F.col("doc_id") == F.col("_near_id")) & (text_hash == F.col("_near_hash"))
+    found = near_classes(docs.join(by_key(numbers), same).select(F.col("_near_number").alias("doc_id"), "text"))
+    gone = found.where("doc_id != class_id").select(F.col("doc_id").alias("_near_number")).distinct()
+    gone = materialize(numbers.join(gone, "_near_number").select("_near_id", "_near_hash"), "near-copies")
+    return docs.join(by_key(gone), same, "left_anti")

@@ -180,7 +180,7 @@ def op7_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH sized AS (
   SELECT doc_id, source, CASE WHEN source IS NULL THEN '-' ELSE '+' || source END AS key,
          len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
-         md5('mix-1:' || coalesce(doc_id::VARCHAR, 'null')) AS h
+         md5('mix-1:' || coalesce(doc_id::VARCHAR, 'null') || ':' || coalesce(md5(text), 'null')) AS h
   FROM documents),
 src AS (
   SELECT source, key, sum(size)::BIGINT AS source_size, ceil(count(*) / 8192.0)::BIGINT AS shards,

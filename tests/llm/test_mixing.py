@@ -77,6 +77,23 @@ def test_empty_and_rerun(spark):
     assert one == two
 
 
+def test_reruns_agree_where_ids_sources_and_sizes_tie(spark):
+    """Rows that differ in their text alone, in two orders: the same rows take the same words."""
+    rows = [(5 if i % 2 else None, f"only{i} " + "word " * 99, "s") for i in range(60)] + [(i, "a b", "t") for i in range(20)]
+    out = []
+    for given in (rows, rows[::-1]):
+        got = op.mix(frame(spark, given)).select("doc_id", "text_hash", "taken").collect()
+        out.append(sorted(map(str, got)))
+    assert out[0] == out[1] and len(set(out[0])) > 60
+
+
+def test_rows_without_ids_fill_all_shards(spark, monkeypatch):
+    monkeypatch.setattr(op, "SHARD_ROWS", 50)
+    rows = [(None, f"only{i} a b", "s") for i in range(2000)]
+    sizes = [r["count"] for r in op._taken(frame(spark, rows), op.BLOCK_WORDS)[0].groupBy("shard").count().collect()]
+    assert len(sizes) == 40 and max(sizes) < 110
+
+
 def test_shards_and_seats(spark, monkeypatch):
     monkeypatch.setattr(op, "SHARD_ROWS", 10)
     rows = corpus(300)
@@ -107,29 +124,35 @@ def test_mixed_rows_hold_the_words_taken(spark):
     assert all(r.n_chars == len(r.text) for r in out) and out[0].__fields__ == docs.columns
 
 
-def test_mixed_cuts_the_picked_words_out_of_the_text(spark):
-    rng = random.Random(8)
-    rows = [(i, "".join(f"w{i}_{k}{rng.choice([' ', '  ', chr(9), chr(10)])}" for k in range(rng.choice([3, 700, 4000]))),
-             f"s{i % 3}") for i in range(24)] + [(1, "a\tb c " * 90, "s0")] * 3
-    docs = frame(spark, rows)
+def picked_rows(docs):
+    """The rows (doc_id, text) that the seats and picked blocks of ``docs`` ask for, cut out by plain loops."""
     lines, cut = (x.collect() for x in op._taken(docs, op.BLOCK_WORDS))
     picked = {}
     for b in cut:
         if b.picked:
             picked.setdefault((b.key, b.shard), set()).update(range(b.lo, b.hi))
-    texts = {hash(t): t for _, t, _ in rows}
-    by_hash = {r.h: texts[hash(r.text)] for r in docs.select("text", F.xxhash64("text").alias("h")).collect()}
+    by_hash = {r.h: r.text for r in docs.select("text", F.xxhash64("text").alias("h")).collect()}
     want, beyond = [], 0
     for r in lines:
-        text, got = by_hash[r.text_hash], picked.get((r.key, r.shard), set())
+        text, got = by_hash[r.text_hash] or "", picked.get((r.key, r.shard), set())
         spans = [m.span() for m in re.finditer(op.WORD, text)]
         taken = [k for k in range(r.size) if r.start + k in got]
         assert len(taken) == r.extra
-        want += [(r.doc_id, text)] * (r.full + (len(taken) == r.size))
+        if r.size:
+            want += [(r.doc_id, by_hash[r.text_hash])] * (r.full + (len(taken) == r.size))
         if len(taken) < r.size:
             starts = [k for k in taken if k - 1 not in taken]
             ends = [k for k in taken if k + 1 not in taken]
             want += [(r.doc_id, text[spans[a][0]:spans[b][1]]) for a, b in zip(starts, ends)]
             beyond += bool(taken) and max(taken) >= len(taken)
+    return want, beyond
+
+
+def test_mixed_cuts_the_picked_words_out_of_the_text(spark):
+    rng = random.Random(8)
+    rows = [(i, "".join(f"w{i}_{k}{rng.choice([' ', '  ', chr(9), chr(10)])}" for k in range(rng.choice([3, 700, 4000]))),
+             f"s{i % 3}") for i in range(24)] + [(1, "a\tb c " * 90, "s0")] * 3
+    docs = frame(spark, rows)
+    want, beyond = picked_rows(docs)
     assert beyond > 3
     assert sorted((r.doc_id, r.text) for r in op.mixed(docs).collect()) == sorted(want)

@@ -111,3 +111,11 @@ def test_one_of_each_class_and_empty(spark):
     want = sorted((i for i, c, *_ in brute(rows) if i == c), key=lambda x: (x is None, x))
     assert kept == want
     assert op.near_classes(frame(spark, [])).count() == 0
+
+
+def test_texts_that_share_an_id_stay_unless_another_stands_for_them(spark):
+    a, b = " ".join(f"a{i}" for i in range(60)), " ".join(f"b{i}" for i in range(60))
+    rows = [(3, a), (7, a + " z"), (7, b), (9, b + " y"), (None, a), (None, None), (11, None), (11, "")]
+    docs = spark.createDataFrame([(i, t, 1, "clash") for i, t in rows], "doc_id long, text string, rep int, _near string")
+    got = sorted(((r.doc_id, r.text) for r in op.one_of_each_class(docs).collect()), key=str)
+    assert got == sorted([(3, a), (7, b), (None, a), (None, None), (11, None), (11, "")], key=str)
