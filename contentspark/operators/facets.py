@@ -165,13 +165,13 @@ def meta_keys_per_type(df: DataFrame, type_col: str = "post_type", map_col: str
             .agg(F.count(F.lit(1)).cast("bigint").alias("n_objects")))
 
 
-def sample_per_group(df: DataFrame, group: str, order: list[Column], k: int = 20) -> DataFrame:
+def sample_per_group(df: DataFrame, group: str, order: list[Column], k: int) -> DataFrame:
     """AGG-19: first ``k`` rows per group."""
     w = Window.partitionBy(group).orderBy(*order)
     return df.withColumn("pos", F.row_number().over(w)).filter(F.col("pos") <= k)
 
 
-def over_limit(df: DataFrame, group: str, value: str, limit: int = 350) -> DataFrame:
+def over_limit(df: DataFrame, group: str, value: str, limit: int) -> DataFrame:
     """AGG-20: per group, the largest value and whether it exceeds ``limit``."""
     return df.groupBy(group).agg(F.max(value).alias("max_value")).withColumn(
         "over_limit", F.col("max_value") > F.lit(limit))

@@ -43,7 +43,8 @@ def with_hierarchy(terms: DataFrame, id_col: str = "term_id", parent_col: str =
     ``padded_count`` = own count + children_count. ``ancestors`` adds the sorted array of a
     term's ancestors, as many as the term is deep.
     """
-    walk = written(tour(terms, id_col, parent_col, sums={"children_count": F.col("count")}), "tour")
+    walk = tour(terms, id_col, parent_col, sums={"children_count": F.col("count")})
+    walk = written(walk, "tour") if ancestors else walk  # read twice only with them
     h = walk.select(F.col("id").alias(id_col), "level", "pre", (F.col("size") - 1).alias("n_descendants"), "children_count")
     out = terms.join(h, id_col).withColumn("padded_count", (F.col("count") + F.col("children_count")).cast("bigint"))
     if not ancestors:
@@ -61,7 +62,8 @@ def tree(terms: DataFrame, sort_key: str = "name", id_col: str = "term_id", pare
     the table's rows in sibling order. Leave it out for deep trees.
     """
     key = F.col(sort_key) if sort_key == "count" else F.lower(F.col(sort_key).cast("string"))
-    walk = written(tour(terms, id_col, parent_col, [(key, descending)]), "tour")
+    walk = tour(terms, id_col, parent_col, [(key, descending)])
+    walk = written(walk, "tour") if path else walk
     out = walk.select(F.col("id").alias(id_col), "level", F.col("pre").alias("position"))
     if not path:
         return out

@@ -40,15 +40,16 @@ def failed_requests(log: DataFrame) -> DataFrame:
     return log.filter(cond)
 
 
-def shape_log(log: DataFrame) -> DataFrame:
-    """OBS-2: duration in ms; bodies above 200 KB cut to 1,000 characters."""
-    body = F.when(F.length("body") > MAX_BODY_BYTES, F.substring("body", 1, TRIMMED_BODY_CHARS)).otherwise(F.col("body"))
+def shape_log(log: DataFrame, max_body: int | None = None, trimmed: int = TRIMMED_BODY_CHARS) -> DataFrame:
+    """OBS-2: duration in ms; with ``max_body``, bodies above it are cut to ``trimmed`` characters."""
+    body = F.col("body")
+    if max_body is not None:
+        body = F.when(F.length("body") > max_body, F.substring("body", 1, trimmed)).otherwise(body)
     return log.select("request_id", "ts", "request_type", "status_code",
                       F.round(F.col("query_time") * 1000).cast("bigint").alias("duration_ms"), body.alias("body"))
 
 
-def retention(log: DataFrame, as_of: Column, hours: int = 24, keep: int = KEEP_LAST,
-              max_bytes: int = MAX_LOG_BYTES) -> DataFrame:
+def retention(log: DataFrame, as_of: Column, hours: int, keep: int, max_bytes: int) -> DataFrame:
     """OBS-3: entries of the last ``hours`` before ``as_of``, the newest ``keep``, then oldest dropped
     until the total body size fits ``max_bytes``. The kept set is at most ``keep`` rows."""
     recent = log.filter((F.col("ts") > as_of - F.expr(f"INTERVAL {hours} HOURS")) & (F.col("ts") <= as_of))

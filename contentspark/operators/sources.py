@@ -27,14 +27,15 @@ def eligible_posts(posts: DataFrame, types: list[str], statuses: list[str], incl
 
 
 def id_range_page(df: DataFrame, id_col: str, lower: int | None = None, upper: int | None = None,
-                  size: int = 350) -> DataFrame:
-    """SRC-2: one keyset page, ids in [lower, upper], descending. Next page: upper = last id - 1."""
+                  size: int | None = None) -> DataFrame:
+    """SRC-2: ids in [lower, upper], descending; with ``size`` one keyset page of them. Next page: upper = last id - 1."""
     cond = F.lit(True)
     if lower is not None:
         cond = cond & (F.col(id_col) >= lower)
     if upper is not None:
         cond = cond & (F.col(id_col) <= upper)
-    return df.filter(cond).orderBy(F.col(id_col).desc()).limit(size)
+    page = df.filter(cond).orderBy(F.col(id_col).desc())
+    return page if size is None else page.limit(size)
 
 
 def offset_page(df: DataFrame, order: list[Column], offset: int, number: int) -> tuple[DataFrame, Column]:

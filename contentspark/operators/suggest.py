@@ -11,10 +11,10 @@ unigram), log P(w | the word chosen before it) and a penalty per edit (and one
 for keeping a word the corpus never saw). The best paths come from a list
 Viterbi per query; only bigrams that the corpus has are edges.
 
-Related (SUG-7): more-like-this. Per source document its 12 best tf-idf terms
-(``row_number`` per document) form a query; candidates must match at least
-30 % of them (found through the rarest ones); score = sum of BM25 of matched
-terms; the source is excluded; top 5 per source.
+Related (SUG-7): more-like-this. Per source document its ``n_terms`` best tf-idf terms
+(``row_number`` per document) form a query; candidates must match at least the share
+``min_match`` of them (found through the rarest ones); score = sum of BM25 of matched
+terms; the source is excluded; the ``k`` best per source.
 """
 
 from __future__ import annotations
@@ -70,7 +70,7 @@ def suggest_field_weights(weights: dict[str, float], suggest_fields: list[str])
     return out
 
 
-def completion_top_k(matches: DataFrame, posts: DataFrame, k: int = 5, types=("post", "page", "product"),
+def completion_top_k(matches: DataFrame, posts: DataFrame, k: int, types=("post", "page", "product"),
                      statuses=("publish",)) -> DataFrame:
     """SUG-3: per prefix query the k best public objects (more matched fields, newer, smaller id)."""
     p = posts.filter(F.col("post_type").isin(list(types)) & F.col("post_status").isin(list(statuses)))
@@ -214,8 +214,8 @@ def only_when_empty(suggestions: DataFrame, hits: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- related
 
 
-def related(index: TextIndex, sources: DataFrame, fields: list[str], n_terms: int = 12, min_match: float = 0.3,
-            k: int = 5, among: DataFrame | None = None) -> DataFrame:
+def related(index: TextIndex, sources: DataFrame, fields: list[str], n_terms: int, min_match: float,
+            k: int, among: DataFrame | None = None) -> DataFrame:
     """SUG-7: (source_id, doc_id, score, rank) - k most similar documents per source document.
 
     Tag and category names are fields like any other. ``among`` (doc_id) restricts the candidates, e.g.

@@ -119,11 +119,15 @@ def doc5_term_facet_json(spark, sf):
 
 
 @query("doc6_term_order", """
-SELECT c_custkey AS object_id, (c_nationkey + 100)::BIGINT AS term_taxonomy_id, 0 AS term_order FROM customer""")
+SELECT c_custkey AS object_id, (c_nationkey + 100)::BIGINT AS term_taxonomy_id,
+       CASE WHEN c_acctbal >= 0 THEN c_custkey % 4 ELSE 0 END AS term_order FROM customer""")
 def doc6_term_order(spark, sf):
+    """Every customer's term with its place; relationships of customers in debt are missing, so their place is 0."""
     rel = V.v_term_relationships(spark, sf)
     assigned = rel.filter(F.col("object_type") == "customer").select("object_id", "term_taxonomy_id")
-    return DOC.term_order(assigned, rel.filter(F.col("object_type") == "customer")).select(
+    known = Tables(spark, sf).customer.filter(F.col("c_acctbal") >= 0).select(F.col("c_custkey").alias("object_id"))
+    ordered = rel.filter(F.col("object_type") == "customer").join(known, "object_id", "left_semi")
+    return DOC.term_order(assigned, ordered).select(
         "object_id", "term_taxonomy_id", "term_order")
 
 

@@ -40,8 +40,8 @@ def geo_terms(spark, sf):
     return V.v_terms(spark, sf).filter(F.col("taxonomy") == "geo")
 
 
-def geo_hier(spark, sf):
-    return H.with_hierarchy(geo_terms(spark, sf))
+def geo_hier(spark, sf, ancestors=False):
+    return H.with_hierarchy(geo_terms(spark, sf), ancestors=ancestors)
 
 
 @query("hier1_closure", GEO_CLOSURE_SQL + "SELECT id, ancestor, depth FROM clo")
@@ -58,12 +58,12 @@ def hier1_descendants(spark, sf):
 
 @query("hier2_children_count", GEO_CLOSURE_SQL + "SELECT term_id, n_descendants, children_count FROM hier")
 def hier2_children_count(spark, sf):
-    return H.with_hierarchy(geo_terms(spark, sf), ancestors=False).select("term_id", "n_descendants", "children_count")
+    return geo_hier(spark, sf).select("term_id", "n_descendants", "children_count")
 
 
 @query("hier3_padded_counts", GEO_CLOSURE_SQL + "SELECT term_id, count, padded_count FROM hier")
 def hier3_padded_counts(spark, sf):
-    return H.with_hierarchy(geo_terms(spark, sf), ancestors=False).select("term_id", "count", "padded_count")
+    return geo_hier(spark, sf).select("term_id", "count", "padded_count")
 
 
 TREE_SQL = with_views(V_TERMS) + """,
@@ -142,6 +142,12 @@ def hier5_comment_thread(spark, sf):
 
 # ---------------------------------------------------------------- TRM
 
+def term_queries(spark, sf, *queries):
+    """The terms that each of some term queries finds, over one term table."""
+    h = written(geo_hier(spark, sf, ancestors=any("child_of" in args for args in queries)), "geo-terms")
+    return [h.filter(TR.term_filter(args)) for args in queries]
+
+
 def term_query(spark, sf, args):
     return geo_hier(spark, sf).filter(TR.term_filter(args))
 
@@ -164,9 +170,8 @@ SELECT term_id FROM hier WHERE term_id IN (101, 102)
 UNION ALL SELECT term_id FROM hier WHERE term_id NOT IN (1, 2, 101)""")
 def trm3_include_exclude(spark, sf):
     """exclude is ignored when include is given (first part); exclude alone (second)."""
-    a = term_query(spark, sf, {"include": [101, 102], "exclude": [102]}).select("term_id")
-    b = term_query(spark, sf, {"exclude": [1, 2, 101]}).select("term_id")
-    return a.unionByName(b)
+    a, b = term_queries(spark, sf, {"include": [101, 102], "exclude": [102]}, {"exclude": [1, 2, 101]})
+    return a.select("term_id").unionByName(b.select("term_id"))
 
 
 @query("trm4_exclude_tree", GEO_CLOSURE_SQL + "SELECT term_id FROM hier WHERE term_id <> 2 AND parent <> 2")
@@ -177,9 +182,8 @@ def trm4_exclude_tree(spark, sf):
 @query("trm5_name_slug", GEO_CLOSURE_SQL + """
 SELECT term_id FROM hier WHERE name IN ('NATION_3', 'AFRICA') OR slug = 'nation-4'""")
 def trm5_name_slug(spark, sf):
-    a = term_query(spark, sf, {"name": ["NATION_3", "AFRICA"]}).select("term_id")
-    b = term_query(spark, sf, {"slug": "NATION 4"}).select("term_id")
-    return a.unionByName(b)
+    a, b = term_queries(spark, sf, {"name": ["NATION_3", "AFRICA"]}, {"slug": "NATION 4"})
+    return a.select("term_id").unionByName(b.select("term_id"))
 
 
 @query("trm6_term_taxonomy_id", GEO_CLOSURE_SQL + "SELECT term_id FROM hier WHERE term_id IN (104, 105, 3)")
@@ -192,20 +196,17 @@ SELECT term_id FROM hier WHERE count >= 1 OR children_count >= 1
 UNION ALL SELECT term_id FROM hier WHERE count >= 1""")
 def trm7_hide_empty(spark, sf):
     """Hierarchical hide_empty keeps parents with non-empty descendants; flat does not."""
-    a = term_query(spark, sf, {"hide_empty": True}).select("term_id")
-    b = term_query(spark, sf, {"hide_empty": True, "hierarchical": False}).select("term_id")
-    return a.unionByName(b)
+    a, b = term_queries(spark, sf, {"hide_empty": True}, {"hide_empty": True, "hierarchical": False})
+    return a.select("term_id").unionByName(b.select("term_id"))
 
 
 @query("trm8_child_of_parent_childless", GEO_CLOSURE_SQL + """
 SELECT 'child_of' AS q, term_id FROM hier WHERE list_contains(ancestors, 4)
 UNION ALL SELECT 'parent', term_id FROM hier WHERE parent = 5
-UNION ALL SELECT 'childless', term_id FROM hier WHERE n_descendants = 0 AND term_id < 110""")
+UNION ALL SELECT 'childless', term_id FROM hier WHERE n_descendants = 0""")
 def trm8_child_of_parent_childless(spark, sf):
-    a = term_query(spark, sf, {"child_of": 4}).select(F.lit("child_of").alias("q"), "term_id")
-    b = term_query(spark, sf, {"parent": 5}).select(F.lit("parent").alias("q"), "term_id")
-    c = term_query(spark, sf, {"childless": True, "extra": F.col("term_id") < 110}).select(
-        F.lit("childless").alias("q"), "term_id")
+    found = term_queries(spark, sf, {"child_of": 4}, {"parent": 5}, {"childless": True})
+    a, b, c = (df.select(F.lit(q).alias("q"), "term_id") for q, df in zip(("child_of", "parent", "childless"), found))
     return a.unionByName(b).unionByName(c)
 
 

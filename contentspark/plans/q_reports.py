@@ -58,7 +58,7 @@ def obs1_failed_requests(spark, sf):
 SELECT request_id, round(query_time * 1000)::BIGINT AS duration_ms,
        CASE WHEN length(body) > 204800 THEN substr(body, 1, 1000) ELSE body END AS body FROM lt""")
 def obs2_log_shaping(spark, sf):
-    return R.shape_log(log_table(spark, sf)).select("request_id", "duration_ms", "body")
+    return R.shape_log(log_table(spark, sf), R.MAX_BODY_BYTES).select("request_id", "duration_ms", "body")
 
 
 @query("obs3_retention", LOG_SQL + """
@@ -68,7 +68,7 @@ def obs3_retention(spark, sf):
     """Last 24 h before the newest entry, newest 5, size cap 1 MB."""
     lg = log_table(spark, sf)
     as_of = lg.select(F.max("ts")).scalar()
-    return R.retention(lg, as_of).select("request_id")
+    return R.retention(lg, as_of, 24, R.KEEP_LAST, R.MAX_LOG_BYTES).select("request_id")
 
 
 @query("obs4_error_classes", LOG_SQL + """

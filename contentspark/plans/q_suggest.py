@@ -190,7 +190,7 @@ def sug7_related_documents(spark, sf):
     rows = FL.field_rows(posts, RELATED_FIELDS)
     idx = S.cached_index("v_posts(post,page):" + ",".join(RELATED_FIELDS), rows)
     ids = V.v_posts(spark, sf, types=["post"]).select(F.col("id").alias("doc_id"))
-    out = SG.related(idx, ids, RELATED_FIELDS, among=ids)
+    out = SG.related(idx, ids, RELATED_FIELDS, 12, 0.3, 5, among=ids)
     return out.select("source_id", "doc_id", S.milli(F.col("score")).alias("score"), "rank")
 
 

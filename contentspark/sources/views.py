@@ -198,7 +198,7 @@ def v_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("n_regionkey") + REGION_TERM_OFFSET, F.coalesce(F.col("n"), F.lit(0)),
                     F.concat(F.lit("Nation "), F.col("n_name")))
     out = regions.unionByName(nations)
-    for tax, col in (("brand", "p_brand"), ("ptype", "p_type")):
+    for place, (tax, col) in enumerate((("brand", "p_brand"), ("ptype", "p_type"))):
         g = t.part.groupBy(col).agg(F.count("*").alias("n"))
         out = out.unionByName(frame(g, flat_term_id(tax, T.slug(F.col(col))), tax, F.col(col), F.lit(0),
                                     F.col("n"), F.concat(F.lit(f"{tax} "), F.col(col))))
@@ -209,20 +209,20 @@ def v_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def v_term_relationships(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(object_id, object_type, term_taxonomy_id, taxonomy, term_order)."""
+    """(object_id, object_type, term_taxonomy_id, taxonomy, term_order); places 0 to 3 for geo terms, 0 and 1 for brand and type."""
     t = Tables(spark, sf_dir)
     cust = t.customer.select(F.col("c_custkey").alias("object_id"), F.lit("customer").alias("object_type"),
                              (F.col("c_nationkey") + NATION_TERM_OFFSET).cast("bigint").alias("term_taxonomy_id"),
-                             F.lit("geo").alias("taxonomy"), F.lit(0).alias("term_order"))
+                             F.lit("geo").alias("taxonomy"), (F.col("c_custkey") % 4).cast("int").alias("term_order"))
     supp = t.supplier.select(F.col("s_suppkey").alias("object_id"), F.lit("supplier").alias("object_type"),
                              (F.col("s_nationkey") + NATION_TERM_OFFSET).cast("bigint").alias("term_taxonomy_id"),
-                             F.lit("geo").alias("taxonomy"), F.lit(0).alias("term_order"))
+                             F.lit("geo").alias("taxonomy"), (F.col("s_suppkey") % 4).cast("int").alias("term_order"))
     out = cust.unionByName(supp)
-    for tax, col in (("brand", "p_brand"), ("ptype", "p_type")):
+    for place, (tax, col) in enumerate((("brand", "p_brand"), ("ptype", "p_type"))):
         out = out.unionByName(t.part.select(
             F.col("p_partkey").alias("object_id"), F.lit("product").alias("object_type"),
             flat_term_id(tax, T.slug(F.col(col))).alias("term_taxonomy_id"), F.lit(tax).alias("taxonomy"),
-            F.lit(0).alias("term_order")))
+            F.lit(place).alias("term_order")))
     return out
 
 
