@@ -31,13 +31,17 @@ from contentspark.operators.search import TextIndex, bm25, fuzzy_expand
 from contentspark.session import written
 
 MIN_PREFIX, MAX_PREFIX = 3, 10
+BROADCAST_ROWS = 500_000  # query tokens that a completion may broadcast
 
 
 def prefix_index(field_rows: DataFrame, min_len: int = MIN_PREFIX) -> DataFrame:
     """DOC-24 over field rows: distinct (doc_id, field, prefix, token), prefixes of min_len..10 characters."""
     toks = field_rows.select("doc_id", "field", F.explode(F.array_distinct(tokens(F.col("text")))).alias("token"))
+    # Tokens are dealt by document before they get their prefixes: a token's prefixes differ from each other, and what is
+    # counted per document needs no further shuffle.
+    toks = toks.repartition("doc_id").distinct()
     return toks.select("doc_id", "field", F.explode(edge_ngrams(F.array("token"), min_len, MAX_PREFIX)).alias("prefix"),
-                       "token").distinct()
+                       "token")
 
 
 def query_prefix_tokens(queries: DataFrame) -> DataFrame:
@@ -51,12 +55,19 @@ def complete(queries: DataFrame, prefixes: DataFrame) -> DataFrame:
     """SUG-1: (query_id, doc_id, matched_fields) where every query token prefixes a doc token.
 
     The join is on the first 10 characters; longer tokens are compared whole behind it. ``prefixes``
-    should have prefixes from one character up if queries may hold such short tokens.
+    should have prefixes from one character up if queries may hold such short tokens. The prefixes are
+    never broadcast (their size is that of the documents, whatever a plan's estimate says); the query
+    tokens are, if their counted rows are few.
     """
-    qt = query_prefix_tokens(queries)
-    hits = qt.join(prefixes, (qt.pkey == prefixes.prefix) & F.startswith(prefixes.token, qt.ptok))
-    per = hits.groupBy("query_id", "doc_id", "n_tokens").agg(F.countDistinct("ptok").alias("m"),
-                                                             F.countDistinct("field").alias("matched_fields"))
+    qt = written(query_prefix_tokens(queries), "prefix-queries")
+    if qt.count() <= BROADCAST_ROWS:
+        qt = F.broadcast(qt)
+    else:
+        prefixes = prefixes.hint("merge")
+    hits = prefixes.join(qt, (F.col("pkey") == F.col("prefix")) & F.startswith("token", F.col("ptok")))
+    # One set per query and document: no more entries than the query has tokens, or the document fields.
+    per = hits.groupBy("query_id", "doc_id", "n_tokens").agg(F.size(F.collect_set("ptok")).cast("long").alias("m"),
+                                                             F.size(F.collect_set("field")).cast("long").alias("matched_fields"))
     return per.filter(F.col("m") == F.col("n_tokens")).select("query_id", "doc_id", "matched_fields")
 
 
