@@ -85,7 +85,8 @@ def completion_top_k(matches: DataFrame, posts: DataFrame, k: int, types=("post"
                      statuses=("publish",)) -> DataFrame:
     """SUG-3: per prefix query the k best public objects (more matched fields, newer, smaller id)."""
     p = posts.filter(F.col("post_type").isin(list(types)) & F.col("post_status").isin(list(statuses)))
-    m = matches.join(p.select(F.col("id").alias("doc_id"), "post_date"), "doc_id")
+    # Both sides grow with the documents: joined by a shuffle, not by a broadcast that a small file's estimate suggests.
+    m = matches.join(p.select(F.col("id").alias("doc_id"), "post_date").hint("merge"), "doc_id")
     w = Window.partitionBy("query_id").orderBy(F.col("matched_fields").desc(), F.col("post_date").desc(),
                                                F.col("doc_id").asc())
     return m.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)

@@ -20,3 +20,13 @@ def test_completion_broadcasts_queries_only(spark, tmp_path):
     got = SG.complete(q, SG.prefix_index(spark.read.parquet(str(tmp_path / "docs")), min_len=1))
     assert "BuildRight" in plan_of(got) and "BuildLeft" not in plan_of(got)
     assert {tuple(r) for r in got.collect()} == {("a", 1, 2), ("a", 2, 1), ("b", 1, 1), ("b", 3, 1)}
+
+
+def test_completion_top_k_shuffles_posts(spark, tmp_path):
+    posts = spark.createDataFrame([(1, "post", "publish", 5), (2, "post", "publish", 9), (3, "post", "trash", 9)],
+                                  "id long, post_type string, post_status string, post_date long")
+    posts.write.parquet(str(tmp_path / "posts"))
+    matches = spark.createDataFrame([("a", 1, 1), ("a", 2, 1), ("a", 3, 2)], "query_id string, doc_id long, matched_fields long")
+    got = SG.completion_top_k(matches, spark.read.parquet(str(tmp_path / "posts")), 1)
+    assert "BroadcastHashJoin" not in plan_of(got)
+    assert [(r.query_id, r.doc_id, r["rank"]) for r in got.collect()] == [("a", 2, 1)]
