@@ -74,6 +74,12 @@ def build_meta(pairs: list[tuple[str, Column]]) -> Column:
     return F.create_map(*[x for k, c in pairs if k != "" for x in meta_entry(k, c)])
 
 
+def meta_keys(pairs: list[tuple[str, Column]]) -> Column:
+    """The keys that :func:`live_meta` leaves of ``build_meta(pairs)``, from the raw values alone: no typed reading is made."""
+    keys = [F.when(c.isNotNull(), F.lit(k)) for k, c in pairs if k != ""]
+    return F.array_compact(F.array(*keys)) if keys else F.array().cast("array<string>")
+
+
 def live_meta(meta: Column) -> Column:
     """The meta map without NULL entries (keys that are really present)."""
     return F.map_filter(meta, lambda k, v: v.isNotNull())

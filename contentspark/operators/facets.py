@@ -132,9 +132,14 @@ def distinct_values(df: DataFrame, values: Column, size: int | None = None) -> D
     return terms_agg(df, values, size=size)
 
 
+def live_keys(df: DataFrame, map_col: str = "meta") -> Column:
+    """The keys of a row's meta map: the column ``<map_col>_keys`` where the view has one, else those of the map itself."""
+    return F.col(f"{map_col}_keys") if f"{map_col}_keys" in df.columns else F.map_keys(live_meta(F.col(map_col)))
+
+
 def distinct_map_keys(df: DataFrame, map_col: str = "meta") -> DataFrame:
     """AGG-4: distinct keys of a map column."""
-    return df.select(F.explode(F.map_keys(live_meta(F.col(map_col)))).alias("key")).distinct()
+    return df.select(F.explode(live_keys(df, map_col)).alias("key")).distinct()
 
 
 def allowed_key(key: Column, allow: list[str] | None = None) -> Column:
@@ -160,7 +165,7 @@ def meta_keys_per_type(df: DataFrame, type_col: str = "post_type", map_col: str
     Long form instead of one collected set per type, so no group is gathered
     into a single row whatever the number of keys.
     """
-    pairs = df.select(F.col(type_col).alias("type"), F.explode(F.map_keys(live_meta(F.col(map_col)))).alias("key"))
+    pairs = df.select(F.col(type_col).alias("type"), F.explode(live_keys(df, map_col)).alias("key"))
     return (pairs.filter(allowed_key(F.col("key"), allow)).groupBy("type", "key")
             .agg(F.count(F.lit(1)).cast("bigint").alias("n_objects")))
 

@@ -234,13 +234,14 @@ def meta_clause(clause: dict, meta_col: str = "meta") -> Column | None:
     if not has_value:
         return None
     field = _meta_path(compare, typ)
+    arr = arr[field]  # one typed reading of each value: a view that builds the map computes no other
     val = clause["value"]
     if compare in ("like", "not like"):
-        pred = lambda x: token_phrase_like(x[field], str(val))
+        pred = lambda x: token_phrase_like(x, str(val))
         return any_match(arr, pred) if compare == "like" else none_match(arr, pred)
     if compare in ("=", "in", "!=", "not in"):
         vals = [_typed_literal(v, field) for v in (val if isinstance(val, (list, tuple)) else [val])]
-        pred = lambda x: x[field].isin(vals)
+        pred = lambda x: x.isin(vals)
         return none_match(arr, pred) if compare in ("!=", "not in") else any_match(arr, pred)
     if compare in ("between", "not between"):
         if not isinstance(val, (list, tuple)) or len(val) != 2:
@@ -248,12 +249,12 @@ def meta_clause(clause: dict, meta_col: str = "meta") -> Column | None:
         lo, hi = (_typed_literal(v, field) for v in val)
         if compare == "between":
             # bounds are tested separately, possibly on different values
-            return any_match(arr, lambda x: x[field] >= lo) & any_match(arr, lambda x: x[field] <= hi)
-        return any_match(arr, lambda x: x[field] <= lo) | any_match(arr, lambda x: x[field] >= hi)
+            return any_match(arr, lambda x: x >= lo) & any_match(arr, lambda x: x <= hi)
+        return any_match(arr, lambda x: x <= lo) | any_match(arr, lambda x: x >= hi)
     ops = {">": lambda a, b: a > b, ">=": lambda a, b: a >= b, "<": lambda a, b: a < b, "<=": lambda a, b: a <= b}
     if compare in ops:
         v = _typed_literal(val, field)
-        return any_match(arr, lambda x: ops[compare](x[field], v))
+        return any_match(arr, lambda x: ops[compare](x, v))
     raise ValueError(f"unknown meta compare {compare!r}")
 
 

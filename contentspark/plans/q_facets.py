@@ -14,11 +14,12 @@ from contentspark.sources.tables import Tables
 
 
 def products(spark, sf):
-    return V.v_posts(spark, sf, types=["product"]).filter(P.post_filter({"post_type": "product"}))
+    return V.v_posts(spark, sf, types=["product"], lists=True).filter(P.post_filter({"post_type": "product"}))
 
 
 def term_slugs(tax: str):
-    return F.transform(F.col("terms")[tax], lambda t: t["slug"])
+    """The slugs of a taxonomy's terms, from the view's list of them: no term struct is built."""
+    return F.col("term_slugs")[tax]
 
 
 def meta_raw(key: str):
@@ -70,14 +71,14 @@ def agg3_distinct_values(spark, sf):
 SELECT unnest(['_price', 'size', '_sku', 'label', 'quality', 'toxic', 'n_chars', '_total', '_priority']) AS key""")
 def agg4_meta_map_keys(spark, sf):
     """Distinct keys of the meta map over all object families."""
-    return G.distinct_map_keys(V.v_posts(spark, sf))
+    return G.distinct_map_keys(V.v_posts(spark, sf, lists=True))
 
 
 @query("agg5_meta_keys_sorted", """
 SELECT key FROM (SELECT unnest(['_price', 'size', 'label', 'quality', 'toxic', 'n_chars']) AS key)
 ORDER BY key""")
 def agg5_meta_keys_sorted(spark, sf):
-    return G.distinct_meta_keys(V.v_posts(spark, sf), allow=["_price"])
+    return G.distinct_meta_keys(V.v_posts(spark, sf, lists=True), allow=["_price"])
 
 
 @query("agg6_meta_keys_per_type", with_views(V_POSTS) + """
@@ -89,7 +90,7 @@ SELECT post_type AS type, key, count(*)::BIGINT AS n_objects FROM (
   UNION ALL SELECT post_type, 'n_chars' FROM v_posts WHERE post_type = 'post'
 ) GROUP BY post_type, key""")
 def agg6_meta_keys_per_type(spark, sf):
-    return G.meta_keys_per_type(V.v_posts(spark, sf))
+    return G.meta_keys_per_type(V.v_posts(spark, sf, lists=True))
 
 
 @query("agg7_taxonomy_facet", FACETS_SQL + """
@@ -207,10 +208,11 @@ def agg14_counts_ignoring_selection(spark, sf):
 @query("agg14_counts_in_one_scan", AGG14_SQL)
 def agg14_counts_in_one_scan(spark, sf):
     """The same counts without an index: flags on one scan of the documents."""
-    df = products(spark, sf)
-    fv = {"brand": term_slugs("brand"), "post_tag": term_slugs("post_tag"), "ptype": term_slugs("ptype")}
+    names = ["brand", "post_tag", "ptype"]
     base = P.meta_clause({"key": "_price", "value": 920, "compare": ">"})
-    return G.facet_counts(df, fv, flags=G.counting_flags(fv, SEL, "any", base))
+    df = products(spark, sf).select(base.alias("base"), *[term_slugs(t).alias(t) for t in names])  # computed once a row
+    fv = {t: F.col(t) for t in names}
+    return G.facet_counts(df, fv, flags=G.counting_flags(fv, SEL, "any", F.col("base")))
 
 
 @query("agg15_drop_empty", FACETS_SQL + """

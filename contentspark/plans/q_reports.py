@@ -111,7 +111,7 @@ pairs AS (
 SELECT type, key, count(*)::BIGINT AS n_objects FROM pairs GROUP BY ALL
 UNION ALL SELECT 'total', key, count(*)::BIGINT FROM pairs GROUP BY key""")
 def obs6_meta_key_counts(spark, sf):
-    return R.meta_key_counts(G.meta_keys_per_type(V.v_posts(spark, sf)))
+    return R.meta_key_counts(G.meta_keys_per_type(V.v_posts(spark, sf, lists=True)))
 
 
 @query("obs7_missing_present", """

@@ -30,3 +30,36 @@ def test_completion_top_k_shuffles_posts(spark, tmp_path):
     got = SG.completion_top_k(matches, spark.read.parquet(str(tmp_path / "posts")), 1)
     assert "BroadcastHashJoin" not in plan_of(got)
     assert [(r.query_id, r.doc_id, r["rank"]) for r in got.collect()] == [("a", 2, 1)]
+
+
+def test_views_build_what_is_read_only(spark, sf_small):
+    from contentspark.functions.meta import live_meta
+    from contentspark.operators import facets as G
+    from contentspark.operators import predicates as P
+    from contentspark.plans import q_facets
+    from contentspark.sources import views as V
+
+    posts = V.v_posts(spark, sf_small, lists=True)
+    optimized = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    size = posts.select(P.meta_clause({"key": "size", "value": 48, "compare": ">"}).alias("x"))
+    assert "p_retailprice" not in optimized(size).split("Relation")[0] and "to_date" not in optimized(size)
+    assert "RLIKE" not in optimized(G.distinct_map_keys(posts))
+    assert "StructsToJson" not in optimized(q_facets.agg7_taxonomy_facet(spark, sf_small))
+    same_keys = F.sort_array("meta_keys") == F.sort_array(F.map_keys(live_meta(F.col("meta"))))
+    same_slugs = F.forall(F.map_entries("terms"), lambda e: F.transform(e["value"], lambda t: t["slug"]).eqNullSafe(F.col("term_slugs")[e["key"]]))
+    assert posts.filter(~same_keys | ~same_slugs).isEmpty()
+
+
+def test_matches_shuffle_postings_not_hits(spark):
+    from contentspark.operators import search as S
+
+    docs = spark.createDataFrame([(i, "f", "aa bb cc" if i % 2 else "aa dd") for i in range(3000)] + [(1, "f", "aa bb cc")],
+                                 "doc_id long, field string, text string")
+    q = spark.createDataFrame([(i, "aa bb") for i in range(600)], "query_id long, query string")
+    idx = S.TextIndex.build(docs).materialize()
+    assert [(r.tf, r.positions) for r in idx.postings.filter("doc_id = 1 and term = 'bb'").collect()] == [(2, [1, 1])]
+    hits = S.match(q, idx, {"f": 2.0}, "or")
+    plan = plan_of(hits)
+    assert "FlatMapCoGroups" in plan and "HashAggregate" not in plan.split("FlatMapCoGroups")[0]
+    assert hits.count() == 600 * 3000
+    assert S.match(q, idx, {"f": 2.0}, "and").count() == 600 * 1500
