@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from contentspark.functions.text import tokens
 from contentspark.operators.analysis import edge_ngrams
-from contentspark.operators.search import TextIndex, bm25, fuzzy_expand
+from contentspark.operators.search import B, K1, TextIndex, fuzzy_expand
 from contentspark.session import written
 
 MIN_PREFIX, MAX_PREFIX = 3, 10
@@ -225,14 +225,70 @@ def only_when_empty(suggestions: DataFrame, hits: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- related
 
+TILE_DOCS, TILE_SOURCES = 16_384, 65_536  # documents and sources that a tile has at most, about
+LEAST_TILES, LEAST_SOURCES = 32, 512  # few tiles are split further, down to so many sources
+
+
+def _most_related(k: int):
+    """The k best documents of every source in one tile: documents (doc_id, tids, tfs, norm), sources (source_id, need, tids, idfs)."""
+    def run(left, right):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        id_type = left.schema.field("doc_id").type
+        schema = pa.schema([("source_id", id_type), ("doc_id", id_type), ("score", pa.float64())])
+        if not left.num_rows or not right.num_rows:
+            return schema.empty_table()
+
+        def lists(table, name):
+            col = table.column(name).combine_chunks()
+            return col.flatten().to_numpy(zero_copy_only=False), pc.list_value_length(col).to_numpy(zero_copy_only=False)
+
+        left = left.sort_by("doc_id")  # places in the tile are in the order of ties
+        docs, sources = left.column("doc_id").combine_chunks(), right.column("source_id").combine_chunks()
+        own = pc.fill_null(pc.index_in(sources, value_set=docs), -1).to_numpy(zero_copy_only=False)
+        (tid, n), (tf, _) = lists(left, "tids"), lists(left, "tfs")
+        row = np.repeat(np.arange(len(docs)), n)
+        part = tf * (K1 + 1) / (tf + left.column("norm").to_numpy()[row])
+        order = np.argsort(tid, kind="stable")
+        tid, row, part = tid[order], row[order], part[order]
+        (wanted, n), (idf, _) = lists(right, "tids"), lists(right, "idfs")
+        begin, end = np.searchsorted(tid, wanted, "left"), np.searchsorted(tid, wanted, "right")
+        first, need = np.append(0, np.cumsum(n)), np.maximum(right.column("need").to_numpy(), 1)
+        score, met = np.zeros(len(docs)), np.zeros(len(docs), dtype=np.int32)
+        out = []
+        for i in range(len(sources)):
+            for j in range(first[i], first[i + 1]):
+                at = row[begin[j]:end[j]]  # a term has one row per document
+                if len(at):
+                    score[at] += part[begin[j]:end[j]] * idf[j]
+                    met[at] += 1
+            if own[i] >= 0:
+                met[own[i]] = 0
+            found = np.flatnonzero(met >= need[i])
+            s = np.floor(score[found] * 1e6 + 0.5) / 1e6
+            if len(found) > k:
+                best = s >= np.partition(s, len(s) - k)[len(s) - k]
+                found, s = found[best], s[best]
+                best = np.lexsort((found, -s))[:k]
+                found, s = found[best], s[best]
+            out.append((np.full(len(found), i), found, score[found]))
+            score[:], met[:] = 0, 0
+        source, found, s = (np.concatenate(x) for x in zip(*out))
+        return pa.Table.from_arrays([sources.take(pa.array(source)), docs.take(pa.array(found)), pa.array(s)], schema=schema)
+
+    return run
+
 
 def related(index: TextIndex, sources: DataFrame, fields: list[str], n_terms: int, min_match: float,
             k: int, among: DataFrame | None = None) -> DataFrame:
     """SUG-7: (source_id, doc_id, score, rank) - k most similar documents per source document.
 
     Tag and category names are fields like any other. ``among`` (doc_id) restricts the candidates, e.g.
-    to some post types. A document that matches m of a source's n terms holds one of its n - m + 1
-    rarest: candidates come from those, so a source's most frequent terms are only looked up in them.
+    to some post types. Scores are added up in tiles of a block of documents and a block of sources,
+    which keep each source's ``k`` best: no pair of documents is shuffled or written, only the documents'
+    terms (once per block of sources) and the sources' terms (once per block of documents).
     """
     post = index.postings.filter(F.col("field").isin(fields))
     tf = written(post.groupBy("doc_id", "term").agg(F.sum("tf").alias("tf")), "related-tf")
@@ -245,17 +301,29 @@ def related(index: TextIndex, sources: DataFrame, fields: list[str], n_terms: in
            .select(F.col("doc_id").alias("source_id"), "term", "df"))
     of = Window.partitionBy("source_id")
     top = top.withColumn("nq", F.count(F.lit(1)).over(of)).withColumn("need", F.ceil(F.col("nq") * min_match))
-    top = written(top.withColumn("rarity", F.row_number().over(of.orderBy("df", "term"))), "related-terms")
-    rare = top.filter(F.col("rarity") <= F.col("nq") - F.col("need") + 1)
-    cand = rare.join(tf.select("doc_id", "term"), "term").filter(F.col("doc_id") != F.col("source_id"))
-    if among is not None:
-        cand = cand.join(among.select("doc_id"), "doc_id", "left_semi")
-    cand = cand.select("source_id", "doc_id").distinct()
+    top = written(top, "related-terms")
+    # A term of one document has no other one to find; it still counts in ``need``.
+    shared = top.filter(F.col("df") > 1)
+    tids = written(shared.select("term").distinct().select("term", F.monotonically_increasing_id().alias("tid")), "related-numbers")
     lengths = post.filter("opens").groupBy("doc_id").agg(F.sum("len").alias("len"))
     avg = lengths.agg(F.avg("len")).scalar()
-    hits = (cand.join(top, "source_id").join(tf, ["doc_id", "term"]).join(lengths, "doc_id")
-            .withColumn("s", bm25(F.col("tf"), F.col("len"), avg, F.col("df"), n_docs)))
-    per = hits.groupBy("source_id", "doc_id", "need").agg(F.round(F.sum("s"), 6).alias("score"), F.count(F.lit(1)).alias("m"))
+    if among is not None:
+        lengths = lengths.join(among.select("doc_id"), "doc_id", "left_semi")
+    per_doc = tf.join(tids, "term").groupBy("doc_id").agg(F.collect_list("tid").alias("tids"), F.collect_list("tf").alias("tfs"))
+    docs = written(per_doc.join(lengths, "doc_id").select("doc_id", "tids", "tfs", (K1 * (1 - B + B * F.col("len") / avg)).alias("norm")),
+                   "related-docs")
+    asked = written(shared.join(tids, "term").groupBy("source_id", "need").agg(
+        F.collect_list("tid").alias("tids"),
+        F.collect_list(F.log(1.0 + (n_docs - F.col("df") + 0.5) / (F.col("df") + 0.5))).alias("idfs")), "related-sources")
+    n, m = docs.count(), asked.count()
+    doc_blocks = max(-(-n // TILE_DOCS), 1)
+    source_blocks = max(-(-m // TILE_SOURCES), min(-(-LEAST_TILES // doc_blocks), -(-m // LEAST_SOURCES)), 1)
+    block = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
+    every_block = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    left = docs.select(block("doc_id", doc_blocks).alias("db"), every_block(source_blocks).alias("sb"), "*")
+    right = asked.select(every_block(doc_blocks).alias("db"), block("source_id", source_blocks).alias("sb"), "*")
+    id_type = dict(docs.dtypes)["doc_id"]
+    per = left.groupBy("db", "sb").cogroup(right.groupBy("db", "sb")).applyInArrow(
+        _most_related(k), f"source_id {id_type}, doc_id {id_type}, score double").withColumn("score", F.round("score", 6))
     wr = Window.partitionBy("source_id").orderBy(F.col("score").desc(), F.col("doc_id").asc())
-    return (per.filter(F.col("m") >= F.col("need")).withColumn("rank", F.row_number().over(wr)).filter(F.col("rank") <= k)
-            .select("source_id", "doc_id", "score", "rank"))
+    return per.withColumn("rank", F.row_number().over(wr)).filter(F.col("rank") <= k).select("source_id", "doc_id", "score", "rank")

@@ -1,5 +1,7 @@
 """What may be broadcast, shuffled and written by queries on large tables, seen in their plans and tables."""
 
+import math
+
 from pyspark.sql import functions as F
 
 from contentspark.operators import suggest as SG
@@ -63,3 +65,39 @@ def test_matches_shuffle_postings_not_hits(spark):
     assert "FlatMapCoGroups" in plan and "HashAggregate" not in plan.split("FlatMapCoGroups")[0]
     assert hits.count() == 600 * 3000
     assert S.match(q, idx, {"f": 2.0}, "and").count() == 600 * 1500
+
+
+def test_related_adds_up_in_tiles(spark, monkeypatch):
+    from contentspark.operators import search as S
+
+    texts = [f"w{i % 7} w{i % 11} w{i % 3} common x{i // 2}" for i in range(60)] + ["alone", "w0 w0 common", None]
+    docs = spark.createDataFrame([(i, "f", t) for i, t in enumerate(texts)], "doc_id long, field string, text string")
+    idx = S.TextIndex.build(docs).materialize()
+    ids = docs.select("doc_id").filter("doc_id <> 13")
+
+    def best():
+        df = SG.related(idx, docs.select("doc_id"), ["f"], 4, 0.5, 3, among=ids)
+        assert "FlatMapCoGroups" in plan_of(df)  # the pairs meet in tiles, and no row per pair is shuffled
+        return sorted(tuple(r) for r in df.collect())
+
+    whole = best()
+    monkeypatch.setattr(SG, "TILE_DOCS", 7)
+    monkeypatch.setattr(SG, "TILE_SOURCES", 5)
+    assert best() == whole
+
+    words = {i: t.split() for i, t in enumerate(texts) if t}
+    n, avg = len(words), sum(map(len, words.values())) / len(words)
+    df = {w: sum(w in ws for ws in words.values()) for ws in words.values() for w in ws}
+    idf = {w: math.log(1 + (n - c + 0.5) / (c + 0.5)) for w, c in df.items()}
+    want = []
+    for a, ws in words.items():
+        top = sorted(set(ws), key=lambda w: (-ws.count(w) * idf[w], w))[:4]
+        hits = []
+        for b, other in words.items():
+            common = [w for w in top if w in other]
+            if b not in (a, 13) and len(common) >= math.ceil(len(top) * 0.5):
+                norm = 1.2 * (0.25 + 0.75 * len(other) / avg)
+                hits.append((-round(sum(idf[w] * other.count(w) * 2.2 / (other.count(w) + norm) for w in common), 6), b))
+        want += [(a, b, -s, r) for r, (s, b) in enumerate(sorted(hits)[:3], 1)]
+    assert [(a, b, r) for a, b, _, r in whole] == [(a, b, r) for a, b, _, r in sorted(want)]
+    assert all(abs(x[2] - y[2]) < 1e-5 for x, y in zip(whole, sorted(want)))
