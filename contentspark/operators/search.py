@@ -49,9 +49,19 @@ K1 = 1.2
 B = 0.75
 TILE_DOCS = 1024  # documents and queries that one task's tile of a match has about
 TILE_QUERIES = 512
+BROADCAST_ROWS = 500_000  # rows of a query's side (terms, keys, candidates) that a lookup may broadcast
 TILE_HITS = 2_000_000  # hits that a tile adds up at a time
 
 
+def few(rows: DataFrame, name: str) -> DataFrame:
+    """``rows`` written and counted, as the small side of a join: broadcast if they are few, shuffled otherwise.
+
+    Left to a plan's estimate, the postings are shuffled before the true size of this side is known.
+    """
+    rows = written(rows, name)
+    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
+
+
 # ---------------------------------------------------------------- index
 
 
@@ -192,7 +202,7 @@ class TextIndex:
 
     def postings_for(self, terms: DataFrame) -> DataFrame:
         """Postings restricted to a set of terms (semi join before anything else)."""
-        return self.postings.join(terms.select("term").distinct(), "term", "left_semi")
+        return self.postings.join(few(terms.select("term").distinct(), "lookup-terms"), "term", "left_semi")
 
     def vocabulary(self) -> DataFrame:
         return self.term_df().select("term").distinct()
@@ -281,7 +291,7 @@ def _postings(terms: DataFrame, index: TextIndex, fields: list[str], only: DataF
     if only is None:
         return post
     keys = [c for c in ("doc_id", "field") if c in only.columns]
-    return post.join(only.select("query_id", *keys), keys)
+    return post.join(few(only.select("query_id", *keys), "candidates"), keys)
 
 
 def candidates(qt: DataFrame, index: TextIndex, fields: list[str], per_field: bool, term_col: str = "term") -> DataFrame:
@@ -505,8 +515,10 @@ def fuzzy_expand(qt: DataFrame, vocabulary: DataFrame, fuzziness, vocab_keys: Da
     keys = F.when(F.col("k") == 0, _query_keys(F.col("term"), 0))
     for k in range(1, max_k + 1):
         keys = keys.when(F.col("k") == k, _query_keys(F.col("term"), k))
-    qk = terms.select("term", "k", F.explode(keys).alias("key"))
-    vk = vocab_keys if vocab_keys is not None else vocabulary_keys(vocabulary, max_k)
+    # The queries' keys are few, the vocabulary's grow with the documents, and are made by all tasks.
+    qk = few(terms.select("term", "k", F.explode(keys).alias("key")), "query-keys")
+    parts = int(vocabulary.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    vk = vocab_keys if vocab_keys is not None else vocabulary_keys(vocabulary.repartition(parts, "term"), max_k)
     pairs = (qk.join(vk, "key").select("term", "k", "vterm").distinct()
              .filter(F.levenshtein(F.col("term"), F.col("vterm")) <= F.col("k")))
     return qt.join(pairs.drop("k"), "term")

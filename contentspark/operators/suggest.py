@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from contentspark.functions.text import tokens
 from contentspark.operators.analysis import edge_ngrams
-from contentspark.operators.search import B, K1, TextIndex, fuzzy_expand
+from contentspark.operators.search import B, K1, TextIndex, few, fuzzy_expand
 from contentspark.session import written
 
 MIN_PREFIX, MAX_PREFIX = 3, 10
@@ -97,6 +97,7 @@ def completion_top_k(matches: DataFrame, posts: DataFrame, k: int, types=("post"
 EDIT_PENALTY = math.log(0.05)  # log-probability of one edit
 UNSEEN_PENALTY = 3 * math.log(0.05)  # keeping a word the corpus never saw costs like three edits
 MIN_SCORE = 0.0001
+LIST_JOINTS = 65_536  # neighbouring words of queries that a word's list has at most, about
 
 
 def language_model(shingle_rows: DataFrame, postings: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -128,13 +129,23 @@ def spelling_lattice(queries: DataFrame, vocabulary: DataFrame, uni: DataFrame,
     words = words.join(uni.select(F.col("term").alias("vterm"), "c"), "vterm", "left").select(
         "term", "vterm", own.alias("own"), F.log(c + vocab).alias("norm"))
     nodes = written(qt.join(words, "term").select("query_id", "pos", "term", "vterm", "own", "norm"), "lattice")
-    known = nodes.select("vterm").distinct()
-    pairs = (bi.join(known.withColumnRenamed("vterm", "w1"), "w1", "left_semi").join(known.withColumnRenamed("vterm", "w2"), "w2", "left_semi")
-             .select(F.col("w1").alias("prev"), F.col("w2").alias("vterm"), F.col("c").alias("pair")))
-    left = nodes.select("query_id", (F.col("pos") + 1).alias("pos"), F.col("vterm").alias("prev"), "norm")
-    edges = (left.join(pairs, "prev").join(nodes.select("query_id", "pos", "vterm"), ["query_id", "pos", "vterm"], "left_semi")
-             .select("query_id", "pos", "prev", "vterm", (F.log(F.col("pair") + 1) - F.col("norm")).alias("logp")))
-    return nodes, written(edges, "lattice-edges")
+    # A pair of neighbouring query words is a joint. A bigram is an edge of the joints that its first word may open and its
+    # second one may close: every word has the list of its joints, so no row is made of a bigram that fits none.
+    at = qt.select("query_id", "pos", "term").distinct()
+    met = written(at.select("query_id", (F.col("pos") + 1).alias("pos"), F.col("term").alias("first")).join(at, ["query_id", "pos"]), "neighbours")
+    joints = written(met.select("first", "term").distinct().withColumn("joint", F.monotonically_increasing_id()), "joints")
+    blocks = -(-joints.count() // LIST_JOINTS) or 1
+    block = F.pmod(F.xxhash64("joint"), F.lit(blocks)).alias("block")
+    known = written(nodes.select("term", "vterm", "norm").distinct(), "lattice-words")
+    opens = few(known.join(joints.select(F.col("first").alias("term"), "joint"), "term").groupBy(F.col("vterm").alias("w1"), "norm", block)
+                 .agg(F.collect_list("joint").alias("opens")), "opening-words")
+    closes = few(known.join(joints.select("term", "joint"), "term").groupBy(F.col("vterm").alias("w2"), block)
+                  .agg(F.collect_list("joint").alias("closes")), "closing-words")
+    fits = bi.join(opens, "w1").join(closes, ["w2", "block"])
+    edges = fits.select(F.explode(F.array_intersect("opens", "closes")).alias("joint"), F.col("w1").alias("prev"), F.col("w2").alias("vterm"),
+                        (F.log(F.col("c") + 1) - F.col("norm")).alias("logp"))
+    edges = edges.join(joints, "joint").join(met, ["first", "term"])
+    return nodes, written(edges.select("query_id", "pos", "prev", "vterm", "logp"), "lattice-edges")
 
 
 def _viterbi(k: int):

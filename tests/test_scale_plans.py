@@ -101,3 +101,40 @@ def test_related_adds_up_in_tiles(spark, monkeypatch):
         want += [(a, b, -s, r) for r, (s, b) in enumerate(sorted(hits)[:3], 1)]
     assert [(a, b, r) for a, b, _, r in whole] == [(a, b, r) for a, b, _, r in sorted(want)]
     assert all(abs(x[2] - y[2]) < 1e-5 for x, y in zip(whole, sorted(want)))
+
+
+def test_lattice_edges_come_from_fitting_bigrams(spark, monkeypatch):
+    from contentspark.operators import search as S
+
+    docs = spark.createDataFrame([(1, "f", "the cat sat on the mat"), (2, "f", "the car sat near the map"), (3, "f", "that cat ran on"), (4, "f", None)],
+                                 "doc_id long, field string, text string")
+    q = spark.createDataFrame([(1, "the cta sat on"), (2, "teh cat sat"), (3, "cat"), (None, "the cat"), (4, None)], "query_id long, query string")
+    idx = S.TextIndex.build(docs).materialize()
+    from contentspark.operators.analysis import shingles
+
+    uni, bi, totals = SG.language_model(shingles(docs, 2, 2), idx.postings)
+    names, write = [], SG.written
+    monkeypatch.setattr(SG, "written", lambda df, name: (names.append(name), write(df, name))[1])
+    monkeypatch.setattr(SG, "LIST_JOINTS", 2)  # the lists of joints are taken apart
+    nodes, edges = SG.spelling_lattice(q, idx.vocabulary(), uni, bi, totals)
+    assert "joints" in names  # words have lists of joints, and no row is made of a place and a bigram that does not fit it
+    pairs = {(r.w1, r.w2): r.c for r in bi.collect()}
+    at = [(r.query_id, r.pos, r.vterm, r.norm) for r in nodes.collect()]
+    want = sorted((a[0], b[1], a[2], b[2], round(math.log(pairs[a[2], b[2]] + 1) - a[3], 9)) for a in at for b in at
+                  if a[0] is not None and a[0] == b[0] and a[1] + 1 == b[1] and (a[2], b[2]) in pairs)
+    assert want and sorted((r.query_id, r.pos, r.prev, r.vterm, round(r.logp, 9)) for r in edges.collect()) == want
+
+
+def test_lookups_broadcast_counted_query_sides(spark):
+    from contentspark.operators import search as S
+
+    docs = spark.createDataFrame([(i, "f", f"aa w{i % 5} bb") for i in range(50)], "doc_id long, field string, text string")
+    idx = S.TextIndex.build(docs).materialize()
+    q = spark.createDataFrame([(1, "aa w1"), (2, "w2 bb")], "query_id long, query string")
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "BroadcastHashJoin" in plan_of(idx.postings_for(S.query_terms(q)))  # the postings are not shuffled for a few terms
+        assert S.phrase(q, idx, {"f": 1.0}).count() == 20
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
