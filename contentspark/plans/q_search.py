@@ -178,9 +178,7 @@ GROUP BY n, shingle""")
 def doc23_shingles(spark, sf):
     """Word 2-3-grams of whole document texts with their occurrences and documents."""
     rows = A.unpivot_fields(Tables(spark, sf).documents, "doc_id", {"post_content": F.col("text")})
-    sh = A.shingles(rows, 2, 3)
-    return (sh.groupBy("n", "shingle").agg(F.count(F.lit(1)).cast("bigint").alias("freq"),
-                                           F.countDistinct("doc_id").cast("bigint").alias("docs")))
+    return A.shingles(rows, 2, 3, counted=True)
 
 
 @query("doc24_edge_ngrams", f"""

@@ -138,3 +138,33 @@ def test_lookups_broadcast_counted_query_sides(spark):
         assert S.phrase(q, idx, {"f": 1.0}).count() == 20
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+
+
+def test_shingles_are_counted_where_they_are_read(spark, monkeypatch):
+    from contentspark.operators import analysis as A
+
+    rows = [(i, "f", f"Tom ran {'to ' * (i % 4)}w{i % 5} tom ran") for i in range(40)]
+    rows += [(None, "f", "tom ran, tom ran"), (None, "f", "only here"), (50, "f", ""), (51, "f", "one"), (52, "f", "é x\n\té x")]
+    twice = [(3, "f", "tom ran home"), (3, "g", "tom ran home"), (52, "g", "é x y")]
+
+    def want(rows):
+        freq, docs = {}, {}
+        for d, _, text in rows:
+            toks = "".join(c if c.isalnum() else " " for c in text.lower()).split()
+            for n in (2, 3):
+                for i in range(len(toks) - n + 1):
+                    k = (n, " ".join(toks[i:i + n]))
+                    freq[k] = freq.get(k, 0) + 1
+                    docs.setdefault(k, set()).update([] if d is None else [d])
+        return sorted((*k, f, len(docs[k])) for k, f in freq.items())
+
+    def counted(rows):
+        return A.shingles(spark.createDataFrame(rows, "doc_id long, field string, text string").repartition(3), 2, 3, counted=True)
+
+    plan = plan_of(counted(rows))
+    assert "MapInArrow" in plan and "Generate" not in plan  # no row per occurrence
+    for tokens, chars in ((A.PIECE_TOKENS, A.BUCKET_CHARS), (7, 50)):
+        monkeypatch.setattr(A, "PIECE_TOKENS", tokens)
+        monkeypatch.setattr(A, "BUCKET_CHARS", chars)
+        for given in (rows, rows + twice, [(1, "f", "")], [(1, "f", "a b")]):
+            assert sorted(map(tuple, counted(given).collect())) == want(given)
