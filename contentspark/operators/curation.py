@@ -17,14 +17,16 @@ from contentspark.operators.ranks import ranked
 from contentspark.session import written
 
 
-def pin(organic: DataFrame, pointers: DataFrame, query_key: str = "query") -> DataFrame:
+def pin(organic: DataFrame, pointers: DataFrame, query_key: str = "query", queries: DataFrame | None = None) -> DataFrame:
     """CUR-1/CUR-2: merge organic hits (query_id, query, doc_id, score) with pointers
     (search_term, doc_id, position) whose term equals the query case-insensitively.
+    ``queries``: (query_id, query), where the hits' texts come from; a text is then read once, not per hit.
 
     Pinned documents leave the organic order (and are added when they did not
     match: CUR-2). Output: (query_id, doc_id, position, pinned).
     """
-    queries = organic.select("query_id", F.lower(F.trim(F.col(query_key))).alias("qkey")).distinct()
+    texts = organic if queries is None else queries.join(organic.select("query_id").distinct(), "query_id", "left_semi")
+    queries = texts.select("query_id", F.lower(F.trim(F.col(query_key))).alias("qkey")).distinct()
     p = pointers.select(F.lower(F.trim(F.col("search_term"))).alias("qkey"), "doc_id", "position")
     pins = queries.join(p, "qkey").select("query_id", "doc_id", "position")
     # Windows over the pins of one query: pointers are written by hand, never derived from the hits.

@@ -66,7 +66,8 @@ def organic_hits(spark, sf):
 @query("cur1_pinned_positions", CUR_SQL + "SELECT query_id, doc_id, position, pinned FROM final")
 def cur1_pinned_positions(spark, sf):
     """Organic OR-match ranking with curated documents inserted at their positions."""
-    return C.pin(organic_hits(spark, sf), written(V.v_pointers(spark, sf), "pointers")).select("query_id", "doc_id", "position", "pinned")
+    pointers = written(V.v_pointers(spark, sf), "pointers")
+    return C.pin(organic_hits(spark, sf), pointers, queries=bench_queries(spark, sf)).select("query_id", "doc_id", "position", "pinned")
 
 
 @query("cur2_forced_match", CUR_SQL + """
@@ -75,7 +76,7 @@ WHERE f.pinned AND NOT EXISTS (SELECT 1 FROM organic o WHERE o.query_id = f.quer
 def cur2_forced_match(spark, sf):
     """Pinned documents that the text clause alone would not have returned."""
     org = organic_hits(spark, sf)
-    res = C.pin(org, written(V.v_pointers(spark, sf), "pointers"))
+    res = C.pin(org, written(V.v_pointers(spark, sf), "pointers"), queries=bench_queries(spark, sf))
     return (res.filter("pinned").join(org.select("query_id", "doc_id"), ["query_id", "doc_id"], "left_anti")
             .select("query_id", "doc_id", "position"))
 

@@ -168,3 +168,17 @@ def test_shingles_are_counted_where_they_are_read(spark, monkeypatch):
         monkeypatch.setattr(A, "BUCKET_CHARS", chars)
         for given in (rows, rows + twice, [(1, "f", "")], [(1, "f", "a b")]):
             assert sorted(map(tuple, counted(given).collect())) == want(given)
+
+
+def test_pin_reads_a_query_text_once(spark, monkeypatch):
+    from contentspark.operators import curation as C
+
+    q = spark.createDataFrame([(1, "Red bolt"), (2, "nut"), (2, "NUT "), (3, "no hits"), (None, "nut")], "query_id long, query string")
+    hits = spark.createDataFrame([(1, 10, 9), (1, 11, 8), (2, 10, 5), (2, 12, 4)], "query_id long, doc_id long, score long")
+    pointers = spark.createDataFrame([(" red BOLT", 30, 1), ("nut", 12, 2), ("no hits", 10, 1)], "search_term string, doc_id long, position int")
+    organic = hits.join(q, "query_id")
+    plans, write = [], C.written
+    monkeypatch.setattr(C, "written", lambda df, name: (plans.append(df._jdf.queryExecution().optimizedPlan().toString()), write(df, name))[1])
+    got, want = C.pin(organic, pointers, queries=q), C.pin(organic, pointers)
+    assert "LeftSemi" in plans[0] and "LeftSemi" not in plans[1]  # ids of hits meet the texts, not texts the hits
+    assert got.count() == 6 and sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
