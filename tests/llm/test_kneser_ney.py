@@ -185,3 +185,29 @@ def test_repeated_rows_count_once(spark):
 def test_all_trusted_documents_count(spark):
     labels = spark.range(400_100).selectExpr("id AS doc_id", "1 AS quality", "0 AS toxic")
     assert op.trusted_ids(labels).count() == 400_100
+
+
+def test_many_ngrams_and_ids_shuffle_neither_texts_nor_frequent_ngrams(spark, monkeypatch):
+    from contentspark.llm import common
+
+    rows, labels = corpus()
+    docs, marks = spark.createDataFrame(rows + ODD, DOCS), spark.createDataFrame(labels, LABELS)
+    as_dict = lambda df: {(r.doc_id, r.lang, r.text_hash): r for r in df.collect()}
+    whole = as_dict(op.perplexities(docs, marks))
+    written = {}
+
+    def kept(df, label):
+        written[label] = df
+        return common.materialize(df, label)
+
+    monkeypatch.setattr(op, "materialize", kept)
+    monkeypatch.setattr(common, "BROADCAST_ROWS", 10)
+    monkeypatch.setattr(op, "TABLE_ROWS", 200)
+    parts = as_dict(op.perplexities(docs, marks))
+    assert "Join" not in written["ngram-counts"]._jdf.queryExecution().optimizedPlan().toString()  # texts stay where they are read
+    rare = [n for r in written["document-costs"].collect() for n in r.times]
+    assert 0 < sum(rare) < sum(r.n_symbols for r in whole.values()) / 4
+    assert parts.keys() == whole.keys()
+    for key, r in whole.items():
+        for name in ("n_symbols", "log_perplexity", "trusted", "held_out"):
+            assert parts[key][name] == (pytest.approx(r[name], rel=1e-9) if r[name] is not None else None), (key, name)
