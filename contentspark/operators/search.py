@@ -24,7 +24,7 @@ Clauses that need all terms (AND, phrase, cross-fields AND) start from each
 query's rarest term: only documents that hold it meet the query's other terms.
 
 Matches (OR and AND, exact and fuzzy) are added up in tiles of a block of documents
-and a block of queries (:func:`_tiles`): what is shuffled are the postings of the
+and a block of queries (:func:`_tiles`), unless their hits are counted to be few: what is shuffled are the postings of the
 queries' terms, once per block of queries, and never the hits, whose number is that
 of the queries times that of the documents. A frequent term is spread over all blocks.
 
@@ -397,7 +397,8 @@ def _tiles(qt: DataFrame, index: TextIndex, weights: Mapping[str, float], fuzzy:
     (query_id, doc_id, field, score) of every field that matches.
 
     ``qt``: (query_id, term, n_terms, vterm), ``vterm`` the index term that is looked up. The work of a tile
-    is bounded by its documents' postings of its queries' terms; both sides are dealt by hashes.
+    is bounded by its documents' postings of its queries' terms; both sides are dealt by hashes. Many queries
+    with rare terms have fewer hits than tiles would be dealt rows; these are joined instead.
     """
     fields = list(weights)
     qt = written(qt.select("query_id", "term", "n_terms", "vterm").distinct(), "query-terms")
@@ -417,6 +418,8 @@ def _tiles(qt: DataFrame, index: TextIndex, weights: Mapping[str, float], fuzzy:
     lookups = index.term_df().filter(F.col("field").isin(fields)).withColumnRenamed("term", "v").join(vids, "v")
     lookups = lookups.join(F.broadcast(index.stats()), "field").withColumn("f", F.array_position(F.lit(fields), F.col("field")).cast("int") - 1)
     lookups = written(lookups.withColumnRenamed("v", "term"), "lookups")
+    if _fewer_hits(pairs, lookups, query_blocks, doc_blocks):
+        return _joined(qt, index, weights, lookups, fuzzy, every, per_field)
     score = bm25(F.col("tf"), F.col("len"), F.col("avg_len"), F.col("df"), F.col("n_docs"))
     left = (index.postings.select("term", "field", "doc_id", "tf", "len").join(lookups, ["term", "field"])
             .select(block("doc_id", doc_blocks).alias("db"), "doc_id", "f", "vid", score.alias("score"))
@@ -427,6 +430,34 @@ def _tiles(qt: DataFrame, index: TextIndex, weights: Mapping[str, float], fuzzy:
         _add_up([float(weights[f]) for f in fields], fuzzy, every, fields if per_field else None), schema)
 
 
+def _fewer_hits(pairs: DataFrame, lookups: DataFrame, query_blocks: int, doc_blocks: int) -> bool:
+    """Whether the hits are fewer than the rows that tiles are dealt: each posting once per block of queries, each
+    query term once per block of documents (rare terms, as order numbers)."""
+    found = lookups.groupBy("vid").agg(F.sum("df").alias("df"))
+    per = pairs.groupBy("vid").agg(F.count(F.lit(1)).alias("n")).join(found, "vid", "left").agg(
+        F.sum(F.col("n") * F.coalesce("df", F.lit(0))).cast("double"), F.sum("df").cast("double"), F.sum("n")).first()
+    hits, postings, terms = (x or 0 for x in per)
+    return hits <= postings * query_blocks + terms * doc_blocks
+
+
+def _joined(qt: DataFrame, index: TextIndex, weights: Mapping[str, float], lookups: DataFrame, fuzzy: bool, every: bool,
+            per_field: bool) -> DataFrame:
+    """What :func:`_tiles` gives, by a join of the queries' terms with their postings and a row per hit."""
+    asked = qt.join(lookups.withColumnRenamed("term", "vterm").drop("vid", "f"), "vterm").withColumnRenamed("term", "token")
+    asked = few(asked.withColumnRenamed("vterm", "term"), "lookups-of-queries")
+    score = bm25(F.col("tf"), F.col("len"), F.col("avg_len"), F.col("df"), F.col("n_docs"))
+    hits = index.postings.select("term", "field", "doc_id", "tf", "len").join(asked, ["term", "field"]).select(
+        "query_id", "doc_id", "field", "token", "n_terms", score.alias("score"))
+    keys = ["query_id", "doc_id", "field"]
+    if fuzzy:  # a token scores as its best expansion in a document's field
+        hits = hits.groupBy(*keys, "token", "n_terms").agg(F.max("score").alias("score"))
+    out = hits.groupBy(*keys).agg(F.sum("score").alias("score"), F.count(F.lit(1)).alias("matched"), F.max("n_terms").alias("n_terms"))
+    if every:
+        out = out.filter(F.col("matched") == F.col("n_terms"))
+    out = out.select(*keys, (F.col("score") * _weight(F.col("field"), weights)).alias("score"))
+    return out if per_field else out.groupBy("query_id", "doc_id").agg(F.max("score").alias("score"))
+
+
 def _weight(field_col: Column, weights: Mapping[str, float]) -> Column:
     w = F.lit(1.0)
     for f, v in weights.items():

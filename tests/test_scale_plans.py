@@ -67,6 +67,31 @@ def test_matches_shuffle_postings_not_hits(spark):
     assert S.match(q, idx, {"f": 2.0}, "and").count() == 600 * 1500
 
 
+def test_rare_terms_are_joined_not_dealt_to_tiles(spark, monkeypatch):
+    from contentspark.operators import search as S
+
+    rows = [(i, f, f"{'order ' if f == 'title' else ''}{i}") for i in range(2500) for f in ("title", "id")]
+    rows += [(7, "title", "order 7 again"), (None, "title", "order 9"), (8, "id", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, field string, text string")
+    q = spark.createDataFrame([(i, f"{i} {i + 1}" if i % 5 == 0 else str(i)) for i in range(1200)] + [(None, "3"), (-1, "")],
+                              "query_id long, query string")
+    idx, weights = S.TextIndex.build(docs), {"title": 2.0, "id": 1.0}
+    found = lambda df: sorted((r.query_id, r.doc_id is None, r.doc_id or 0, r["field"] if "field" in df.columns else "", round(r.score, 6)) for r in df.collect())
+    ways = [lambda: S.match(q, idx, weights, "or"), lambda: S.match(q, idx, weights, "and"), lambda: S.field_scores(q, idx, list(weights))]
+    few_queries = q.filter("query_id < 40")
+    fuzzy = [lambda op=op: S.match(few_queries, idx, weights, op, fuzziness=1) for op in ("or", "and")]
+    joined = []
+    for way in ways:
+        got = way()
+        assert "FlatMapCoGroups" not in plan_of(got)
+        joined.append(found(got))
+    assert len(joined[0]) > 1200
+    monkeypatch.setattr(S, "_fewer_hits", lambda *a: True)
+    joined += [found(way()) for way in fuzzy]
+    monkeypatch.setattr(S, "_fewer_hits", lambda *a: False)
+    assert [found(way()) for way in ways + fuzzy] == joined
+
+
 def test_related_adds_up_in_tiles(spark, monkeypatch):
     from contentspark.operators import search as S
 
