@@ -236,12 +236,18 @@ def only_when_empty(suggestions: DataFrame, hits: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- related
 
-TILE_DOCS, TILE_SOURCES = 16_384, 65_536  # documents and sources that a tile has at most, about
-LEAST_TILES, LEAST_SOURCES = 32, 512  # few tiles are split further, down to so many sources
+TILE_DOCS, TILE_SOURCES = 65_536, 262_144  # documents and sources that a tile has at most, about
+LEAST_TILES, LEAST_DOCS, LEAST_SOURCES = 32, 16_384, 512  # few tiles are split further, down to so many documents and sources
+LONG_LIST = 8192  # postings of a term before which a threshold is worth its search
 
 
 def _most_related(k: int):
-    """The k best documents of every source in one tile: documents (doc_id, tids, tfs, norm), sources (source_id, need, tids, idfs)."""
+    """The k best documents of every source in one tile: documents (doc_id, tids, tfs, norm), sources (source_id, need, tids, idfs).
+
+    A source's terms are met from the one of fewest documents on. A document that first occurs in the last ``need`` - 1
+    of them matches too few; one that first occurs where all that is left adds up to less than the k-th best score found
+    so far is not among the best. From there on only documents that were met before are looked up.
+    """
     def run(left, right):
         import numpy as np
         import pyarrow as pa
@@ -260,38 +266,122 @@ def _most_related(k: int):
         docs, sources = left.column("doc_id").combine_chunks(), right.column("source_id").combine_chunks()
         own = pc.fill_null(pc.index_in(sources, value_set=docs), -1).to_numpy(zero_copy_only=False)
         (tid, n), (tf, _) = lists(left, "tids"), lists(left, "tfs")
-        row = np.repeat(np.arange(len(docs)), n)
-        part = tf * (K1 + 1) / (tf + left.column("norm").to_numpy()[row])
+        row = np.repeat(np.arange(len(docs), dtype=np.int32), n)
+        part = tf * (K1 + 1)
+        part /= tf + left.column("norm").to_numpy()[row]
         order = np.argsort(tid, kind="stable")
         tid, row, part = tid[order], row[order], part[order]
+        del order, tf
         (wanted, n), (idf, _) = lists(right, "tids"), lists(right, "idfs")
-        begin, end = np.searchsorted(tid, wanted, "left"), np.searchsorted(tid, wanted, "right")
+        begin, end = np.searchsorted(tid, wanted, "left"), np.searchsorted(tid, wanted, "right")  # a term has one row per document
         first, need = np.append(0, np.cumsum(n)), np.maximum(right.column("need").to_numpy(), 1)
-        score, met = np.zeros(len(docs)), np.zeros(len(docs), dtype=np.int32)
+        size = end - begin
+        terms, of = np.unique(begin[size > 0], return_index=True)  # what a term adds does not depend on the source
+        by_term, until = idf[size > 0][of], end[size > 0][of]
+        worth = np.zeros(len(size))  # at most, by a source's term
+        for a, b, w in zip(terms.tolist(), until.tolist(), by_term.tolist()):
+            part[a:b] *= w
+        if len(terms):
+            heads = np.flatnonzero(np.diff(tid, prepend=tid[0] - 1))
+            worth[size > 0] = np.maximum.reduceat(part, heads)[np.searchsorted(heads, begin[size > 0])]
+        del tid
+        match = 2.0 ** np.ceil(np.log2(worth.max(initial=0.0) * n.max(initial=0) + 2))  # added for each term that matches; scores stay below
+        part += match
+        score = np.zeros(len(docs))
+
+        def looked_up(cand, s, j):
+            """Adds term ``j`` of a source to the scores of some documents."""
+            rows = row[begin[j]:end[j]]
+            at = np.minimum(np.searchsorted(rows, cand), len(rows) - 1)
+            hit = rows[at] == cand
+            s[hit] += part[begin[j] + at[hit]]
+
+        def threshold(cand, rest, least, itself):
+            """The k-th best score among documents that lead so far; with too few of them none is known."""
+            s = score[cand]
+            if len(cand) > 8 * k:
+                lead = np.sort(np.argpartition(s, len(s) - 8 * k)[-8 * k:])
+                cand, s = cand[lead], s[lead]
+            for j in rest:
+                looked_up(cand, s, j)
+            m = np.floor(s / match)
+            s = (s - m * match)[(m >= least) & (cand != itself)]
+            return np.partition(s, len(s) - k)[len(s) - k] if len(s) >= k else -np.inf
+
         out = []
-        for i in range(len(sources)):
-            for j in range(first[i], first[i + 1]):
-                at = row[begin[j]:end[j]]  # a term has one row per document
-                if len(at):
-                    score[at] += part[begin[j]:end[j]] * idf[j]
-                    met[at] += 1
-            if own[i] >= 0:
-                met[own[i]] = 0
-            found = np.flatnonzero(met >= need[i])
-            s = np.floor(score[found] * 1e6 + 0.5) / 1e6
+        present = np.append(0, np.cumsum(size > 0))
+        for i in np.flatnonzero(present[first[1:]] - present[first[:-1]] >= need).tolist():
+            mine = np.arange(first[i], first[i + 1])
+            mine = mine[size[mine] > 0]
+            mine = mine[np.argsort(size[mine], kind="stable")].tolist()
+            least, c, best_known = need[i], len(mine), -np.inf
+            rest = np.append(np.cumsum(worth[mine][::-1])[::-1], 0.0) + 1e-5  # more than rounding takes
+            for x in range(c - least + 1):
+                j = mine[x]
+                if x and size[j] >= LONG_LIST:
+                    best_known = max(best_known, threshold(np.flatnonzero(score > 0), mine[x:], least, own[i]))
+                    if rest[x] < best_known:
+                        break
+                score[row[begin[j]:end[j]]] += part[begin[j]:end[j]]
+            else:
+                x = c - least + 1
+            cand = np.flatnonzero(score > 0)
+            for j in mine[x:]:
+                if len(cand) * 8 > size[j]:
+                    score[row[begin[j]:end[j]]] += part[begin[j]:end[j]]
+                    s = score[cand]
+                else:
+                    s = score[cand]
+                    looked_up(cand, s, j)
+                    score[cand] = s
+                x += 1
+                m = np.floor(s / match)
+                cand = cand[(m + (c - x) >= least) & (s - m * match + rest[x] >= best_known)]
+            s = score[cand]
+            m = np.floor(s / match)
+            kept = (m >= least) & (cand != own[i])
+            found, s = cand[kept], np.floor((s - m * match)[kept] * 1e6 + 0.5) / 1e6
             if len(found) > k:
                 best = s >= np.partition(s, len(s) - k)[len(s) - k]
                 found, s = found[best], s[best]
                 best = np.lexsort((found, -s))[:k]
                 found, s = found[best], s[best]
-            out.append((np.full(len(found), i), found, score[found]))
-            score[:], met[:] = 0, 0
+            out.append((np.full(len(found), i), found, s))
+            score[:] = 0
+        if not out:
+            return schema.empty_table()
         source, found, s = (np.concatenate(x) for x in zip(*out))
         return pa.Table.from_arrays([sources.take(pa.array(source)), docs.take(pa.array(found)), pa.array(s)], schema=schema)
 
     return run
 
 
+def _best_terms(n_terms: int, min_match: float):
+    """Arrow batches (doc_id, tids, tfs, idfs) -> (source_id, need, tids, idfs): the terms of largest tf * idf that others have too."""
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        for batch in batches:
+            flat = lambda c: batch.column(c).flatten().to_numpy(zero_copy_only=False)  # noqa: E731, B023
+            tid, idf = flat("tids"), flat("idfs")
+            n = pc.list_value_length(batch.column("tids")).to_numpy(zero_copy_only=False).astype(np.int64)
+            row = np.repeat(np.arange(len(n)), n)
+            order = np.lexsort((tid, -(flat("tfs") * idf), row))
+            rank = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+            best = order[(rank < n_terms) & (tid[order] % 2 == 1)]
+            size = np.bincount(row[best], minlength=len(n))
+            some = np.flatnonzero(size)
+            begin = pa.array(np.append(0, np.cumsum(size[some])).astype(np.int32))
+            need = np.ceil(np.minimum(n[some], n_terms) * min_match).astype(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id").take(pa.array(some)), pa.array(need), *(pa.ListArray.from_arrays(begin, pa.array(x[best])) for x in (tid, idf))],
+                names=["source_id", "need", "tids", "idfs"])
+
+    return run
+
+
 def related(index: TextIndex, sources: DataFrame, fields: list[str], n_terms: int, min_match: float,
             k: int, among: DataFrame | None = None) -> DataFrame:
     """SUG-7: (source_id, doc_id, score, rank) - k most similar documents per source document.
@@ -303,31 +393,25 @@ def related(index: TextIndex, sources: DataFrame, fields: list[str], n_terms: in
     """
     post = index.postings.filter(F.col("field").isin(fields))
     tf = written(post.groupBy("doc_id", "term").agg(F.sum("tf").alias("tf")), "related-tf")
-    df = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     n_docs = tf.select("doc_id").distinct().agg(F.count(F.lit(1)).alias("n")).scalar()
-    src_tf = tf.join(sources.select(F.col("doc_id")), "doc_id", "left_semi").join(df, "term")
-    w = Window.partitionBy("doc_id").orderBy(
-        (F.col("tf") * F.log(1.0 + (n_docs - F.col("df") + 0.5) / (F.col("df") + 0.5))).desc(), F.col("term"))
-    top = (src_tf.withColumn("r", F.row_number().over(w)).filter(F.col("r") <= n_terms)
-           .select(F.col("doc_id").alias("source_id"), "term", "df"))
-    of = Window.partitionBy("source_id")
-    top = top.withColumn("nq", F.count(F.lit(1)).over(of)).withColumn("need", F.ceil(F.col("nq") * min_match))
-    top = written(top, "related-terms")
-    # A term of one document has no other one to find; it still counts in ``need``.
-    shared = top.filter(F.col("df") > 1)
-    tids = written(shared.select("term").distinct().select("term", F.monotonically_increasing_id().alias("tid")), "related-numbers")
+    # Numbers in the order of terms, odd ones for terms of several documents: others find none, but count in ``need``.
+    df = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df")).orderBy("term")
+    numbers = written(df.select("term", (F.monotonically_increasing_id() * 2 + (F.col("df") > 1).cast("long")).alias("tid"),
+                                F.log(1.0 + (n_docs - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf")), "related-numbers")
     lengths = post.filter("opens").groupBy("doc_id").agg(F.sum("len").alias("len"))
     avg = lengths.agg(F.avg("len")).scalar()
-    if among is not None:
-        lengths = lengths.join(among.select("doc_id"), "doc_id", "left_semi")
-    per_doc = tf.join(tids, "term").groupBy("doc_id").agg(F.collect_list("tid").alias("tids"), F.collect_list("tf").alias("tfs"))
-    docs = written(per_doc.join(lengths, "doc_id").select("doc_id", "tids", "tfs", (K1 * (1 - B + B * F.col("len") / avg)).alias("norm")),
-                   "related-docs")
-    asked = written(shared.join(tids, "term").groupBy("source_id", "need").agg(
-        F.collect_list("tid").alias("tids"),
-        F.collect_list(F.log(1.0 + (n_docs - F.col("df") + 0.5) / (F.col("df") + 0.5))).alias("idfs")), "related-sources")
+    marked = lambda ids, name: ids.select("doc_id").distinct().withColumn(name, F.lit(True))
+    per_doc = tf.join(numbers, "term").groupBy("doc_id").agg(F.collect_list(F.struct("tid", "tf", "idf")).alias("t"))
+    per_doc = per_doc.join(lengths, "doc_id").join(marked(sources, "asked"), "doc_id", "left")
+    per_doc = per_doc.withColumn("among", F.lit(True)) if among is None else per_doc.join(marked(among, "among"), "doc_id", "left")
+    all_docs = written(per_doc.select("doc_id", "asked", "among", F.col("t.tid").alias("tids"), F.col("t.tf").cast("array<int>").alias("tfs"),
+                                      F.col("t.idf").alias("idfs"), (K1 * (1 - B + B * F.col("len") / avg)).alias("norm")), "related-docs")
+    docs = all_docs.filter("among").select("doc_id", "tids", "tfs", "norm")
+    asked = written(all_docs.filter("asked").select("doc_id", "tids", "tfs", "idfs").mapInArrow(
+        _best_terms(n_terms, min_match), f"source_id {dict(docs.dtypes)['doc_id']}, need bigint, tids array<bigint>, idfs array<double>"),
+        "related-sources")
     n, m = docs.count(), asked.count()
-    doc_blocks = max(-(-n // TILE_DOCS), 1)
+    doc_blocks = max(-(-n // TILE_DOCS), min(-(-n // LEAST_DOCS), 4), 1)
     source_blocks = max(-(-m // TILE_SOURCES), min(-(-LEAST_TILES // doc_blocks), -(-m // LEAST_SOURCES)), 1)
     block = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
     every_block = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))

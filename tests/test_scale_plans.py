@@ -128,6 +128,41 @@ def test_related_adds_up_in_tiles(spark, monkeypatch):
     assert all(abs(x[2] - y[2]) < 1e-5 for x, y in zip(whole, sorted(want)))
 
 
+def test_related_looks_frequent_terms_up(spark):
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(3)
+    n_docs, n_terms, k = 400, 30, 3
+    has = rng.random((n_docs, n_terms)) < np.linspace(0.01, 0.9, n_terms) ** 2 + 0.01
+    tfs = rng.integers(1, 6, (n_docs, n_terms))
+    norm, idf = rng.uniform(0.5, 2, n_docs), np.linspace(6, 0.2, n_terms)
+    has[17], tfs[17], norm[17] = has[16], tfs[16], norm[16]  # equal documents tie
+    left = pa.table({"doc_id": pa.array(np.arange(n_docs)), "tids": [np.flatnonzero(h) for h in has], "norm": norm,
+                     "tfs": pa.array([t[h].tolist() for t, h in zip(tfs, has)], pa.list_(pa.int32()))})
+    asked = [rng.choice(n_terms, 12, replace=False) for _ in range(60)] + [np.arange(18, 30), np.array([0, 29])]
+    needs = [4] * 61 + [2]
+    ids = [*range(10, 70), 1000, 1001]
+    right = pa.table({"source_id": pa.array(ids), "need": needs, "tids": asked, "idfs": [idf[a] for a in asked]})
+    want = []  # of a source: (source_id, doc_id, score), best first
+    for source, need, terms in zip(ids, needs, asked):
+        both = has[:, terms]
+        s = (both * idf[terms] * tfs[:, terms] * 2.2 / (tfs[:, terms] + norm[:, None])).sum(axis=1)
+        found = [(-round(s[d], 6), d) for d in np.flatnonzero(both.sum(axis=1) >= need) if d != source]
+        want += [(source, int(d), -x) for x, d in sorted(found)[:k]]
+    results = []
+    for long_list in (10**9, 1):
+        SG.LONG_LIST, was = long_list, SG.LONG_LIST
+        try:
+            got = sorted(SG._most_related(k)(left, right).to_pylist(), key=lambda r: (r["source_id"], -r["score"], r["doc_id"]))
+        finally:
+            SG.LONG_LIST = was
+        results.append([(r["source_id"], r["doc_id"]) for r in got])
+        assert [(r["source_id"], r["doc_id"]) for r in got] == [w[:2] for w in want]
+        assert all(abs(r["score"] - w[2]) < 2e-6 for r, w in zip(got, want))
+    assert results[0] == results[1]
+
+
 def test_lattice_edges_come_from_fitting_bigrams(spark, monkeypatch):
     from contentspark.operators import search as S
 
