@@ -242,3 +242,19 @@ def test_pin_reads_a_query_text_once(spark, monkeypatch):
     got, want = C.pin(organic, pointers, queries=q), C.pin(organic, pointers)
     assert "LeftSemi" in plans[0] and "LeftSemi" not in plans[1]  # ids of hits meet the texts, not texts the hits
     assert got.count() == 6 and sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_all_terms_are_found_by_few_keys_and_candidates(spark):
+    from contentspark.operators import search as S
+
+    vocabulary = spark.createDataFrame([(f"abcdefgh{i:02d}",) for i in range(40)], "term string")
+    assert S.vocabulary_keys(vocabulary, 2).count() <= 40 * 6  # 56 deletion keys each
+    docs = spark.createDataFrame([(i, "f", f"common rare{i % 7} odd{i % 5} even{i % 3}") for i in range(210)], "doc_id long, field string, text string")
+    q = spark.createDataFrame([(1, "common rare1 odd1 even1"), (2, "rare2 nothing"), (3, "rare3")], "query_id long, query string")
+    idx = S.TextIndex.build(docs).materialize()
+    got = S.candidates(S.query_terms(q, "plain"), idx, ["f"], per_field=True).collect()
+    whole = {(1, i) for i in range(210) if i % 7 == 1 and i % 5 == 1 and i % 3 == 1}
+    assert {(r.query_id, r.doc_id) for r in got} == whole | {(3, i) for i in range(210) if i % 7 == 3} and len(got) == len(whole) + 30
+    assert {r.doc_id for r in S.match(q, idx, {"f": 1.0}, "and").collect() if r.query_id == 1} == {i for _, i in whole}
+    near = {r.doc_id for r in S.match(q, idx, {"f": 1.0}, "and", "auto").collect() if r.query_id == 1}
+    assert {i for _, i in whole} < near
