@@ -31,8 +31,8 @@ Trusted documents: those labelled with quality 1; all of them train the model an
 the quantiles. Their ids are an array that every task has, unless they are counted to be
 more than ``ID_ROWS``; then they are joined by a shuffle.
 
-Defined results: null or empty texts have no perplexity (null) and are rejected:
-there is nothing in them to keep. A language without trusted documents (null
+Defined results: null or empty texts have no perplexity and no threshold (null) and are
+rejected: there is nothing in them to keep. A language without trusted documents (null
 included) uses the quantiles of all trusted documents, so that text in a script
 that no trusted document has is rejected; one trusted document raises its language's
 fence half way to its own held-out perplexity. Without trusted documents in every
@@ -327,7 +327,7 @@ def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """
     scored = materialize(perplexities(docs, labels), "perplexities")
     trusted = scored.where("trusted AND held_out IS NOT NULL")
-    scatter = F.sqrt(1 + PIVOT / F.col("n_symbols"))
+    scatter = F.when(F.col("n_symbols") > 0, F.sqrt(1 + PIVOT / F.col("n_symbols")))
     off = (F.col("held_out") - F.col("middle")) / scatter
     median, upper = F.percentile_approx("held_out", 0.5, 10_000), F.percentile_approx(off, QUANTILE, 10_000)
     middle = trusted.groupBy("lang").agg(median.alias("middle"))

@@ -211,3 +211,13 @@ def test_many_ngrams_and_ids_shuffle_neither_texts_nor_frequent_ngrams(spark, mo
     for key, r in whole.items():
         for name in ("n_symbols", "log_perplexity", "trusted", "held_out"):
             assert parts[key][name] == (pytest.approx(r[name], rel=1e-9) if r[name] is not None else None), (key, name)
+
+
+def test_texts_without_symbols_are_judged(spark):
+    rows, labels = corpus()
+    docs, marks = spark.createDataFrame(rows + ODD, DOCS), spark.createDataFrame(labels + [(900, 1, 0), (901, 1, 0)], LABELS)
+    assert spark.conf.get("spark.sql.ansi.enabled") == "true"  # a division by zero is an error
+    found = {r.doc_id: r for r in op.judge(docs, marks).collect()}
+    for i in (900, 901):
+        assert (found[i].n_symbols, found[i].perplexity, found[i].threshold, found[i].kept) == (0, None, None, False)
+    assert found[904].kept and found[904].threshold > 1
